@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, packing, url_filter
+from tidemark.llm import exact_dedup, language_id, ngram_join, packing, secret_scan, url_filter
 from tidemark.llm.shared import table
 
 
@@ -14,6 +14,18 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -23,7 +35,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op9_packing, op10_url_filter)}
+    return {f.__name__: f for f in (op2_exact_dedup, op4_language_id, op7_ngram_jaccard, op8_secret_scan, op9_packing, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
