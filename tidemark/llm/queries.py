@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, language_id, ngram_join, packing, secret_scan, url_filter
+from tidemark.llm import exact_dedup, language_id, mixing, ngram_join, packing, secret_scan, url_filter, vector_join
 from tidemark.llm.shared import table
 
 
@@ -18,6 +19,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.link_vectors(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
@@ -34,8 +43,16 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_exact_dedup, op4_language_id, op7_ngram_jaccard, op8_secret_scan, op9_packing, op10_url_filter)}
+    found = (
+        op2_exact_dedup, op4_language_id, op5_embedding_join, op6_mixing, op7_ngram_jaccard, op8_secret_scan, op9_packing,
+        op10_url_filter, pipeline,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
