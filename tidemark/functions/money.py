@@ -22,3 +22,43 @@ def dollars(minor: Column) -> Column:
 def mean_cents(minor: Column) -> Column:
     """Aggregate: the rounded mean of minor units."""
     return half_up(F.sum(minor).cast("double") / F.count(minor).cast("double"))
+
+
+def plain_text(text: Column) -> Column:
+    """Without tags and with no-break spaces as spaces; cents in <sup> follow a comma."""
+    cents_up = F.regexp_replace(text, r"(?i)([€$£])? ?<sup> ?(\d\d) ?</sup>", ",$2")
+    return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(cents_up, "<[^>]*>", " "), "&nbsp;| | ", " "), " +", " "))
+
+
+#: How a currency writes thousands and decimals.
+DOT_THOUSANDS = ["CLP", "COP", "ARS"]
+COMMA_DECIMAL = ["EUR", "BRL", "TRY"]
+NO_DECIMALS = ["JPY", "CLP", "KRW"]
+
+
+def money(raw: Column, currency: Column) -> Column:
+    """Amount as DECIMAL(18,2) or null; never 0 for something that cannot be read."""
+    digits = F.regexp_replace(plain_text(raw), r"[^0-9.,]", "")
+    digits = F.regexp_replace(digits, r"^[.,]+|[.,]+$", "")
+    dotted = F.regexp_replace(F.regexp_replace(digits, r"\.", ""), ",", ".")
+    text = (
+        F.when(currency.isin(*NO_DECIMALS), F.regexp_replace(digits, "[.,]", ""))
+        .when(currency.isin(*DOT_THOUSANDS, *COMMA_DECIMAL), dotted)
+        .otherwise(F.regexp_replace(digits, ",", ""))
+    )
+    return F.nullif(text, F.lit("")).try_cast("decimal(18,2)")
+
+
+#: Fixed thresholds of a price difference, as shares of the older price in ten-thousandths.
+SAME, SUSPECT = 500, 5000
+
+
+def difference_class(old: Column, new: Column) -> Column:
+    """same, move or suspect for two amounts in minor units; unknown if one is missing."""
+    share = F.abs(new - old) * F.lit(10000)
+    return (
+        F.when(old.isNull() | new.isNull() | (old <= 0), "unknown")
+        .when(share <= old * F.lit(SAME), "same")
+        .when(share > old * F.lit(SUSPECT), "suspect")
+        .otherwise("move")
+    )
