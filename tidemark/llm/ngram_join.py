@@ -5,16 +5,17 @@ the size of either. In any order that all sets agree on, the first n - need + j
 common. So:
 
 * *light* sets (at most ``boundary`` shingles) enumerate the pairs among their first n - need + 2 shingles;
-* *heavy* sets are scanned by inverted lists of their first n - need + 1 shingles, which light sets near the boundary
-  enter as well;
-* the boundary is the size at which the total number of keys, plus the rows that shared keys bring along, is least.
+* *heavy* sets are scanned by inverted lists of their first n - need + l shingles, which light sets near the boundary
+  enter as well; l grows with the size (``ell``), and two sets are candidates if lists hold both of them l times;
+* the boundary is the size at which the cost is least: one for a key, SHARED_COST for a key that others share too.
 
 The order is by frequency class, rarest first, then by hash. Frequencies come from a count sketch over all documents
-whose size is fixed (CELLS); a coarse or wrong class costs time, never a link. A list's documents are chained through
-its smallest node, so a list of any length gives one edge a document; lists that the sketch calls frequent are dealt
-over several tasks and meet in a node of their own. The components of this candidate graph are cut into units of
-bounded size, in which every pair is verified by exact intersection counts (a matrix product). Equal sets count as one
-node throughout and are never paired.
+whose size is fixed (CELLS); a coarse or wrong class costs time, never a link. A list of up to LIST documents gives
+pairs, whose counts are summed over all lists. The documents of a longer list are chained through its smallest node,
+an edge a document, so no list gives a square of rows; lists that the sketch calls frequent are dealt over several
+tasks and meet in a node of their own. The components of this candidate graph, the larger ones by size range as well,
+are cut into units of bounded size, in which every pair is verified by exact intersection counts (a matrix product).
+Equal sets count as one node throughout and are never paired.
 
 Defined results: null, empty or word-free texts have the empty set, link with nothing and are their own component;
 repeated rows are equal documents; an empty table gives no rows. A set is held whole by a task, a group of sets never.
@@ -40,6 +41,8 @@ CELL_BITS, BLOCK_BITS = 22, 14
 SPLIT_CLASS = 12
 #: Most documents and shingles in one part of a unit; a unit has two parts.
 UNIT_DOCS, UNIT_SHINGLES = 128, 200_000
+#: Longest list that gives pairs, and what a shared key costs in keys.
+LIST, SHARED_COST = 64, 16
 #: Postings in one task of the key stage, about.
 BUCKET_POSTINGS = 200_000
 #: Largest size that the histogram tells apart; larger sets are heavy.
@@ -118,14 +121,21 @@ def sketch_classes(profiled: DataFrame) -> tuple[np.ndarray, float]:
 def choose_boundary(sizes: dict[int, int], shared: float, num: int, den: int) -> tuple[int, int]:
     """Largest light size, and the postings that it leads to; sizes: sets by size, those over LARGEST_LIGHT together."""
     listed = lambda n: n - need(n, num, den) + 1
-    scan = lambda n: listed(n) * (1 + shared)
+    scan = lambda n: listed(n) * (1 + shared * SHARED_COST)
     pairs = lambda n: math.comb(listed(n) + 1, 2) if need(n, num, den) >= 2 else math.inf
-    best = (math.inf, 0)
+    best = (math.inf, 0, 0)
     for x in sorted({0, *(n for n in sizes if n < LARGEST_LIGHT and n * den >= num * (n + 1) and pairs(n) <= 4 * scan(n))}):
         near = need(x + 1, num, den)
-        cost = sum(c * ((pairs(n) if n <= x else 0) + (scan(n) if n > x or n >= near else 0)) for n, c in sizes.items() if n * den >= num * (n + 1) and (n > x or pairs(n) < math.inf))
-        best = min(best, (cost, x))
-    return best[1], int(best[0]) if best[0] < math.inf else 0
+        able = [(n, c) for n, c in sizes.items() if n * den >= num * (n + 1)]
+        cost = sum(c * ((pairs(n) if n <= x else 0) + (scan(n) if n > x or n >= near else 0)) for n, c in able)
+        keys = sum(c * ((pairs(n) if n <= x else 0) + (listed(n) if n > x or n >= near else 0)) for n, c in able)
+        best = min(best, (cost, x, keys))
+    return best[1], int(best[2])
+
+
+def ell(n, boundary: int, num: int, den: int):
+    """How many lists must hold two sets, for the size of either: a share of the listed shingles, and at least 1."""
+    return np.where(n > boundary, 1 + (n - need(n, num, den) + 1) // 8, 1)
 
 
 def postings(docs: DataFrame, k: int, num: int, den: int, classes, boundary: int, buckets: int) -> DataFrame:
@@ -135,7 +145,7 @@ def postings(docs: DataFrame, k: int, num: int, den: int, classes, boundary: int
     def keys(own: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(own)
         kind = table[(own >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-        most = n - need(n, num, den) + (2 if n <= boundary else 1)
+        most = n - need(n, num, den) + (2 if n <= boundary else int(ell(n, boundary, num, den)))
         first = np.argsort((kind.astype(np.uint64) << np.uint64(56)) | (own >> np.uint64(8)), kind="stable")[:most]
         own, kind = own[first], kind[first]
         if n > boundary:
@@ -184,8 +194,8 @@ def postings(docs: DataFrame, k: int, num: int, den: int, classes, boundary: int
     return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "bucket int, blob binary")
 
 
-def candidate_edges(posted: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges (a, b) that connect all nodes which share a key and whose sizes allow a link."""
+def candidate_edges(posted: DataFrame, num: int, den: int, boundary: int) -> DataFrame:
+    """Edges (a, b) that connect all nodes which share enough keys and whose sizes allow a link."""
 
     def link(table):
         every = np.concatenate([np.frombuffer(x, POSTING) for x in table.column("blob").to_pylist()])
@@ -193,18 +203,29 @@ def candidate_edges(posted: DataFrame, num: int, den: int) -> DataFrame:
         order = np.lexsort((size, every["key"]))
         key, node, size, split = every["key"][order], every["node"][order], size[order], split[order]
         fresh = np.ones(len(key), bool)
-        same = key[1:] == key[:-1]
-        fresh[1:] = ~same | (~split[1:] & (size[:-1] * den < size[1:] * num))
+        fresh[1:] = (key[1:] != key[:-1]) | (~split[1:] & (size[:-1] * den < size[1:] * num))
         starts = np.flatnonzero(fresh)
-        lowest = np.minimum.reduceat(node, starts)
-        a, b = node, np.repeat(lowest, np.diff(np.append(starts, len(key))))
-        hubs = split[starts]
-        a = np.concatenate([a, lowest[hubs]])
-        b = np.concatenate([b, mix(key[starts][hubs] ^ np.uint64(0xA5A5A5A5A5A5A5A5)).astype(np.int64)])
-        pair = np.unique(np.stack([a, b], 1)[a != b], axis=0)
-        return pa.table({"a": pa.array(pair[:, 0]), "b": pa.array(pair[:, 1])})
-
-    return posted.groupBy("bucket").applyInArrow(link, "a long, b long")
+        length = np.diff(np.append(starts, len(key)))
+        out = []
+        for many in np.unique(length[(length > 1) & (length <= LIST)]):
+            own = starts[(length == many) & ~split[starts]]
+            i, j = np.triu_indices(many, 1)
+            x, y = (own[:, None] + i[None, :]).ravel(), (own[:, None] + j[None, :]).ravel()
+            fit = (size[x] * den >= size[y] * num) & (node[x] != node[y])
+            x, y = x[fit], y[fit]
+            least = np.minimum(ell(size[x], boundary, num, den), ell(size[y], boundary, num, den))
+            out.append(np.stack([np.maximum(node[x], node[y]), np.minimum(node[x], node[y]), least], 1))
+        pair, count = np.unique(np.concatenate(out), axis=0, return_counts=True) if out else (np.empty((0, 3), np.int64), np.empty(0, np.int64))
+        lowest, hubs = np.minimum.reduceat(node, starts), split[starts]
+        star = np.repeat(hubs | (length > LIST), length)
+        a = np.concatenate([node[star], lowest[hubs]])
+        b = np.concatenate([np.repeat(lowest, length)[star], mix(key[starts][hubs] ^ np.uint64(0xA5A5A5A5A5A5A5A5)).astype(np.int64)])
+        sure = np.unique(np.stack([a, b], 1)[a != b], axis=0)
+        columns = np.concatenate([np.column_stack([pair, count]), np.column_stack([sure, np.ones((len(sure), 2), np.int64)])])
+        return pa.table({name: pa.array(c) for name, c in zip("abln", columns.T)})
+
+    met = posted.groupBy("bucket").applyInArrow(link, "a long, b long, l long, n long")
+    return met.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("l").alias("l")).filter("n >= l").select("a", "b")
 
 
 def overlaps(sets: list[np.ndarray], columns: int = 8192) -> np.ndarray:
@@ -297,13 +318,17 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
     deals = partitions(spark)
     buckets = max(2 * deals, total // BUCKET_POSTINGS)
     handed = spark.sparkContext.broadcast(classes)
-    near = components(candidate_edges(postings(docs, k, num, den, handed, boundary, buckets), num, den))
+    near = components(candidate_edges(postings(docs, k, num, den, handed, boundary, buckets), num, den, boundary))
 
     named = stash(distinct.join(near, F.col("lo") == F.col("node")).select("rep", F.col("component").alias("comp"), "n", "hi", "lo"))
-    counts = named.groupBy("comp").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles")).filter("docs > 1")
+    weigh = lambda rows, *by: rows.groupBy(*by).agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles")).filter("docs > 1")
     parts = F.greatest(F.ceil(F.col("docs") / F.lit(UNIT_DOCS)), F.ceil(F.col("shingles") / F.lit(UNIT_SHINGLES)), F.lit(1)).cast("long")
-    counts = stash(counts.select("comp", F.least(parts, "docs").alias("parts")))
-    sized = named.join(counts, "comp").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")))
+    counts = stash(weigh(named, "comp").select("comp", (parts > 1).alias("large")))
+    grade = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(den / num) + 1e-9)).cast("long") if num < den else F.lit(0).cast("long")
+    ranges = F.when(F.col("large"), F.array(grade, grade - 1)).otherwise(F.array(F.lit(0).cast("long")))
+    ranged = stash(named.join(counts, "comp").withColumn("grade", F.explode(ranges)).select("rep", F.xxhash64("comp", "grade").alias("comp"), "n", "hi", "lo"))
+    sized = ranged.join(stash(weigh(ranged, "comp").select("comp", F.least(parts, "docs").alias("parts"))), "comp")
+    sized = sized.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")))
     texts = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     chosen = sized.join(texts, F.col("rep") == F.col("id")).select("rep", "comp", "parts", "part", "hi", "lo", "text")
     spread = with_sets(chosen, k).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
