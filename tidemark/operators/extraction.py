@@ -7,6 +7,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.urls import first_group
 
@@ -15,6 +16,7 @@ NEXT_DATA = r'(?s)<script id="__NEXT_DATA__"[^>]*>(.*?)</script>'
 NEXT_PUSH = r'(?s)self\.__next_f\.push\(\[\d+,"(.*?)"\]\)'
 #: Fixed limits of the page classifier, in characters.
 SHELL, LARGE = 5 * 1024, 20 * 1024
+TRIPLE = T.StructType([T.StructField(name, T.StringType()) for name in ("chapter", "item", "value")])
 
 
 def json_ld(html: Column) -> Column:
@@ -139,13 +141,13 @@ def parsed(html: str | None) -> _Text:
     return page
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def visible_text(html: pd.Series) -> pd.Series:
     """Text of a page without scripts and styles; unclosed tags do no harm."""
     return html.map(lambda x: " ".join(parsed(x).words))
 
 
-@F.udtf(returnType="chapter string, item string, value string")
+@F.udtf(returnType=TRIPLE)
 class SpecTriples:
     """Chapter, item and value of every row of a page's tables and definition lists."""
 
