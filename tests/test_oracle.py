@@ -10,7 +10,7 @@ from tidemark.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "decimal(18,2)": "DECIMAL(18,2)"}
+TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "decimal(18,2)": "DECIMAL(18,2)", "date": "DATE"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables are not here")
 
