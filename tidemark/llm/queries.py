@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, language_id, mixing, ngram_join, packing, secret_scan, url_filter, vector_join
+from tidemark.llm import exact_dedup, language_id, mixing, mixing_sql, ngram_join, packing, secret_scan, url_filter, vector_join
 from tidemark.llm.shared import table
 
 
@@ -56,4 +56,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing_sql.ORACLE}
