@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.urls import first_group
+from tidemark.functions.urls import clean_url, first_group, json_path, match_url
 
 LD = r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"
 NEXT_DATA = r'(?s)<script id="__NEXT_DATA__"[^>]*>(.*?)</script>'
@@ -153,3 +154,97 @@ class SpecTriples:
 
     def eval(self, html: str):
         yield from parsed(html).triples()
+
+
+def api_rows(docs: DataFrame, column: str, list_path: str, fields: dict[str, str], keep: list[str]) -> DataFrame:
+    """A row for each element of the list at a dotted path of a JSON column; fields: name and dotted path of each.
+
+    A document without that list gives no rows, so that another method can take its place.
+    """
+    items = F.from_json(F.get_json_object(column, json_path(list_path)), "array<string>")
+    found = docs.select(*keep, F.explode(items).alias("_item"))
+    return found.select(*keep, *[F.get_json_object("_item", json_path(path)).alias(name) for name, path in fields.items()])
+
+
+def first_method(methods: list[tuple[str, DataFrame]], entity: str) -> DataFrame:
+    """Rows of the first method that has any for an entity, with its name: the methods are read once, in one union."""
+    tagged = [df.select("*", F.lit(name).alias("method"), F.lit(i).alias("_rank")) for i, (name, df) in enumerate(methods)]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    best = every.groupBy(F.col(entity).alias("_e")).agg(F.min("_rank").alias("_best"))
+    return every.join(best, (F.col(entity) == F.col("_e")) & (F.col("_rank") == F.col("_best"))).drop("_e", "_best", "_rank")
+
+
+def widget_json(html: Column, attribute: str) -> Column:
+    """The JSON in an attribute of the first element that has it, entities undone."""
+    raw = first_group(html, rf"""(?s)\b{attribute}=(?:"([^"]*)"|'[^']*')""")
+    single = first_group(html, rf"""(?s)\b{attribute}='([^']*)'""")
+    plain = F.coalesce(raw, single)
+    for entity, sign in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        plain = F.replace(plain, F.lit(entity), F.lit(sign))
+    return plain
+
+
+#: Words of accessories in titles and addresses.
+ACCESSORIES = ("mount", "stand", "cable", "remote", "soporte", "control remoto", "antena", "barra de sonido")
+
+
+def tv_title(title: Column, low: int = 15, high: int = 110) -> Column:
+    """Strict: a size from ``low`` to ``high`` inches and no accessory word."""
+    clean = ~F.lower(title).rlike(r"\b(" + "|".join(ACCESSORIES) + r")")
+    sized = first_group(title, r"(?i)(\d{2,3}) ?(?:\"|”|''|inch|pulgadas|pouces)").try_cast("int")
+    return F.coalesce(clean & sized.between(low, high), F.lit(False))
+
+
+def tv_model_title(title: Column) -> Column:
+    """Lenient: something like a model number makes it a TV."""
+    return F.coalesce(title.rlike(r"\b\d{2,3}[A-Z][A-Z0-9]{2,12}\b"), F.lit(False))
+
+
+def brand_sitemap(url: Column, brand: str) -> Column:
+    """Addresses that name the brand and a tv, and no accessory."""
+    low = F.lower(url)
+    return F.contains(low, F.lit(brand.lower())) & F.contains(low, F.lit("tv")) & ~low.rlike("mount|stand|cable|remote")
+
+
+def dedupe_cards(cards: DataFrame, tag: str, css: str, text: str) -> DataFrame:
+    """One card of each tag, class and text."""
+    return cards.withColumn("_t", F.xxhash64(F.trim(F.col(text)))).dropDuplicates([tag, css, "_t"]).drop("_t")
+
+
+def next_page(numbers: Column, current: Column) -> Column:
+    """The smallest page number above the current one."""
+    return F.array_min(F.filter(numbers, lambda n: n > current))
+
+
+def merge_series(models: DataFrame, model: str, family: str, series: str, rule: Column) -> DataFrame:
+    """Models by family, else by series, else by a rule on the model: key and sorted models."""
+    key = F.coalesce(F.nullif(F.col(family), F.lit("")), F.nullif(F.col(series), F.lit("")), rule)
+    return models.groupBy(key.alias("series_key")).agg(F.sort_array(F.collect_set(model)).alias("models"))
+
+
+def join_addresses(wanted: DataFrame, pages: DataFrame, url: str, page_url: str, size: str, page_size: str) -> DataFrame:
+    """Pages of addresses, by the whole normalised address; where that finds none, by its last part and the size."""
+    left = wanted.withColumn("_u", match_url(clean_url(F.col(url))))
+    right = pages.withColumn("_u", match_url(clean_url(F.col(page_url))))
+    whole = left.join(right, "_u").withColumn("by", F.lit("address"))
+    rest = left.join(right.select("_u"), "_u", "left_anti")
+    code = lambda df: df.withColumn("_c", F.regexp_extract("_u", r"([a-z0-9]+)$", 1)).filter("_c <> ''").drop("_u")
+    part = code(rest).join(code(right), "_c").filter(F.col(size).eqNullSafe(F.col(page_size))).withColumn("by", F.lit("code"))
+    return whole.drop("_u").unionByName(part.drop("_c"))
+
+
+def dead_links(texts: DataFrame, files: DataFrame, text: str, name: str) -> DataFrame:
+    """Names of Markdown files that texts refer to and that are not there."""
+    named = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?:[a-z_]+/)?([a-z_]+\.md)"), F.lit(1)))).alias("link")).distinct()
+    return named.join(files.select(F.col(name).alias("link")), "link", "left_anti")
+
+
+#: Assumed weights of a page's score, in percent: models found, prices found, purity of the links.
+SCORE_WEIGHTS = (50, 30, 20)
+
+
+def page_score(coverage: Column, priced: Column, purity: Column) -> Column:
+    """0 to 100 from three shares; 70 passes."""
+    a, b, c = SCORE_WEIGHTS
+    one = lambda x: F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(x, F.lit(0.0))))
+    return F.floor(one(coverage) * float(a) + one(priced) * float(b) + one(purity) * float(c) + F.lit(0.5)).cast("long")

@@ -117,19 +117,20 @@ def passages_in(passages: DataFrame, docs: DataFrame, widths: tuple[int, ...] =
     """item_id and doc_id where a document contains a passage character for character.
 
     A passage's key is what follows its first inner word start, and stands at a word start of every document that
-    contains it. Keys meet the documents' own runs of that width by an equi-join, and the passage is then compared.
-    Passages too short for one width use the next; one without an inner word start is not searched for.
+    contains it. Keys meet the documents' own runs of that width by an equi-join that carries ids alone; the texts of
+    the few pairs that meet are then compared. Passages too short for one width use the next; one without an inner
+    word start is not searched for.
     """
     start = r"(?<![A-Za-z0-9])"
-    left, out = passages.select("item_id", F.col("text").alias("passage")), None
+    left, met = passages.select("item_id", F.col("text").alias("passage")), None
     for width in widths:
         keyed = left.withColumn("k", F.regexp_extract("passage", rf"(?s)^.+?{start}(.{{{width}}})", 1))
         left = keyed.filter("k = ''").drop("k")
         runs = F.array_distinct(F.regexp_extract_all("text", F.lit(rf"(?s){start}(?=(.{{{width}}}))"), F.lit(1)))
-        found = docs.select("doc_id", "text", F.explode(runs).alias("k")).join(keyed.filter("k <> ''"), "k")
-        found = found.filter(F.contains("text", F.col("passage"))).select("item_id", "doc_id")
-        out = found if out is None else out.unionByName(found)
-    return out.distinct()
+        found = docs.select("doc_id", F.explode(runs).alias("k")).join(keyed.filter("k <> ''"), "k").select("doc_id", "item_id", "passage")
+        met = found if met is None else met.unionByName(found)
+    both = met.distinct().join(docs.select("doc_id", "text"), "doc_id")
+    return both.filter(F.contains("text", F.col("passage"))).select("item_id", "doc_id").distinct()
 
 
 def outcome(candidates: Column, blocked: Column, least: int = 1) -> Column:
