@@ -144,3 +144,16 @@ def test_weeks(spark):
 
     df = spark.createDataFrame([(dt.date(2024, 12, 30),), (dt.date(2021, 1, 3),)], "d date")
     assert [r[0] for r in df.select(iso_week(F.col("d"))).collect()] == ["2025-W01", "2020-W53"]
+
+
+def test_rows_are_numbered_in_order(spark):
+    import random
+
+    from tidemark.operators.ranking import number_rows
+
+    rng = random.Random(1)
+    values = [(i, rng.choice([None, 1, 1, 1, 5, 9, rng.randrange(1000)])) for i in range(500)]
+    got = number_rows(spark.createDataFrame(values, "id int, v int"), F.col("v"), [F.col("v").asc_nulls_first(), "id"], buckets=7).collect()
+    want = sorted(values, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    assert [r["id"] for r in sorted(got, key=lambda r: r["n"])] == [i for i, _ in want] and sorted(r["n"] for r in got) == list(range(1, 501))
+    assert number_rows(spark.createDataFrame([], "id int, v int"), F.col("v"), ["v", "id"]).count() == 0

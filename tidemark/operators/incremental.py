@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranking import number_rows
+
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key by ``order``, which should be unique within a key."""
@@ -19,17 +21,10 @@ def insert_or_ignore(target: DataFrame, incoming: DataFrame, keys: list[str], or
 
 
 def append_with_new_ids(target: DataFrame, incoming: DataFrame, id_column: str, order: list[str], buckets: int = 64) -> DataFrame:
-    """target and the incoming rows under ids from max(id) + 1 on, in ``order``; old_id keeps what they had.
-
-    Rows are numbered within ranges of the order, and ranges by the rows before them, so no task sorts all.
-    """
-    ranged = incoming.repartitionByRange(buckets, *order).withColumn("_p", F.spark_partition_id())
-    numbered = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(order)))
-    before = numbered.groupBy("_p").agg(F.count(F.lit(1)).alias("_c"))
-    before = before.withColumn("_b", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")
+    """target and the incoming rows under ids from max(id) + 1 on, in ``order`` (a number first); old_id keeps theirs."""
     top = target.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_top"))
-    moved = numbered.join(F.broadcast(before), "_p").crossJoin(F.broadcast(top))
-    moved = moved.withColumn("old_id", F.col(id_column)).withColumn(id_column, (F.col("_top") + F.col("_b") + F.col("_n")).cast(target.schema[id_column].dataType))
+    moved = number_rows(incoming, F.col(order[0]), [F.col(c).asc_nulls_first() for c in order], "_n", buckets).crossJoin(F.broadcast(top))
+    moved = moved.withColumn("old_id", F.col(id_column)).withColumn(id_column, (F.col("_top") + F.col("_n")).cast(target.schema[id_column].dataType))
     return target.withColumn("old_id", F.col(id_column)).unionByName(moved.select(*target.columns, "old_id"))
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import urls
 from tidemark.operators import extraction, matching
+from tidemark.operators.ranking import number_rows
 from tidemark.plans.catalog import query
 from tidemark.plans.prices import SHARE, share
 from tidemark.sources.tables import load
@@ -44,7 +45,7 @@ def purity_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     distinct = load(spark, sf_dir, "pages").select(urls.host(F.col("url")).alias("host"), "url").distinct()
     good = F.count_if(urls.last_segment(F.col("url")).rlike("[0-9]{2}"))
     ranked = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("hits"), share(good, F.count(F.lit(1))).alias("purity"))
-    return ranked.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("purity"), F.desc("hits"), "host")).cast("long"))
+    return number_rows(ranked, -F.col("purity"), [F.desc("purity"), F.desc("hits"), "host"], "rank")
 
 
 @query(f"""
