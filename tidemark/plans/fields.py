@@ -111,3 +111,72 @@ def title_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of a title that could be model numbers."""
     cases = rows(spark, "title string", ("Smart TV HISENSE 55A6N-PRO 4K UHD",), ("Televisor LED",))
     return cases.select("title", F.array_join(urls.model_words(F.col("title"), ["SMART", "HISENSE"]), ",").alias("words"))
+
+
+@query("""
+SELECT CAST(id AS BIGINT) AS id, size, has_chapters, title, stock, currency, models, text, CAST(saved AS BIGINT) AS saved FROM (VALUES
+  (0, '65', true, 'TV', true, 'EUR', '55U78SG,55U7SG', '{"a":1}', 3424), (1, NULL, false, 'Name', NULL, NULL, '65U8N', 'x', 0)) t(id, size, has_chapters, title, stock, currency, models, text, saved)
+""")
+def nested_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookups in maps, lists and documents."""
+    from tidemark.functions import nested
+
+    cases = rows(
+        spark, "id long, kv map<string,string>, doc string, availability string, code string, head array<string>, body array<string>, b64 string, old double, new double",
+        (0, None, '{"chapters":[],"name":"TV"}', "https://schema.org/InStock", " eur ", ["55U78SG"], ["55U7SG", "65U7SG", "55X"], "eyJhIjoxfQ==", 2050.0, 1348.0),
+        (1, None, '{"title":"Name"', "soon", "price", ["65U8N"], [], "eA==", 5.0, 5.0),
+    )
+    cases = cases.withColumn("kv", F.when(F.col("id") == 0, F.create_map(F.lit("Screen size"), F.lit("65"), F.lit("Weight"), F.lit("9"))))
+    doc = F.when(F.col("id") == 1, F.concat("doc", F.lit("}"))).otherwise(F.col("doc"))
+    return cases.select(
+        "id", nested.kv_lookup(F.col("kv"), "pantalla|size").alias("size"), nested.has_path(F.col("doc"), "chapters").alias("has_chapters"),
+        nested.any_path(doc, "name", "title").alias("title"), nested.in_stock(F.col("availability")).alias("stock"), nested.known_currency(F.col("code")).alias("currency"),
+        F.array_join(nested.own_models(F.col("head"), F.col("body")), ",").alias("models"), nested.decoded(F.col("b64")).alias("text"),
+        nested.saved_share(F.col("old"), F.col("new")).alias("saved"),
+    )
+
+
+@query("""
+SELECT o_orderstatus AS status, count(*) AS orders, CAST(GROUPING(o_orderstatus) AS BIGINT) AS total, count(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) AS urgent
+FROM orders GROUP BY ROLLUP (o_orderstatus)
+""")
+def progress_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by state, with the total of all states."""
+    from tidemark.sources.tables import load
+
+    return (
+        load(spark, sf_dir, "orders")
+        .withColumnRenamed("o_orderstatus", "status")
+        .rollup("status")
+        .agg(F.count(F.lit(1)).alias("orders"), F.grouping("status").cast("long").alias("total"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("urgent"))
+    )
+
+
+@query("""
+SELECT source, lang, count(*) AS documents, count(l.doc_id) AS labelled, CAST(floor(CAST(count(l.doc_id) AS DOUBLE) / CAST(count(*) AS DOUBLE) * CAST(10000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT) AS share
+FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id GROUP BY source, lang
+""")
+def label_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of labelled documents by source and language."""
+    from tidemark.plans.prices import share
+    from tidemark.sources.tables import load
+
+    labels = load(spark, sf_dir, "labels").select(F.col("doc_id").alias("l_id")).distinct()
+    both = load(spark, sf_dir, "documents").select("doc_id", "source", "lang").join(labels, F.col("doc_id") == F.col("l_id"), "left")
+    n = F.count(F.lit(1))
+    return both.groupBy("source", "lang").agg(n.alias("documents"), F.count("l_id").alias("labelled"), share(F.count("l_id"), n).alias("share"))
+
+
+@query("""
+SELECT quality, count(*) AS total, count(CASE WHEN toxic = 1 THEN 1 END) AS toxic, CAST(floor(CAST(sum(n_chars) AS DOUBLE) / CAST(count(*) AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT) AS mean_chars
+FROM labels JOIN documents ON labels.doc_id = documents.doc_id GROUP BY quality
+""")
+def rating_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents by rating, with a conditional count and a mean."""
+    from tidemark.functions.money import half_up
+    from tidemark.sources.tables import load
+
+    docs = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("d_id"), "n_chars")
+    both = load(spark, sf_dir, "labels").join(docs, F.col("doc_id") == F.col("d_id"))
+    mean = half_up(F.sum("n_chars").cast("double") / F.count(F.lit(1)).cast("double"))
+    return both.groupBy("quality").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("toxic") == 1).alias("toxic"), mean.alias("mean_chars"))
