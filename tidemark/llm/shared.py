@@ -34,13 +34,27 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+#: Folders that stash() has written in this process.
+_written: list[str] = []
+
+
 def stash(df: DataFrame) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: it is computed once, and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> int:
+    """Deletes what stash() has written in this process, once no result that reads it is needed; returns how many."""
+    n = len(_written)
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
