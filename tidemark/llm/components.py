@@ -18,7 +18,7 @@ def _starred(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = stash(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    large = stash(large.filter("a <> b").distinct())
+    large = stash(large.filter("a <> b"))
     lowest = stash(large.groupBy("a").agg(F.min("b").alias("m")))
     small = large.join(lowest, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
     return stash(small.select("e.a", "e.b").filter("a <> b").distinct())

@@ -13,9 +13,12 @@ The order is by frequency class, rarest first, then by hash. Frequencies come fr
 whose size is fixed (CELLS); a coarse or wrong class costs time, never a link. A list of up to LIST documents gives
 pairs, whose counts are summed over all lists. The documents of a longer list are chained through its smallest node,
 an edge a document, so no list gives a square of rows; lists that the sketch calls frequent are dealt over several
-tasks and meet in a node of their own. The components of this candidate graph, the larger ones by size range as well,
-are cut into units of bounded size, in which every pair is verified by exact intersection counts (a matrix product).
-Equal sets count as one node throughout and are never paired.
+tasks and meet in a node of their own. Equal sets count as one node throughout and are never paired.
+
+The components of this candidate graph, the larger ones by size range as well, are *blocks*. A block that fits a unit
+is verified there, every pair by exact intersection counts (a matrix product). A larger one is cut into parts, and all
+its documents first meet LEADERS of them, which takes rows in proportion to the block. Most members of a large group
+of near copies are then in one component, and only pairs with one of the others are left: these meet part by part.
 
 Defined results: null, empty or word-free texts have the empty set, link with nothing and are their own component;
 repeated rows are equal documents; an empty table gives no rows. A set is held whole by a task, a group of sets never.
@@ -41,6 +44,10 @@ CELL_BITS, BLOCK_BITS = 22, 14
 SPLIT_CLASS = 12
 #: Most documents and shingles in one part of a unit; a unit has two parts.
 UNIT_DOCS, UNIT_SHINGLES = 128, 200_000
+#: Documents of a large block that all others of it meet first.
+LEADERS = 16
+#: Pairs of lists that a task holds before it adds them up.
+PAIRS = 250_000
 #: Longest list that gives pairs, and what a shared key costs in keys.
 LIST, SHARED_COST = 64, 16
 #: Postings in one task of the key stage, about.
@@ -71,7 +78,7 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, waiting, held, seen = np.zeros(1 << CELL_BITS, np.uint32), [], 0, set()
+        cells, seen = np.zeros(1 << CELL_BITS, np.uint32), set()
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), []
             for start, data, bounds in chunks(batch.column(1)):
@@ -80,19 +87,13 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
                     out.append((ids[i], len(own), hi, lo))
                     if len(own) and (hi, lo) not in seen:
                         seen.add((hi, lo))
-                        waiting.append((own >> np.uint64(64 - CELL_BITS)).astype(np.int64))
-                        held += len(own)
-                if held > 1 << CELL_BITS:
-                    cells += np.bincount(np.concatenate(waiting), minlength=len(cells)).astype(np.uint32)
-                    waiting, held = [], 0
+                        np.add.at(cells, (own >> np.uint64(64 - CELL_BITS)).astype(np.int64), np.uint32(1))
             none = [None] * len(out)
             yield rows([*(zip(*out) if out else [[]] * 4), none, none, none])
-        for own in waiting:
-            np.add.at(cells, own, np.uint32(1))
-        blocks = cells.reshape(-1, 1 << BLOCK_BITS)
-        used = [(b, np.flatnonzero(x).astype(np.uint16), x) for b, x in enumerate(blocks) if x.any()]
-        none = [None] * len(used)
-        yield rows([none, none, none, none, [b for b, _, _ in used], [i.tobytes() for _, i, _ in used], [x[i].tobytes() for _, i, x in used]])
+        for b, block in enumerate(cells.reshape(-1, 1 << BLOCK_BITS)):
+            used = np.flatnonzero(block).astype(np.uint16)
+            if len(used):
+                yield rows([[None]] * 4 + [[b], [used.tobytes()], [block[used].tobytes()]])
 
     clean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return clean.mapInArrow(run, PROFILE)
@@ -194,6 +195,15 @@ def postings(docs: DataFrame, k: int, num: int, den: int, classes, boundary: int
     return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "bucket int, blob binary")
 
 
+def summed(pairs: np.ndarray) -> np.ndarray:
+    """Rows a, b, l and n with each pair once and its n added up."""
+    pairs = pairs[:, np.lexsort(pairs[1::-1])]
+    if not pairs.shape[1]:
+        return pairs
+    fresh = np.flatnonzero(np.append(True, np.any(pairs[:2, 1:] != pairs[:2, :-1], axis=0)))
+    return np.concatenate([pairs[:3, fresh], np.add.reduceat(pairs[3], fresh)[None, :]])
+
+
 def candidate_edges(posted: DataFrame, num: int, den: int, boundary: int) -> DataFrame:
     """Edges (a, b) that connect all nodes which share enough keys and whose sizes allow a link."""
 
@@ -206,23 +216,28 @@ def candidate_edges(posted: DataFrame, num: int, den: int, boundary: int) -> Dat
         fresh[1:] = (key[1:] != key[:-1]) | (~split[1:] & (size[:-1] * den < size[1:] * num))
         starts = np.flatnonzero(fresh)
         length = np.diff(np.append(starts, len(key)))
-        out = []
+        out, waiting = [], 0
         for many in np.unique(length[(length > 1) & (length <= LIST)]):
-            own = starts[(length == many) & ~split[starts]]
+            every = starts[(length == many) & ~split[starts]]
             i, j = np.triu_indices(many, 1)
-            x, y = (own[:, None] + i[None, :]).ravel(), (own[:, None] + j[None, :]).ravel()
-            fit = (size[x] * den >= size[y] * num) & (node[x] != node[y])
-            x, y = x[fit], y[fit]
-            least = np.minimum(ell(size[x], boundary, num, den), ell(size[y], boundary, num, den))
-            out.append(np.stack([np.maximum(node[x], node[y]), np.minimum(node[x], node[y]), least], 1))
-        pair, count = np.unique(np.concatenate(out), axis=0, return_counts=True) if out else (np.empty((0, 3), np.int64), np.empty(0, np.int64))
+            for own in np.array_split(every, -(-len(every) * len(i) // PAIRS)) if len(every) else []:
+                x, y = (own[:, None] + i[None, :]).ravel(), (own[:, None] + j[None, :]).ravel()
+                fit = (size[x] * den >= size[y] * num) & (node[x] != node[y])
+                x, y = x[fit], y[fit]
+                least = np.minimum(ell(size[x], boundary, num, den), ell(size[y], boundary, num, den))
+                out.append(np.stack([np.maximum(node[x], node[y]), np.minimum(node[x], node[y]), least, np.ones(len(x), np.int64)]))
+                waiting += len(x)
+                if waiting > 2 * PAIRS:
+                    out = [summed(np.concatenate(out, 1))]
+                    waiting = 0
+        pair = summed(np.concatenate(out, 1)) if out else np.empty((4, 0), np.int64)
         lowest, hubs = np.minimum.reduceat(node, starts), split[starts]
         star = np.repeat(hubs | (length > LIST), length)
         a = np.concatenate([node[star], lowest[hubs]])
         b = np.concatenate([np.repeat(lowest, length)[star], mix(key[starts][hubs] ^ np.uint64(0xA5A5A5A5A5A5A5A5)).astype(np.int64)])
         sure = np.unique(np.stack([a, b], 1)[a != b], axis=0)
-        columns = np.concatenate([np.column_stack([pair, count]), np.column_stack([sure, np.ones((len(sure), 2), np.int64)])])
-        return pa.table({name: pa.array(c) for name, c in zip("abln", columns.T)})
+        every = np.concatenate([pair, np.stack([sure[:, 0], sure[:, 1], np.ones(len(sure), np.int64), np.ones(len(sure), np.int64)])], 1)
+        return pa.table({name: pa.array(c) for name, c in zip("abln", every)})
 
     met = posted.groupBy("bucket").applyInArrow(link, "a long, b long, l long, n long")
     return met.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("l").alias("l")).filter("n >= l").select("a", "b")
@@ -265,12 +280,15 @@ def forest(names: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[list[int],
 
 
 def verified_links(units: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges that connect the documents of a unit which are similar; units: deal, comp, i, j, rep, shingles."""
+    """Edges that connect the similar documents of a unit; units: deal, block, kind, i, j, side, rep, shingles.
+
+    Documents of side 0 meet those of side 1, or each other where the unit has one side.
+    """
 
     def check(table):
-        rep, names = table.column("rep").to_numpy(), [table.column(c).to_numpy() for c in ("comp", "i", "j")]
+        rep, side, names = table.column("rep").to_numpy(), table.column("side").to_numpy(), [table.column(c).to_numpy() for c in ("block", "kind", "i", "j")]
         sets = [np.frombuffer(x, "<u8") for x in table.column("shingles").to_pylist()]
-        order = np.lexsort((rep, *names[::-1]))
+        order = np.lexsort((rep, side, *names[::-1]))
         change = np.any([x[order][1:] != x[order][:-1] for x in names], axis=0)
         out_a, out_b = [], []
         for part in np.split(order, np.flatnonzero(change) + 1):
@@ -279,8 +297,10 @@ def verified_links(units: DataFrame, num: int, den: int) -> DataFrame:
             own = [sets[i] for i in part]
             size = np.array([len(x) for x in own])
             both = overlaps(own)
-            a, b = np.nonzero(np.triu(den * both >= num * (size[:, None] + size[None, :] - both), 1))
-            x, y = forest(rep[part], a, b)
+            near = np.triu(den * both >= num * (size[:, None] + size[None, :] - both), 1)
+            if side[part].min() != side[part].max():
+                near &= side[part][:, None] != side[part][None, :]
+            x, y = forest(rep[part], *np.nonzero(near))
             out_a += x
             out_b += y
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
@@ -288,19 +308,71 @@ def verified_links(units: DataFrame, num: int, den: int) -> DataFrame:
     return units.groupBy("deal").applyInArrow(check, "a long, b long")
 
 
-def with_sets(found: DataFrame, k: int) -> DataFrame:
-    """rep, comp, parts, part and the set's bytes of rows rep, comp, parts, part, hi, lo, text whose set has that fingerprint."""
+def with_sets(rows: DataFrame, k: int) -> DataFrame:
+    """Rows rep, places, hi, lo, text with the set's bytes in place of the last three, where it has that fingerprint."""
+    schema = f"rep long, places {rows.schema['places'].dataType.simpleString()}, shingles binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hi, lo, text = (batch.column(i) for i in (4, 5, 6))
+            hi, lo, text = (batch.column(i) for i in (2, 3, 4))
             for start, data, bounds in chunks(text):
                 sets = shingle_sets(data, bounds, k)
                 keep = [i for i, own in enumerate(sets) if fingerprint(own) == (hi[start + i].as_py(), lo[start + i].as_py())]
                 rows = batch.slice(start, len(sets)).take(pa.array(keep, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*rows.columns[:4], pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=["rep", "comp", "parts", "part", "shingles"])
+                yield pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=["rep", "places", "shingles"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def _place(kind: int, i, j, side):
+    """Where a document goes: a struct of unit and side."""
+    long = lambda x: (F.lit(x) if isinstance(x, int) else x).cast("long")
+    return F.struct(F.col("block"), long(kind).alias("kind"), long(i).alias("i"), long(j).alias("j"), long(side).alias("side"))
+
+
+def _upto(n):
+    return F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array().cast("array<long>"))
+
+
+def links_at(places: DataFrame, picked: DataFrame, k: int, num: int, den: int, deals: int) -> DataFrame:
+    """Edges between the documents that meet at places; places: rep, p (arrays of ``_place``)."""
+    own = places.filter(F.size("p") > 0).groupBy("rep").agg(F.flatten(F.collect_list("p")).alias("places"))
+    found = stash(own).hint("merge").join(picked.hint("merge"), F.col("rep") == F.col("id")).select("rep", "places", "hi", "lo", "text")
+    spread = with_sets(found, k).select("rep", F.explode("places").alias("u"), "shingles").select("rep", "u.*", "shingles")
+    return verified_links(spread.select(F.pmod(F.xxhash64("block", "kind", "i", "j"), F.lit(deals)).alias("deal"), "*"), num, den)
 
-    return found.mapInArrow(run, "rep long, comp long, parts long, part long, shingles binary")
+
+def block_links(named: DataFrame, picked: DataFrame, k: int, num: int, den: int, deals: int) -> DataFrame:
+    """Edges that connect the similar documents of each component; named: rep, comp, n; picked: id, hi, lo, text."""
+    weigh = lambda rows, *by: rows.groupBy(*by).agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles")).filter("docs > 1")
+    parts = F.greatest(F.ceil(F.col("docs") / F.lit(UNIT_DOCS)), F.ceil(F.col("shingles") / F.lit(UNIT_SHINGLES)), F.lit(1)).cast("long")
+    counts = stash(weigh(named, "comp").select("comp", (parts > 1).alias("large")))
+    grade = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(den / num) + 1e-9)).cast("long") if num < den else F.lit(0).cast("long")
+    ranges = F.when(F.col("large"), F.array(grade, grade - 1)).otherwise(F.array(F.lit(0).cast("long")))
+    ranged = stash(named.join(counts, "comp").withColumn("grade", F.explode(ranges)).select("rep", F.xxhash64("comp", "grade").alias("block"), "n"))
+    sizes = stash(weigh(ranged, "block").select("block", F.least(parts, "docs").alias("parts")))
+    blocks = stash(ranged.join(sizes, "block").select("rep", "block", "parts", F.pmod(F.xxhash64("rep"), F.col("parts")).alias("part")))
+
+    large = blocks.filter("parts > 1")
+    slot, at = F.pmod(F.xxhash64("rep", F.lit(1)), F.lit(LEADERS)), F.xxhash64("rep", F.lit(2))
+    leaders = large.groupBy("block", "parts", slot.alias("slot")).agg(F.min_by("rep", at).alias("rep"))
+    to_all = leaders.select("rep", F.transform(_upto(F.col("parts")), lambda i: _place(1, i, 0, 1)).alias("p"))
+    first = blocks.select("rep", F.when(F.col("parts") > 1, F.array(_place(1, F.col("part"), 0, 0))).otherwise(F.array(_place(0, 0, 0, 0))).alias("p"))
+    linked = stash(links_at(first.unionByName(to_all), picked, k, num, den, deals))
+
+    roots = components(linked).withColumnsRenamed({"node": "of", "component": "root"})
+    rooted = stash(large.join(roots, F.col("rep") == F.col("of"), "left").select("rep", "block", "parts", "part", F.coalesce("root", "rep").alias("root")))
+    main = rooted.groupBy("block", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("block").agg(F.max_by("root", F.struct("c", "root")).alias("main"), (F.sum("c") - F.max("c")).alias("others"))
+    main = stash(main.filter("others > 0").select(F.col("block").alias("b"), "main", F.ceil(F.col("others") / F.lit(UNIT_DOCS)).cast("long").alias("other_parts")))
+    left = rooted.join(main, F.col("block") == F.col("b"))
+    mine = F.pmod(F.xxhash64("rep", F.lit(3)), F.col("other_parts"))
+    rest = F.concat(
+        F.transform(_upto(F.col("parts")), lambda i: _place(2, i, mine, 1)),
+        F.transform(_upto(F.col("other_parts")), lambda j: _place(3, F.least(mine, j), F.greatest(mine, j), F.when(mine > j, 1).otherwise(0))),
+    )
+    settled = F.transform(_upto(F.col("other_parts")), lambda j: _place(2, F.col("part"), j, 0))
+    second = left.select("rep", F.when(F.col("root") == F.col("main"), settled).otherwise(rest).alias("p"))
+    return linked.unionByName(links_at(second, picked, k, num, den, deals))
 
 
 def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -321,20 +393,11 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
     near = components(candidate_edges(postings(docs, k, num, den, handed, boundary, buckets), num, den, boundary))
 
     named = stash(distinct.join(near, F.col("lo") == F.col("node")).select("rep", F.col("component").alias("comp"), "n", "hi", "lo"))
-    weigh = lambda rows, *by: rows.groupBy(*by).agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles")).filter("docs > 1")
-    parts = F.greatest(F.ceil(F.col("docs") / F.lit(UNIT_DOCS)), F.ceil(F.col("shingles") / F.lit(UNIT_SHINGLES)), F.lit(1)).cast("long")
-    counts = stash(weigh(named, "comp").select("comp", (parts > 1).alias("large")))
-    grade = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(den / num) + 1e-9)).cast("long") if num < den else F.lit(0).cast("long")
-    ranges = F.when(F.col("large"), F.array(grade, grade - 1)).otherwise(F.array(F.lit(0).cast("long")))
-    ranged = stash(named.join(counts, "comp").withColumn("grade", F.explode(ranges)).select("rep", F.xxhash64("comp", "grade").alias("comp"), "n", "hi", "lo"))
-    sized = ranged.join(stash(weigh(ranged, "comp").select("comp", F.least(parts, "docs").alias("parts"))), "comp")
-    sized = sized.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")))
     texts = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    chosen = sized.join(texts, F.col("rep") == F.col("id")).select("rep", "comp", "parts", "part", "hi", "lo", "text")
-    spread = with_sets(chosen, k).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    units = spread.select("comp", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rep", "shingles")
-    deal = F.pmod(F.xxhash64("comp", "i", "j"), F.lit(max(4 * deals, sum(n * c for n, c in sizes.items()) // (20 * UNIT_SHINGLES)))).alias("deal")
-    links = components(verified_links(units.select(deal, "*"), num, den))
+    picked = texts.hint("merge").join(named.select("rep", "hi", "lo").hint("merge"), F.col("rep") == F.col("id"))
+    picked = stash(picked.select("id", "hi", "lo", "text"))
+    deal = max(4 * deals, sum(n * c for n, c in sizes.items()) // (20 * UNIT_SHINGLES))
+    links = components(block_links(named.select("rep", "comp", "n"), picked, k, num, den, deal))
 
     labelled = stash(
         distinct.join(links, F.col("rep") == F.col("node"), "left").select("hi", "lo", F.col("n").alias("size"), F.coalesce("component", "rep").alias("component_id"))
