@@ -255,7 +255,7 @@ def brute_sets(texts, k):
 @pytest.mark.parametrize("k, num, den, tight", [(4, 85, 100, False), (4, 85, 100, True), (5, 80, 100, True)])
 def test_ngram_join(spark, monkeypatch, k, num, den, tight):
     if tight:
-        for name, value in {"UNIT_DOCS": 3, "UNIT_SHINGLES": 300, "LIST": 3, "SPLIT_CLASS": 2, "LEADERS": 2, "SHARED_COST": 5000, "CELL_BITS": 14, "BLOCK_BITS": 10}.items():
+        for name, value in {"UNIT_DOCS": 3, "UNIT_SHINGLES": 300, "LIST": 3, "SPLIT_CLASS": 2, "LEADERS": 2, "FAN": 2, "SHARED_COST": 5000, "CELL_BITS": 14, "BLOCK_BITS": 10}.items():
             monkeypatch.setattr(ngram_join, name, value)
     texts = near_copies()
     sets = brute_sets(texts, k)

@@ -40,10 +40,12 @@ from tidemark.llm.shingles import chunks, mix, shingle_sets
 
 #: Cells of the count sketch (4 bytes each while counting, 1 byte when broadcast) and cells in one of its blocks.
 CELL_BITS, BLOCK_BITS = 22, 14
+#: Blocks of sketches that are added up at a time, about.
+FAN = 256
 #: Keys with about this many documents or more are dealt over several tasks: a power of two.
 SPLIT_CLASS = 12
 #: Most documents and shingles in one part of a unit; a unit has two parts.
-UNIT_DOCS, UNIT_SHINGLES = 128, 200_000
+UNIT_DOCS, UNIT_SHINGLES = 64, 200_000
 #: Documents of a large block that all others of it meet first.
 LEADERS = 16
 #: Pairs of lists that a task holds before it adds them up.
@@ -100,19 +102,36 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
 
 
 def sketch_classes(profiled: DataFrame) -> tuple[np.ndarray, float]:
-    """Bit length of each cell's count (1 MB for each million cells), and the share of occurrences in full cells."""
+    """Bit length of each cell's count (1 MB for each million cells), and the share of occurrences in full cells.
+
+    The tasks' sketches are added up block by block, FAN of them at a time, so that no task holds more at once.
+    """
     width = 1 << BLOCK_BITS
 
-    def add(key, table):
-        total = np.zeros(width, np.uint64)
+    def total(table) -> np.ndarray:
+        out = np.zeros(width, np.uint64)
         for at, counts in zip(table.column("cells").to_pylist(), table.column("counts").to_pylist()):
-            total[np.frombuffer(at, np.uint16)] += np.frombuffer(counts, np.uint32)
-        classes = np.frexp(total.astype(np.float64))[1].astype(np.uint8)
-        full = total[total > 2 * total.mean() + 1].sum()
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "classes": pa.array([classes.tobytes()]), "n": pa.array([float(total.sum())]), "full": pa.array([float(full)])})
+            out[np.frombuffer(at, np.uint16)] += np.frombuffer(counts, np.uint32)
+        return out
 
-    blocks = profiled.filter("block is not null").select("block", "cells", "counts").groupBy("block")
-    found = blocks.applyInArrow(add, "block int, classes binary, n double, full double").collect()
+    def add(key, table):
+        cells = total(table)
+        used = np.flatnonzero(cells).astype(np.uint16)
+        counts = np.minimum(cells[used], 0xFFFFFFFF).astype(np.uint32)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([used.tobytes()]), "counts": pa.array([counts.tobytes()])})
+
+    def finish(key, table):
+        cells = total(table)
+        classes = np.frexp(cells.astype(np.float64))[1].astype(np.uint8)
+        full = cells[cells > 2 * cells.mean() + 1].sum()
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "classes": pa.array([classes.tobytes()]), "n": pa.array([float(cells.sum())]), "full": pa.array([float(full)])})
+
+    blocks = profiled.filter("block is not null").select("block", "cells", "counts")
+    most = blocks.groupBy("block").count().agg(F.max("count")).first()[0] or 0
+    while most > FAN:
+        most = -(-most // FAN)
+        blocks = stash(blocks.groupBy("block", F.pmod(F.xxhash64("cells", "counts"), F.lit(most)).alias("turn")).applyInArrow(add, "block int, cells binary, counts binary"))
+    found = blocks.groupBy("block").applyInArrow(finish, "block int, classes binary, n double, full double").collect()
     classes = np.zeros((1 << (CELL_BITS - BLOCK_BITS), width), np.uint8)
     for row in found:
         classes[row["block"]] = np.frombuffer(row["classes"], np.uint8)
@@ -337,13 +356,13 @@ def _upto(n):
 def links_at(places: DataFrame, picked: DataFrame, k: int, num: int, den: int, deals: int) -> DataFrame:
     """Edges between the documents that meet at places; places: rep, p (arrays of ``_place``)."""
     own = places.filter(F.size("p") > 0).groupBy("rep").agg(F.flatten(F.collect_list("p")).alias("places"))
-    found = stash(own).hint("merge").join(picked.hint("merge"), F.col("rep") == F.col("id")).select("rep", "places", "hi", "lo", "text")
+    found = own.hint("merge").join(picked.hint("merge"), F.col("rep") == F.col("id")).select("rep", "places", "hi", "lo", "text")
     spread = with_sets(found, k).select("rep", F.explode("places").alias("u"), "shingles").select("rep", "u.*", "shingles")
     return verified_links(spread.select(F.pmod(F.xxhash64("block", "kind", "i", "j"), F.lit(deals)).alias("deal"), "*"), num, den)
 
 
-def block_links(named: DataFrame, picked: DataFrame, k: int, num: int, den: int, deals: int) -> DataFrame:
-    """Edges that connect the similar documents of each component; named: rep, comp, n; picked: id, hi, lo, text."""
+def linked_groups(named: DataFrame, picked: DataFrame, k: int, num: int, den: int, deals: int) -> DataFrame:
+    """node and component of documents with a similar one; named: rep, comp, n; picked: id, hi, lo, text."""
     weigh = lambda rows, *by: rows.groupBy(*by).agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles")).filter("docs > 1")
     parts = F.greatest(F.ceil(F.col("docs") / F.lit(UNIT_DOCS)), F.ceil(F.col("shingles") / F.lit(UNIT_SHINGLES)), F.lit(1)).cast("long")
     counts = stash(weigh(named, "comp").select("comp", (parts > 1).alias("large")))
@@ -358,12 +377,14 @@ def block_links(named: DataFrame, picked: DataFrame, k: int, num: int, den: int,
     leaders = large.groupBy("block", "parts", slot.alias("slot")).agg(F.min_by("rep", at).alias("rep"))
     to_all = leaders.select("rep", F.transform(_upto(F.col("parts")), lambda i: _place(1, i, 0, 1)).alias("p"))
     first = blocks.select("rep", F.when(F.col("parts") > 1, F.array(_place(1, F.col("part"), 0, 0))).otherwise(F.array(_place(0, 0, 0, 0))).alias("p"))
-    linked = stash(links_at(first.unionByName(to_all), picked, k, num, den, deals))
+    groups = stash(components(links_at(first.unionByName(to_all), picked, k, num, den, deals)))
 
-    roots = components(linked).withColumnsRenamed({"node": "of", "component": "root"})
+    roots = groups.withColumnsRenamed({"node": "of", "component": "root"})
     rooted = stash(large.join(roots, F.col("rep") == F.col("of"), "left").select("rep", "block", "parts", "part", F.coalesce("root", "rep").alias("root")))
     main = rooted.groupBy("block", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("block").agg(F.max_by("root", F.struct("c", "root")).alias("main"), (F.sum("c") - F.max("c")).alias("others"))
     main = stash(main.filter("others > 0").select(F.col("block").alias("b"), "main", F.ceil(F.col("others") / F.lit(UNIT_DOCS)).cast("long").alias("other_parts")))
+    if main.isEmpty():
+        return groups
     left = rooted.join(main, F.col("block") == F.col("b"))
     mine = F.pmod(F.xxhash64("rep", F.lit(3)), F.col("other_parts"))
     rest = F.concat(
@@ -372,7 +393,8 @@ def block_links(named: DataFrame, picked: DataFrame, k: int, num: int, den: int,
     )
     settled = F.transform(_upto(F.col("other_parts")), lambda j: _place(2, F.col("part"), j, 0))
     second = left.select("rep", F.when(F.col("root") == F.col("main"), settled).otherwise(rest).alias("p"))
-    return linked.unionByName(links_at(second, picked, k, num, den, deals))
+    more = links_at(second, picked, k, num, den, deals)
+    return components(more.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
 def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -397,7 +419,7 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
     picked = texts.hint("merge").join(named.select("rep", "hi", "lo").hint("merge"), F.col("rep") == F.col("id"))
     picked = stash(picked.select("id", "hi", "lo", "text"))
     deal = max(4 * deals, sum(n * c for n, c in sizes.items()) // (20 * UNIT_SHINGLES))
-    links = components(block_links(named.select("rep", "comp", "n"), picked, k, num, den, deal))
+    links = linked_groups(named.select("rep", "comp", "n"), picked, k, num, den, deal)
 
     labelled = stash(
         distinct.join(links, F.col("rep") == F.col("node"), "left").select("hi", "lo", F.col("n").alias("size"), F.coalesce("component", "rep").alias("component_id"))
