@@ -43,6 +43,7 @@ def test_components_match_brute_force(spark):
     got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     nodes = {x for a, b in edges if a != b for x in (a, b)}
     assert got == groups(edges, nodes)
+    assert got == {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long"), contract=True).collect()}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 

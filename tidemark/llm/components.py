@@ -1,6 +1,6 @@
-"""Connected components: each task contracts its own edges, then large-star and small-star steps alternate.
+"""Connected components by alternating large-star and small-star steps (DataFrame functions only).
 
-A task turns its edges into stars, at most one edge a node, which saves most of the rounds. Every further step keeps, for each node, the smallest neighbour, which Spark combines before it shuffles; the neighbours of a
+On request each task first turns its own edges into stars, at most one edge a node, which saves rounds. Every step keeps, for each node, the smallest neighbour, which Spark combines before it shuffles; the neighbours of a
 hub meet their hub in a join whose large partitions adaptive execution can split. No task holds the neighbours of a
 node, and the driver sees two numbers a round. Each round is written to the shared folder.
 """
@@ -49,12 +49,13 @@ def _starred(edges: DataFrame) -> DataFrame:
     return stash(small.select("e.a", "e.b").filter("a <> b").distinct())
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, contract: bool = False) -> DataFrame:
     """node and component, the smallest node it can reach, for every node of edges (a, b), two longs.
 
     Nulls and loops are left out; edges may repeat and run either way; no edges give no rows.
     """
-    now, state = stash(contracted(edges.filter("a <> b")).distinct()), None
+    plain = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    now, state = stash((contracted(plain) if contract else plain).distinct()), None
     while True:
         found = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if found == state or not found[0]:

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import stash
+
 #: Most training texts of a language; most landmarks of a language; most languages.
 PER_LANGUAGE, LANDMARKS, LANGUAGES = 384, 48, 256
 BUCKETS = 1 << 13
@@ -103,7 +105,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     bucket = F.pmod(F.xxhash64("doc_id"), F.lit(per_language))
     at = F.xxhash64("doc_id", F.lit(1))
     picks = usable.filter(has_letter(F.col("text"))).groupBy("lang", bucket.alias("b")).agg(F.min_by("doc_id", at).alias("doc_id"))
-    ids = sorted({r["doc_id"] for r in picks.orderBy("lang", "b").limit(per_language * LANGUAGES).collect()})
+    picks = stash(picks.orderBy("lang", "b").limit(per_language * LANGUAGES).select("doc_id"))  # a bounded number of rows
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,7 +114,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
                 rows = np.packbits(presence(part.column(2).to_pylist()).astype(bool), axis=1)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "lang", "seen"])
 
-    rows = usable.filter(F.col("doc_id").isin(ids)).filter(has_letter(F.col("text"))).select("doc_id", "lang", "text")
+    rows = usable.join(F.broadcast(picks), "doc_id", "left_semi").filter(has_letter(F.col("text"))).select("doc_id", "lang", "text")
     found = sorted(rows.mapInArrow(features, "doc_id long, lang string, seen binary").collect())
     bits = [np.unpackbits(np.frombuffer(r["seen"], np.uint8)) for r in found]
     return solve(np.array(bits, np.float32).reshape(-1, BUCKETS), [r["lang"] for r in found])
@@ -149,7 +151,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
     """docs without those whose language is unknown or scored under ``least``; all columns stay."""
     model = train(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter(~F.coalesce(held_out(), F.lit(False))))
-    handed = docs.sparkSession.sparkContext.broadcast(astuple(model) if model else None)
+    handed, at_text = docs.sparkSession.sparkContext.broadcast(astuple(model) if model else None), docs.columns.index("text") + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Model(*handed.value) if handed.value else None
@@ -158,9 +160,9 @@ def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
             at, keep = np.flatnonzero(known) if fitted else np.empty(0, int), []
             for start in range(0, len(at), ROWS):
                 rows = at[start : start + ROWS]
-                keep.append(rows[fitted.scores(presence(batch.column(1).take(pa.array(rows)).to_pylist())).max(1) >= least])
+                keep.append(rows[fitted.scores(presence(batch.column(at_text).take(pa.array(rows)).to_pylist())).max(1) >= least])
             chosen = np.concatenate(keep) if keep else np.empty(0, int)
-            yield pa.RecordBatch.from_arrays([c.take(pa.array(chosen, pa.int64())) for c in batch.columns[2:]], names=batch.schema.names[2:])
+            yield pa.RecordBatch.from_arrays([c.take(pa.array(chosen, pa.int64())) for c in batch.columns[1:]], names=batch.schema.names[1:])
 
-    marked = docs.select(has_letter(F.col("text")).alias("__td_known"), F.coalesce("text", F.lit("")).alias("__td_text"), *[F.col(c) for c in docs.columns])
+    marked = docs.select(has_letter(F.col("text")).alias("__td_known"), *[F.col(c) for c in docs.columns])
     return marked.mapInArrow(run, docs.schema)

@@ -412,7 +412,7 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
     deals = partitions(spark)
     buckets = max(2 * deals, total // BUCKET_POSTINGS)
     handed = spark.sparkContext.broadcast(classes)
-    near = components(candidate_edges(postings(docs, k, num, den, handed, boundary, buckets), num, den, boundary))
+    near = components(candidate_edges(postings(docs, k, num, den, handed, boundary, buckets), num, den, boundary), contract=True)
 
     named = stash(distinct.join(near, F.col("lo") == F.col("node")).select("rep", F.col("component").alias("comp"), "n", "hi", "lo"))
     texts = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
