@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, language_id, mixing, mixing_sql, ngram_join, packing, secret_scan, url_filter, vector_join
+from tidemark.llm import backoff, exact_dedup, language_id, mixing, mixing_sql, ngram_join, packing, secret_scan, url_filter, vector_join
 from tidemark.llm.shared import table
 
 
@@ -15,6 +15,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -49,11 +53,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op2_exact_dedup, op4_language_id, op5_embedding_join, op6_mixing, op7_ngram_jaccard, op8_secret_scan, op9_packing,
+        op2_exact_dedup, op3_lm_score, op4_language_id, op5_embedding_join, op6_mixing, op7_ngram_jaccard, op8_secret_scan, op9_packing,
         op10_url_filter, pipeline,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE, "op6_mixing": mixing_sql.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_lm_score": backoff.ORACLE, "op6_mixing": mixing_sql.ORACLE}
