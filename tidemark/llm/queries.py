@@ -7,10 +7,14 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import backoff, exact_dedup, language_id, mixing, mixing_sql, ngram_join, packing, secret_scan, url_filter, vector_join
+from tidemark.llm import backoff, chat_format, exact_dedup, language_id, mixing, mixing_sql, ngram_join, packing, secret_scan, url_filter, vector_join
 from tidemark.llm.shared import table
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -53,7 +57,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op2_exact_dedup, op3_lm_score, op4_language_id, op5_embedding_join, op6_mixing, op7_ngram_jaccard, op8_secret_scan, op9_packing,
+        op1_chat_format, op2_exact_dedup, op3_lm_score, op4_language_id, op5_embedding_join, op6_mixing, op7_ngram_jaccard, op8_secret_scan, op9_packing,
         op10_url_filter, pipeline,
     )
     return {f.__name__: f for f in found}
