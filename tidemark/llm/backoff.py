@@ -37,7 +37,7 @@ ALPHA, MIN_COUNT = 0.4, 2
 HOT_BITS = 20
 VERY_HOT = 256
 #: Words after which a task hands on what it has gathered, and pairs in one bucket, about.
-FLUSH, BUCKET_PAIRS = 1_500_000, 4_000_000
+FLUSH, BUCKET_PAIRS = 600_000, 2_000_000
 ROWS_A_BUCKET = 8000
 #: Documents without an id are one document, of this number.
 NO_ID = -(1 << 63)
@@ -285,10 +285,12 @@ def score_pairs(posted: DataFrame, hot, total: int, word_buckets: int, doc_bucke
         key = mix(u * np.uint64(3) + mix(w))
         keys, sums = summed(key, n)
         c_pair = sums[np.searchsorted(keys, key)] if len(keys) else n
+        del key, keys, sums
         own, own_n = summed(w, n)
         at, is_hot = found(words, w)
         c_w = (own_n[np.searchsorted(own, w)] if len(own) else n).astype(np.float64)
         c_w[is_hot] = counts[at[is_hot]]
+        del own, own_n, w
         hit = (u > 0) & (c_pair >= MIN_COUNT)
         at, is_hot = found(words, u - np.uint64(1))
         later = hit & ~is_hot
@@ -296,10 +298,12 @@ def score_pairs(posted: DataFrame, hot, total: int, word_buckets: int, doc_bucke
         c_u[hit & is_hot] = counts[at[hit & is_hot]]
         back = np.log(np.maximum(c_w, 1)) - math.log(max(1, total)) + np.where(u > 0, math.log(ALPHA), 0.0)
         plus = n * np.where(hit, np.log(np.maximum(c_pair, 1)) - np.log(c_u), back)
+        del back, c_w, c_u, c_pair, at, is_hot
         known = table.filter(pa.array([not x for x in table.column("lens").to_pylist()]))
         docs_, plus_, words_, rows_ = (gathered(known.column(c), k) for c, k in (("docs", "<i8"), ("plus", "<f8"), ("words", "<i8"), ("rows", "<i8")))
-        fill = np.zeros(len(doc))
-        d, s, k, r = per_document(np.append(docs_, doc), np.append(plus_, plus), np.append(words_, fill), np.append(rows_, fill))
+        d, at = np.unique(np.append(docs_, doc), return_inverse=True)
+        s = np.bincount(at, np.append(plus_, plus), len(d)) if len(d) else np.empty(0)
+        k, r = (np.bincount(at[: len(docs_)], x, len(d)) if len(d) else np.empty(0) for x in (words_, rows_))
         out = sum_rows(0, home(d.astype(np.uint64), doc_buckets), d, s, k.astype(np.int64), r.astype(np.int64))
         d, first, times = doc[later], u[later] - np.uint64(1), n[later].astype(np.float64)
         nothing = np.empty((len(d), 0))
