@@ -38,7 +38,8 @@ HOT_BITS = 20
 VERY_HOT = 256
 #: Words after which a task hands on what it has gathered, and pairs in one bucket, about.
 FLUSH, BUCKET_PAIRS = 600_000, 2_000_000
-ROWS_A_BUCKET = 8000
+#: Rows of the input for each bucket of words and of documents, and least number of buckets.
+ROWS_A_BUCKET, LEAST_BUCKETS = 2000, 16
 #: Documents without an id are one document, of this number.
 NO_ID = -(1 << 63)
 ID = np.dtype([("low", "<u4"), ("high", "u1")])
@@ -339,7 +340,7 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     deals, n = 2 * partitions(spark), docs.count()
-    word_buckets = doc_buckets = max(deals, n // ROWS_A_BUCKET)
+    word_buckets = doc_buckets = max(LEAST_BUCKETS, n // ROWS_A_BUCKET)
     counted = stash(count_words(docs, word_buckets))
     total = counted.agg(F.sum("total")).first()[0] or 0
     ids, counts = hot_words(counted, max(1, -(-total >> HOT_BITS)))
