@@ -103,8 +103,23 @@ SELECT p_brand AS brand, r_name AS region, count(*) AS tasks FROM part, supplier
 WHERE p_partkey <= 20 GROUP BY 1, 2
 """)
 def model_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Work for the listed models in every shop: the listed models are few, so the other side is never moved."""
-    models = load(spark, sf_dir, "part").filter("p_partkey <= 20").select(F.col("p_brand").alias("brand"))
+    """Work for the first models in every shop."""
+    return fan_out(spark, sf_dir, load(spark, sf_dir, "part").filter("p_partkey <= 20"))
+
+
+@query("""
+WITH m AS (SELECT p_brand AS brand, count(*) AS models FROM part GROUP BY 1),
+s AS (SELECT r_name AS region, count(*) AS shops FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1)
+SELECT brand, region, models * shops AS tasks FROM m, s
+""")
+def model_fan_out_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Work for all models in every shop."""
+    return fan_out(spark, sf_dir, load(spark, sf_dir, "part"))
+
+
+def fan_out(spark: SparkSession, sf_dir: str, models: DataFrame) -> DataFrame:
+    """Models by brand times shops by region: both sides are counted before they meet, so rows are never multiplied."""
+    models = models.select(F.col("p_brand").alias("brand"))
     places = load(spark, sf_dir, "nation").join(load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("r_name").alias("region"))
     shops = load(spark, sf_dir, "supplier").join(F.broadcast(places), F.col("s_nationkey") == F.col("n_nationkey")).groupBy("region").agg(F.count(F.lit(1)).alias("shops"))
     per_brand = models.groupBy("brand").agg(F.count(F.lit(1)).alias("models"))
