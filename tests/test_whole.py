@@ -1,6 +1,7 @@
 """Queries that take whole tables, against brute force on small ones."""
 
 import __spark_entry__ as entry
+from tidemark.llm import ngram_join
 
 
 def test_slug_match_takes_every_name_as_a_model(spark, tmp_path):
@@ -23,3 +24,15 @@ def test_fan_out_takes_every_model(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
     got = {tuple(r) for r in entry.queries()["model_fan_out_all"](spark, str(tmp_path)).select("brand", "region", "tasks").collect()}
     assert got == {("early", "A", 100), ("early", "B", 40), ("late", "A", 150), ("late", "B", 60), (None, "A", 5), (None, "B", 2)}
+
+
+def test_near_copies_without_ids_and_with_repeated_ones(spark):
+    text = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b") + " more"), (1, text("c")), (5, text("c") + " more"), (5, text("d")), (None, text("c") + " other"), (None, None), (None, " "), (7, text("e")), (7, text("e"))]
+    table = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
+    got = sorted((tuple(r) for r in ngram_join.similar_documents(table, 5, 80, 100).collect()), key=str)
+    assert got == sorted([(None, 36, None), (None, 36, None), (None, 37, None), (1, 36, 1), (5, 37, 1), (5, 36, 5), (None, 37, 1), (None, 0, None), (None, 0, None), (7, 36, 7), (7, 36, 7)], key=str)
+    kept = [(r["doc_id"], r["text"]) for r in ngram_join.keep_one(table).collect()]
+    b = {text("b"), text("b") + " more"}
+    assert len(kept) == 7 and len([t for _, t in kept if t in b]) == 1
+    assert {x for x in kept if x[1] not in b} == {(None, text("a")), (1, text("c")), (5, text("d")), (None, None), (None, " "), (7, text("e"))}

@@ -20,8 +20,13 @@ is verified there, every pair by exact intersection counts (a matrix product). A
 its documents first meet LEADERS of them, which takes rows in proportion to the block. Most members of a large group
 of near copies are then in one component, and only pairs with one of the others are left: these meet part by part.
 
+A node is a set, not an id: its fingerprint (hi, lo), numbered by lo. Two sets have the same number with a chance of
+2**-64. A row of docs is found again by its id, null-safely, and a hash of its text.
+
 Defined results: null, empty or word-free texts have the empty set, link with nothing and are their own component;
-repeated rows are equal documents; an empty table gives no rows. A set is held whole by a task, a group of sets never.
+repeated rows are equal documents; rows that share an id but not a text are separate documents, and so are rows without
+an id. component_id is the smallest id of a component, null if no row of it has one; unlinked components can therefore
+show the same id. An empty table gives no rows. A set is held whole by a task, a group of sets never.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -59,7 +64,7 @@ LARGEST_LIGHT = 4096
 POSTING = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<u4")])
 SPLIT = np.uint32(1 << 31)
 
-PROFILE = "doc_id long, n long, hi long, lo long, block int, cells binary, counts binary"
+PROFILE = "doc_id long, mark long, n long, hi long, lo long, block int, cells binary, counts binary"
 
 
 def need(n: np.ndarray | int, num: int, den: int):
@@ -71,10 +76,23 @@ def fingerprint(own: np.ndarray) -> tuple[int, int]:
     return tuple(int(mix(own ^ np.uint64(salt)).sum().astype(np.int64)) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
 
 
+def text_mark() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def row_keys(doc_id: Column, mark: Column) -> list[Column]:
+    """Columns, none of them null, that are equal where ids and texts are."""
+    doc_id = doc_id.cast("long")
+    return [mark.alias("__td_mark"), F.coalesce(doc_id, F.lit(0)).alias("__td_id"), doc_id.isNull().alias("__td_none")]
+
+
+ROW_KEYS = ["__td_mark", "__td_id", "__td_none"]
+
+
 def profile(docs: DataFrame, k: int) -> DataFrame:
-    """A row per document (size and fingerprint of its set) and the blocks of each task's count sketch."""
+    """A row per document (hash of its text, size and fingerprint of its set) and the blocks of each task's count sketch."""
     names = [x.split()[0] for x in PROFILE.split(", ")]
-    types = [pa.int64()] * 4 + [pa.int32(), pa.binary(), pa.binary()]
+    types = [pa.int64()] * 5 + [pa.int32(), pa.binary(), pa.binary()]
 
     def rows(columns: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
@@ -82,22 +100,22 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, seen = np.zeros(1 << CELL_BITS, np.uint32), set()
         for batch in batches:
-            ids, out = batch.column(0).to_pylist(), []
-            for start, data, bounds in chunks(batch.column(1)):
+            ids, marks, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+            for start, data, bounds in chunks(batch.column(2)):
                 for i, own in enumerate(shingle_sets(data, bounds, k), start):
                     hi, lo = fingerprint(own)
-                    out.append((ids[i], len(own), hi, lo))
+                    out.append((ids[i], marks[i], len(own), hi, lo))
                     if len(own) and (hi, lo) not in seen:
                         seen.add((hi, lo))
                         np.add.at(cells, (own >> np.uint64(64 - CELL_BITS)).astype(np.int64), np.uint32(1))
             none = [None] * len(out)
-            yield rows([*(zip(*out) if out else [[]] * 4), none, none, none])
+            yield rows([*(zip(*out) if out else [[]] * 5), none, none, none])
         for b, block in enumerate(cells.reshape(-1, 1 << BLOCK_BITS)):
             used = np.flatnonzero(block).astype(np.uint16)
             if len(used):
-                yield rows([[None]] * 4 + [[b], [used.tobytes()], [block[used].tobytes()]])
+                yield rows([[None]] * 5 + [[b], [used.tobytes()], [block[used].tobytes()]])
 
-    clean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    clean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_mark().alias("mark"), F.coalesce("text", F.lit("")).alias("text"))
     return clean.mapInArrow(run, PROFILE)
 
 
@@ -362,7 +380,7 @@ def links_at(places: DataFrame, picked: DataFrame, k: int, num: int, den: int, d
 
 
 def linked_groups(named: DataFrame, picked: DataFrame, k: int, num: int, den: int, deals: int) -> DataFrame:
-    """node and component of documents with a similar one; named: rep, comp, n; picked: id, hi, lo, text."""
+    """node and component of documents with a similar one; named: rep, comp, n; picked: id (the node), hi, lo, text."""
     weigh = lambda rows, *by: rows.groupBy(*by).agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles")).filter("docs > 1")
     parts = F.greatest(F.ceil(F.col("docs") / F.lit(UNIT_DOCS)), F.ceil(F.col("shingles") / F.lit(UNIT_SHINGLES)), F.lit(1)).cast("long")
     counts = stash(weigh(named, "comp").select("comp", (parts > 1).alias("large")))
@@ -397,15 +415,18 @@ def linked_groups(named: DataFrame, picked: DataFrame, k: int, num: int, den: in
     return components(more.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
-def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row: documents link at a similarity of num/den or more."""
+def labelled_sets(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Rows doc_id, n, hi, lo of all documents, and all sets but the empty one: hi, lo, size, least (smallest id), mark
+    (of a row with that id), root (the component's node) and component_id."""
     if not den < 2 * num <= 2 * den:
         raise ValueError("the similarity must be over 1/2 and at most 1")
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     profiled = stash(profile(docs, k))
-    each = profiled.filter("block is null").select("doc_id", "n", "hi", "lo")
-    distinct = stash(each.filter("n > 0").groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("rep")))
+    each = profiled.filter("block is null").select("doc_id", "mark", "n", "hi", "lo")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    distinct = each.filter("n > 0").groupBy("hi", "lo", "n").agg(F.min(first).alias("f"))
+    distinct = stash(distinct.select("hi", "lo", "n", F.col("f.doc_id").alias("least"), F.col("f.mark").alias("mark")))
     classes, shared = sketch_classes(profiled)
     sizes = {r["n"]: r["c"] for r in distinct.groupBy(F.least("n", F.lit(LARGEST_LIGHT)).alias("n")).agg(F.count(F.lit(1)).alias("c")).collect()}
     boundary, total = choose_boundary(sizes, shared, num, den)
@@ -414,16 +435,24 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
     handed = spark.sparkContext.broadcast(classes)
     near = components(candidate_edges(postings(docs, k, num, den, handed, boundary, buckets), num, den, boundary), contract=True)
 
-    named = stash(distinct.join(near, F.col("lo") == F.col("node")).select("rep", F.col("component").alias("comp"), "n", "hi", "lo"))
-    texts = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    picked = texts.hint("merge").join(named.select("rep", "hi", "lo").hint("merge"), F.col("rep") == F.col("id"))
-    picked = stash(picked.select("id", "hi", "lo", "text"))
+    named = stash(distinct.join(near, F.col("lo") == F.col("node")).select(F.col("lo").alias("rep"), F.col("component").alias("comp"), "n", "hi", "lo", "least", "mark"))
+    texts = docs.select(*row_keys(F.col("doc_id"), text_mark()), F.coalesce("text", F.lit("")).alias("text"))
+    wanted = named.select(*row_keys(F.col("least"), F.col("mark")), "hi", "lo")
+    picked = texts.hint("merge").join(wanted.hint("merge"), ROW_KEYS)
+    picked = stash(picked.select(F.col("lo").alias("id"), "hi", "lo", "text").dropDuplicates(["hi", "lo"]))
     deal = max(4 * deals, sum(n * c for n, c in sizes.items()) // (20 * UNIT_SHINGLES))
-    links = linked_groups(named.select("rep", "comp", "n"), picked, k, num, den, deal)
+    links = stash(linked_groups(named.select("rep", "comp", "n"), picked, k, num, den, deal))
 
-    labelled = stash(
-        distinct.join(links, F.col("rep") == F.col("node"), "left").select("hi", "lo", F.col("n").alias("size"), F.coalesce("component", "rep").alias("component_id"))
-    )
+    ids = links.join(named, F.col("rep") == F.col("node")).groupBy("component").agg(F.min("least").alias("smallest"))
+    roots = links.join(ids, "component").select("node", F.col("component").alias("root"), "smallest")
+    labelled = distinct.join(roots, F.col("lo") == F.col("node"), "left")
+    labelled = labelled.select("hi", "lo", F.col("n").alias("size"), "least", "mark", F.coalesce("root", "lo").alias("root"), F.coalesce("smallest", "least").alias("component_id"))
+    return each, stash(labelled)
+
+
+def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row: documents link at a similarity of num/den or more."""
+    each, labelled = labelled_sets(docs, k, num, den)
     same = (each["hi"] == labelled["hi"]) & (each["lo"] == labelled["lo"]) & (each["n"] == labelled["size"])
     full = each.join(labelled, same).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     empty = each.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
@@ -431,6 +460,15 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """docs with one document, that of the smallest doc_id, of each component; all columns stay."""
-    found = similar_documents(docs, k, num, den).filter("doc_id = component_id").select(F.col("doc_id").alias("__td_id")).distinct()
-    return docs.join(stash(found), F.col("doc_id").cast("long") == F.col("__td_id")).select(docs.columns)
+    """docs with one row of each component, of the smallest doc_id (null last); all columns stay.
+
+    Rows without words are components of their own and stay, each of them.
+    """
+    _, labelled = labelled_sets(docs, k, num, den)
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "mark")).alias("f")
+    found = stash(labelled.groupBy("root").agg(first).select(*row_keys(F.col("f.least"), F.col("f.mark"))))
+    wordless = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    keyed = docs.filter(~wordless).select("*", *row_keys(F.col("doc_id"), text_mark()))
+    turn = F.row_number().over(Window.partitionBy(*ROW_KEYS).orderBy(*ROW_KEYS))
+    kept = keyed.join(found, ROW_KEYS, "left_semi").withColumn("__td_turn", turn).filter("__td_turn = 1")
+    return kept.select(docs.columns).unionByName(docs.filter(wordless))
