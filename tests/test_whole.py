@@ -1,7 +1,9 @@
 """Queries that take whole tables, against brute force on small ones."""
 
+import random
+
 import __spark_entry__ as entry
-from tidemark.llm import ngram_join
+from tidemark.llm import ngram_join, secret_scan
 
 
 def test_slug_match_takes_every_name_as_a_model(spark, tmp_path):
@@ -36,3 +38,18 @@ def test_near_copies_without_ids_and_with_repeated_ones(spark):
     b = {text("b"), text("b") + " more"}
     assert len(kept) == 7 and len([t for _, t in kept if t in b]) == 1
     assert {x for x in kept if x[1] not in b} == {(None, text("a")), (1, text("c")), (5, text("d")), (None, None), (None, " "), (7, text("e"))}
+
+
+def test_novel_spans_on_either_side_short_and_without_digits():
+    rng = random.Random(3)
+    draw = lambda letters, k: "".join(rng.choices(letters, k=k))
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    find = lambda text: [text[a:b] for a, _, b in secret_scan.Novelty().spans(text, secret_scan.base_spans(text))]
+    blob = draw(letters + "0123456789", 40)
+    assert find(f"x = '{blob}'  # aws secret") == [blob]
+    assert find(f"x = '{blob}'" + " y" * 100 + " secret") == []
+    assert find(f"call token_live_{blob} now") == [f"token_live_{blob}"]
+    short, plain = draw(letters + "0123456789", 14), draw(letters, 40)
+    assert find(f"the bearer is {short} today") == [short]
+    assert find(f"the bearer is {plain} today") == [plain]
+    assert find("the private key and the access token of each user are kept in the settings of the application") == []

@@ -1,9 +1,10 @@
 """Secrets by three fixed patterns, and by novelty to a primed compressor.
 
-Beyond the patterns, a *novel* span is a run of 16 or more key characters with letters and digits that stands within
-CONTEXT characters after a sensitive word and that Zstandard, primed with a dictionary of identifiers and ordinary code
-and with the text around it, cannot shrink: the bytes that it adds to the compressed context are at least NOVELTY of
-its length. Identifiers, paths and repeated strings cost next to nothing and are not reported.
+Beyond the patterns, a *novel* span is a run of key characters, with or without digits, that stands within CONTEXT
+characters of a sensitive word, before or after it, or holds one, and that Zstandard, primed with a dictionary of
+identifiers and ordinary code and with the text around it, cannot shrink: the bytes that it adds to the compressed
+context are at least NOVELTY of its length, and at least ADDED (a shorter run cannot add as many). Identifiers, paths and repeated strings cost next to
+nothing and are not reported; a secret that stands twice within CONTEXT characters counts as repeated.
 
 Defined results: null and empty texts have no span; spans count code points, the end exclusive; repeated rows give
 repeated results; an empty table gives no rows. The plan has no shuffle, and a text is read whole.
@@ -26,8 +27,9 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
 CONTEXT = 160
-NOVELTY = 0.6
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Least share of its length, and least number of bytes, that a novel span adds.
+NOVELTY, ADDED = 0.6, 10
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
 SENSITIVE = re.compile(r"(?ai:secret|token|passw|credential|api_?key|private|bearer|authori[sz]ation|access)")
 DICTIONARY = """
 import from return function class public private static void const let var def self this new null true false none
@@ -50,7 +52,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 class Novelty:
-    """Marginal compressed size against a dictionary and the text before a candidate."""
+    """Marginal compressed size against a dictionary and the text around a candidate."""
 
     def __init__(self, words: str = DICTIONARY, level: int = 9) -> None:
         import zstandard
@@ -58,29 +60,33 @@ class Novelty:
         primed = zstandard.ZstdCompressionDict(words.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.compress = zstandard.ZstdCompressor(level=level, dict_data=primed, write_content_size=False, write_dict_id=False).compress
 
-    def share(self, around: str, candidate: str) -> float:
-        """Added bytes over the candidate's length; 0.75 is what random base64 digits need."""
+    def added(self, around: str, candidate: str) -> int:
+        """Bytes that the candidate adds, its length at most; random base64 digits need 0.75 of their length."""
+        if len(candidate) < ADDED:  # cannot add as much, so it need not be measured
+            return len(candidate)
         plain = around.encode("utf-8", "surrogatepass")
-        return (len(self.compress(plain + candidate.encode())) - len(self.compress(plain))) / len(candidate)
+        return min(len(candidate), len(self.compress(plain + candidate.encode())) - len(self.compress(plain)))
 
     def spans(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        out, near = [], [m.end() for m in SENSITIVE.finditer(text)]
+        out, near = [], [m.span() for m in SENSITIVE.finditer(text)]
         if not near:
             return out
         taken, at, passed = sorted((a, b) for a, _, b in base), 0, 0
-        for m in CANDIDATE.finditer(text, max(0, near[0] - 16)):
+        for m in CANDIDATE.finditer(text):
             start, end = m.span()
-            while at < len(near) and near[at] <= start:
+            while at < len(near) and near[at][1] < start - CONTEXT:
                 at += 1
-            word = m.group()
-            if not at or start - near[at - 1] > CONTEXT or not (re.search("[0-9]", word) and re.search("[A-Za-z]", word)):
+            if at == len(near):
+                break
+            if near[at][0] > end + CONTEXT:
                 continue
+            word = m.group()
             while passed < len(taken) and taken[passed][1] <= start:
                 passed += 1
             if passed < len(taken) and taken[passed][0] < end:
                 continue
             around = text[max(0, start - CONTEXT) : start] + text[end : end + CONTEXT]
-            if self.share(around, word) >= NOVELTY:
+            if self.added(around, word) >= max(ADDED, NOVELTY * len(word)):
                 out.append((start, 3, end))
         return out
 
