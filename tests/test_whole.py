@@ -1,9 +1,14 @@
 """Queries that take whole tables, against brute force on small ones."""
 
+import math
 import random
+from collections import Counter
+
+import numpy as np
+import pytest
 
 import __spark_entry__ as entry
-from tidemark.llm import ngram_join, secret_scan
+from tidemark.llm import backoff, ngram_join, secret_scan
 
 
 def test_slug_match_takes_every_name_as_a_model(spark, tmp_path):
@@ -53,3 +58,29 @@ def test_novel_spans_on_either_side_short_and_without_digits():
     assert find(f"the bearer is {short} today") == [short]
     assert find(f"the bearer is {plain} today") == [plain]
     assert find("the private key and the access token of each user are kept in the settings of the application") == []
+
+
+@pytest.mark.parametrize("tight", [False, True])
+def test_pairs_seen_once_count(spark, monkeypatch, tight):
+    if tight:
+        for name, value in {"HOT_BITS": 5, "VERY_HOT": 4, "FLUSH": 150, "BUCKET_PAIRS": 300}.items():
+            monkeypatch.setattr(backoff, name, value)
+    rng = random.Random(8)
+    texts = [[f"w{min(rng.randrange(60), rng.randrange(60))}" for _ in range(rng.choice([1, 2, 30]))] for _ in range(80)] + [["once", "only", "here"]]
+    one, two = Counter(w for t in texts for w in t), Counter(p for t in texts for p in zip(t, t[1:]))
+    got = backoff.score(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string"), least=1).collect()
+    assert len(got) == len(texts) and 1 in two.values()
+    for r in got:
+        t = texts[r["doc_id"]]
+        want = math.log(one[t[0]] / sum(one.values())) + sum(math.log(two[u, w] / one[u]) for u, w in zip(t, t[1:]))
+        assert r["n_words"] == len(t) and abs(r["log_score"] - want) < 1e-3
+
+
+def test_words_keep_all_bits_of_their_hash(monkeypatch):
+    import pyarrow as pa
+
+    hashes = np.array([7 << 24, (7 << 24) + 1], np.uint64)
+    monkeypatch.setattr(backoff, "word_hashes", lambda data, bounds: (hashes, np.array([0, 0])))
+    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array(["a b"])], names=["doc_id", "text"])
+    [(_, _, words)] = backoff.words_of(batch)
+    assert words.tolist() == hashes.tolist()

@@ -1,6 +1,6 @@
 """Stupid-backoff scores of documents under the bigram counts of all documents.
 
-S(w | u) = c(u w) / c(u) where the pair occurs MIN_COUNT times or more, else ALPHA * c(w) / N; a row's first word has
+S(w | u) = c(u w) / c(u) where the pair occurs ``least`` times or more (1: every pair that occurs), else ALPHA * c(w) / N; a row's first word has
 c(w) / N. A document's score is the sum of the natural logarithms over its words.
 
 Counts and scores are relational: count tables are partitioned by hash, the documents' distinct pairs are sent to the
@@ -11,8 +11,8 @@ their counts, and pairs with such a second word are dealt by the hash of the pai
 words are counted beforehand and broadcast, at most VERY_HOT squared, and are scored where they lie: any pair that has
 a share of 1 / VERY_HOT of all words is one of them, so no key gathers more than that share in a task.
 
-Words are as in the other operators (A-Z lower-cased), known by 40 bits of a hash: two words of a corpus are taken for
-one with a chance of 2**-40 for each pair of words.
+Words are as in the other operators (A-Z lower-cased), known by 64 bits of a hash: two words of a corpus are taken for
+one with a chance of 2**-64 for each pair of words.
 
 Defined results: null, empty and word-free texts have no words, a score of 0 and a null mean; rows that share a doc_id
 (or have none) are one document, of which each row gets the whole score; an empty table gives no rows. A text is read
@@ -42,9 +42,8 @@ FLUSH, BUCKET_PAIRS = 600_000, 2_000_000
 ROWS_A_BUCKET, LEAST_BUCKETS = 2000, 16
 #: Documents without an id are one document, of this number.
 NO_ID = -(1 << 63)
-ID = np.dtype([("low", "<u4"), ("high", "u1")])
 #: Largest id, so that one more still fits.
-LAST = np.uint64((1 << 40) - 2)
+LAST = np.uint64((1 << 64) - 2)
 
 ORACLE = r"""
 WITH t AS (
@@ -64,16 +63,8 @@ SELECT d.doc_id, coalesce(s.n_words, 0) AS n_words, round(coalesce(s.score, 0.0)
 FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id
 """
 
-
-def packed(ids: np.ndarray) -> np.ndarray:
-    out = np.empty(len(ids), ID)
-    out["low"], out["high"] = ids & np.uint64(0xFFFFFFFF), ids >> np.uint64(32)
-    return out
-
-
-def unpacked(column) -> np.ndarray:
-    ids = gathered(column, ID)
-    return ids["low"].astype(np.uint64) | (ids["high"].astype(np.uint64) << np.uint64(32))
+#: The same with every pair that occurs.
+ORACLE_ALL = ORACLE.replace("c2.n >= 2", "c2.n >= 1")
 
 
 def gathered(column, kind) -> np.ndarray:
@@ -111,7 +102,7 @@ def words_of(batch: pa.RecordBatch):
     ids = batch.column(0).fill_null(NO_ID).to_numpy()
     for start, data, bounds in chunks(batch.column(1)):
         words, doc = word_hashes(data, bounds)
-        yield ids[start : start + len(bounds) - 1], doc, np.minimum(words >> np.uint64(24), LAST)
+        yield ids[start : start + len(bounds) - 1], doc, np.minimum(words, LAST)
 
 
 def count_words(docs: DataFrame, buckets: int) -> DataFrame:
@@ -121,7 +112,7 @@ def count_words(docs: DataFrame, buckets: int) -> DataFrame:
         keys, counts, waiting, held = np.empty(0, np.uint64), np.empty(0, np.int64), [], 0
 
         def flush() -> pa.RecordBatch:
-            rows = [(b, packed(k).tobytes(), c.astype(np.uint32).tobytes()) for b, (k, c) in dealt(home(keys, buckets), [keys, counts])]
+            rows = [(b, k.tobytes(), c.astype(np.uint32).tobytes()) for b, (k, c) in dealt(home(keys, buckets), [keys, counts])]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "ids", "counts"])
 
         def merge():
@@ -142,8 +133,8 @@ def count_words(docs: DataFrame, buckets: int) -> DataFrame:
         yield flush()
 
     def total(key, table):
-        keys, counts = summed(unpacked(table.column("ids")), gathered(table.column("counts"), "<u4").astype(np.int64))
-        row = {"bucket": pa.array([key[0].as_py()], pa.int32()), "ids": [packed(keys).tobytes()], "counts": [counts.tobytes()], "total": [int(counts.sum())]}
+        keys, counts = summed(gathered(table.column("ids"), "<u8"), gathered(table.column("counts"), "<u4").astype(np.int64))
+        row = {"bucket": pa.array([key[0].as_py()], pa.int32()), "ids": [keys.tobytes()], "counts": [counts.tobytes()], "total": [int(counts.sum())]}
         return pa.table(row)
 
     made = docs.mapInArrow(run, "bucket int, ids binary, counts binary")
@@ -155,7 +146,7 @@ def hot_words(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches):
         for batch in batches:
-            ids, counts = unpacked(batch.column(0)), gathered(batch.column(1), "<i8")
+            ids, counts = gathered(batch.column(0), "<u8"), gathered(batch.column(1), "<i8")
             fit = counts >= least
             yield pa.RecordBatch.from_arrays([pa.array([ids[fit].tobytes()]), pa.array([counts[fit].tobytes()])], names=["ids", "counts"])
 
@@ -199,7 +190,7 @@ def frequent_pairs(docs: DataFrame, top) -> np.ndarray:
 PAIRS = "bucket int, docs binary, lens binary, first binary, second binary, n binary, plus binary, words binary, rows binary"
 
 
-def exploded(docs: DataFrame, hot, top, pairs, total: int, buckets: int) -> DataFrame:
+def exploded(docs: DataFrame, hot, top, pairs, total: int, buckets: int, least: int) -> DataFrame:
     """The documents' distinct pairs by bucket, and a row for each flush with what is scored already."""
     names = [x.split()[0] for x in PAIRS.split(", ")]
 
@@ -223,7 +214,7 @@ def exploded(docs: DataFrame, hot, top, pairs, total: int, buckets: int) -> Data
             for b, (d, u, w, c) in dealt(where, [doc, first, second, n]):
                 starts = np.flatnonzero(np.append(True, d[1:] != d[:-1]))
                 lens = np.diff(np.append(starts, len(d))).astype(np.uint32)
-                rows.append((b, doc_ids[d[starts]].tobytes(), lens.tobytes(), packed(u).tobytes(), packed(w).tobytes(), c.astype(np.uint32).tobytes(), b"", b"", b""))
+                rows.append((b, doc_ids[d[starts]].tobytes(), lens.tobytes(), u.tobytes(), w.tobytes(), c.astype(np.uint32).tobytes(), b"", b"", b""))
             types = [pa.int32()] + [pa.binary()] * 8
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
@@ -244,7 +235,7 @@ def exploded(docs: DataFrame, hot, top, pairs, total: int, buckets: int) -> Data
                 both = there & here & (u > 0)
                 c = known[i[both], j[both]] if m else np.empty(0, np.int64)
                 back = math.log(ALPHA) + np.log(counts[found(table, w[both])[0]]) - math.log(max(1, total))
-                plus[both] = n[both] * np.where(c >= MIN_COUNT, np.log(np.maximum(c, 1)) - np.log(counts[found(table, u[both] - np.uint64(1))[0]]), back)
+                plus[both] = n[both] * np.where(c >= least, np.log(np.maximum(c, 1)) - np.log(counts[found(table, u[both] - np.uint64(1))[0]]), back)
                 ids.append(own)
                 waiting.append((d + base, u, w, plus, n))
                 base += len(own)
@@ -275,13 +266,13 @@ def per_document(docs: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...
     return keys, *(np.bincount(at, v, len(keys)) if len(keys) else np.empty(0) for v in values)
 
 
-def score_pairs(posted: DataFrame, hot, total: int, word_buckets: int, doc_buckets: int) -> DataFrame:
+def score_pairs(posted: DataFrame, hot, total: int, word_buckets: int, doc_buckets: int, least: int) -> DataFrame:
     """What each bucket's pairs add to documents (kind 0), and what waits for the count of a rare first word (kind 1)."""
 
     def run(table):
         lens, ids = gathered(table.column("lens"), "<u4"), table.filter(pa.array([bool(x) for x in table.column("lens").to_pylist()]))
         doc = np.repeat(gathered(ids.column("docs"), "<i8"), lens)
-        u, w, n = unpacked(ids.column("first")), unpacked(ids.column("second")), gathered(ids.column("n"), "<u4").astype(np.int64)
+        u, w, n = gathered(ids.column("first"), "<u8"), gathered(ids.column("second"), "<u8"), gathered(ids.column("n"), "<u4").astype(np.int64)
         words, counts = hot.value
         key = mix(u * np.uint64(3) + mix(w))
         keys, sums = summed(key, n)
@@ -292,7 +283,7 @@ def score_pairs(posted: DataFrame, hot, total: int, word_buckets: int, doc_bucke
         c_w = (own_n[np.searchsorted(own, w)] if len(own) else n).astype(np.float64)
         c_w[is_hot] = counts[at[is_hot]]
         del own, own_n, w
-        hit = (u > 0) & (c_pair >= MIN_COUNT)
+        hit = (u > 0) & (c_pair >= least)
         at, is_hot = found(words, u - np.uint64(1))
         later = hit & ~is_hot
         c_u = np.ones(len(u))
@@ -308,7 +299,7 @@ def score_pairs(posted: DataFrame, hot, total: int, word_buckets: int, doc_bucke
         out = sum_rows(0, home(d.astype(np.uint64), doc_buckets), d, s, k.astype(np.int64), r.astype(np.int64))
         d, first, times = doc[later], u[later] - np.uint64(1), n[later].astype(np.float64)
         nothing = np.empty((len(d), 0))
-        out += sum_rows(1, home(first, word_buckets), d, times.astype(np.float32), nothing, nothing, packed(first))
+        out += sum_rows(1, home(first, word_buckets), d, times.astype(np.float32), nothing, nothing, first)
         return sum_table(out)
 
     return posted.groupBy("bucket").applyInArrow(run, SUMS)
@@ -320,10 +311,10 @@ def score_rest(waiting: DataFrame, counted: DataFrame, doc_buckets: int) -> Data
     def run(table):
         side = np.array(table.column("kind").to_pylist())
         mine, known = table.filter(pa.array(side == 1)), table.filter(pa.array(side == 2))
-        words, counts = unpacked(known.column("ids")), gathered(known.column("values"), "<i8")
+        words, counts = gathered(known.column("ids"), "<u8"), gathered(known.column("values"), "<i8")
         order = np.argsort(words)
         words, counts = words[order], counts[order]
-        first, doc, times = unpacked(mine.column("ids")), gathered(mine.column("docs"), "<i8"), gathered(mine.column("values"), "<f4")
+        first, doc, times = gathered(mine.column("ids"), "<u8"), gathered(mine.column("docs"), "<i8"), gathered(mine.column("values"), "<f4")
         if not len(doc):
             return sum_table([])
         d, s = per_document(doc, -times * np.log(counts[np.searchsorted(words, first)]))
@@ -335,8 +326,8 @@ def score_rest(waiting: DataFrame, counted: DataFrame, doc_buckets: int) -> Data
     return waiting.unionByName(counts).groupBy("bucket").applyInArrow(run, SUMS)
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, log_score and mean_log_score (four decimals) of every row of docs."""
+def score(docs: DataFrame, least: int = MIN_COUNT) -> DataFrame:
+    """doc_id, n_words, log_score and mean_log_score (four decimals) of every row; pairs seen under ``least`` times back off."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     deals, n = 2 * partitions(spark), docs.count()
@@ -347,8 +338,8 @@ def score(docs: DataFrame) -> DataFrame:
     best = np.sort(ids[np.argsort(-counts, kind="stable")[:VERY_HOT]])
     hot, top = (spark.sparkContext.broadcast(x) for x in ((ids, counts), best))
     pairs = spark.sparkContext.broadcast(frequent_pairs(docs, top))
-    posted = exploded(docs, hot, top, pairs, total, max(deals, total // BUCKET_PAIRS))
-    made = stash(score_pairs(posted, hot, total, word_buckets, doc_buckets))
+    posted = exploded(docs, hot, top, pairs, total, max(deals, total // BUCKET_PAIRS), least)
+    made = stash(score_pairs(posted, hot, total, word_buckets, doc_buckets, least))
     rest = score_rest(made.filter("kind = 1"), counted, doc_buckets)
 
     def finish(table):

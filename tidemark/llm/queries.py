@@ -23,6 +23,11 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff.score(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_score_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op3_lm_score, with every pair that occurs in the model, those seen once as well."""
+    return backoff.score(table(spark, sf_dir, "documents"), least=1)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -58,10 +63,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_chat_format, op2_exact_dedup, op3_lm_score, op4_language_id, op5_embedding_join, op6_mixing, op7_ngram_jaccard, op8_secret_scan, op9_packing,
-        op10_url_filter, pipeline,
+        op10_url_filter, pipeline, op3_lm_score_all,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_lm_score": backoff.ORACLE, "op6_mixing": mixing_sql.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_lm_score": backoff.ORACLE, "op3_lm_score_all": backoff.ORACLE_ALL, "op6_mixing": mixing_sql.ORACLE}
