@@ -256,7 +256,7 @@ def brute_sets(texts, k):
 @pytest.mark.parametrize("k, num, den, tight", [(4, 85, 100, False), (4, 85, 100, True), (5, 80, 100, True)])
 def test_ngram_join(spark, monkeypatch, k, num, den, tight):
     if tight:
-        for name, value in {"UNIT_DOCS": 3, "UNIT_SHINGLES": 300, "LIST": 3, "SPLIT_CLASS": 2, "LEADERS": 2, "FAN": 2, "SHARED_COST": 5000, "CELL_BITS": 14, "BLOCK_BITS": 10}.items():
+        for name, value in {"UNIT_DOCS": 3, "UNIT_SHINGLES": 300, "LIST": 2, "LEVEL": 2, "LEADERS": 2, "SHARED_COST": 5000}.items():
             monkeypatch.setattr(ngram_join, name, value)
     texts = near_copies()
     sets = brute_sets(texts, k)
@@ -266,6 +266,28 @@ def test_ngram_join(spark, monkeypatch, k, num, den, tight):
     assert got == {i: (len(sets[i]), root[i]) for i in root}
 
 
+def test_candidates_do_not_grow_with_the_table(spark, monkeypatch):
+    """Texts with passages of a common stock, whose lists are long in both tables; a fifth have a near copy."""
+    monkeypatch.setattr(ngram_join, "LIST", 4)
+    rng = random.Random(8)
+    stock = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(40)]
+    texts = []
+    for _ in range(320):
+        own = [str(rng.randrange(10**9)) for _ in range(rng.choice([30, 60, 120]))]
+        for _ in range(2):
+            at, start = rng.randrange(len(own)), rng.randrange(30)
+            own[at:at] = stock[start : start + 8]
+        texts += [" ".join(own)] + [" ".join([*own, "end"])] * (rng.random() < 0.2)
+    seen = {}
+    for n in (80, 320):
+        posted = ngram_join.stash(ngram_join.postings(docs(spark, texts[:n]), 4, 85, 100, 20))
+        long, common = ngram_join.long_lists(ngram_join.first_keys(posted))
+        assert long.count() and common.select("node").distinct().count() > n / 3
+        edges = ngram_join.stash(ngram_join.candidate_edges(posted, 85, 100, 4).distinct())
+        seen[n] = edges.count() / n, components.components(edges).groupBy("component").count().agg(F.max("count")).first()[0]
+    assert seen[320][0] <= 2 * seen[80][0] and seen[320][1] <= 8, seen
+
+
 def test_light_sets_are_enumerated(monkeypatch):
     boundary, keys = ngram_join.choose_boundary({6: 50, 9: 100, 20: 10, 500: 3}, 0.5, 85, 100)
     assert boundary == 20 and keys > 0

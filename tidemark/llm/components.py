@@ -1,8 +1,9 @@
 """Connected components by alternating large-star and small-star steps (DataFrame functions only).
 
-On request each task first turns its own edges into stars, at most one edge a node, which saves rounds. Every step keeps, for each node, the smallest neighbour, which Spark combines before it shuffles; the neighbours of a
-hub meet their hub in a join whose large partitions adaptive execution can split. No task holds the neighbours of a
-node, and the driver sees two numbers a round. Each round is written to the shared folder.
+On request each task first turns its own edges into stars, at most one edge a node, which saves rounds. Every step
+keeps, for each node, the smallest neighbour, which Spark combines before it shuffles; the neighbours of a hub meet
+their hub in a join whose large partitions adaptive execution can split. No task holds the neighbours of a node, and
+the driver sees two numbers a round. Each round is written to the shared folder, and the one before it is removed.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import stash
+from tidemark.llm.shared import clear, stash, written
 
 
 def contracted(edges: DataFrame) -> DataFrame:
@@ -55,12 +56,14 @@ def components(edges: DataFrame, contract: bool = False) -> DataFrame:
     Nulls and loops are left out; edges may repeat and run either way; no edges give no rows.
     """
     plain = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    mark, spark = written(), edges.sparkSession
     now, state = stash((contracted(plain) if contract else plain).distinct()), None
     while True:
         found = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if found == state or not found[0]:
             break
         now, state = _starred(now), found
+        clear(spark, mark, now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

@@ -2,18 +2,22 @@
 
 Two sets with a Jaccard similarity of num/den or more share at least ``need`` = ceil(num * n / den) shingles, n being
 the size of either. In any order that all sets agree on, the first n - need + j shingles of both then have j in
-common. So:
+common (j <= need). The first order is that of the hashes:
 
 * *light* sets (at most ``boundary`` shingles) enumerate the pairs among their first n - need + 2 shingles;
 * *heavy* sets are scanned by inverted lists of their first n - need + l shingles, which light sets near the boundary
   enter as well; l grows with the size (``ell``), and two sets are candidates if lists hold both of them l times;
 * the boundary is the size at which the cost is least: one for a key, SHARED_COST for a key that others share too.
 
-The order is by frequency class, rarest first, then by hash. Frequencies come from a count sketch over all documents
-whose size is fixed (CELLS); a coarse or wrong class costs time, never a link. A list of up to LIST documents gives
-pairs, whose counts are summed over all lists. The documents of a longer list are chained through its smallest node,
-an edge a document, so no list gives a square of rows; lists that the sketch calls frequent are dealt over several
-tasks and meet in a node of their own. Equal sets count as one node throughout and are never paired.
+A list of up to LIST sets gives pairs, whose counts are summed over all lists. A longer list gives none; its shingles
+are *common*, with a level that grows with the list's true length, and the sets in it are posted a second time. Two
+similar sets of which one is in no longer list have met already, so only those in longer lists need to meet again.
+For that each takes the lowest level at which its first n - need + ``depth`` shingles hold n - need + l that are not
+more common, posts these, and also all those of lower levels (``second_keys``). Sets of one level c have, at the depth
+where the first of them has its last, l shingles in common that are not over c; a set of a higher level has all those
+of a lower one. A long list is left only to sets which have too few rarer shingles: it is chained through its smallest
+set, an edge a set. Nothing here depends on the size of the input: lengths are counted, not estimated, and the
+counts are tables that join by key.
 
 The components of this candidate graph, the larger ones by size range as well, are *blocks*. A block that fits a unit
 is verified there, every pair by exact intersection counts (a matrix product). A larger one is cut into parts, and all
@@ -40,31 +44,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import partitions, stash
+from tidemark.llm.shared import clear, partitions, stash, written
 from tidemark.llm.shingles import chunks, mix, shingle_sets
 
-#: Cells of the count sketch (4 bytes each while counting, 1 byte when broadcast) and cells in one of its blocks.
-CELL_BITS, BLOCK_BITS = 22, 14
-#: Blocks of sketches that are added up at a time, about.
-FAN = 256
-#: Keys with about this many documents or more are dealt over several tasks: a power of two.
-SPLIT_CLASS = 12
 #: Most documents and shingles in one part of a unit; a unit has two parts.
 UNIT_DOCS, UNIT_SHINGLES = 64, 200_000
 #: Documents of a large block that all others of it meet first.
 LEADERS = 16
 #: Pairs of lists that a task holds before it adds them up.
 PAIRS = 250_000
-#: Longest list that gives pairs, and what a shared key costs in keys.
-LIST, SHARED_COST = 64, 16
+#: Longest list that gives pairs, and how many times longer the lists of a level are than those of the one below.
+LIST, LEVEL = 64, 8
+#: What a shared key costs in keys, and the share of all shingles (by hash) whose lists are counted to know how many are.
+SHARED_COST, SAMPLED = 16, 1 / 256
 #: Postings in one task of the key stage, about.
 BUCKET_POSTINGS = 200_000
 #: Largest size that the histogram tells apart; larger sets are heavy.
 LARGEST_LIGHT = 4096
-POSTING = np.dtype([("key", "<u8"), ("node", "<i8"), ("size", "<u4")])
-SPLIT = np.uint32(1 << 31)
-
-PROFILE = "doc_id long, mark long, n long, hi long, lo long, block int, cells binary, counts binary"
+PROFILE = "doc_id long, mark long, n long, hi long, lo long, sampled array<long>"
+POSTED = "node long, size int, l int, singles int, first array<long>, a array<long>, b array<long>"
 
 
 def need(n: np.ndarray | int, num: int, den: int):
@@ -89,71 +87,39 @@ def row_keys(doc_id: Column, mark: Column) -> list[Column]:
 ROW_KEYS = ["__td_mark", "__td_id", "__td_none"]
 
 
+def lists(values: list[np.ndarray]) -> pa.Array:
+    bounds = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    flat = np.concatenate(values) if values else np.empty(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat.view(np.int64)))
+
+
 def profile(docs: DataFrame, k: int) -> DataFrame:
-    """A row per document (hash of its text, size and fingerprint of its set) and the blocks of each task's count sketch."""
+    """A row per document: hash of its text, size and fingerprint of its set, and a set's sampled shingles once a task."""
     names = [x.split()[0] for x in PROFILE.split(", ")]
-    types = [pa.int64()] * 5 + [pa.int32(), pa.binary(), pa.binary()]
-
-    def rows(columns: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+    below, none = np.uint64(int(SAMPLED * (1 << 64))), np.empty(0, np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, seen = np.zeros(1 << CELL_BITS, np.uint32), set()
+        seen = set()
         for batch in batches:
-            ids, marks, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
             for start, data, bounds in chunks(batch.column(2)):
-                for i, own in enumerate(shingle_sets(data, bounds, k), start):
-                    hi, lo = fingerprint(own)
-                    out.append((ids[i], marks[i], len(own), hi, lo))
-                    if len(own) and (hi, lo) not in seen:
-                        seen.add((hi, lo))
-                        np.add.at(cells, (own >> np.uint64(64 - CELL_BITS)).astype(np.int64), np.uint32(1))
-            none = [None] * len(out)
-            yield rows([*(zip(*out) if out else [[]] * 5), none, none, none])
-        for b, block in enumerate(cells.reshape(-1, 1 << BLOCK_BITS)):
-            used = np.flatnonzero(block).astype(np.uint16)
-            if len(used):
-                yield rows([[None]] * 5 + [[b], [used.tobytes()], [block[used].tobytes()]])
+                out, sampled = [], []
+                for own in shingle_sets(data, bounds, k):
+                    mine = (len(own), *fingerprint(own))
+                    out.append(mine)
+                    sampled.append(none if mine in seen else own[: np.searchsorted(own, below)])
+                    seen.add(mine)
+                ids = [batch.column(i).slice(start, len(out)) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*ids, *(pa.array([x[i] for x in out], pa.int64()) for i in range(3)), lists(sampled)], names=names)
 
     clean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_mark().alias("mark"), F.coalesce("text", F.lit("")).alias("text"))
     return clean.mapInArrow(run, PROFILE)
 
 
-def sketch_classes(profiled: DataFrame) -> tuple[np.ndarray, float]:
-    """Bit length of each cell's count (1 MB for each million cells), and the share of occurrences in full cells.
-
-    The tasks' sketches are added up block by block, FAN of them at a time, so that no task holds more at once.
-    """
-    width = 1 << BLOCK_BITS
-
-    def total(table) -> np.ndarray:
-        out = np.zeros(width, np.uint64)
-        for at, counts in zip(table.column("cells").to_pylist(), table.column("counts").to_pylist()):
-            out[np.frombuffer(at, np.uint16)] += np.frombuffer(counts, np.uint32)
-        return out
-
-    def add(key, table):
-        cells = total(table)
-        used = np.flatnonzero(cells).astype(np.uint16)
-        counts = np.minimum(cells[used], 0xFFFFFFFF).astype(np.uint32)
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([used.tobytes()]), "counts": pa.array([counts.tobytes()])})
-
-    def finish(key, table):
-        cells = total(table)
-        classes = np.frexp(cells.astype(np.float64))[1].astype(np.uint8)
-        full = cells[cells > 2 * cells.mean() + 1].sum()
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "classes": pa.array([classes.tobytes()]), "n": pa.array([float(cells.sum())]), "full": pa.array([float(full)])})
-
-    blocks = profiled.filter("block is not null").select("block", "cells", "counts")
-    most = blocks.groupBy("block").count().agg(F.max("count")).first()[0] or 0
-    while most > FAN:
-        most = -(-most // FAN)
-        blocks = stash(blocks.groupBy("block", F.pmod(F.xxhash64("cells", "counts"), F.lit(most)).alias("turn")).applyInArrow(add, "block int, cells binary, counts binary"))
-    found = blocks.groupBy("block").applyInArrow(finish, "block int, classes binary, n double, full double").collect()
-    classes = np.zeros((1 << (CELL_BITS - BLOCK_BITS), width), np.uint8)
-    for row in found:
-        classes[row["block"]] = np.frombuffer(row["classes"], np.uint8)
-    return classes.reshape(-1), sum(r["full"] for r in found) / max(1.0, sum(r["n"] for r in found))
+def shared_share(profiled: DataFrame) -> float:
+    """Share of the sampled shingles that stand in a list of two or more."""
+    counts = profiled.select(F.explode("sampled").alias("x")).groupBy("x").count()
+    row = counts.agg(F.sum(F.when(F.col("count") > 1, F.col("count")).otherwise(0)).alias("shared"), F.sum("count").alias("n")).first()
+    return float(row["shared"] or 0) / max(1, row["n"] or 0)
 
 
 def choose_boundary(sizes: dict[int, int], shared: float, num: int, den: int) -> tuple[int, int]:
@@ -176,60 +142,85 @@ def ell(n, boundary: int, num: int, den: int):
     return np.where(n > boundary, 1 + (n - need(n, num, den) + 1) // 8, 1)
 
 
-def postings(docs: DataFrame, k: int, num: int, den: int, classes, boundary: int, buckets: int) -> DataFrame:
-    """Blobs of POSTING by bucket of the key."""
-    near = need(boundary + 1, num, den)
+def depth(n: np.ndarray | int):
+    """How far over n - need a set looks for shingles that are not common; at most need."""
+    return 1 + n // 8
 
-    def keys(own: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+
+def postings(docs: DataFrame, k: int, num: int, den: int, boundary: int) -> DataFrame:
+    """A row per set and task: node, size, l, its first shingles by hash (``singles`` of them are keys), pairs (a, b)."""
+    near, none = need(boundary + 1, num, den), np.empty(0, np.uint64)
+    names = [x.split()[0] for x in POSTED.split(", ")]
+
+    def keys(own: np.ndarray) -> tuple:
         n = len(own)
-        kind = table[(own >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-        most = n - need(n, num, den) + (2 if n <= boundary else int(ell(n, boundary, num, den)))
-        first = np.argsort((kind.astype(np.uint64) << np.uint64(56)) | (own >> np.uint64(8)), kind="stable")[:most]
-        own, kind = own[first], kind[first]
+        rest, most = n - need(n, num, den), int(ell(n, boundary, num, den))
+        # deep enough for any set that is similar, whose size is n * den / num at most
+        first = own[: rest + int(depth(-(-n * den // num)))]
         if n > boundary:
-            return own, kind
-        i, j = np.triu_indices(most, 1)
-        pair = mix(np.minimum(own[i], own[j]) * np.uint64(3) + mix(np.maximum(own[i], own[j])))
-        both = np.minimum(kind[i], kind[j])
-        if n < near:
-            return pair, both
-        return np.append(pair, own[: most - 1]), np.append(both, kind[: most - 1])
+            return n, most, rest + most, first, none, none
+        i, j = np.triu_indices(min(n, rest + 2), 1)
+        return n, most, rest + 1 if n >= near else 0, first, own[i], own[j]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen, waiting, held = classes.value, set(), [], 0
-
-        def flush() -> pa.RecordBatch:
-            every = np.concatenate([x for x, _ in waiting]) if waiting else np.empty(0, POSTING)
-            where = np.concatenate([b for _, b in waiting]) if waiting else np.empty(0, np.int64)
-            every = every[np.argsort(where, kind="stable")]
-            which, starts = np.unique(np.sort(where), return_index=True)
-            blobs = [x.tobytes() for x in np.split(every, starts[1:])] if len(which) else []
-            return pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
-
+        seen = set()
         for batch in batches:
             for _, data, bounds in chunks(batch.column(0)):
+                out, nodes = [], []
                 for own in shingle_sets(data, bounds, k):
-                    n = len(own)
-                    if n * den < num * (n + 1):  # similar to equal sets alone
-                        continue
-                    hi, node = fingerprint(own)
-                    if (hi, node) in seen:
+                    if len(own) * den < num * (len(own) + 1):  # similar to equal sets alone
                         continue
-                    seen.add((hi, node))
-                    key, kind = keys(own, table)
-                    parts = np.left_shift(np.uint64(1), np.maximum(kind.astype(np.int64) - SPLIT_CLASS, 0).astype(np.uint64))
-                    mine = np.empty(len(key), POSTING)
-                    mine["key"], mine["node"], mine["size"] = key, node, min(n, int(SPLIT) - 1)
-                    mine["size"][parts > 1] |= SPLIT
-                    salt = np.uint64(node & 0xFFFFFFFFFFFF) % parts
-                    waiting.append((mine, (mix(key + salt * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)).astype(np.int64)))
-                    held += len(key)
-                if held > 500_000:
-                    yield flush()
-                    waiting, held = [], 0
-        yield flush()
-
-    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "bucket int, blob binary")
+                    mine = fingerprint(own)
+                    if mine not in seen:
+                        seen.add(mine)
+                        nodes.append(mine[1])
+                        out.append(keys(own))
+                size, most, singles, *arrays = zip(*out) if out else [()] * 6
+                plain = [pa.array(nodes, pa.int64()), *(pa.array(np.array(x, np.int32)) for x in (size, most, singles))]
+                yield pa.RecordBatch.from_arrays([*plain, *(lists(list(x)) for x in arrays)], names=names)
+
+    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, POSTED)
+
+
+def first_keys(posted: DataFrame) -> DataFrame:
+    """Rows a, b, node, size, l: a pair's key is (a, b), that of a single shingle (a, 0)."""
+    plain = posted.select("node", "size", "l", F.explode(F.slice("first", F.lit(1), F.col("singles"))).alias("a")).withColumn("b", F.lit(0).cast("long"))
+    paired = posted.filter(F.size("a") > 0).select("node", "size", "l", F.inline(F.arrays_zip("a", "b")))
+    return plain.unionByName(paired).select("a", "b", "node", "size", "l")
+
+
+def long_lists(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Keys (a, b) that more than LIST sets have, with their number and smallest set; and the rows node, a, b of those.
+
+    Rows are counted first, combined before the shuffle. As a set can have a row from each task that met a copy of it,
+    the sets are then counted where the rows are more than LIST.
+    """
+    many = stash(keys.groupBy("a", "b").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > LIST).select("a", "b"))
+    rows = stash(keys.join(many, ["a", "b"]).select("node", "a", "b").distinct())
+    long = stash(rows.groupBy("a", "b").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("least")).filter(F.col("sets") > LIST))
+    return long, rows.join(long, ["a", "b"])
+
+
+def shingle_levels(long: DataFrame) -> DataFrame:
+    """shingle and level (1 or more) of each shingle that a key of a long list holds; all others have level 0."""
+    level = F.floor(F.log(F.max("sets") / F.lit(float(LIST))) / F.lit(math.log(LEVEL))).cast("int") + 1
+    return long.select("sets", F.explode(F.array("a", "b")).alias("shingle")).filter("shingle <> 0").groupBy("shingle").agg(level.alias("level"))
+
+
+def second_keys(posted: DataFrame, common: DataFrame, levels: DataFrame, num: int, den: int) -> DataFrame:
+    """Rows a, b, node, size, l of the sets in long lists: n - need + l shingles not over the set's level, all below it."""
+    again = posted.join(common.select("node").distinct(), "node", "left_semi")
+    one = again.select("node", "size", "l", F.posexplode("first").alias("at", "shingle")).join(levels, "shingle", "left")
+    key = F.struct("at", F.coalesce("level", F.lit(0)).alias("level"), "shingle")
+    sets = one.groupBy("node", "size", "l").agg(F.array_sort(F.collect_set(key)).alias("keys"))
+    size = F.col("size").cast("long")
+    rest = size - F.ceil(size * F.lit(num) / F.lit(den))
+    sets = sets.withColumn("most", (rest + F.col("l")).cast("int")).withColumn("near", F.slice("keys", F.lit(1), (rest + F.lit(1) + F.floor(size / 8)).cast("int")))
+    sets = sets.withColumn("own", F.element_at(F.array_sort(F.transform("near", lambda x: x["level"])), F.col("most")))
+    enough = F.slice(F.filter("near", lambda x: x["level"] <= F.col("own")), F.lit(1), F.col("most"))
+    below = F.filter("keys", lambda x: x["level"] < F.col("own"))
+    chosen = sets.select("node", "size", "l", F.explode(F.array_union(enough, below)).alias("k"))
+    return chosen.select(F.col("k.shingle").alias("a"), F.lit(0).cast("long").alias("b"), "node", "size", "l")
 
 
 def summed(pairs: np.ndarray) -> np.ndarray:
@@ -241,43 +232,53 @@ def summed(pairs: np.ndarray) -> np.ndarray:
     return np.concatenate([pairs[:3, fresh], np.add.reduceat(pairs[3], fresh)[None, :]])
 
 
-def candidate_edges(posted: DataFrame, num: int, den: int, boundary: int) -> DataFrame:
-    """Edges (a, b) that connect all nodes which share enough keys and whose sizes allow a link."""
+def met(keys: DataFrame, num: int, den: int, buckets: int) -> DataFrame:
+    """Pairs (a, b) of sets whose sizes allow a link and which the lists, none of them long, hold often enough."""
 
     def link(table):
-        every = np.concatenate([np.frombuffer(x, POSTING) for x in table.column("blob").to_pylist()])
-        split, size = (every["size"] & SPLIT) > 0, (every["size"] & ~SPLIT).astype(np.int64)
-        order = np.lexsort((size, every["key"]))
-        key, node, size, split = every["key"][order], every["node"][order], size[order], split[order]
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (~split[1:] & (size[:-1] * den < size[1:] * num))
+        order = np.lexsort([table.column(c).to_numpy() for c in ("node", "b", "a")])
+        a, b, node, size, l = (table.column(c).to_numpy()[order] for c in ("a", "b", "node", "size", "l"))
+        again = np.zeros(len(a), bool)
+        again[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1]) & (node[1:] == node[:-1])
+        a, b, node, size, l = (x[~again] for x in (a, b, node, size.astype(np.int64), l.astype(np.int64)))
+        order = np.lexsort((size, b, a))
+        a, b, node, size, l = (x[order] for x in (a, b, node, size, l))
+        fresh = np.ones(len(a), bool)
+        fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (size[:-1] * den < size[1:] * num)
         starts = np.flatnonzero(fresh)
-        length = np.diff(np.append(starts, len(key)))
+        length = np.diff(np.append(starts, len(a)))
         out, waiting = [], 0
-        for many in np.unique(length[(length > 1) & (length <= LIST)]):
-            every = starts[(length == many) & ~split[starts]]
+        for many in np.unique(length[length > 1]):
+            every = starts[length == many]
             i, j = np.triu_indices(many, 1)
-            for own in np.array_split(every, -(-len(every) * len(i) // PAIRS)) if len(every) else []:
+            for own in np.array_split(every, -(-len(every) * len(i) // PAIRS)):
                 x, y = (own[:, None] + i[None, :]).ravel(), (own[:, None] + j[None, :]).ravel()
-                fit = (size[x] * den >= size[y] * num) & (node[x] != node[y])
+                fit = size[x] * den >= size[y] * num
                 x, y = x[fit], y[fit]
-                least = np.minimum(ell(size[x], boundary, num, den), ell(size[y], boundary, num, den))
-                out.append(np.stack([np.maximum(node[x], node[y]), np.minimum(node[x], node[y]), least, np.ones(len(x), np.int64)]))
+                out.append(np.stack([np.maximum(node[x], node[y]), np.minimum(node[x], node[y]), np.minimum(l[x], l[y]), np.ones(len(x), np.int64)]))
                 waiting += len(x)
                 if waiting > 2 * PAIRS:
                     out = [summed(np.concatenate(out, 1))]
                     waiting = 0
         pair = summed(np.concatenate(out, 1)) if out else np.empty((4, 0), np.int64)
-        lowest, hubs = np.minimum.reduceat(node, starts), split[starts]
-        star = np.repeat(hubs | (length > LIST), length)
-        a = np.concatenate([node[star], lowest[hubs]])
-        b = np.concatenate([np.repeat(lowest, length)[star], mix(key[starts][hubs] ^ np.uint64(0xA5A5A5A5A5A5A5A5)).astype(np.int64)])
-        sure = np.unique(np.stack([a, b], 1)[a != b], axis=0)
-        every = np.concatenate([pair, np.stack([sure[:, 0], sure[:, 1], np.ones(len(sure), np.int64), np.ones(len(sure), np.int64)])], 1)
-        return pa.table({name: pa.array(c) for name, c in zip("abln", every)})
+        return pa.table({name: pa.array(c) for name, c in zip("abln", pair)})
 
-    met = posted.groupBy("bucket").applyInArrow(link, "a long, b long, l long, n long")
-    return met.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("l").alias("l")).filter("n >= l").select("a", "b")
+    dealt = keys.select(F.pmod(F.xxhash64("a", "b"), F.lit(buckets)).alias("bucket"), "a", "b", "node", "size", "l")
+    found = dealt.groupBy("bucket").applyInArrow(link, "a long, b long, l long, n long")
+    return found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("l").alias("l")).filter("n >= l").select("a", "b")
+
+
+def candidate_edges(posted: DataFrame, num: int, den: int, buckets: int) -> DataFrame:
+    """Edges (a, b) that connect all nodes which share enough keys and whose sizes allow a link."""
+    keys = first_keys(posted)
+    long, common = long_lists(keys)
+    edges = met(keys.join(long, ["a", "b"], "left_anti"), num, den, buckets)
+    if long.isEmpty():
+        return edges
+    again = stash(second_keys(posted, common, stash(shingle_levels(long)), num, den))
+    left, chained = long_lists(again)
+    more = met(again.join(left, ["a", "b"], "left_anti"), num, den, buckets)
+    return edges.unionByName(more).unionByName(chained.select(F.col("node").alias("a"), F.col("least").alias("b")))
 
 
 def overlaps(sets: list[np.ndarray], columns: int = 8192) -> np.ndarray:
@@ -422,18 +423,17 @@ def labelled_sets(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFram
         raise ValueError("the similarity must be over 1/2 and at most 1")
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    mark = written()
     profiled = stash(profile(docs, k))
-    each = profiled.filter("block is null").select("doc_id", "mark", "n", "hi", "lo")
+    each = profiled.select("doc_id", "mark", "n", "hi", "lo")
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
     distinct = each.filter("n > 0").groupBy("hi", "lo", "n").agg(F.min(first).alias("f"))
     distinct = stash(distinct.select("hi", "lo", "n", F.col("f.doc_id").alias("least"), F.col("f.mark").alias("mark")))
-    classes, shared = sketch_classes(profiled)
     sizes = {r["n"]: r["c"] for r in distinct.groupBy(F.least("n", F.lit(LARGEST_LIGHT)).alias("n")).agg(F.count(F.lit(1)).alias("c")).collect()}
-    boundary, total = choose_boundary(sizes, shared, num, den)
+    boundary, total = choose_boundary(sizes, shared_share(profiled), num, den)
     deals = partitions(spark)
-    buckets = max(2 * deals, total // BUCKET_POSTINGS)
-    handed = spark.sparkContext.broadcast(classes)
-    near = components(candidate_edges(postings(docs, k, num, den, handed, boundary, buckets), num, den, boundary), contract=True)
+    posted = stash(postings(docs, k, num, den, boundary))
+    near = components(candidate_edges(posted, num, den, max(2 * deals, total // BUCKET_POSTINGS)), contract=True)
 
     named = stash(distinct.join(near, F.col("lo") == F.col("node")).select(F.col("lo").alias("rep"), F.col("component").alias("comp"), "n", "hi", "lo", "least", "mark"))
     texts = docs.select(*row_keys(F.col("doc_id"), text_mark()), F.coalesce("text", F.lit("")).alias("text"))
@@ -447,7 +447,9 @@ def labelled_sets(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFram
     roots = links.join(ids, "component").select("node", F.col("component").alias("root"), "smallest")
     labelled = distinct.join(roots, F.col("lo") == F.col("node"), "left")
     labelled = labelled.select("hi", "lo", F.col("n").alias("size"), "least", "mark", F.coalesce("root", "lo").alias("root"), F.coalesce("smallest", "least").alias("component_id"))
-    return each, stash(labelled)
+    labelled = stash(labelled)
+    clear(spark, mark, each, labelled)
+    return each, labelled
 
 
 def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -472,3 +474,20 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Data
     turn = F.row_number().over(Window.partitionBy(*ROW_KEYS).orderBy(*ROW_KEYS))
     kept = keyed.join(found, ROW_KEYS, "left_semi").withColumn("__td_turn", turn).filter("__td_turn = 1")
     return kept.select(docs.columns).unionByName(docs.filter(wordless))
+
+
+ORACLE = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(generate_series(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS xs FROM t
+), e AS MATERIALIZED (SELECT doc_id, len(xs) AS n, unnest(xs) AS x FROM s),
+p AS (
+  SELECT a.doc_id AS i, b.doc_id AS j FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id AND a.n * 100 >= b.n * 85 AND b.n * 100 >= a.n * 85
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), links AS MATERIALIZED (SELECT i, j FROM p UNION ALL SELECT j, i FROM p),
+r AS (SELECT DISTINCT i AS doc_id, i AS reached FROM links UNION SELECT r.doc_id, links.j FROM r JOIN links ON links.i = r.reached)
+SELECT s.doc_id, CAST(len(xs) AS BIGINT) AS n_shingles, coalesce(least(s.doc_id, c.low), s.doc_id) AS component_id
+FROM s LEFT JOIN (SELECT doc_id, min(reached) AS low FROM r GROUP BY doc_id) c ON c.doc_id = s.doc_id
+"""

@@ -69,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_lm_score": backoff.ORACLE, "op3_lm_score_all": backoff.ORACLE_ALL, "op6_mixing": mixing_sql.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_lm_score": backoff.ORACLE, "op3_lm_score_all": backoff.ORACLE_ALL, "op6_mixing": mixing_sql.ORACLE, "op7_ngram_jaccard": ngram_join.ORACLE}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,8 +35,14 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-#: Folders that stash() has written in this process.
-_written: list[str] = []
+class _Tables(threading.local):
+    """Folders that stash() has written in this thread and that are still there."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_tables = _Tables()
 
 
 def stash(df: DataFrame) -> DataFrame:
@@ -43,17 +50,25 @@ def stash(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stash-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append(path)
+    _tables.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear(spark: SparkSession) -> int:
-    """Deletes what stash() has written in this process, once no result that reads it is needed; returns how many."""
-    n = len(_written)
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+def written() -> int:
+    """A mark for clear(): the tables written from now on come after it."""
+    return len(_tables.paths)
+
+
+def clear(spark: SparkSession, since: int = 0, *keep: DataFrame) -> int:
+    """Deletes the tables written after the mark, but for those that keep reads; returns how many."""
+    read = [f for df in keep for f in df.inputFiles()]
+    own, _tables.paths[since:] = _tables.paths[since:], []
+    dropped = [p for p in own if not any(f"/{os.path.basename(p)}/" in f for f in read)]
+    for p in dropped:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return n
+    _tables.paths += [p for p in own if p not in set(dropped)]
+    return len(dropped)
 
 
 def partitions(spark: SparkSession) -> int:
