@@ -122,24 +122,25 @@ def test_held_out_roles(spark):
 # Scores
 
 
-def plain_scores(rows):
-    texts = [(i, WORD.findall((t or "").translate(LOWER))) for i, t in rows]
-    one = Counter(w for _, ws in texts for w in ws)
-    two = Counter(p for _, ws in texts for p in zip(ws, ws[1:]))
+def plain_scores(rows, corpus, least):
+    read = lambda table: [(i, WORD.findall((t or "").translate(LOWER))) for i, t in table]
+    known = read(corpus)
+    one = Counter(w for _, ws in known for w in ws)
+    two = Counter(p for _, ws in known for p in zip(ws, ws[1:]))
     n, out = sum(one.values()), {}
-    for i, ws in texts:
-        s = math.log(one[ws[0]] / n) if ws else 0.0
+    for i, ws in read(rows):
+        s = math.log(max(1, one[ws[0]]) / n) if ws else 0.0
         for u, w in zip(ws, ws[1:]):
-            s += math.log(two[u, w] / one[u]) if two[u, w] >= 2 else math.log(0.4 * one[w] / n)
+            s += math.log(two[u, w] / one[u]) if two[u, w] >= least else math.log(0.4 * max(1, one[w]) / n)
         k, before = out.get(i, (0, 0.0))
         out[i] = (k + len(ws), before + s)
     return out
 
 
-@pytest.mark.parametrize("tight", [False, True])
-def test_backoff_scores(spark, monkeypatch, tight):
+@pytest.mark.parametrize("least, other, tight", [(1, False, False), (1, False, True), (1, True, False), (2, False, False), (2, True, False)])
+def test_backoff_scores(spark, monkeypatch, least, other, tight):
     if tight:
-        for name, value in {"HOT_BITS": 5, "VERY_HOT": 4, "FLUSH": 150, "BUCKET_PAIRS": 300}.items():
+        for name, value in {"HOT_BITS": 5, "VERY_HOT": 4, "WORDS_A_PARTITION": 300}.items():
             monkeypatch.setattr(backoff, name, value)
     rng = random.Random(8)
     words = [f"w{i}" for i in range(60)]
@@ -148,8 +149,10 @@ def test_backoff_scores(spark, monkeypatch, tight):
     ids = [*range(len(texts))]
     ids[5], ids[6] = 4, None
     rows = list(zip(ids, texts))
-    got = backoff.score(spark.createDataFrame([(i, t, "own") for i, t in rows], "doc_id long, text string, n_words string")).collect()
-    want = plain_scores(rows)
+    corpus = [(i, t) for i, t in rows if i is not None and i % 3] if other else rows
+    table = lambda own: spark.createDataFrame([(i, t, "own") for i, t in own], "doc_id long, text string, n_words string")
+    got = backoff.score(table(rows), table(corpus) if other else None, least).collect()
+    want = plain_scores(rows, corpus, least)
     assert Counter(r["doc_id"] for r in got) == Counter(ids)
     for r in got:
         n, s = want[r["doc_id"]]
@@ -158,4 +161,5 @@ def test_backoff_scores(spark, monkeypatch, tight):
 
 
 def test_no_scores(spark):
-    assert backoff.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert backoff.score(empty).count() == backoff.score(empty, empty).count() == 0

@@ -1,18 +1,24 @@
-"""Stupid-backoff scores of documents under the bigram counts of all documents.
+"""Stupid-backoff scores of documents under the bigram counts of a corpus.
 
-S(w | u) = c(u w) / c(u) where the pair occurs ``least`` times or more (1: every pair that occurs), else ALPHA * c(w) / N; a row's first word has
-c(w) / N. A document's score is the sum of the natural logarithms over its words.
+S(w | u) = c(u w) / c(u) where the corpus has the pair ``least`` times or more, else ALPHA * c(w) / N; a row's first
+word has c(w) / N. A document's score is the sum of the natural logarithms over its words. A word that the corpus does
+not have counts as seen once.
 
-Counts and scores are relational: count tables are partitioned by hash, the documents' distinct pairs are sent to the
-partition of their count, joined there, and what each pair adds is summed per document. A pair goes where the counts of
-its second word are, so a pair that backs off needs nothing else; one that does not, and whose first word is rare, is
-sent on to that word's counts. Words with N / 2**HOT_BITS or more occurrences, at most 2**HOT_BITS, are broadcast with
-their counts, and pairs with such a second word are dealt by the hash of the pair. Pairs of the VERY_HOT most frequent
-words are counted beforehand and broadcast, at most VERY_HOT squared, and are scored where they lie: any pair that has
-a share of 1 / VERY_HOT of all words is one of them, so no key gathers more than that share in a task.
+The scores are relational: count tables of n-grams, partitioned by hash, meet the documents' n-grams, a row for each
+that is distinct in a document, in a join on the n-gram, and what each adds is summed per document. Numpy only makes
+n-grams of Arrow batches.
 
-Words are as in the other operators (A-Z lower-cased), known by 64 bits of a hash: two words of a corpus are taken for
-one with a chance of 2**-64 for each pair of words.
+``score`` takes any corpus and any ``least``: pairs meet the pair counts, and then the word whose count they need, the
+first word's or, backing off, the second's, meets the word counts. ``score_own`` is for documents that are the corpus
+themselves, with every pair counted. No pair backs off then, and the sum over a document is one over its n-grams: a
+pair adds ln c for each time it occurs; a word takes ln c away for each time another follows and adds it where it is
+first. So the count tables and the documents' n-grams are one relation, partitioned by hash of the n-gram in a single
+exchange, and each row gets the count of its n-gram from a window over it. Words with N / 2**HOT_BITS or more occurrences (at most 2**HOT_BITS) and pairs of the VERY_HOT most frequent words
+(at most VERY_HOT squared) are counted beforehand, broadcast, and added up where n-grams are made: no n-gram with a
+share of over 1 / VERY_HOT of all words is ever shuffled.
+
+Words are as in the other operators (A-Z lower-cased), known by 64 bits of a hash, as are pairs: two n-grams are taken
+for one with a chance of 2**-64 for each pair of n-grams.
 
 Defined results: null, empty and word-free texts have no words, a score of 0 and a null mean; rows that share a doc_id
 (or have none) are one document, of which each row gets the whole score; an empty table gives no rows. A text is read
@@ -26,25 +32,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import partitions, stash
+from tidemark.llm.shared import clear, partitions, stash, written
 from tidemark.llm.shingles import chunks, mix, word_hashes
 
-ALPHA, MIN_COUNT = 0.4, 2
-#: Broadcast words: those with N / 2**HOT_BITS occurrences or more.
-HOT_BITS = 20
-VERY_HOT = 256
-#: Words after which a task hands on what it has gathered, and pairs in one bucket, about.
-FLUSH, BUCKET_PAIRS = 600_000, 2_000_000
-#: Rows of the input for each bucket of words and of documents, and least number of buckets.
-ROWS_A_BUCKET, LEAST_BUCKETS = 2000, 16
+ALPHA = 0.4
+#: Broadcast words: those with N / 2**HOT_BITS occurrences or more; words all of whose pairs are broadcast.
+HOT_BITS, VERY_HOT = 20, 256
+#: Words of the corpus for each partition of n-grams.
+WORDS_A_PARTITION = 4_000_000
 #: Documents without an id are one document, of this number.
 NO_ID = -(1 << 63)
-#: Largest id, so that one more still fits.
-LAST = np.uint64((1 << 64) - 2)
 
+#: With pairs that occur twice or more.
 ORACLE = r"""
 WITH t AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
@@ -63,98 +65,89 @@ SELECT d.doc_id, coalesce(s.n_words, 0) AS n_words, round(coalesce(s.score, 0.0)
 FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id
 """
 
-#: The same with every pair that occurs.
+#: The model that the corpus itself gives: every pair that occurs is in it.
 ORACLE_ALL = ORACLE.replace("c2.n >= 2", "c2.n >= 1")
 
 
-def gathered(column, kind) -> np.ndarray:
-    """The arrays of a binary column, one after another."""
-    parts = [np.frombuffer(x, kind) for x in column.to_pylist() if x]
-    return np.concatenate(parts) if parts else np.empty(0, kind)
+def words_of(batch: pa.RecordBatch):
+    """Ids (null: NO_ID), number of the document in the run, and words (never 0), of runs of rows doc_id, text."""
+    ids = batch.column(0).fill_null(NO_ID).to_numpy()
+    for start, data, bounds in chunks(batch.column(1)):
+        words, doc = word_hashes(data, bounds)
+        yield ids[start : start + len(bounds) - 1], doc, np.maximum(words, np.uint64(1))
 
 
-def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and the sums of their values."""
-    if not len(keys):
-        return keys, values
-    order = np.argsort(keys, kind="stable")
-    keys, values = keys[order], values[order]
-    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys[starts], np.add.reduceat(values, starts)
+def rows_of(names: str, *columns: np.ndarray) -> pa.RecordBatch:
+    signed = [c.view(np.int64) if c.dtype == np.uint64 else c for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in signed], names=names.split())
 
 
-def dealt(where: np.ndarray, columns: list[np.ndarray]):
-    """Bucket and slices of the columns for each bucket that has rows."""
-    order = np.argsort(where, kind="stable")
-    where = where[order]
-    starts = np.flatnonzero(np.append(True, where[1:] != where[:-1])) if len(where) else np.empty(0, int)
-    columns = [c[order] for c in columns]
-    for a, b in zip(starts, np.append(starts[1:], len(where))):
-        yield int(where[a]), [c[a:b] for c in columns]
+def grouped(doc: np.ndarray, key: np.ndarray, *values: np.ndarray):
+    """Distinct pairs of document and key, and the sums of the values."""
+    order = np.lexsort((key, doc))
+    doc, key = doc[order], key[order]
+    starts = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]))) if len(doc) else np.empty(0, np.int64)
+    return doc[starts], key[starts], *(np.add.reduceat(v[order], starts) if len(doc) else v for v in values)
 
 
-def home(ids: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix(ids) % np.uint64(buckets)).astype(np.int64)
+def texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def words_of(batch: pa.RecordBatch):
-    """Ids (null: NO_ID), number of the document in the run, and words, of runs of rows doc_id, text."""
-    ids = batch.column(0).fill_null(NO_ID).to_numpy()
-    for start, data, bounds in chunks(batch.column(1)):
-        words, doc = word_hashes(data, bounds)
-        yield ids[start : start + len(bounds) - 1], doc, np.minimum(words, LAST)
+def word_counts(docs: DataFrame) -> DataFrame:
+    """w and n: how often each word occurs."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, words in words_of(batch):
+                yield rows_of("w n", *np.unique(words, return_counts=True))
+
+    return docs.mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
-def count_words(docs: DataFrame, buckets: int) -> DataFrame:
-    """bucket, ids, counts and total: the counts of all words, in buckets by hash."""
+
+def bigrams(docs: DataFrame) -> DataFrame:
+    """doc, u, w, n: how often w follows u in the rows of a document; u is 0 before a row's first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, waiting, held = np.empty(0, np.uint64), np.empty(0, np.int64), [], 0
+        for batch in batches:
+            for own, doc, words in words_of(batch):
+                first = np.zeros(len(words), np.uint64)
+                same = doc[1:] == doc[:-1]
+                first[1:][same] = words[:-1][same]
+                order = np.lexsort((first, words, doc))
+                d, u, w = doc[order], first[order], words[order]
+                starts = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (u[1:] != u[:-1]) | (w[1:] != w[:-1]))) if len(d) else np.empty(0, np.int64)
+                yield rows_of("doc u w n", own[d[starts]], u[starts], w[starts], np.diff(np.append(starts, len(d))))
 
-        def flush() -> pa.RecordBatch:
-            rows = [(b, k.tobytes(), c.astype(np.uint32).tobytes()) for b, (k, c) in dealt(home(keys, buckets), [keys, counts])]
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "ids", "counts"])
+    return docs.mapInArrow(run, "doc long, u long, w long, n long")
 
-        def merge():
-            fresh, n = np.unique(np.concatenate(waiting), return_counts=True) if waiting else (keys[:0], counts[:0])
-            return summed(np.append(keys, fresh), np.append(counts, n))
 
-        for batch in batches:
-            for _, _, words in words_of(batch):
-                waiting.append(words)
-                held += len(words)
-                if held > FLUSH:
-                    keys, counts = merge()
-                    waiting, held = [], 0
-            if len(keys) > 2 * FLUSH:
-                yield flush()
-                keys, counts = keys[:0], counts[:0]
-        keys, counts = merge()
-        yield flush()
-
-    def total(key, table):
-        keys, counts = summed(gathered(table.column("ids"), "<u8"), gathered(table.column("counts"), "<u4").astype(np.int64))
-        row = {"bucket": pa.array([key[0].as_py()], pa.int32()), "ids": [keys.tobytes()], "counts": [counts.tobytes()], "total": [int(counts.sum())]}
-        return pa.table(row)
-
-    made = docs.mapInArrow(run, "bucket int, ids binary, counts binary")
-    return made.groupBy("bucket").applyInArrow(total, "bucket int, ids binary, counts binary, total long")
-
-
-def hot_words(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words with least occurrences or more, sorted, and their counts."""
-
-    def run(batches):
-        for batch in batches:
-            ids, counts = gathered(batch.column(0), "<u8"), gathered(batch.column(1), "<i8")
-            fit = counts >= least
-            yield pa.RecordBatch.from_arrays([pa.array([ids[fit].tobytes()]), pa.array([counts[fit].tobytes()])], names=["ids", "counts"])
+def results(sums: DataFrame) -> DataFrame:
+    """A row for each row of a document; sums: doc, words, score and rows of each."""
+    each = sums.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
+    doc_id = F.when(F.col("doc") != F.lit(NO_ID), F.col("doc")).alias("doc_id")
+    mean = F.when(F.col("words") > 0, F.round(F.col("score") / F.col("words"), 4)).alias("mean_log_score")
+    return each.select(doc_id, F.col("words").alias("n_words"), F.round("score", 4).alias("log_score"), mean)
 
-    rows = counted.select("ids", "counts").mapInArrow(run, "ids binary, counts binary").collect()
-    ids = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(r["ids"], np.uint64) for r in rows)])
-    counts = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(r["counts"], np.int64) for r in rows)])
-    order = np.argsort(ids)
-    return ids[order], counts[order]
+
+def score(docs: DataFrame, corpus: DataFrame | None = None, least: int = 1) -> DataFrame:
+    """doc_id, n_words, log_score and mean_log_score (four decimals) of every row, under the counts of ``corpus``.
+
+    Pairs that it has fewer than ``least`` times back off. Without a corpus it is docs themselves.
+    """
+    if corpus is None and least <= 1:
+        return score_own(docs)
+    docs, known = texts(docs), texts(docs if corpus is None else corpus)
+    one = word_counts(known).select(F.col("w").alias("x"), F.col("n").alias("c"))
+    two = bigrams(known).filter("u <> 0").groupBy("u", "w").agg(F.sum("n").alias("both")).filter(F.col("both") >= least)
+    total = math.log(max(1, one.agg(F.sum("c")).first()[0] or 0))
+    pairs = bigrams(docs).join(two, ["u", "w"], "left")
+    hit, n = F.col("both").isNotNull(), F.col("n")
+    plus = F.when(hit, n * F.log("both")).when(F.col("u") == 0, -n * F.lit(total)).otherwise(n * F.lit(math.log(ALPHA) - total))
+    asked = pairs.select("doc", n.alias("words"), plus.alias("plus"), F.when(hit, F.col("u")).otherwise(F.col("w")).alias("x"), F.when(hit, -n).otherwise(n).alias("m"))
+    added = asked.join(one, "x", "left").select("doc", "words", (F.col("plus") + F.col("m") * F.log(F.coalesce("c", F.lit(1)))).alias("score"), F.lit(0).alias("rows"))
+    rows = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), F.lit(0).cast("long").alias("words"), F.lit(0.0).alias("score"), F.lit(1).alias("rows"))
+    return results(added.unionByName(rows).groupBy("doc").agg(*[F.sum(c).alias(c) for c in ("words", "score", "rows")]))
 
 
 def found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +171,7 @@ def frequent_pairs(docs: DataFrame, top) -> np.ndarray:
                 both = there[1:] & there[:-1] & (doc[1:] == doc[:-1])
                 seen += np.bincount(at[:-1][both] * m + at[1:][both], minlength=m * m) if both.any() else 0
         where = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(where, pa.int64()), pa.array(seen[where], pa.int64())], names=["pair", "n"])
+        yield rows_of("pair n", where, seen[where])
 
     m = len(top.value)
     out = np.zeros((m, m), np.int64)
@@ -187,167 +180,58 @@ def frequent_pairs(docs: DataFrame, top) -> np.ndarray:
     return out
 
 
-PAIRS = "bucket int, docs binary, lens binary, first binary, second binary, n binary, plus binary, words binary, rows binary"
-
+def ngram_rows(docs: DataFrame, hot, top, pairs, total: int) -> DataFrame:
+    """doc, key, n, m, plus: an n-gram's occurrences n in a document, and the m times that its ln c counts.
 
-def exploded(docs: DataFrame, hot, top, pairs, total: int, buckets: int, least: int) -> DataFrame:
-    """The documents' distinct pairs by bucket, and a row for each flush with what is scored already."""
-    names = [x.split()[0] for x in PAIRS.split(", ")]
+    A row of docs has one of its own as well, with n = 0: its number of words as m, and the sum of what is known already.
+    """
+    names = "doc key n m plus"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (table, counts), best, known = hot.value, top.value, pairs.value
-        m = len(best)
-        waiting, ids, held = [], [], 0
-
-        def flush() -> pa.RecordBatch:
-            doc_ids = np.concatenate(ids) if ids else np.empty(0, np.int64)
-            doc, first, second, plus, words = (np.concatenate(x) for x in zip(*waiting)) if waiting else [np.empty(0, t) for t in (np.int64, np.uint64, np.uint64)] + [np.empty(0)] * 2
-            rows = []
-            if len(doc_ids):
-                every = np.bincount(doc, words, len(doc_ids)).astype(np.int64) if len(doc) else np.zeros(len(doc_ids), np.int64)
-                sums = np.bincount(doc, np.nan_to_num(plus), len(doc_ids)) if len(doc) else np.zeros(len(doc_ids))
-                rows.append((int(mix(doc_ids[:1].astype(np.uint64))[0] % np.uint64(buckets)), doc_ids.tobytes(), b"", b"", b"", b"", sums.tobytes(), every.tobytes(), np.ones(len(doc_ids), np.int64).tobytes()))
-            left = np.isnan(plus) if len(plus) else np.zeros(0, bool)
-            doc, first, second, n = doc[left], first[left], second[left], words[left]
-            _, is_hot = found(table, second)
-            where = np.where(is_hot, home(mix(first) ^ second, buckets), home(second, buckets))
-            for b, (d, u, w, c) in dealt(where, [doc, first, second, n]):
-                starts = np.flatnonzero(np.append(True, d[1:] != d[:-1]))
-                lens = np.diff(np.append(starts, len(d))).astype(np.uint32)
-                rows.append((b, doc_ids[d[starts]].tobytes(), lens.tobytes(), u.tobytes(), w.tobytes(), c.astype(np.uint32).tobytes(), b"", b"", b""))
-            types = [pa.int32()] + [pa.binary()] * 8
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
-
-        base = 0
+        (table, counts), best, known = hot.value, top.value, np.log(np.maximum(pairs.value, 1))
+        logs, all_words, turn = np.log(counts), math.log(max(1, total)), 0
         for batch in batches:
             for own, doc, words in words_of(batch):
-                first = np.zeros(len(words), np.uint64)
-                same = doc[1:] == doc[:-1]
-                first[1:][same] = words[:-1][same] + np.uint64(1)  # 0: no word before
-                order = np.lexsort((first, words, doc))
-                d, u, w = doc[order], first[order], words[order]
-                starts = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (u[1:] != u[:-1]) | (w[1:] != w[:-1]))) if len(d) else np.empty(0, np.int64)
-                n = np.diff(np.append(starts, len(d))).astype(np.float64)
-                d, u, w = d[starts], u[starts], w[starts]
-                plus = np.full(len(d), np.nan)
-                i, there = found(best, u - np.uint64(1))
-                j, here = found(best, w)
-                both = there & here & (u > 0)
-                c = known[i[both], j[both]] if m else np.empty(0, np.int64)
-                back = math.log(ALPHA) + np.log(counts[found(table, w[both])[0]]) - math.log(max(1, total))
-                plus[both] = n[both] * np.where(c >= least, np.log(np.maximum(c, 1)) - np.log(counts[found(table, u[both] - np.uint64(1))[0]]), back)
-                ids.append(own)
-                waiting.append((d + base, u, w, plus, n))
-                base += len(own)
-                held += len(d)
-                if held > FLUSH:
-                    yield flush()
-                    waiting, ids, held, base = [], [], 0, 0
-        yield flush()
-
-    return docs.mapInArrow(run, PAIRS)
-
-
-SUMS = "kind int, bucket int, docs binary, values binary, words binary, rows binary, ids binary"
-SUM_TYPES = [pa.int32(), pa.int32()] + [pa.binary()] * 5
-
-
-def sum_rows(kind: int, by: np.ndarray, docs: np.ndarray, values: np.ndarray, words: np.ndarray, rows: np.ndarray, ids: np.ndarray | None = None) -> list[tuple]:
-    columns = [docs, values, words, rows] + ([ids] if ids is not None else [])
-    return [(kind, b, *(x.tobytes() for x in own), *([] if ids is not None else [b""])) for b, own in dealt(by, columns)]
-
-
-def sum_table(rows: list[tuple]) -> pa.Table:
-    return pa.table({n.split()[0]: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(zip(SUMS.split(", "), SUM_TYPES))})
-
-
-def per_document(docs: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    keys, at = np.unique(docs, return_inverse=True)
-    return keys, *(np.bincount(at, v, len(keys)) if len(keys) else np.empty(0) for v in values)
-
-
-def score_pairs(posted: DataFrame, hot, total: int, word_buckets: int, doc_buckets: int, least: int) -> DataFrame:
-    """What each bucket's pairs add to documents (kind 0), and what waits for the count of a rare first word (kind 1)."""
-
-    def run(table):
-        lens, ids = gathered(table.column("lens"), "<u4"), table.filter(pa.array([bool(x) for x in table.column("lens").to_pylist()]))
-        doc = np.repeat(gathered(ids.column("docs"), "<i8"), lens)
-        u, w, n = gathered(ids.column("first"), "<u8"), gathered(ids.column("second"), "<u8"), gathered(ids.column("n"), "<u4").astype(np.int64)
-        words, counts = hot.value
-        key = mix(u * np.uint64(3) + mix(w))
-        keys, sums = summed(key, n)
-        c_pair = sums[np.searchsorted(keys, key)] if len(keys) else n
-        del key, keys, sums
-        own, own_n = summed(w, n)
-        at, is_hot = found(words, w)
-        c_w = (own_n[np.searchsorted(own, w)] if len(own) else n).astype(np.float64)
-        c_w[is_hot] = counts[at[is_hot]]
-        del own, own_n, w
-        hit = (u > 0) & (c_pair >= least)
-        at, is_hot = found(words, u - np.uint64(1))
-        later = hit & ~is_hot
-        c_u = np.ones(len(u))
-        c_u[hit & is_hot] = counts[at[hit & is_hot]]
-        back = np.log(np.maximum(c_w, 1)) - math.log(max(1, total)) + np.where(u > 0, math.log(ALPHA), 0.0)
-        plus = n * np.where(hit, np.log(np.maximum(c_pair, 1)) - np.log(c_u), back)
-        del back, c_w, c_u, c_pair, at, is_hot
-        known = table.filter(pa.array([not x for x in table.column("lens").to_pylist()]))
-        docs_, plus_, words_, rows_ = (gathered(known.column(c), k) for c, k in (("docs", "<i8"), ("plus", "<f8"), ("words", "<i8"), ("rows", "<i8")))
-        d, at = np.unique(np.append(docs_, doc), return_inverse=True)
-        s = np.bincount(at, np.append(plus_, plus), len(d)) if len(d) else np.empty(0)
-        k, r = (np.bincount(at[: len(docs_)], x, len(d)) if len(d) else np.empty(0) for x in (words_, rows_))
-        out = sum_rows(0, home(d.astype(np.uint64), doc_buckets), d, s, k.astype(np.int64), r.astype(np.int64))
-        d, first, times = doc[later], u[later] - np.uint64(1), n[later].astype(np.float64)
-        nothing = np.empty((len(d), 0))
-        out += sum_rows(1, home(first, word_buckets), d, times.astype(np.float32), nothing, nothing, first)
-        return sum_table(out)
-
-    return posted.groupBy("bucket").applyInArrow(run, SUMS)
-
-
-def score_rest(waiting: DataFrame, counted: DataFrame, doc_buckets: int) -> DataFrame:
-    """Takes the logarithm of the first word's count from what waited for it."""
-
-    def run(table):
-        side = np.array(table.column("kind").to_pylist())
-        mine, known = table.filter(pa.array(side == 1)), table.filter(pa.array(side == 2))
-        words, counts = gathered(known.column("ids"), "<u8"), gathered(known.column("values"), "<i8")
-        order = np.argsort(words)
-        words, counts = words[order], counts[order]
-        first, doc, times = gathered(mine.column("ids"), "<u8"), gathered(mine.column("docs"), "<i8"), gathered(mine.column("values"), "<f4")
-        if not len(doc):
-            return sum_table([])
-        d, s = per_document(doc, -times * np.log(counts[np.searchsorted(words, first)]))
-        none = np.zeros(len(d), np.int64)
-        return sum_table(sum_rows(0, home(d.astype(np.uint64), doc_buckets), d, s, none, none))
-
-    empty = F.lit(None).cast("binary")
-    counts = counted.select(F.lit(2).alias("kind"), "bucket", empty.alias("docs"), F.col("counts").alias("values"), empty.alias("words"), empty.alias("rows"), "ids")
-    return waiting.unionByName(counts).groupBy("bucket").applyInArrow(run, SUMS)
-
-
-def score(docs: DataFrame, least: int = MIN_COUNT) -> DataFrame:
-    """doc_id, n_words, log_score and mean_log_score (four decimals) of every row; pairs seen under ``least`` times back off."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    deals, n = 2 * partitions(spark), docs.count()
-    word_buckets = doc_buckets = max(LEAST_BUCKETS, n // ROWS_A_BUCKET)
-    counted = stash(count_words(docs, word_buckets))
-    total = counted.agg(F.sum("total")).first()[0] or 0
-    ids, counts = hot_words(counted, max(1, -(-total >> HOT_BITS)))
+                follows = doc[1:] == doc[:-1]
+                first, ahead = np.append(True, ~follows)[: len(words)], np.append(follows, False)[: len(words)]
+                m = first.astype(np.int64) - ahead
+                at, is_hot = found(table, words)
+                plus = np.where(is_hot, m * logs[at], 0.0) if len(table) else np.zeros(len(words))
+                plus -= first * all_words
+                i, there = found(best, words)
+                both = there[1:] & there[:-1] & follows
+                plus[1:][both] += known[i[:-1][both], i[1:][both]]
+                cold = np.flatnonzero(follows & ~both) + 1
+                rare = np.flatnonzero(~is_hot)
+                key = np.append(mix(words[cold - 1] * np.uint64(3) + mix(words[cold])), mix(words[rare] ^ np.uint64(0x9E6C63D0876A9A47)))
+                one = np.ones(len(key), np.int64)
+                d, key, n, m = grouped(np.append(doc[cold], doc[rare]), key, one, np.append(one[: len(cold)], m[rare]))
+                yield rows_of(names, own[d], key, n.astype(np.int32), m.astype(np.int32), np.zeros(len(d)))
+                each = np.arange(turn, turn + len(own), dtype=np.uint64)
+                turn += len(own)
+                size = np.bincount(doc, minlength=len(own)).astype(np.int32)
+                yield rows_of(names, own, mix(own.astype(np.uint64) + mix(each)), np.zeros(len(own), np.int32), size, np.bincount(doc, plus, len(own)).astype(float))
+
+    return docs.mapInArrow(run, "doc long, key long, n int, m int, plus double")
+
+
+def score_own(docs: DataFrame) -> DataFrame:
+    """As ``score`` under the counts of docs themselves, every pair among them."""
+    spark, docs = docs.sparkSession, texts(docs)
+    mark = written()
+    counted = stash(word_counts(docs))
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    hot_rows = counted.filter(F.col("n") >= max(1, -(-total >> HOT_BITS))).toPandas().sort_values("w", kind="stable")
+    clear(spark, mark)
+    ids, counts = hot_rows["w"].to_numpy(np.int64).view(np.uint64), hot_rows["n"].to_numpy(np.int64)
+    order = np.argsort(ids)
+    ids, counts = ids[order], counts[order]
     best = np.sort(ids[np.argsort(-counts, kind="stable")[:VERY_HOT]])
     hot, top = (spark.sparkContext.broadcast(x) for x in ((ids, counts), best))
     pairs = spark.sparkContext.broadcast(frequent_pairs(docs, top))
-    posted = exploded(docs, hot, top, pairs, total, max(deals, total // BUCKET_PAIRS), least)
-    made = stash(score_pairs(posted, hot, total, word_buckets, doc_buckets, least))
-    rest = score_rest(made.filter("kind = 1"), counted, doc_buckets)
-
-    def finish(table):
-        d, s, k, r = per_document(*(gathered(table.column(c), t) for c, t in (("docs", "<i8"), ("values", "<f8"), ("words", "<i8"), ("rows", "<i8"))))
-        return pa.table({"id": pa.array(d.astype(np.int64)), "n_words": pa.array(k.astype(np.int64)), "score": pa.array(s), "n_rows": pa.array(r.astype(np.int64))})
-
-    sums = made.filter("kind = 0").unionByName(rest).groupBy("bucket").applyInArrow(finish, "id long, n_words long, score double, n_rows long")
-    each = sums.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), "n_rows")))
-    doc_id = F.when(F.col("id") != F.lit(NO_ID), F.col("id"))
-    mean = F.when(F.col("n_words") > 0, F.round(F.col("score") / F.col("n_words"), 4))
-    return each.select(doc_id.alias("doc_id"), "n_words", F.round("score", 4).alias("log_score"), mean.alias("mean_log_score"))
+    rows = ngram_rows(docs, hot, top, pairs, total).repartition(max(partitions(spark), total // WORDS_A_PARTITION), "key")
+    both = rows.withColumn("c", F.sum("n").over(Window.partitionBy("key")))
+    own = F.col("n") == 0
+    plus = F.when(own, F.col("plus")).otherwise(F.col("m") * F.log("c"))
+    sums = both.groupBy("doc").agg(F.sum(plus).alias("score"), F.sum(F.when(own, F.col("m")).otherwise(0)).cast("long").alias("words"), F.sum(F.when(own, 1).otherwise(0)).cast("long").alias("rows"))
+    return results(sums)

@@ -24,8 +24,14 @@ def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_score_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As op3_lm_score, with every pair that occurs in the model, those seen once as well."""
-    return backoff.score(table(spark, sf_dir, "documents"), least=1)
+    """The same model, every pair among its counts, by the joins that take any corpus."""
+    docs = table(spark, sf_dir, "documents")
+    return backoff.score(docs, corpus=docs)
+
+
+def op3_lm_score_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With pairs that occur once left out of the model: they back off."""
+    return backoff.score(table(spark, sf_dir, "documents"), least=2)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,10 +69,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_chat_format, op2_exact_dedup, op3_lm_score, op4_language_id, op5_embedding_join, op6_mixing, op7_ngram_jaccard, op8_secret_scan, op9_packing,
-        op10_url_filter, pipeline, op3_lm_score_all,
+        op10_url_filter, pipeline, op3_lm_score_all, op3_lm_score_cutoff,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_lm_score": backoff.ORACLE, "op3_lm_score_all": backoff.ORACLE_ALL, "op6_mixing": mixing_sql.ORACLE, "op7_ngram_jaccard": ngram_join.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_lm_score": backoff.ORACLE_ALL, "op3_lm_score_all": backoff.ORACLE_ALL, "op3_lm_score_cutoff": backoff.ORACLE, "op6_mixing": mixing_sql.ORACLE, "op7_ngram_jaccard": ngram_join.ORACLE}
