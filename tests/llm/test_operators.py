@@ -130,6 +130,37 @@ def test_language_held_out_and_edges(spark):
     assert kept.columns == table.columns and kept.count() == len(rows) + 2
 
 
+def test_language_scores_reject_mixed_texts(spark):
+    """A text of two languages goes because of its score; one of a single language stays; no letter, no language."""
+    rows = made_texts(300)
+    mixed = [(2000 + i, " ".join(t for _, t, x in rows[:60] if x == "xx") + " " + " ".join(t for _, t, x in rows[:60] if x == "zz"), None) for i in range(3)]
+    odd = [(3000, "12 !?", "xx"), (3001, None, "xx")]
+    table = spark.createDataFrame(rows + mixed + odd, "doc_id long, text string, lang string")
+    scores = {r["doc_id"]: r["score"] for r in language_id.identify(table).collect()}
+    least = (max(scores[i] for i, _, _ in mixed) + min(scores[i] for i, _, _ in rows)) / 2
+    assert max(scores[i] for i, _, _ in mixed) < least < min(scores[i] for i, _, _ in rows)
+    assert {r["doc_id"] for r in language_id.keep_known(table, least).collect()} == {i for i, _, _ in rows}
+    unlabelled = table.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["doc_id"] for r in language_id.keep_known(unlabelled, least).collect()} == {i for i, _, _ in rows + mixed}
+
+
+def test_language_sample_is_bounded_where_an_id_repeats(spark, monkeypatch):
+    table = spark.createDataFrame(made_texts(40), "doc_id long, text string, lang string")
+    hot = table.limit(1).crossJoin(spark.range(20_000)).drop("id")
+    seen = []
+    monkeypatch.setattr(language_id, "solve", lambda bits, langs: seen.append((len(bits), len(langs))))
+    language_id.train(table.unionByName(hot))
+    assert seen[0][0] == seen[0][1] <= 40
+
+
+def test_all_languages_are_learned():
+    rows = np.eye(600, language_id.BUCKETS, dtype=np.float32)
+    model = language_id.solve(rows, [f"l{i:03}" for i in range(600)])
+    assert len(model.classes) == 600 and model.scores(rows[:9]).argmax(1).tolist() == list(range(9))
+    with pytest.raises(ValueError):
+        language_id.solve(np.eye(5000, language_id.BUCKETS, dtype=np.float32), [str(i) for i in range(5000)])
+
+
 # Embedding join
 
 
@@ -214,6 +245,19 @@ def test_mix(spark, monkeypatch):
     assert mixing.mix(table.limit(0)).count() == 0
 
 
+def test_rows_of_one_id_are_numbered_over_many_tasks(spark):
+    rng = random.Random(2)
+    rows = [(None, "w " * rng.choice([1, 2, 300]), rng.choice(["a", None, "b"])) for _ in range(400)] + [(5, "x", "a")] * 90 + [(i, "y z", "b") for i in range(6, 60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {}
+    for r in mixing.sized(table).collect():
+        got.setdefault(r["doc_id"], []).append((r["dup"], r["source"] or "", r["size"]))
+    assert len(got) == 56
+    for own in got.values():
+        own.sort()
+        assert [n for n, _, _ in own] == list(range(1, len(own) + 1)) and own == [(i + 1, *x) for i, x in enumerate(sorted(o[1:] for o in own))]
+
+
 def test_mixed_texts_have_the_taken_words(spark):
     table = mix_table(spark)
     taken, out = {}, {}
@@ -355,6 +399,33 @@ def test_novelty_adds_what_the_patterns_miss():
     assert find(f"bearer {blob} {blob} " + blob) == []
 
 
+def test_novel_spans_match_a_plain_reading():
+    """Every run is compressed with what stands around it, without any short cut."""
+    import zstandard
+
+    primed = zstandard.ZstdCompressionDict(secret_scan.DICTIONARY.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    size = lambda t: len(zstandard.ZstdCompressor(level=9, dict_data=primed, write_content_size=False, write_dict_id=False).compress(t.encode()))
+    rng = random.Random(12)
+    blob = lambda n: "".join(rng.choices("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789+/", k=n))
+    words = ["bearer", "Authorization:", "the", "private", "response", "access_token", "https://www.example.com/", "é", "\n", "value", "0123456789abcdef" * 2, "secret = abcdefgh"]
+    found = 0
+    for _ in range(60):
+        text = " ".join(rng.choice([*words, blob(rng.choice([4, 12, 24, 40]))]) for _ in range(rng.choice([5, 30, 80])))
+        base, want = secret_scan.base_spans(text), []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+            start, end = m.span()
+            near = [x for x in secret_scan.SENSITIVE.finditer(text) if x.end() >= start - secret_scan.CONTEXT and x.start() <= end + secret_scan.CONTEXT]
+            if not near or any(a < end and start < b for a, _, b in base):
+                continue
+            around = text[max(0, start - secret_scan.CONTEXT) : start] + text[end : end + secret_scan.CONTEXT]
+            added = min(len(m[0]), size(around + m[0]) - size(around))
+            if added >= secret_scan.ADDED and added >= secret_scan.NOVELTY * len(m[0]):
+                want.append((start, 3, end))
+        assert secret_scan.Novelty().spans(text, base) == want
+        found += len(want)
+    assert found > 20
+
+
 # Packing
 
 
@@ -385,6 +456,22 @@ def test_packing_round_trip(spark):
     assert len(twice) == 2 * len({r["start"] for r in twice}) and len({r["sequence_id"] for r in twice}) == len(twice)
 
 
+def test_batches_hold_equal_sequences_of_one_task(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(["alpha", "beta", "gamma"], k=rng.choice([3, 40, 700, 3000]))) for _ in range(60)]
+    rows = packing.pack(docs(spark, texts).repartition(5)).collect()
+    filled = {}
+    for r in rows:
+        assert r["length"] == 1 << r["bucket"]
+        filled.setdefault((r["bucket"], r["batch"]), []).append(r["sequence_id"] >> 33)
+    assert len({t for tasks in filled.values() for t in tasks}) > 1
+    for (bucket, _), tasks in filled.items():
+        assert len(set(tasks)) == 1 and len(tasks) << bucket <= packing.LENGTH
+    for bucket in {b for b, _ in filled}:
+        unfilled = [tasks[0] for (b, _), tasks in filled.items() if b == bucket and len(tasks) << b < packing.LENGTH]
+        assert len(unfilled) == len(set(unfilled))
+
+
 def test_pieces():
     assert packing.pieces(5000) == [2048, 2048, 512, 256, 128, 8] and packing.pieces(1) == [1] and packing.pieces(2048) == [2048]
 
@@ -410,3 +497,33 @@ def test_url_filter(spark):
         assert got[i]["verdict"] == best[1] if best[1] else got[i]["verdict"] in ("allow", "block")
     assert got[15]["verdict"] == "block" and got[16]["verdict"] == "allow" and got[10]["verdict"] == got[9]["verdict"] == "allow"
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
+
+
+def plain_grams(url):
+    rest = url.split("://", 1)[1]
+    host = re.split("[/?#]", rest)[0]
+    path = re.split("[?#]", rest[len(host) :])[0]
+    parts = (("h", f"^{host.translate(LOWER)}$"), ("p", path))
+    return {mark + text[i : i + n] for mark, text in parts for n in url_filter.GRAMS for i in range(len(text) - n + 1)}
+
+
+def test_url_regression_is_the_optimum_and_holds_on_other_hosts(spark):
+    """Against numpy: features, the gradient of the penalised likelihood at the coefficients, and verdicts."""
+    table = url_filter.labelled()
+    assert len(dict(table)) == len(table)
+    held = [x for i, x in enumerate(table) if i % 5 == 3]
+    learned = [x for i, x in enumerate(table) if i % 5 != 3]
+    model = url_filter.fit(spark, learned)
+    hashed, regression = model.stages
+    rows = lambda urls: np.array([np.isin(np.arange(url_filter.BUCKETS), [hashed.indexOf(g) for g in plain_grams(u)]) for u in urls], float)
+    x, y = rows([u for u, _ in learned]), np.array([label for _, label in learned])
+    w, b = regression.coefficients.toArray(), regression.intercept
+    chance = lambda z: 1 / (1 + np.exp(-(z @ w + b)))
+    spread = x.std(0, ddof=1)
+    gradient = np.where(spread > 0, (x.T @ (chance(x) - y)) / len(y) / np.where(spread > 0, spread, 1) + url_filter.REG * w * spread, 0)
+    assert np.abs(gradient).max() < 1e-4 and abs((chance(x) - y).mean()) < 1e-4
+    urls = [u for u, _ in held]
+    got = {r["page_id"]: r for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), model).collect()}
+    want = chance(rows(urls)) >= url_filter.LEAST
+    assert [got[i]["verdict"] for i in range(len(urls))] == ["block" if v else "allow" for v in want]
+    assert (want == (np.array([label for _, label in held]) == 1)).mean() > 0.9

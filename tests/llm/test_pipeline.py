@@ -27,6 +27,16 @@ def test_run_on_an_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_run_on_nulls_repeated_ids_and_clashing_columns(spark, tmp_path):
+    words = "the quick brown fox jumps over a lazy dog and then it sleeps in the warm sun for hours".split()
+    rows = [(i, " ".join(words[i % 5 :] + [f"w{i}"] * 3), "en", "a") for i in range(12)] + [(3, "another text that shares an id with a third one", "en", "b")] * 2
+    rows += [(None, None, None, None), (None, "a text without an id stays as well", None, None), (50, "", "en", "a"), (51, "1 2 3", "en", "a")]
+    table = spark.createDataFrame([(*r, "own", 7) for r in rows], "doc_id long, text string, lang string, source string, keep_id string, size long")
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    ids = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert ids <= {*range(12), None} and ids & set(range(12))
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()

@@ -3,7 +3,8 @@
 Misra-Gries (``DataFrame.stat.freqItems``) names at most 1/support digests that may be frequent. Their true
 counts are taken by an aggregation that combines before it shuffles; those that really reach the support are the
 winners, at most 1/support rows, and are broadcast, so that no row of a frequent text is ever shuffled. What is
-left has under support x rows in a group and takes the ordinary shuffle by digest.
+left takes the ordinary shuffle by digest: groups are counted by an aggregation and joined back, which adaptive
+execution can split. No task holds the rows of a group.
 
 Defined results: a null text counts as empty; of rows with equal text the largest doc_id stays, a null doc_id
 only where the group has no other; of repeated rows with that doc_id one stays; an empty table gives no rows.
@@ -11,7 +12,7 @@ only where the group has no other; of repeated rows with that doc_id one stays;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import ascii_lower, stash
@@ -26,40 +27,37 @@ def with_digest(docs: DataFrame, name: str) -> DataFrame:
 
 def exact_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256."""
-    seen = stash(with_digest(docs.select("doc_id", "text"), "text_sha256").select(F.col("doc_id").cast("long").alias("doc_id"), "text_sha256"))
+    seen = with_digest(docs.select("doc_id", "text"), "text_sha256")
+    seen = stash(seen.select(F.col("doc_id").cast("long").alias("doc_id"), "text_sha256", F.monotonically_increasing_id().alias("turn")))
     least = max(2, int(support * seen.count()))
     named = seen.stat.freqItems(["text_sha256"], support).select(F.explode("text_sha256_freqItems").alias("text_sha256"))
-    winners = (
-        seen.join(F.broadcast(named), "text_sha256", "left_semi")
-        .groupBy("text_sha256")
-        .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .filter(F.col("group_size") >= least)
-    )
-    winners = stash(winners)
-    marked = seen.join(F.broadcast(winners), "text_sha256", "left")
-    heavy = marked.filter(F.col("group_size").isNotNull())
-    best = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    first = F.row_number().over(Window.partitionBy("text_sha256").orderBy("doc_id")) == 1
-    tops = heavy.filter(best).withColumn("kept", first)
-    rest = heavy.filter(~best).withColumn("kept", F.lit(False))
-    group = Window.partitionBy("text_sha256")
-    light = (
-        marked.filter(F.col("group_size").isNull())
-        .withColumn("keep_id", F.max("doc_id").over(group))
-        .withColumn("group_size", F.count(F.lit(1)).over(group))
-        .withColumn("kept", F.row_number().over(group.orderBy(F.col("doc_id").desc_nulls_last())) == 1)
-    )
-    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
-    return light.select(columns).unionByName(tops.select(columns)).unionByName(rest.select(columns))
+    best = F.max(F.struct("doc_id", "turn")).alias("best")  # nulls come before all others
+    counted = lambda rows: rows.groupBy("text_sha256").agg(best, F.count(F.lit(1)).alias("group_size"))
+    winners = stash(counted(seen.join(F.broadcast(named), "text_sha256", "left_semi")).filter(F.col("group_size") >= least))
+    heavy = seen.join(F.broadcast(winners), "text_sha256")
+    light = seen.join(F.broadcast(winners), "text_sha256", "left_anti")
+    light = light.join(counted(light), "text_sha256")
+    kept = (F.col("turn") == F.col("best.turn")).alias("kept")
+    return light.unionByName(heavy).select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", kept, "text_sha256")
 
 
 def drop_exact(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """docs with one row of each text: all its columns, whatever their names."""
-    kept = exact_groups(docs, support).filter("kept").select(F.col("doc_id").alias("__td_id"), F.col("text_sha256").alias("__td_sha"))
-    own = with_digest(docs, "__td_digest").withColumn("__td_doc", F.col("doc_id").cast("long"))
-    both = own.join(kept, F.col("__td_doc").eqNullSafe(F.col("__td_id")) & (F.col("__td_digest") == F.col("__td_sha")))
-    one = F.row_number().over(Window.partitionBy("__td_id", "__td_sha").orderBy("__td_digest"))
-    return both.withColumn("__td_n", one).filter("__td_n = 1").select(docs.columns)
+    """docs with one row of each text: all its columns, whatever their names.
+
+    Rows go by their ids; texts are looked at again only where an id stands for rows that stay and rows that go.
+    """
+    groups = stash(exact_groups(docs, support).select(F.col("doc_id").alias("__td_id"), "kept", F.col("text_sha256").alias("__td_sha")))
+    by_id = stash(groups.groupBy("__td_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("kept").cast("int")).alias("stay")).filter("stay < n"))
+    own = docs.withColumn("__td_doc", F.col("doc_id").cast("long"))
+    same = F.col("__td_doc").eqNullSafe(F.col("__td_id"))
+    whole = own.join(by_id.select("__td_id"), same, "left_anti").select(docs.columns)
+    mixed = by_id.filter("stay > 0").select("__td_id")
+    if mixed.isEmpty():
+        return whole
+    stay = groups.filter("kept").select(F.col("__td_id").alias("__td_k"), "__td_sha")
+    some = with_digest(own.join(mixed, same, "left_semi"), "__td_digest").dropDuplicates(["__td_doc", "__td_digest"])
+    some = some.join(stay, F.col("__td_doc").eqNullSafe(F.col("__td_k")) & (F.col("__td_digest") == F.col("__td_sha")), "left_semi")
+    return whole.unionByName(some.select(docs.columns))
 
 
 ORACLE = """

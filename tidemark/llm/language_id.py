@@ -7,10 +7,13 @@ solved in closed form. Texts are scored in batches: presence matrix x landmarks
 
 The fit takes a bounded sample: from each learned language at most PER_LANGUAGE texts, picked by a hash of doc_id in
 an aggregation that combines before it shuffles. Their features (a fixed number of bytes each), never their texts,
-reach the driver.
+reach the driver: one row for each language and hash bucket, however often a doc_id repeats. All languages are learned;
+they share out MARKS landmarks, and a table with more languages than that is refused with an error.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every text if there is nothing
 to learn from; labels that are null are not learned; repeated rows give repeated results; an empty table no rows.
+``keep_known`` rejects what is ``und`` and what scores under ``least``; with nothing to learn from there is no score,
+and it keeps every text that has a letter.
 """
 
 from __future__ import annotations
@@ -25,8 +28,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import stash
 
-#: Most training texts of a language; most landmarks of a language; most languages.
-PER_LANGUAGE, LANDMARKS, LANGUAGES = 384, 48, 256
+#: Most training texts of a language; most landmarks of a language and of all languages together.
+PER_LANGUAGE, LANDMARKS, MARKS = 384, 48, 4096
 BUCKETS = 1 << 13
 GRAMS = (1, 2, 3)
 RIDGE = 1e-2
@@ -70,24 +73,36 @@ class Model:
         return raw / raw.sum(1, keepdims=True)
 
 
+def unpacked(rows: np.ndarray) -> np.ndarray:
+    """Presence rows as numbers; bytes hold eight buckets each."""
+    return np.unpackbits(rows, axis=1).astype(np.float32) if rows.dtype == np.uint8 else rows
+
+
 def solve(features: np.ndarray, langs: list[str]) -> Model | None:
-    """Closed-form fit; features: presence rows in a fixed order."""
+    """Closed-form fit; features: presence rows in a fixed order, as numbers or packed. Rows are unpacked in batches."""
     classes = sorted(set(langs))
     if not classes:
         return None
+    if len(classes) > MARKS:
+        raise ValueError(f"{len(classes)} languages: at most {MARKS} can be learned")
     y = np.array([classes.index(x) for x in langs])
-    chosen = np.concatenate([np.flatnonzero(y == c)[:LANDMARKS] for c in range(len(classes))])
-    marks = features[chosen]
+    each = min(LANDMARKS, max(1, MARKS // len(classes)))
+    chosen = np.concatenate([np.flatnonzero(y == c)[:each] for c in range(len(classes))])
+    marks = unpacked(features[chosen])
     model = Model(classes, np.ascontiguousarray(marks.T), np.maximum(marks.sum(1), 1)[None, :], np.zeros((len(chosen), len(classes))))
     value, vector = np.linalg.eigh(model.kernel(marks).astype(np.float64))
     keep = value > 1e-6 * value.max()
     to_space = vector[:, keep] / np.sqrt(value[keep])
-    space = model.kernel(features).astype(np.float64) @ to_space
     share = np.bincount(y, minlength=len(classes))
-    weight = (1.0 / share[y])[:, None]
-    target = np.where(np.arange(len(classes))[None, :] == y[:, None], 1.0, -1.0) if len(classes) > 1 else np.ones((len(y), 1))
-    gram = space.T @ (space * weight) + RIDGE * np.eye(space.shape[1])
-    model.weights = to_space @ np.linalg.solve(gram, space.T @ (target * weight))
+    gram, right = RIDGE * np.eye(to_space.shape[1]), np.zeros((to_space.shape[1], len(classes)))
+    for start in range(0, len(y), 1024):
+        own = y[start : start + 1024]
+        space = model.kernel(unpacked(features[start : start + 1024])).astype(np.float64) @ to_space
+        weight = (1.0 / share[own])[:, None]
+        target = np.where(np.arange(len(classes))[None, :] == own[:, None], 1.0, -1.0) if len(classes) > 1 else np.ones((len(own), 1))
+        gram += space.T @ (space * weight)
+        right += space.T @ (target * weight)
+    model.weights = to_space @ np.linalg.solve(gram, right)
     return model
 
 
@@ -101,23 +116,24 @@ def held_out() -> F.Column:
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """docs: doc_id, text, lang of the rows to learn from."""
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(per_language))
-    at = F.xxhash64("doc_id", F.lit(1))
-    picks = usable.filter(has_letter(F.col("text"))).groupBy("lang", bucket.alias("b")).agg(F.min_by("doc_id", at).alias("doc_id"))
-    picks = stash(picks.orderBy("lang", "b").limit(per_language * LANGUAGES).select("doc_id"))  # a bounded number of rows
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & has_letter(F.col("text")))
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(per_language)).alias("b")
+    at = F.struct(F.xxhash64("doc_id", F.lit(1)), "doc_id")
+    picks = usable.groupBy("lang", bucket).agg(F.min_by("doc_id", at).alias("doc_id"))
+    picks = stash(picks)  # at most per_language rows a language
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
                 rows = np.packbits(presence(part.column(2).to_pylist()).astype(bool), axis=1)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in rows], pa.binary())], names=["doc_id", "lang", "seen"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in rows], pa.binary())], names=["lang", "b", "seen"])
 
-    rows = usable.join(F.broadcast(picks), "doc_id", "left_semi").filter(has_letter(F.col("text"))).select("doc_id", "lang", "text")
-    found = sorted(rows.mapInArrow(features, "doc_id long, lang string, seen binary").collect())
-    bits = [np.unpackbits(np.frombuffer(r["seen"], np.uint8)) for r in found]
-    return solve(np.array(bits, np.float32).reshape(-1, BUCKETS), [r["lang"] for r in found])
+    rows = usable.join(picks.hint("broadcast") if picks.count() * 32 < 8 << 20 else picks, ["lang", "doc_id"]).select("lang", "b", "text")
+    made = rows.mapInArrow(features, "lang string, b long, seen binary").groupBy("lang", "b").agg(F.min("seen").alias("seen"))
+    found = sorted(made.collect())
+    bits = np.frombuffer(b"".join(r["seen"] for r in found), np.uint8).reshape(-1, BUCKETS // 8)
+    return solve(bits, [r["lang"] for r in found])
 
 
 def predict(texts: DataFrame, model: Model | None) -> DataFrame:
@@ -149,7 +165,10 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
-    """docs without those whose language is unknown or scored under ``least``; all columns stay."""
+    """docs without those whose language is unknown or scored under ``least``; all columns stay.
+
+    A score is the share of the predicted language among all: over 1/2 it outweighs the others together.
+    """
     model = train(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter(~F.coalesce(held_out(), F.lit(False))))
     handed, at_text = docs.sparkSession.sparkContext.broadcast(astuple(model) if model else None), docs.columns.index("text") + 1
 
@@ -157,7 +176,9 @@ def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
         fitted = Model(*handed.value) if handed.value else None
         for batch in batches:
             known = batch.column(0).to_numpy(zero_copy_only=False)
-            at, keep = np.flatnonzero(known) if fitted else np.empty(0, int), []
+            at, keep = np.flatnonzero(known), []
+            if not fitted:
+                at, keep = at[:0], [at]
             for start in range(0, len(at), ROWS):
                 rows = at[start : start + ROWS]
                 keep.append(rows[fitted.scores(presence(batch.column(at_text).take(pa.array(rows)).to_pylist())).max(1) >= least])

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import WORD, stash
+from tidemark.llm.shared import WORD, partitions, stash
 
 BLOCK, SHARD_BLOCKS, SHARDS = 128, 2048, 4096
 WEIGHTS = (3, 1, 2)
@@ -31,10 +31,47 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def sized(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id, source, size and dup, which numbers the rows of one doc_id."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", n_words(F.col("text")).alias("size"), *more)
-    return rows.withColumn("dup", F.row_number().over(Window.partitionBy("doc_id").orderBy("source", "size")))
+def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ids that stand for several rows (doc_id), and those rows of docs, numbered by ``dup`` within their id.
+
+    The order is by source and size. Rows are numbered over ranges of (id, source, size, a random number), so that an
+    id with any share of all rows is dealt over many tasks, and an id's numbers start after the rows before it.
+    """
+    ids = docs.select(F.col("doc_id").cast("long").alias("__td_id"))
+    several = stash(ids.groupBy("__td_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("__td_id"))
+    if several.isEmpty():
+        return several, docs.limit(0).withColumns({"__td_id": F.lit(None).cast("long"), "__td_size": F.lit(0).cast("long"), "dup": F.lit(0)})
+    rows = docs.withColumn("__td_own", F.col("doc_id").cast("long")).join(several, F.col("__td_own").eqNullSafe(F.col("__td_id")), "left_semi")
+    rows = rows.withColumnRenamed("__td_own", "__td_id").withColumns({"__td_size": n_words(F.col("text")), "__td_any": F.rand(1)})
+    order = ["__td_id", "source", "__td_size", "__td_any"]
+    ranged = rows.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
+    ranged = stash(ranged.withColumn("__td_at", F.monotonically_increasing_id()))
+    part = F.shiftright("__td_at", 33)
+    sizes = stash(ranged.groupBy("__td_id", part.alias("__td_part")).agg(F.count(F.lit(1)).alias("c"), F.min("__td_at").alias("first")))
+    before = F.coalesce(F.sum("c").over(Window.partitionBy("__td_id").orderBy("__td_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select(F.col("__td_id").alias("__td_k"), F.col("__td_part").alias("__td_p"), "first", before.alias("before"))  # a row for each id and task
+    numbered = ranged.join(starts, F.col("__td_id").eqNullSafe(F.col("__td_k")) & (part == F.col("__td_p")))
+    dup = (F.col("__td_at") - F.col("first") + F.col("before") + 1).cast("int").alias("dup")
+    return several, numbered.select(*docs.columns, "__td_id", "__td_size", dup)
+
+
+def singles(docs: DataFrame, several: DataFrame) -> DataFrame:
+    """The rows whose id stands for no other, with the same columns as ``repeats`` adds."""
+    own = docs.withColumns({"__td_id": F.col("doc_id").cast("long"), "__td_size": n_words(F.col("text")), "dup": F.lit(1)})
+    ids = several.withColumnRenamed("__td_id", "__td_k")
+    return own.join(ids, F.col("__td_id").eqNullSafe(F.col("__td_k")), "left_anti")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with __td_id, __td_size and dup, which numbers the rows of one doc_id."""
+    several, rows = repeats(docs)
+    return singles(docs, several).unionByName(rows)
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size and dup of each row."""
+    rows = numbered(docs.select("doc_id", "source", "text"))
+    return rows.select(F.col("__td_id").alias("doc_id"), "source", F.col("__td_size").alias("size"), "dup")
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -122,11 +159,10 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     A copy that is whole keeps its text as it is. All columns stay; n_chars, if there is one, follows the text.
     """
-    taken, _ = plan(stash(sized(docs)))
+    rows = numbered(docs).withColumnRenamed("__td_id", "__td_doc").withColumnRenamed("dup", "__td_n")
+    taken, _ = plan(stash(rows.select(F.col("__td_doc").alias("doc_id"), F.col("__td_n").alias("dup"), "source", F.col("__td_size").alias("size"))))
     parts = F.sort_array(F.collect_list(F.struct("b", "words", "whole", "extra"))).alias("__td_parts")
     taken = taken.groupBy("doc_id", "dup").agg(parts).select(F.col("doc_id").alias("__td_id"), F.col("dup").alias("__td_dup"), "__td_parts")
-    rows = docs.withColumn("__td_doc", F.col("doc_id").cast("long")).withColumn("__td_size", n_words(F.col("text")))
-    rows = rows.withColumn("__td_n", F.row_number().over(Window.partitionBy("__td_doc").orderBy("source", "__td_size")))
     both = rows.join(taken, F.col("__td_doc").eqNullSafe(F.col("__td_id")) & (F.col("__td_n") == F.col("__td_dup")))
     both = both.withColumn("__td_copy", F.explode(F.sequence(F.lit(1), F.lit(CAP))))
     own = lambda x: F.when(x["whole"] >= F.col("__td_copy"), x["words"]).when(x["whole"] == F.col("__td_copy") - 1, x["extra"]).otherwise(F.lit(0))

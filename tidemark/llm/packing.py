@@ -3,7 +3,8 @@
 A document of n tokens (its ids and the closing id) is cut, in order, into as many pieces of ``LENGTH`` tokens as it
 holds and then into the powers of two of the rest, longest first. Every piece is a sequence by itself: no sequence
 crosses documents and none needs padding. Pieces of one length share a bucket, from which batches of ``LENGTH``
-tokens are filled: ``batch`` numbers them within the task that made them.
+tokens are filled: ``bucket`` and ``batch`` together name a batch of equal sequences. A batch is filled within one
+task, whose number it carries, so no two tasks share one, and each task leaves at most one unfilled batch a bucket.
 
 The ids are those of the tokenizer file. A text that holds only printable ASCII, line breaks, tabs and Latin letters
 up to U+017F goes through the same vocabulary as ranks in tiktoken, which gives the same ids several times faster;
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,7 +76,7 @@ def pack(docs: DataFrame, encoder=public_encoder, length: int = LENGTH, end: int
     """One row per piece; ``encoder`` makes, on the executor, what turns a text into its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, filled = encoder(), {}
+        encode, filled, task = encoder(), {}, TaskContext.get().partitionId() << 33
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -83,7 +85,7 @@ def pack(docs: DataFrame, encoder=public_encoder, length: int = LENGTH, end: int
                 for size in pieces(n, length):
                     before = filled.get(size, 0)
                     filled[size] = before + 1
-                    out.append((doc, at, size, zlib.crc32(raw[4 * at : 4 * (at + size)]), n, 0, size.bit_length() - 1, before * size // length))
+                    out.append((doc, at, size, zlib.crc32(raw[4 * at : 4 * (at + size)]), n, 0, size.bit_length() - 1, task + before * size // length))
                     at += size
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out) if out else [[]] * len(FIELDS), FIELDS)], names=[n for n, _ in FIELDS])
 

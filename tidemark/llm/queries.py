@@ -75,4 +75,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_lm_score": backoff.ORACLE_ALL, "op3_lm_score_all": backoff.ORACLE_ALL, "op3_lm_score_cutoff": backoff.ORACLE, "op6_mixing": mixing_sql.ORACLE, "op7_ngram_jaccard": ngram_join.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_lm_score": backoff.ORACLE_ALL, "op3_lm_score_all": backoff.ORACLE_ALL, "op3_lm_score_cutoff": backoff.ORACLE, "op6_mixing": mixing_sql.ORACLE, "op5_embedding_join": vector_join.ORACLE, "op7_ngram_jaccard": ngram_join.ORACLE}

@@ -28,6 +28,8 @@ from tidemark.llm.shared import stash
 PER_PIVOT, PART = 1024, 512
 #: Size of all pivots together at most: they are shared out over the labels by size and sent to every task.
 PIVOT_BYTES = 16 << 20
+#: Distances that a task holds at a time.
+DISTANCES = 1 << 21
 MARGIN = 1e-6
 KEY = ["label", "dims"]
 CELL = [*KEY, "cell"]
@@ -85,8 +87,12 @@ def by_key(batch: pa.RecordBatch):
     return rows.items()
 
 
-def distances(batch: pa.RecordBatch, at: list[int], marks: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(2 - 2 * (unit(matrix(batch.column("embedding").take(pa.array(at)))) @ marks.T), 0))
+def distances(batch: pa.RecordBatch, at: list[int], marks: np.ndarray):
+    """Rows and their distances from all pivots, a bounded number of distances at a time."""
+    step = max(1, DISTANCES // len(marks))
+    for start in range(0, len(at), step):
+        own = np.array(at[start : start + step])
+        yield own, np.sqrt(np.maximum(2 - 2 * (unit(matrix(batch.column("embedding").take(pa.array(own)))) @ marks.T), 0))
 
 
 def at_home(classes: DataFrame, marks) -> DataFrame:
@@ -97,8 +103,8 @@ def at_home(classes: DataFrame, marks) -> DataFrame:
             cell, far = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows)
             for key, at in by_key(batch):
                 if key in marks.value:
-                    d = distances(batch, at, marks.value[key])
-                    cell[at], far[at] = d.argmin(1), d.min(1)
+                    for own, d in distances(batch, at, marks.value[key]):
+                        cell[own], far[own] = d.argmin(1), d.min(1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far)], names=[*batch.schema.names, "cell", "far"])
 
     return classes.mapInArrow(run, f"{_ddl(classes)}, cell int, far double")
@@ -117,10 +123,10 @@ def placed(homes: DataFrame, marks, radii, reach: float) -> DataFrame:
             rows, cells, guest = [np.arange(batch.num_rows)], [batch.column("cell").to_numpy()], [np.zeros(batch.num_rows, bool)]
             for key, at in by_key(batch):
                 if key in marks.value:
-                    d, own = distances(batch, at, marks.value[key]), cells[0][at]
-                    near = (d <= d.min(1, keepdims=True) + 2 * reach + MARGIN) & (d <= radii.value[key][None, :] + reach + MARGIN)
-                    i, p = np.nonzero(near & (np.arange(d.shape[1])[None, :] < own[:, None]))
-                    rows.append(np.array(at)[i]), cells.append(p.astype(np.int32)), guest.append(np.ones(len(i), bool))
+                    for own, d in distances(batch, at, marks.value[key]):
+                        near = (d <= d.min(1, keepdims=True) + 2 * reach + MARGIN) & (d <= radii.value[key][None, :] + reach + MARGIN)
+                        i, p = np.nonzero(near & (np.arange(d.shape[1])[None, :] < cells[0][own][:, None]))
+                        rows.append(own[i]), cells.append(p.astype(np.int32)), guest.append(np.ones(len(i), bool))
             take = batch.select(kept).take(pa.array(np.concatenate(rows)))
             yield pa.RecordBatch.from_arrays([*take.columns, pa.array(np.concatenate(cells)), pa.array(np.concatenate(guest))], names=[*kept, "cell", "guest"])
 
@@ -196,3 +202,19 @@ def link_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     every = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).join(result, F.col("vec_id") == F.col("id"), "left")
     component = F.coalesce("c", "vec_id")
     return every.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+
+
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), p AS MATERIALIZED (
+  SELECT a.vec_id AS i, b.vec_id AS j FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.93
+), links AS MATERIALIZED (SELECT i, j FROM p UNION ALL SELECT j, i FROM p),
+r AS (SELECT DISTINCT i AS vec_id, i AS reached FROM links UNION SELECT r.vec_id, links.j FROM r JOIN links ON links.i = r.reached),
+c AS (SELECT vec_id, min(reached) AS low FROM r GROUP BY vec_id), n AS (SELECT i AS vec_id, count(*) AS n FROM links GROUP BY i)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, coalesce(c.low, e.vec_id) AS component_id, coalesce(c.low, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN c ON c.vec_id = e.vec_id LEFT JOIN n ON n.vec_id = e.vec_id
+"""
