@@ -1,7 +1,7 @@
 """A corpus pipeline: language, exact copies, near copies, mixture, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each result as Parquet in the shared
-folder and reads it again as the next stage's docs. All but the last return the columns of docs.
+folder and reads it again as the next stage's docs; what a stage wrote besides is removed. All but the last return the columns of docs.
 """
 
 from __future__ import annotations
@@ -9,12 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import exact_dedup, language_id, mixing, ngram_join, packing
-from tidemark.llm.shared import stash, table
+from tidemark.llm.shared import clear, stash, table, written
+
+#: Least score of a document's language: it outweighs all other languages together. Texts mixed of several, and junk
+#: that resembles none, score less.
+LEAST_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known: a null text, or one without a letter, goes."""
-    return language_id.keep_known(docs)
+    """Documents that one language fits: a null text, one without a letter, and one under LEAST_SCORE go.
+
+    Without any label to learn from there is no score, and all texts that have a letter stay.
+    """
+    return language_id.keep_known(docs, least=LEAST_SCORE)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +51,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, mark = table(spark, sf_dir, "documents"), written()
     for _, stage in STAGES:
         docs = stash(stage(spark, docs, sf_dir))
+        clear(spark, mark, docs)
     return docs
