@@ -515,7 +515,10 @@ def test_url_regression_is_the_optimum_and_holds_on_other_hosts(spark):
     learned = [x for i, x in enumerate(table) if i % 5 != 3]
     model = url_filter.fit(spark, learned)
     hashed, regression = model.stages
-    rows = lambda urls: np.array([np.isin(np.arange(url_filter.BUCKETS), [hashed.indexOf(g) for g in plain_grams(u)]) for u in urls], float)
+    every = sorted(set().union(*(plain_grams(u) for u, _ in table)))
+    terms = hashed.transform(spark.createDataFrame([(g, [g]) for g in every], "g string, grams array<string>")).collect()
+    at = {r["g"]: int(r["features"].indices[0]) for r in terms}
+    rows = lambda urls: np.array([np.isin(np.arange(url_filter.BUCKETS), [at[g] for g in plain_grams(u)]) for u in urls], float)
     x, y = rows([u for u, _ in learned]), np.array([label for _, label in learned])
     w, b = regression.coefficients.toArray(), regression.intercept
     chance = lambda z: 1 / (1 + np.exp(-(z @ w + b)))
