@@ -324,10 +324,12 @@ def test_candidates_do_not_grow_with_the_table(spark, monkeypatch):
         texts += [" ".join(own)] + [" ".join([*own, "end"])] * (rng.random() < 0.2)
     seen = {}
     for n in (80, 320):
-        posted = ngram_join.stash(ngram_join.postings(docs(spark, texts[:n]), 4, 85, 100, 20))
+        table = docs(spark, texts[:n])
+        sets = ngram_join.profile(table, 4).select("hi", "lo", "mark", F.col("doc_id").alias("least"))
+        posted = ngram_join.stash(ngram_join.postings(table, 4, 85, 100, 20))
         long, common = ngram_join.long_lists(ngram_join.first_keys(posted))
         assert long.count() and common.select("node").distinct().count() > n / 3
-        edges = ngram_join.stash(ngram_join.candidate_edges(posted, 85, 100, 4).distinct())
+        edges = ngram_join.stash(ngram_join.candidate_edges(posted, 85, 100, 4, lambda nodes: ngram_join.whole_sets(table, sets, nodes, 4)).distinct())
         seen[n] = edges.count() / n, components.components(edges).groupBy("component").count().agg(F.max("count")).first()[0]
     assert seen[320][0] <= 2 * seen[80][0] and seen[320][1] <= 8, seen
 

@@ -206,7 +206,8 @@ def ngram_rows(docs: DataFrame, hot, top, pairs, total: int) -> DataFrame:
                 key = np.append(mix(words[cold - 1] * np.uint64(3) + mix(words[cold])), mix(words[rare] ^ np.uint64(0x9E6C63D0876A9A47)))
                 one = np.ones(len(key), np.int64)
                 d, key, n, m = grouped(np.append(doc[cold], doc[rare]), key, one, np.append(one[: len(cold)], m[rare]))
-                yield rows_of(names, own[d], key, n.astype(np.int32), m.astype(np.int32), np.zeros(len(d)))
+                order = np.lexsort((d, m, n))  # rows alike stand together, which halves what the shuffle writes of them
+                yield rows_of(names, own[d[order]], key[order], n[order].astype(np.int32), m[order].astype(np.int32), np.zeros(len(d)))
                 each = np.arange(turn, turn + len(own), dtype=np.uint64)
                 turn += len(own)
                 size = np.bincount(doc, minlength=len(own)).astype(np.int32)

@@ -9,15 +9,15 @@ common (j <= need). The first order is that of the hashes:
   enter as well; l grows with the size (``ell``), and two sets are candidates if lists hold both of them l times;
 * the boundary is the size at which the cost is least: one for a key, SHARED_COST for a key that others share too.
 
-A list of up to LIST sets gives pairs, whose counts are summed over all lists. A longer list gives none; its shingles
-are *common*, with a level that grows with the list's true length, and the sets in it are posted a second time. Two
-similar sets of which one is in no longer list have met already, so only those in longer lists need to meet again.
-For that each takes the lowest level at which its first n - need + ``depth`` shingles hold n - need + l that are not
-more common, posts these, and also all those of lower levels (``second_keys``). Sets of one level c have, at the depth
-where the first of them has its last, l shingles in common that are not over c; a set of a higher level has all those
-of a lower one. A long list is left only to sets which have too few rarer shingles: it is chained through its smallest
-set, an edge a set. Nothing here depends on the size of the input: lengths are counted, not estimated, and the
-counts are tables that join by key.
+A list of up to LIST sets gives pairs, whose counts are summed over all lists. A longer list gives none. Two similar sets
+of which one is in no longer list have met already, so only those in longer lists, *affected* sets, need to meet again:
+by the same rule for single shingles, in an order that has what many of them hold last. Every shingle of an affected
+set gets a level by the true number of affected sets that hold it, in two steps, so that most sets need not be read
+again: those with a low hash are counted first, and only sets that have too few of level 0 among these bring all their
+shingles, of which those with a high hash are counted. The order is by level, low before high, then by hash. A long
+list is then left only to sets which have too few rarer shingles: it is chained through its smallest set, an edge a
+set. Nothing here depends on the size of the input: lengths are counted, not estimated, and the counts are tables that
+join by key.
 
 The components of this candidate graph, the larger ones by size range as well, are *blocks*. A block that fits a unit
 is verified there, every pair by exact intersection counts (a matrix product). A larger one is cut into parts, and all
@@ -50,11 +50,13 @@ from tidemark.llm.shingles import chunks, mix, shingle_sets
 #: Most documents and shingles in one part of a unit; a unit has two parts.
 UNIT_DOCS, UNIT_SHINGLES = 64, 200_000
 #: Documents of a large block that all others of it meet first.
-LEADERS = 16
+LEADERS = 64
 #: Pairs of lists that a task holds before it adds them up.
 PAIRS = 250_000
 #: Longest list that gives pairs, and how many times longer the lists of a level are than those of the one below.
-LIST, LEVEL = 64, 8
+LIST, LEVEL = 64, 2
+#: The low hashes: a share of all a little over that of the shingles that a set posts (n - need + depth).
+LOW = 0.3
 #: What a shared key costs in keys, and the share of all shingles (by hash) whose lists are counted to know how many are.
 SHARED_COST, SAMPLED = 16, 1 / 256
 #: Postings in one task of the key stage, about.
@@ -142,8 +144,8 @@ def ell(n, boundary: int, num: int, den: int):
     return np.where(n > boundary, 1 + (n - need(n, num, den) + 1) // 8, 1)
 
 
-def depth(n: np.ndarray | int):
-    """How far over n - need a set looks for shingles that are not common; at most need."""
+def depth(n: int) -> int:
+    """How many shingles over n - need are posted with a set, so that most that hold common ones need not be read again."""
     return 1 + n // 8
 
 
@@ -155,8 +157,7 @@ def postings(docs: DataFrame, k: int, num: int, den: int, boundary: int) -> Data
     def keys(own: np.ndarray) -> tuple:
         n = len(own)
         rest, most = n - need(n, num, den), int(ell(n, boundary, num, den))
-        # deep enough for any set that is similar, whose size is n * den / num at most
-        first = own[: rest + int(depth(-(-n * den // num)))]
+        first = own[: rest + depth(n)]
         if n > boundary:
             return n, most, rest + most, first, none, none
         i, j = np.triu_indices(min(n, rest + 2), 1)
@@ -201,26 +202,56 @@ def long_lists(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     return long, rows.join(long, ["a", "b"])
 
 
-def shingle_levels(long: DataFrame) -> DataFrame:
-    """shingle and level (1 or more) of each shingle that a key of a long list holds; all others have level 0."""
-    level = F.floor(F.log(F.max("sets") / F.lit(float(LIST))) / F.lit(math.log(LEVEL))).cast("int") + 1
-    return long.select("sets", F.explode(F.array("a", "b")).alias("shingle")).filter("shingle <> 0").groupBy("shingle").agg(level.alias("level"))
+def levels(one: DataFrame) -> DataFrame:
+    """shingle and level (1 or more) of those that more than LIST of the rows hold; all others have level 0."""
+    level = F.floor(F.log(F.col("rows") / F.lit(float(LIST))) / F.lit(math.log(LEVEL))).cast("int") + 1
+    return one.groupBy("shingle").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > LIST).select("shingle", level.alias("level"))
 
 
-def second_keys(posted: DataFrame, common: DataFrame, levels: DataFrame, num: int, den: int) -> DataFrame:
-    """Rows a, b, node, size, l of the sets in long lists: n - need + l shingles not over the set's level, all below it."""
-    again = posted.join(common.select("node").distinct(), "node", "left_semi")
-    one = again.select("node", "size", "l", F.posexplode("first").alias("at", "shingle")).join(levels, "shingle", "left")
-    key = F.struct("at", F.coalesce("level", F.lit(0)).alias("level"), "shingle")
-    sets = one.groupBy("node", "size", "l").agg(F.array_sort(F.collect_set(key)).alias("keys"))
+def low(shingle: Column) -> Column:
+    return (shingle >= 0) & (shingle < int(LOW * (1 << 64)))
+
+
+def whole_sets(docs: DataFrame, distinct: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """Rows node, size, l, first of ``nodes`` (node, size, l), ``first`` being all shingles of the set, in order."""
+    wanted = distinct.join(nodes, F.col("lo") == F.col("node")).select(*row_keys(F.col("least"), F.col("mark")), "hi", "node", "size", "l")
+    texts = docs.select(*row_keys(F.col("doc_id"), text_mark()), F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts.join(wanted, ROW_KEYS).dropDuplicates(["hi", "node"]).select("node", "size", "l", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, data, bounds in chunks(batch.column(3)):
+                sets = shingle_sets(data, bounds, k)
+                yield pa.RecordBatch.from_arrays([*batch.slice(start, len(sets)).columns[:3], lists(sets)], names=["node", "size", "l", "first"])
+
+    return rows.mapInArrow(run, "node long, size int, l int, first array<long>")
+
+
+def second_keys(posted: DataFrame, common: DataFrame, num: int, den: int, whole) -> DataFrame:
+    """Rows a, b, node, size, l of the sets in long lists: their first n - need + l shingles by level, zone and hash.
+
+    Most sets have enough of level 0 in the low zone, among the shingles that were posted. Of the others, ``whole``
+    gives all shingles, among which those of the high zone are counted.
+    """
     size = F.col("size").cast("long")
-    rest = size - F.ceil(size * F.lit(num) / F.lit(den))
-    sets = sets.withColumn("most", (rest + F.col("l")).cast("int")).withColumn("near", F.slice("keys", F.lit(1), (rest + F.lit(1) + F.floor(size / 8)).cast("int")))
-    sets = sets.withColumn("own", F.element_at(F.array_sort(F.transform("near", lambda x: x["level"])), F.col("most")))
-    enough = F.slice(F.filter("near", lambda x: x["level"] <= F.col("own")), F.lit(1), F.col("most"))
-    below = F.filter("keys", lambda x: x["level"] < F.col("own"))
-    chosen = sets.select("node", "size", "l", F.explode(F.array_union(enough, below)).alias("k"))
-    return chosen.select(F.col("k.shingle").alias("a"), F.lit(0).cast("long").alias("b"), "node", "size", "l")
+    most = (size - F.ceil(size * F.lit(num) / F.lit(den)) + F.col("l")).cast("int")
+    again = posted.join(common.select("node").distinct(), "node", "left_semi").select("node", "size", "l", F.filter("first", low).alias("first"))
+    again = stash(again.dropDuplicates(["node"]))
+    one = again.select("node", F.explode("first").alias("shingle"))
+    lows = stash(levels(one))
+    hits = one.join(lows, "shingle").groupBy("node").agg(F.collect_set("shingle").alias("hits"))
+    rare = again.join(hits, "node", "left").withColumn("rare", F.array_except("first", F.coalesce("hits", F.array().cast("array<long>")))).withColumn("most", most)
+    rare = stash(rare.select("node", "size", "l", "most", F.slice("rare", F.lit(1), F.col("most")).alias("rare")))
+    plain = rare.filter(F.size("rare") >= F.col("most")).select(F.explode("rare").alias("a"), "node", "size", "l")
+    deep = stash(rare.filter(F.size("rare") < F.col("most")).select("node", "size", "l"))
+    if not deep.isEmpty():
+        one = stash(whole(deep)).select("node", "size", "l", F.posexplode("first").alias("at", "shingle"))
+        known = stash(levels(one.filter(~low(F.col("shingle")))).unionByName(lows))
+        key = F.struct(F.coalesce("level", F.lit(0)).alias("level"), (~low(F.col("shingle"))).alias("high"), "at", "shingle")
+        sets = one.join(known, "shingle", "left").groupBy("node", "size", "l").agg(F.array_sort(F.collect_list(key)).alias("keys"))
+        chosen = sets.select(F.explode(F.slice("keys", F.lit(1), most)).alias("k"), "node", "size", "l")
+        plain = plain.unionByName(chosen.select(F.col("k.shingle").alias("a"), "node", "size", "l"))
+    return plain.select("a", F.lit(0).cast("long").alias("b"), "node", "size", "l")
 
 
 def summed(pairs: np.ndarray) -> np.ndarray:
@@ -229,7 +260,7 @@ def summed(pairs: np.ndarray) -> np.ndarray:
     if not pairs.shape[1]:
         return pairs
     fresh = np.flatnonzero(np.append(True, np.any(pairs[:2, 1:] != pairs[:2, :-1], axis=0)))
-    return np.concatenate([pairs[:3, fresh], np.add.reduceat(pairs[3], fresh)[None, :]])
+    return np.concatenate([pairs[:2, fresh], np.minimum.reduceat(pairs[2], fresh)[None, :], np.add.reduceat(pairs[3], fresh)[None, :]])
 
 
 def met(keys: DataFrame, num: int, den: int, buckets: int) -> DataFrame:
@@ -268,14 +299,17 @@ def met(keys: DataFrame, num: int, den: int, buckets: int) -> DataFrame:
     return found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("l").alias("l")).filter("n >= l").select("a", "b")
 
 
-def candidate_edges(posted: DataFrame, num: int, den: int, buckets: int) -> DataFrame:
-    """Edges (a, b) that connect all nodes which share enough keys and whose sizes allow a link."""
+def candidate_edges(posted: DataFrame, num: int, den: int, buckets: int, whole) -> DataFrame:
+    """Edges (a, b) that connect all nodes which share enough keys and whose sizes allow a link.
+
+    ``whole`` gives the rows node, size, l and first (all shingles) of such nodes.
+    """
     keys = first_keys(posted)
     long, common = long_lists(keys)
     edges = met(keys.join(long, ["a", "b"], "left_anti"), num, den, buckets)
     if long.isEmpty():
         return edges
-    again = stash(second_keys(posted, common, stash(shingle_levels(long)), num, den))
+    again = stash(second_keys(posted, common, num, den, whole))
     left, chained = long_lists(again)
     more = met(again.join(left, ["a", "b"], "left_anti"), num, den, buckets)
     return edges.unionByName(more).unionByName(chained.select(F.col("node").alias("a"), F.col("least").alias("b")))
@@ -433,7 +467,8 @@ def labelled_sets(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFram
     boundary, total = choose_boundary(sizes, shared_share(profiled), num, den)
     deals = partitions(spark)
     posted = stash(postings(docs, k, num, den, boundary))
-    near = components(candidate_edges(posted, num, den, max(2 * deals, total // BUCKET_POSTINGS)), contract=True)
+    edges = candidate_edges(posted, num, den, max(2 * deals, total // BUCKET_POSTINGS), lambda nodes: whole_sets(docs, distinct, nodes, k))
+    near = components(edges, contract=True)
 
     named = stash(distinct.join(near, F.col("lo") == F.col("node")).select(F.col("lo").alias("rep"), F.col("component").alias("comp"), "n", "hi", "lo", "least", "mark"))
     texts = docs.select(*row_keys(F.col("doc_id"), text_mark()), F.coalesce("text", F.lit("")).alias("text"))
