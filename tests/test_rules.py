@@ -157,3 +157,36 @@ def test_rows_are_numbered_in_order(spark):
     want = sorted(values, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
     assert [r["id"] for r in sorted(got, key=lambda r: r["n"])] == [i for i, _ in want] and sorted(r["n"] for r in got) == list(range(1, 501))
     assert number_rows(spark.createDataFrame([], "id int, v int"), F.col("v"), ["v", "id"]).count() == 0
+
+
+def test_money_is_one_amount_or_null(spark):
+    from tidemark.functions.money import money
+
+    cases = {
+        ("12,345円(税込13,580円)", "JPY"): "12345", ("$359.990 $399.990", "CLP"): None, ("65 pulgadas $359.990", "CLP"): "359990", ("Save 20 $499", "USD"): "499", ("-5.00", "USD"): "-5",
+        ("from 3 to 4", "USD"): None, ("$5 or $5.00", "USD"): "5", ("", "USD"): None, (None, "USD"): None, ("1.234.567,89 €", "EUR"): "1234567.89", ("$12.50", "CLP"): None,
+    }
+    table = spark.createDataFrame([(a, b) for a, b in cases], "raw string, currency string")
+    for r in table.select("raw", "currency", money(table.raw, table.currency).alias("x")).collect():
+        want = cases[r["raw"], r["currency"]]
+        assert (r["x"] is None) == (want is None) and (want is None or float(r["x"]) == float(want)), r
+
+
+def test_passages_of_every_form_are_found(spark):
+    from tidemark.operators.matching import passages_in
+
+    passages = ["hello", "a", ".", "hello!", "lo wo", " x", "x y z", "abcdefghijkl", "é", "two words here and more to fill", "\n", "hello, world. this is long enough for the first width"]
+    texts = ["say hello ab cd now", "xhelloy!", "a.b", "hello! lo wo x y z", "0abcdefghijklm", "two words here and more to fill it", "", None, "é\n", "oh hello, world. this is long enough for the first width x"]
+    items = spark.createDataFrame(list(enumerate([*passages, "", None])), "item_id int, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {(r["item_id"], r["doc_id"]) for r in passages_in(items, docs).collect()}
+    assert got == {(i, j) for i, p in enumerate(passages) for j, t in enumerate(texts) if t and p in t}
+
+
+def test_marked_sections_do_no_harm():
+    from tidemark.operators.extraction import parsed
+
+    assert parsed("a <![foo[ x ]]> b").words[-1].endswith("b")
+    assert parsed("<![CDATA[ open").words is not None and parsed(None).words == []
+    page = parsed("<h2>Screen</h2><table><![if x]><tr><th>Size</th><td>65</td></tr></table>")
+    assert list(page.triples()) == [("Screen", "Size", "65")]

@@ -34,19 +34,53 @@ def plain_text(text: Column) -> Column:
 DOT_THOUSANDS = ["CLP", "COP", "ARS"]
 COMMA_DECIMAL = ["EUR", "BRL", "TRY"]
 NO_DECIMALS = ["JPY", "CLP", "KRW"]
+#: A number with its separators, and the marks that stand before or behind an amount.
+NUMBER = r"[0-9]{1,3}(?:[ .,'’][0-9]{3})+(?:[.,][0-9]{1,2})?(?![0-9])|[0-9]+(?:[.,][0-9]+)?"
+BEFORE, BEHIND = r"(?:[A-Z]{1,3})?[$£¥￥₩]|[€₺](?=[0-9-])|USD|EUR|JPY|CLP", r"[€₺円元](?! ?[0-9])|TL\b|EUR\b|USD\b|JPY\b"
+AMOUNT = rf"(?<![0-9.,])(?:-?(?:{BEFORE}) ?-?(?:{NUMBER})|-?(?:{NUMBER}) ?(?:{BEHIND}))"
+
+
+def number(token: Column, currency: Column) -> Column:
+    """Value of one number: a last separator before one or two digits is that of the decimals."""
+    plain = F.regexp_replace(token, r"[^0-9.,]", "")
+    sign = F.when(F.contains(token, F.lit("-")), -1).otherwise(1)
+    decimals = F.regexp_extract(plain, r"[.,]([0-9]{1,2})$", 1)
+    whole = F.regexp_replace(F.regexp_replace(plain, r"[.,][0-9]{1,2}$", ""), "[.,]", "")
+    grouped = currency.isin(*NO_DECIMALS, *DOT_THOUSANDS, *COMMA_DECIMAL)
+    text = (
+        F.when((decimals != "") & currency.isin(*NO_DECIMALS), F.when(decimals.rlike("^0+$"), whole))
+        .when(decimals != "", F.concat(whole, F.lit("."), decimals))
+        .when(grouped, whole)
+        .otherwise(F.regexp_replace(plain, ",", ""))
+    )
+    return (sign * F.nullif(text, F.lit("")).try_cast("decimal(18,2)")).cast("decimal(18,2)")
 
 
 def money(raw: Column, currency: Column) -> Column:
-    """Amount as DECIMAL(18,2) or null; never 0 for something that cannot be read."""
-    digits = F.regexp_replace(plain_text(raw), r"[^0-9.,]", "")
-    digits = F.regexp_replace(digits, r"^[.,]+|[.,]+$", "")
-    dotted = F.regexp_replace(F.regexp_replace(digits, r"\.", ""), ",", ".")
-    text = (
-        F.when(currency.isin(*NO_DECIMALS), F.regexp_replace(digits, "[.,]", ""))
-        .when(currency.isin(*DOT_THOUSANDS, *COMMA_DECIMAL), dotted)
-        .otherwise(F.regexp_replace(digits, ",", ""))
-    )
-    return F.nullif(text, F.lit("")).try_cast("decimal(18,2)")
+    """The one amount of a text as DECIMAL(18,2), or null; never 0 for something that cannot be read.
+
+    Numbers next to a currency mark come before all others. Of several, the first before the yen sign counts; other
+    different amounts are equally good, and give null.
+    """
+    text = plain_text(raw)
+    marked = F.regexp_extract_all(text, F.lit(AMOUNT), F.lit(0))
+    every = F.regexp_extract_all(text, F.lit(rf"(?<![0-9.,])-?(?:{NUMBER})"), F.lit(0))
+    tokens = F.when(F.size(marked) > 0, marked).otherwise(every)
+    values = F.array_distinct(F.transform(tokens, lambda t: number(t, currency)))
+    first = F.regexp_extract(text, rf"(-?(?:{NUMBER})) ?円", 1)
+    return F.when(first != "", number(first, currency)).when(F.size(values) == 1, F.element_at(values, 1)).cast("decimal(18,2)")
+
+
+def money_parts(value: Column, decimals: Column) -> Column:
+    """Amount of two attributes, whole units and decimals; null if the units are no number. No decimals are none."""
+    units, rest = F.regexp_replace(value, r"[ .,]", ""), F.coalesce(F.trim(decimals), F.lit(""))
+    text = F.when(units.rlike(r"^-?[0-9]+$") & rest.rlike(r"^[0-9]{0,2}$"), F.concat(units, F.lit("."), F.rpad(rest, 2, "0")))
+    return text.try_cast("decimal(18,2)")
+
+
+def first_amount(*amounts: Column) -> Column:
+    """The first source that has an amount: the order is JSON field, attribute, structured data, text."""
+    return F.coalesce(*amounts)
 
 
 #: Fixed thresholds of a price difference, as shares of the older price in ten-thousandths.

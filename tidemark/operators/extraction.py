@@ -94,12 +94,15 @@ def page_class(status: Column, title: Column, final_url: Column, html: Column) -
 
 
 class _Text(HTMLParser):
-    """Visible text, and rows of tables and definition lists."""
+    """Visible text, and rows of tables and definition lists. A marked section is skipped up to the next ``>``."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.words, self.cells, self.hidden, self.cell, self.chapter = [], [], 0, None, ""
 
+    def parse_marked_section(self, i, report=1):
+        return self.rawdata.find(">", i) + 1 or -1
+
     def handle_starttag(self, tag, attrs):
         self.hidden += tag in ("script", "style", "noscript")
         if tag in ("th", "dt", "td", "dd", "h2", "h3", "caption"):

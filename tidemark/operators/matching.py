@@ -113,23 +113,35 @@ def block_candidates(models: DataFrame, catalog: DataFrame, model: str, title: s
     return catalog.withColumn("_m", F.explode(keys)).join(wanted, "_m").drop("_m").distinct()
 
 
+#: Longest key of a passage that has no inner word start.
+RUN = 8
+
+
 def passages_in(passages: DataFrame, docs: DataFrame, widths: tuple[int, ...] = (32, 8, 1)) -> DataFrame:
     """item_id and doc_id where a document contains a passage character for character.
 
     A passage's key is what follows its first inner word start, and stands at a word start of every document that
     contains it. Keys meet the documents' own runs of that width by an equi-join that carries ids alone; the texts of
-    the few pairs that meet are then compared. Passages too short for one width use the next; one without an inner
-    word start is not searched for.
+    the few pairs that meet are then compared. Passages too short for one width use the next. One without an inner
+    word start is a run of letters and digits with one more character at most: its key is its start, of up to
+    RUN characters, and meets all such runs of the documents. An empty passage is not searched for.
     """
     start = r"(?<![A-Za-z0-9])"
-    left, met = passages.select("item_id", F.col("text").alias("passage")), None
+    left, met = passages.filter("text <> ''").select("item_id", F.col("text").alias("passage")), []
     for width in widths:
         keyed = left.withColumn("k", F.regexp_extract("passage", rf"(?s)^.+?{start}(.{{{width}}})", 1))
         left = keyed.filter("k = ''").drop("k")
-        runs = F.array_distinct(F.regexp_extract_all("text", F.lit(rf"(?s){start}(?=(.{{{width}}}))"), F.lit(1)))
-        found = docs.select("doc_id", F.explode(runs).alias("k")).join(keyed.filter("k <> ''"), "k").select("doc_id", "item_id", "passage")
-        met = found if met is None else met.unionByName(found)
-    both = met.distinct().join(docs.select("doc_id", "text"), "doc_id")
+        met.append((keyed.filter("k <> ''"), rf"(?s){start}(?=(.{{{width}}}))"))
+    left = left.withColumn("k", F.substring("passage", 1, RUN))
+    for width in range(1, RUN + 1):
+        met.append((left.filter(F.length("k") == width), rf"(?s)(?=([A-Za-z0-9]{{{width - 1}}}.))"))
+    pairs = None
+    for keyed, pattern in met:
+        runs = F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(1)))
+        if pairs is None or not keyed.isEmpty():
+            found = docs.select("doc_id", F.explode(runs).alias("k")).join(keyed, "k").select("doc_id", "item_id", "passage")
+            pairs = found if pairs is None else pairs.unionByName(found)
+    both = pairs.distinct().join(docs.select("doc_id", "text"), "doc_id")
     return both.filter(F.contains("text", F.col("passage"))).select("item_id", "doc_id").distinct()
 
 

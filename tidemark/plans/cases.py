@@ -224,3 +224,49 @@ def timestamp_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates as vendors write them."""
     cases = rows(spark, "raw string", ("2026-09-28T10:20:30Z",), ("09/28/2026 10:20:30",), ("1790000000",), ("2026-09-28",), ("soon",))
     return cases.select("raw", dates.any_timestamp(F.col("raw")).cast("timestamp_ntz").alias("seen_at"))
+
+
+#: Currency and text of a price v (whole units, 1,000 or more) by the form's number, with decimals d.
+PRICE_FORMS = (
+    ("USD", "Now ${comma}.{d} with 2 year warranty"), ("EUR", "{dot},{d} €"), ("JPY", "{comma}円(税込{more}円)"), ("CLP", "65 pulgadas ${dot}"), ("USD", "Save 20 ${comma}.{d}"),
+    ("CLP", "${dot} ${dotmore}"), ("USD", "-${comma}.{d}"), ("EUR", "{space},{d}&nbsp;€"), ("EUR", "€{dot}<sup>{d}</sup>"), ("USD", "no price today"), ("USD", "{comma}.{d}"), ("CLP", "CLP {dot},00"),
+)
+
+
+@query("""
+WITH t AS (SELECT p_partkey, p_partkey % 12 AS form, 1000 + p_partkey * 137 % 900000 AS v, p_partkey % 90 + 10 AS d FROM part)
+SELECT p_partkey, form, CAST(CASE WHEN form IN (5, 9) THEN NULL WHEN form IN (2, 3, 11) THEN v WHEN form = 6 THEN -(v + d / 100.0) ELSE v + d / 100.0 END AS DECIMAL(18, 2)) AS amount FROM t
+""")
+def money_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A price text for every product, in twelve forms, some with two prices, sizes or discounts, and the amount read."""
+    from tidemark.sources.tables import load
+
+    n = F.col("p_partkey")
+    form, v, d = F.pmod(n, F.lit(12)), F.lit(1000) + F.pmod(n * F.lit(137), F.lit(900000)), (F.pmod(n, F.lit(90)) + 10).cast("string")
+    swap = lambda x, by: F.translate(F.format_number(x, 0), ",", by)
+    parts = {"comma": swap(v, ","), "dot": swap(v, "."), "space": swap(v, " "), "more": swap(v + 1100, ","), "dotmore": swap(v + 40000, "."), "d": d}
+
+    def text(pattern: str):
+        for name, value in parts.items():
+            pattern = F.replace(pattern if not isinstance(pattern, str) else F.lit(pattern), F.lit("{" + name + "}"), value)
+        return pattern
+
+    pick = lambda values: F.element_at(F.array(*values), (form + 1).cast("int"))
+    table = load(spark, sf_dir, "part").select("p_partkey", form.alias("form"), pick([text(p) for _, p in PRICE_FORMS]).alias("raw"), pick([F.lit(c) for c, _ in PRICE_FORMS]).alias("currency"))
+    return table.select("p_partkey", "form", money.money(F.col("raw"), F.col("currency")).alias("amount"))
+
+
+@query("""
+SELECT p_partkey, CAST(CASE WHEN p_partkey % 4 = 3 THEN NULL WHEN p_partkey % 4 = 0 THEN p_size * 1000 ELSE p_size * 1000 + p_partkey % 100 / 100.0 END AS DECIMAL(18, 2)) AS amount FROM part
+""")
+def money_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole units and decimals as two attributes; the text is asked only where they are missing."""
+    from tidemark.sources.tables import load
+
+    n, units = F.col("p_partkey"), F.format_number(F.col("p_size") * 1000, 0)
+    cents = F.lpad(F.pmod(n, F.lit(100)).cast("string"), 2, "0")
+    kind = F.pmod(n, F.lit(4))
+    value = F.when(kind == 3, F.lit("sold out")).when(kind != 2, F.translate(units, ",", "."))
+    text = F.when(kind == 2, F.concat(F.lit("$"), units, F.lit("."), cents)).otherwise(F.lit("see shop"))
+    read = money.first_amount(money.money_parts(value, F.when(kind != 0, cents)), money.money(text, F.lit("USD")))
+    return load(spark, sf_dir, "part").select("p_partkey", read.alias("amount"))

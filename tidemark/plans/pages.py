@@ -89,33 +89,29 @@ def marker_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.marker_counts(load(spark, sf_dir, "pages"), "page_id", "html", MARKERS).groupBy("marker").agg(F.sum("hits").alias("hits"))
 
 
-@query("""
-WITH w AS (SELECT p_partkey, list_filter(string_split(lower(p_name), ' '), lambda x: x <> '') AS t FROM part),
-k AS (SELECT p_partkey, list_filter(t, lambda x: x NOT IN ('inch', 'inches', 'class', 'series', 'tv', 'uhd', '4k', 'hdr', 'smart')) AS t FROM w),
-p AS (SELECT p_partkey, unnest([upper(t[i] || t[i + 1]) FOR i IN range(1, len(t))]) AS m FROM k WHERE len(t) > 1)
-SELECT model, count(DISTINCT p_partkey) AS hits, min(p_partkey) AS first_product FROM
-  (SELECT upper(regexp_replace(n, '[^A-Za-z0-9]', '', 'g')) AS model FROM (SELECT p_name AS n FROM part WHERE p_partkey <= 25)) JOIN p ON p.m = model GROUP BY model
-""")
-def slug_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products whose slug names one of the first models, by windows of words that meet the models in an equi-join."""
-    part = load(spark, sf_dir, "part")
-    return slug_hits(part.filter("p_partkey <= 25"), part)
-
-
-@query("""
+SLUG_SQL = """
 WITH w AS (SELECT p_partkey, list_filter(string_split(lower(p_name), ' '), lambda x: x <> '') AS t FROM part),
 k AS (SELECT p_partkey, [i FOR i IN range(1, len(t) + 1) IF t[i] NOT IN ('inch', 'inches', 'class', 'series', 'tv', 'uhd', '4k', 'hdr', 'smart')] AS pos, t FROM w),
 p AS (SELECT DISTINCT p_partkey, unnest(flatten([[upper(array_to_string([t[j] FOR j IN list_slice(pos, i, i + n - 1)], '')) FOR i IN range(1, len(pos) - n + 2) IF pos[i + n - 1] - pos[i] - (n - 1) <= 5]
   FOR n IN range(1, 5)])) AS m FROM k)
 SELECT model, count(DISTINCT p_partkey) AS hits, min(p_partkey) AS first_product FROM
   (SELECT DISTINCT upper(regexp_replace(p_name, '[^A-Za-z0-9]', '', 'g')) AS model FROM part) JOIN p ON p.m = model WHERE model <> '' GROUP BY model
-""")
-def slug_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As slug_match, with the names of all products as models."""
+"""
+
+
+@query(SLUG_SQL)
+def slug_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products whose slug names one of the models, all product names, by windows of words that meet them in an equi-join."""
     part = load(spark, sf_dir, "part")
     return slug_hits(part, part)
 
 
+@query(SLUG_SQL)
+def slug_match_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as slug_match, which takes all models too."""
+    return slug_match(spark, sf_dir)
+
+
 def slug_hits(wanted: DataFrame, part: DataFrame) -> DataFrame:
     """How many products' slugs name each model, and the first of them; a model that several products share counts once."""
     models = wanted.select(urls.upper_alnum(F.col("p_name")).alias("model")).distinct()
