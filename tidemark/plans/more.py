@@ -43,6 +43,22 @@ def sample_per_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.withColumn("n", n).filter("n <= 3").select("source", "doc_id")
 
 
+@query("""
+SELECT source, doc_id FROM documents WHERE CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) < 0.25 * 4294967296
+""")
+def sample_by_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of all documents, picked by hash where they lie."""
+    return sampled(load(spark, sf_dir, "documents"), "doc_id", 0.25).select("source", "doc_id")
+
+
+def sampled(df: DataFrame, key: str, ratio: float | None) -> DataFrame:
+    """The rows whose key's hash lies below a share of its range; no ratio takes all. Rows with a null key go, unless all are taken."""
+    if ratio is None:
+        return df
+    at = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+    return df.filter(at < F.lit(int(ratio * (1 << 32))))
+
+
 @query(f"""
 SELECT lang, source, n, place FROM (SELECT lang, source, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, source) AS place FROM
   (SELECT lang, source, count(*) AS n FROM documents GROUP BY lang, source)) WHERE place <= 5
