@@ -1,11 +1,13 @@
 """Rules on small tables: incremental loads, runs, reports, schemas, readers and writers."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
 from tidemark.operators import extraction, incremental, matching, quality, reviews, runs, snapshots
 from tidemark.plans.config import Field, ShopSchema
+from tidemark.sinks import state as run_state
 from tidemark.sinks import tables as sinks
 from tidemark.sinks.report import Report
 from tidemark.sources import tables as sources
@@ -55,6 +57,86 @@ def test_breaker_positions(spark):
     assert len(runs.survivors(events(spark, "bbbooo"), "site", ["seq"], bad, 3).collect()) == 3
 
 
+def plain_runs(marks):
+    out, run = [], 0
+    for bad in marks:
+        run = run + 1 if bad else 0
+        out.append(run)
+    return out
+
+
+def test_runs_cross_the_ranges_of_the_order(spark):
+    rng = random.Random(5)
+    marks = {k: [rng.random() < share for _ in range(60)] for k, share in (("a", 0.5), ("b", 0.9), ("c", 1.0), ("d", 0.0), (None, 0.8))}
+    df = spark.createDataFrame([(k, i, bad) for k, m in marks.items() for i, bad in enumerate(m)], "k string, i int, bad boolean")
+    want = {(k, i): r for k, m in marks.items() for i, r in enumerate(plain_runs(m))}
+    got = runs.failure_runs(df, "k", ["i"], F.col("bad"), per_range=17)
+    assert {(r["k"], r["i"]): r["run"] for r in got.collect()} == want and got.count() == 300
+    ends = {k: next((i for i, r in enumerate(plain_runs(m)) if r == 5), None) for k, m in marks.items()}
+    tripped = runs.trips(df, "k", ["i"], F.col("bad"), 5, per_range=17)
+    assert {r["k"]: r["i"] for r in tripped.collect()} == {k: i for k, i in ends.items() if i is not None}
+    kept = runs.survivors(df, "k", ["i"], F.col("bad"), 5, per_range=17)
+    assert {(r["k"], r["i"]) for r in kept.collect()} == {(k, i) for k, m in marks.items() for i in range(60) if ends[k] is None or i <= ends[k]}
+
+
+def test_reading_stops_across_ranges_without_a_scope(spark):
+    rng = random.Random(6)
+    pages = [[rng.randrange(12 + p // 3) for _ in range(2)] for p in range(40)]
+    known, still, want = set(), 0, []
+    for p, keys in enumerate(pages):
+        fresh = set(keys) - known
+        want.append((p, len(fresh), still < 3))
+        known |= fresh
+        still = still if still >= 3 else 0 if fresh else still + 1
+    df = spark.createDataFrame([(p, k) for p, keys in enumerate(pages) for k in keys], "page long, k int")
+    assert rows(runs.stop_after(df, [], "page", ["k"], 3, per_range=9).select("page", "new_keys", "read")) == want
+    assert not all(read for _, _, read in want)
+
+
+def test_each_breaker_has_its_own_counter(spark):
+    b, f, n, o = "blocked", "failed", "no_price", "ok"
+    visits = {
+        ("s", "search"): [b, b, o, b, b, b, o], ("s", "product"): [b, f, b, f, n, b, b, f, b, f], ("t", "product"): [n] * 6 + [b, f] + [n] * 5,
+        ("u", "product"): [n] * 9 + [o] + [n] * 9, ("t", "review"): [b, b, None, b, b], ("brand", "series"): [f] * 4 + [o] + [f] * 6,
+    }
+    df = spark.createDataFrame([(k, s, i, x) for (k, s), xs in visits.items() for i, x in enumerate(xs)], "k string, stage string, i int, status string")
+    got = runs.circuit_errors(df, "k", "stage", "status", ["i"]).select("k", "stage", "i", "kind", "counter", "run")
+    assert rows(got) == [
+        ("brand", "series", 9, "circuit_break", "series", 5), ("s", "product", 9, "circuit_break", "product", 5),
+        ("s", "search", 5, "circuit_break", "search", 3), ("t", "product", 11, "no_price_circuit", "no_price", 10),
+    ]
+    assert runs.circuit_errors(df.limit(0), "k", "stage", "status", ["i"]).count() == 0
+
+
+def test_a_run_continues_from_its_state(spark, tmp_path):
+    path, kind = str(tmp_path / "state"), "site string, status string, at long"
+    work = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "site string")
+    state = run_state.read_state(spark, path, kind)
+    assert run_state.left_to_do(work, state, "site", "status").count() == 4
+    first = run_state.advance(state, spark.createDataFrame([("a", "ok", 1), ("b", "blocked", 1), ("b", None, None)], kind), "site", "at")
+    assert run_state.write_state(first, path) == 1
+    state = run_state.read_state(spark, path, kind)
+    assert rows(state) == [("a", "ok", 1), ("b", "blocked", 1)]
+    assert {r["site"] for r in run_state.left_to_do(work, state, "site", "status").collect()} == {"b", "c", None}
+    assert run_state.write_state(run_state.advance(state, spark.createDataFrame([("b", "no_item", 2)], kind), "site", "at"), path) == 2
+    (tmp_path / "state" / "version-00000003").mkdir()  # a run that died while writing
+    state = run_state.read_state(spark, path, kind)
+    assert rows(state) == [("a", "ok", 1), ("b", "no_item", 2)]
+    assert run_state.write_state(state, path) == 3
+
+
+def test_a_sandbox_leaves_the_table_alone(spark, tmp_path):
+    path, df = str(tmp_path / "live"), spark.createDataFrame([(1, "x")], "k int, v string")
+    sinks.insert_new(df, path, ["k"], ["v"])
+    spark.conf.set("tidemark.sandbox", str(tmp_path / "sandbox"))
+    try:
+        sinks.insert_new(spark.createDataFrame([(1, "y"), (2, "z")], "k int, v string"), path, ["k"], ["v"])
+        assert rows(spark.read.parquet(sinks.target(spark, path))) == [(1, "y"), (2, "z")]
+    finally:
+        spark.conf.unset("tidemark.sandbox")
+    assert rows(spark.read.parquet(path)) == [(1, "x")]
+
+
 def test_as_of_takes_the_last_at_or_before(spark):
     prices = spark.createDataFrame([("a", 1, 10), ("a", 5, 20)], "k string, t int, v int")
     at = spark.createDataFrame([("a", 0), ("a", 4), ("a", 5), ("b", 9)], "k string, t int")

@@ -49,3 +49,15 @@ def test_weeks_close_with_the_watermark(spark, tmp_path):
     df = spark.createDataFrame(rows, "ts timestamp, kind string, part int")
     got = available_now(breaker.weekly_counts(stream(spark, df, str(tmp_path / "in"), 2), "ts", ["kind"])).collect()
     assert {r["window"]["start"].weekday() for r in got} == {0} and sum(r["n"] for r in got) <= len(rows)
+
+
+def test_a_named_stream_resumes(spark, tmp_path):
+    folder, kind = str(tmp_path / "in"), "user_id long, event_id long, ts timestamp, failed boolean"
+    name, runs_of = f"resume-{tmp_path.name}", []
+    for part in ([1, 2], [3, 4], []):
+        if part:
+            rows = [(7, i, BASE + dt.timedelta(minutes=i), True) for i in part]
+            spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(spark.createDataFrame([], kind).schema).parquet(folder)
+        runs_of.append([tuple(r) for r in available_now(breaker.breaker(source), name=name).select("user_id", "event_id", "run").collect()])
+    assert runs_of == [[], [(7, 3, 3)], [(7, 3, 3)]]

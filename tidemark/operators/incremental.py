@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import number_rows
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key by ``order``, which should be unique within a key."""
-    w = Window.partitionBy(keys).orderBy(order)
-    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    """The first row of each key by ``order``, which should be unique within a key; no task sorts the rows of a key."""
+    first = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_row"))
+    return first.select("_row.*")
 
 
 def insert_or_ignore(target: DataFrame, incoming: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

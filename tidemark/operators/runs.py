@@ -2,45 +2,121 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 #: Fixed thresholds of the breakers: consecutive failures after which the rest of a scope is skipped.
-THRESHOLDS = {"search": 3, "product": 5, "no_price": 10, "review": 3}
-
-
-def failure_runs(events: DataFrame, key: str, order: list[str], failed: Column) -> DataFrame:
-    """Adds run: how many failures in a row end here; a success sets it back to 0."""
-    w = Window.partitionBy(key).orderBy(order)
-    marked = events.withColumn("_bad", failed.cast("int")).withColumn("_island", F.sum(1 - F.col("_bad")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    own = Window.partitionBy(key, "_island").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return marked.withColumn("run", F.sum("_bad").over(own)).drop("_bad", "_island")
-
-
-def trips(events: DataFrame, key: str, order: list[str], failed: Column, threshold: int) -> DataFrame:
-    """The row of each key at which its breaker first trips."""
-    hit = failure_runs(events, key, order, failed).filter(F.col("run") == threshold)
-    return hit.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order))).filter("_n = 1").drop("_n")
-
-
-def survivors(events: DataFrame, key: str, order: list[str], failed: Column, threshold: int) -> DataFrame:
+THRESHOLDS = {"search": 3, "product": 5, "no_price": 10, "review": 3, "series": 5}
+
+
+#: Rows that one range of the order holds on average; a key with more is counted in several tasks.
+PER_RANGE = 1_000_000
+
+
+def _ranged(df: DataFrame, of: DataFrame, order: list[str], per_range: int) -> DataFrame:
+    """Adds _range: which of the ranges of the order's first column, cut by its quantiles in ``of``, a row falls into.
+
+    Ranges grow in number with the rows. A first column that is neither a number nor a time gives a single range.
+    """
+    kind = of.schema[order[0]].dataType
+    value = F.col(order[0]).cast("double") if isinstance(kind, NumericType) else F.unix_micros(F.col(order[0]).cast("timestamp")).cast("double")
+    ranges = -(-of.count() // per_range) if isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)) else 1
+    if ranges < 2:
+        return df.withColumn("_range", F.lit(0))
+    cuts = of.select(value.alias("v")).approxQuantile("v", [i / ranges for i in range(1, ranges)], 0.1 / ranges)
+    bounds = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]).cast("array<double>")
+    return df.withColumn("_range", F.coalesce(F.size(F.filter(bounds, lambda c: c < value)), F.lit(0)))
+
+
+def _runs(df: DataFrame, of: DataFrame, scope: list[str], order: list[str], bad: Column, per_range: int) -> DataFrame:
+    """Adds run: how many bad rows in a row end here, within a scope.
+
+    Runs are counted within ranges of the order, and those that open a range take over what the ranges before it end
+    with, so that no task sorts a whole scope.
+    """
+    whole = Window.unboundedPreceding
+    within = Window.partitionBy(*scope, "_range").orderBy(order).rowsBetween(whole, 0)
+    marked = _ranged(df, of, order, per_range).withColumn("_bad", F.coalesce(bad, F.lit(False)).cast("int"))
+    marked = marked.withColumn("_island", F.sum(1 - F.col("_bad")).over(within))
+    own = Window.partitionBy(*scope, "_range", "_island").orderBy(order).rowsBetween(whole, 0)
+    marked = marked.withColumn("run", F.sum("_bad").over(own))
+    # The last run of a range is that of its last island; _good tells whether a range breaks the run that comes in.
+    parts = marked.groupBy(*scope, "_range", "_island").agg(F.sum("_bad").alias("_n"))
+    parts = parts.groupBy(*scope, "_range").agg(F.max_by("_n", "_island").alias("_tail"), F.max((F.col("_island") > 0).cast("int")).alias("_good"))
+    ranges = Window.partitionBy(*scope).orderBy("_range")
+    parts = parts.withColumn("_group", F.sum("_good").over(ranges.rowsBetween(whole, 0)))
+    ends = F.sum("_tail").over(Window.partitionBy(*scope, "_group").orderBy("_range").rowsBetween(whole, 0))
+    carried = parts.withColumn("_ends", ends).withColumn("_carry", F.coalesce(F.lag("_ends").over(ranges), F.lit(0)))
+    carried = carried.filter("_carry > 0").select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(scope)], F.col("_range").alias("_r"), "_carry")
+    on = F.col("_range") == F.col("_r")
+    for i, c in enumerate(scope):
+        on = on & F.col(c).eqNullSafe(F.col(f"_s{i}"))
+    carry = F.when(F.col("_island") == 0, F.coalesce("_carry", F.lit(0))).otherwise(0)
+    return marked.join(carried, on, "left").withColumn("run", F.col("run") + carry).select(*df.columns, "run")
+
+
+def failure_runs(events: DataFrame, key: str, order: list[str], failed: Column, per_range: int = PER_RANGE) -> DataFrame:
+    """Adds run: how many failures in a row end here; a success, or a row of which it is not known, sets it back to 0."""
+    return _runs(events, events, [key], order, failed, per_range)
+
+
+def trips(events: DataFrame, key: str, order: list[str], failed: Column, threshold: int, per_range: int = PER_RANGE) -> DataFrame:
+    """The row of each key at which its breaker first trips, with its run."""
+    hit = failure_runs(events, key, order, failed, per_range).filter(F.col("run") == threshold)
+    first = hit.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*hit.columns), F.struct(*order)).alias("_row"))
+    return first.select("_row.*")
+
+
+def survivors(events: DataFrame, key: str, order: list[str], failed: Column, threshold: int, per_range: int = PER_RANGE) -> DataFrame:
     """Rows up to the trip, with it."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    tripped = F.max((F.col("run") >= threshold).cast("int")).over(w)
-    return failure_runs(events, key, order, failed).withColumn("_t", F.coalesce(tripped, F.lit(0))).filter("_t = 0").drop("_t")
-
-
-def stop_after(pages: DataFrame, scope: list[str], page: str, key: list[str], quiet: int) -> DataFrame:
+    ended = trips(events, key, order, failed, threshold, per_range).select(F.col(key).alias("_key"), F.struct(*order).alias("_end"))
+    both = events.join(ended, F.col(key).eqNullSafe(F.col("_key")), "left")
+    return both.filter(F.col("_end").isNull() | (F.struct(*order) <= F.col("_end"))).select(*events.columns)
+
+
+#: What stops a stage, as (counter, stage, status that counts, statuses that it does not see, kind of the error row).
+#: Blocked and failed pages do not tell whether there is a price, so they neither add to that counter nor reset it.
+COUNTERS = (
+    ("search", "search", ("blocked",), (), "circuit_break"),
+    ("product", "product", ("blocked", "failed"), (), "circuit_break"),
+    ("no_price", "product", ("no_price",), ("blocked", "failed"), "no_price_circuit"),
+    ("review", "review", ("blocked",), (), "circuit_break"),
+    ("series", "series", ("failed",), (), "circuit_break"),
+)
+
+
+def circuit_errors(visits: DataFrame, key: str, stage: str, status: str, order: list[str], thresholds: dict[str, int] | None = None, per_range: int = PER_RANGE) -> DataFrame:
+    """The error row of each key and stage that a breaker stops: its last visit, kind, counter and run.
+
+    Of two counters of one stage the one that trips first stops it; ``order`` must be unique within a key and stage.
+    ``thresholds`` replaces fixed ones by counter. A null status is no failure and resets. For series, key is the brand.
+    """
+    limits = THRESHOLDS | (thresholds or {})
+    found = []
+    for counter, at, counts, unseen, kind in COUNTERS:
+        seen = visits.filter((F.col(stage) == at) & ~F.coalesce(F.col(status).isin(*unseen), F.lit(False)))
+        hit = trips(seen, key, order, F.col(status).isin(*counts), limits[counter], per_range)
+        found.append(hit.withColumn("counter", F.lit(counter)).withColumn("kind", F.lit(kind)))
+    hits = reduce(DataFrame.unionByName, found)
+    first = hits.groupBy(F.col(key).alias("_key"), F.col(stage).alias("_stage")).agg(F.min_by(F.struct(*hits.columns), F.struct(*order)).alias("_row"))
+    return first.select("_row.*")
+
+
+def stop_after(pages: DataFrame, scope: list[str], page: str, key: list[str], quiet: int, per_range: int = PER_RANGE) -> DataFrame:
     """Per scope and page: new keys, and whether the page is read if reading stops after ``quiet`` pages without news."""
-    first = Window.partitionBy(*scope, *key).orderBy(page)
-    news = pages.select(*scope, page, *key).distinct().withColumn("_new", (F.row_number().over(first) == 1).cast("int"))
-    by_page = news.groupBy(*scope, page).agg(F.sum("_new").alias("new_keys"))
-    w = Window.partitionBy(*scope).orderBy(page) if scope else Window.orderBy(page)
-    own = by_page.withColumn("_island", F.sum(F.when(F.col("new_keys") > 0, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    run = Window.partitionBy(*scope, "_island").orderBy(page).rowsBetween(Window.unboundedPreceding, 0)
-    own = own.withColumn("run", F.sum(F.when(F.col("new_keys") == 0, 1).otherwise(0)).over(run))
-    stopped = F.max((F.col("run") >= quiet).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return own.select(*scope, page, "new_keys", (F.coalesce(stopped, F.lit(0)) == 0).alias("read"))
+    firsts = pages.groupBy(*scope, *key).agg(F.min(page).alias(page)).groupBy(*scope, page).agg(F.count(F.lit(1)).alias("_new"))
+    all_pages = pages.select(*scope, page).distinct()
+    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*scope, page]]
+    by_page = all_pages.alias("a").join(firsts.alias("b"), reduce(Column.__and__, on), "left").select("a.*", F.coalesce("_new", F.lit(0)).alias("new_keys"))
+    own = _runs(by_page, pages, scope, [page], F.col("new_keys") == 0, per_range)
+    ends = own.filter(F.col("run") >= quiet).groupBy(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(scope)]).agg(F.min(page).alias("_end"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(scope)], F.lit(True))
+    # Without a scope there is one row of the end.
+    both = own.join(ends, same, "left") if scope else own.crossJoin(F.broadcast(ends))
+    return both.select(*scope, page, "new_keys", (F.col("_end").isNull() | (F.col(page) <= F.col("_end"))).alias("read"))
 
 
 def gaps(events: DataFrame, key: str, time: str, seconds: int) -> DataFrame:

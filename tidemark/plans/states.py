@@ -39,6 +39,30 @@ def breaker_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.survivors(events, "user_id", ORDER, F.expr(FAILED), runs.THRESHOLDS["search"]).select("user_id", "event_id", "event_type")
 
 
+#: Stages of a site's visits by the event's number, and what an event stands for.
+VISITS = """
+v AS (SELECT user_id, event_id, ['search', 'product', 'review'][1 + event_id % 3] AS stage,
+  CASE event_type WHEN 'error' THEN 'blocked' WHEN 'view' THEN 'no_price' ELSE 'ok' END AS status FROM events),
+c AS (SELECT *, 'search' AS counter, 'circuit_break' AS kind, 3 AS lim, status = 'blocked' AS bad FROM v WHERE stage = 'search'
+  UNION ALL SELECT *, 'product', 'circuit_break', 5, status = 'blocked' FROM v WHERE stage = 'product'
+  UNION ALL SELECT *, 'no_price', 'no_price_circuit', 10, status = 'no_price' FROM v WHERE stage = 'product' AND status <> 'blocked'
+  UNION ALL SELECT *, 'review', 'circuit_break', 3, status = 'blocked' FROM v WHERE stage = 'review'),
+g AS (SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (PARTITION BY user_id, counter ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS island FROM c),
+n AS (SELECT *, CAST(sum(CASE WHEN bad THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, counter, island ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM g)
+"""
+
+
+@query(f"""WITH {VISITS}
+SELECT user_id, stage, event_id, kind, counter, run FROM (SELECT *, row_number() OVER (PARTITION BY user_id, stage ORDER BY event_id) AS k FROM n WHERE run = lim) WHERE k = 1
+""")
+def breaker_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The error rows of all breakers: searches, products, products without a price, and reviews, each with its own threshold."""
+    stage = F.element_at(F.array(*map(F.lit, ("search", "product", "review"))), (F.col("event_id") % 3 + 1).cast("int"))
+    status = F.when(F.col("event_type") == "error", "blocked").when(F.col("event_type") == "view", "no_price").otherwise("ok")
+    visits = load(spark, sf_dir, "events").select("user_id", "event_id", stage.alias("stage"), status.alias("status"))
+    return runs.circuit_errors(visits, "user_id", "stage", "status", ["event_id"]).select("user_id", "stage", "event_id", "kind", "counter", "run")
+
+
 @query("""
 WITH p AS (SELECT DISTINCT CAST(event_id // 50 AS BIGINT) AS page, user_id, event_type FROM events),
 f AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY user_id, event_type ORDER BY page) = 1 THEN 1 ELSE 0 END AS new FROM p),

@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.incremental import first_wins
 
 
+def target(spark: SparkSession, path: str) -> str:
+    """Where a table is written: its path, or the same path below the session's tidemark.sandbox, if that is set.
+
+    With a sandbox the writers neither read nor change what stands at the path itself.
+    """
+    sandbox = spark.conf.get("tidemark.sandbox", None)
+    return f"{sandbox.rstrip('/')}/{re.sub('^[A-Za-z][A-Za-z0-9+.-]*:/*', '', path).lstrip('/')}" if sandbox else path
+
+
 def append_snapshot(df: DataFrame, path: str, by: str = "captured_week") -> None:
     """Adds rows to the folders of their week and changes none that are there."""
-    df.write.mode("append").partitionBy(by).parquet(path)
+    df.write.mode("append").partitionBy(by).parquet(target(df.sparkSession, path))
 
 
 def _existing(spark: SparkSession, path: str) -> bool:
@@ -20,7 +31,7 @@ def _existing(spark: SparkSession, path: str) -> bool:
 
 def insert_new(df: DataFrame, path: str, keys: list[str], order: list[str], by: str | None = None) -> None:
     """Appends the rows whose key the table lacks, so that running again adds nothing."""
-    fresh = first_wins(df, keys, order)
+    path, fresh = target(df.sparkSession, path), first_wins(df, keys, order)
     if _existing(df.sparkSession, path):
         fresh = fresh.join(df.sparkSession.read.parquet(path).select(keys), keys, "left_anti")
     writer = fresh.write.mode("append")
@@ -29,7 +40,7 @@ def insert_new(df: DataFrame, path: str, keys: list[str], order: list[str], by:
 
 def replace_partitions(df: DataFrame, path: str, by: str) -> None:
     """Replaces the partitions that df has rows of, and leaves the others."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(target(df.sparkSession, path))
 
 
 def backup_then_delete(table: DataFrame, doomed: Column, backup_path: str, kept_path: str) -> None:

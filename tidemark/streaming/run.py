@@ -9,18 +9,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A new folder in spark.checkpoint.dir; in local mode without that setting, a temporary one."""
+def work_dir(spark: SparkSession, name: str | None = None) -> str:
+    """A folder in spark.checkpoint.dir, a new one if it has no name; in local mode without that setting, a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root and spark.sparkContext.master.startswith("local-cluster") or not root and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{root or os.path.join(tempfile.gettempdir(), 'tidemark-checkpoints')}/stream-{uuid.uuid4().hex}"
+    return f"{root or os.path.join(tempfile.gettempdir(), 'tidemark-checkpoints')}/stream-{name or uuid.uuid4().hex}"
 
 
-def available_now(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Reads all that the source holds now, with a checkpoint, writes Parquet and gives it back as a table."""
+def available_now(stream: DataFrame, mode: str = "append", name: str | None = None) -> DataFrame:
+    """Reads all that the source holds now, with a checkpoint, writes Parquet and gives it back as a table.
+
+    A run under the ``name`` of an earlier one resumes it: offsets and state are those it left, files it has read are
+    not read again, and the table holds the rows of all runs. Without a name nothing is resumed.
+    """
     spark = stream.sparkSession
-    where = work_dir(spark)
+    where = work_dir(spark, name)
     writer = stream.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", f"{where}/checkpoint").option("path", f"{where}/out")
     writer.trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{where}/out")
