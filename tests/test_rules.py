@@ -57,6 +57,20 @@ def test_breaker_positions(spark):
     assert len(runs.survivors(events(spark, "bbbooo"), "site", ["seq"], bad, 3).collect()) == 3
 
 
+def test_why_nothing_matched(spark):
+    titles = {
+        "65U7SG": ['Screen 55" Class U7SG', "Screen 75 inch U7SG"], "65U8N": ["Screen 65 inch U8N"], "50A9QX": ["Screen 50 inch B1"],
+        "55Q7QX": ["Screen refurbished 55 inch Q7QX"], "43K5QX": ["Screen 43 inch K5QX"],
+    }
+    rules = matching.MatchRules(reject_words=("refurbished",))
+    pairs = spark.createDataFrame([(t, x) for t, xs in titles.items() for x in xs], "t string, x string")
+    said = matching.matches(F.col("t"), F.col("x"), F.lit(None).cast("string"), F.array().cast("array<string>"), rules)
+    got = matching.refusals(pairs.withColumn("m", said), "t", "x", "m", rules)
+    assert rows(got) == [
+        ("50A9QX", "no_such_series", "", 50), ("55Q7QX", "check_rules", "55", 55), ("65U7SG", "other_sizes", "55/75", 65), ("65U8N", "core_too_short", "65", 65),
+    ]
+
+
 def plain_runs(marks):
     out, run = [], 0
     for bad in marks:

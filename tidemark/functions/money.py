@@ -96,3 +96,14 @@ def difference_class(old: Column, new: Column) -> Column:
         .when(share > old * F.lit(SUSPECT), "suspect")
         .otherwise("move")
     )
+
+
+#: Fixed threshold: days that must lie between two readings before a difference says anything.
+MEANINGFUL_DAYS = 7
+
+
+def difference_verdict(old: Column, new: Column, days: Column, same_title: Column, page_ok: Column) -> Column:
+    """same, suspect or unknown as in difference_class; a move only of a live page with the same title after over 7 days, else unsure."""
+    kind = difference_class(old, new)
+    sure = F.coalesce((days > MEANINGFUL_DAYS) & same_title & page_ok, F.lit(False))
+    return F.when((kind == "move") & ~sure, "unsure").otherwise(kind)

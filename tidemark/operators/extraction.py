@@ -48,6 +48,20 @@ def marker_counts(pages: DataFrame, id_column: str, html: str, markers: list[str
     return pages.select(id_column, F.inline(pairs))
 
 
+#: Keys under which pages keep their specifications as JSON.
+JSON_KEYS = (
+    "specification", "csChapter", "classifications", "techSpecs", "technicalSpecs",
+    "productSpecs", "specifications", "attributeGroups", "featureBullets", "specGroups",
+)
+
+
+def key_counts(pages: DataFrame, id_column: str, html: str, keys: tuple[str, ...] = JSON_KEYS) -> DataFrame:
+    """id, key and how often the page has it as a JSON key, escaped quotes included; no row for a key that it lacks."""
+    count = lambda k: F.regexp_count(html, F.lit(rf'["\\]*{k}["\\]*\s*:')).cast("long")
+    pairs = F.array(*[F.struct(F.lit(k).alias("key"), count(k).alias("hits")) for k in keys])
+    return pages.select(id_column, F.inline(pairs)).filter("hits > 0")
+
+
 def first_of(*steps: Column) -> Column:
     """The first step that finds something; an empty text finds nothing."""
     return F.coalesce(*[F.nullif(F.trim(s), F.lit("")) for s in steps])

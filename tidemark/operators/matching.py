@@ -70,6 +70,29 @@ def matches(target: Column, title: Column, url: Column, own_models: Column, rule
     )
 
 
+def refusals(pairs: DataFrame, target: str, title: str, match: str, rules: MatchRules) -> DataFrame:
+    """Per target that nothing matched: why, and the sizes in which its series was seen, ascending.
+
+    pairs: targets with the titles they met and what ``matches`` said. A title without a size adds none. A size that was
+    seen after all is not the reason: then reject words, the length of the core or word boundaries are.
+    """
+    core, size = core_model(F.col(target)), F.regexp_extract(target, r"^(\d{2,3})", 1).try_cast("int")
+    series = F.contains(upper_alnum(F.col(title)), core) & (core != "")
+    seen = F.regexp_extract(F.lower(title), r"(?:^|[^a-z0-9])(\d{2,3})(?=[^a-z0-9]|$)", 1).try_cast("int")
+    marked = pairs.select(
+        F.col(target).alias("target"), F.col(f"{match}.ok").alias("_ok"), F.coalesce(series, F.lit(False)).alias("_series"),
+        F.when(series, seen).alias("_seen"), size.alias("_size"), F.length(core).alias("_core"),
+    )
+    found = marked.groupBy("target").agg(
+        F.max("_ok").alias("_ok"), F.max("_series").alias("_series"), F.sort_array(F.collect_set("_seen")).alias("_sizes"), F.max("_size").alias("_size"), F.max("_core").alias("_core")
+    )
+    other = (F.size("_sizes") > 0) & F.col("_size").isNotNull() & ~F.array_contains("_sizes", F.coalesce("_size", F.lit(0)))
+    short = F.lit(not rules.allow_core) | (F.col("_core") < rules.min_core_len)
+    reason = F.when(~F.col("_series"), "no_such_series").when(short, "core_too_short").when(other, "other_sizes").otherwise("check_rules")
+    sizes = F.array_join(F.transform("_sizes", lambda x: x.cast("string")), "/")
+    return found.filter(~F.coalesce("_ok", F.lit(False))).select("target", reason.alias("reason"), sizes.alias("sizes"), F.col("_size").cast("long").alias("wanted"))
+
+
 def slug_windows(slug: Column) -> Column:
     """Concatenations of up to MOST_WORDS neighbouring words, connectors left out, as normalised models.
 

@@ -21,7 +21,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from tidemark.plans import board, cases, fields, loading, more, pages, prices, states, streams  # noqa: F401
+    from tidemark.plans import board, cases, fields, loading, more, pages, prices, reasons, states, streams  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
