@@ -181,11 +181,12 @@ def frequent_pairs(docs: DataFrame, top) -> np.ndarray:
 
 
 def ngram_rows(docs: DataFrame, hot, top, pairs, total: int) -> DataFrame:
-    """doc, key, n, m, plus: an n-gram's occurrences n in a document, and the m times that its ln c counts.
+    """key, doc, n, m, plus: an n-gram's occurrences n in a document, and the m times that its ln c counts.
 
+    The key stands before the document: what differs from row to row is then in one place, and compresses better.
     A row of docs has one of its own as well, with n = 0: its number of words as m, and the sum of what is known already.
     """
-    names = "doc key n m plus"
+    names = "key doc n m plus"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (table, counts), best, known = hot.value, top.value, np.log(np.maximum(pairs.value, 1))
@@ -207,13 +208,13 @@ def ngram_rows(docs: DataFrame, hot, top, pairs, total: int) -> DataFrame:
                 one = np.ones(len(key), np.int64)
                 d, key, n, m = grouped(np.append(doc[cold], doc[rare]), key, one, np.append(one[: len(cold)], m[rare]))
                 order = np.lexsort((d, m, n))  # rows alike stand together, which halves what the shuffle writes of them
-                yield rows_of(names, own[d[order]], key[order], n[order].astype(np.int32), m[order].astype(np.int32), np.zeros(len(d)))
+                yield rows_of(names, key[order], own[d[order]], n[order].astype(np.int32), m[order].astype(np.int32), np.zeros(len(d)))
                 each = np.arange(turn, turn + len(own), dtype=np.uint64)
                 turn += len(own)
                 size = np.bincount(doc, minlength=len(own)).astype(np.int32)
-                yield rows_of(names, own, mix(own.astype(np.uint64) + mix(each)), np.zeros(len(own), np.int32), size, np.bincount(doc, plus, len(own)).astype(float))
+                yield rows_of(names, mix(own.astype(np.uint64) + mix(each)), own, np.zeros(len(own), np.int32), size, np.bincount(doc, plus, len(own)).astype(float))
 
-    return docs.mapInArrow(run, "doc long, key long, n int, m int, plus double")
+    return docs.mapInArrow(run, "key long, doc long, n int, m int, plus double")
 
 
 def score_own(docs: DataFrame) -> DataFrame:
