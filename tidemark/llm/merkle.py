@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.crc_sql import CRC, crc32
 from tidemark.llm.shared import ascii_lower, partitions, stash
 
 ARITY, HEX = 8, 64
@@ -320,14 +321,10 @@ _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvw
 _LEAF = " || ".join(_FIELD.format(name) for name in FIELDS)
 _DEPTH = 7
 
-#: The same for trees of at most 8**7 leaves; crc32 bit by bit from a table of the 256 bytes.
+#: The same for trees of at most 8**7 leaves.
 ORACLE = f"""
-WITH b0 AS (SELECT CAST(range AS BIGINT) AS b, CAST(range AS BIGINT) AS v FROM range(256)),
-{", ".join(f"b{k + 1} AS (SELECT b, xor(v >> 1, 3988292384 * (v & 1)) AS v FROM b{k})" for k in range(8))},
-crc AS (SELECT list(v ORDER BY b) AS v FROM b8),
-d AS (SELECT doc_id, lang, sha256({_LEAF}) AS leaf, sha256({_LEAF.replace("text", _LOWER)}) AS lowered,
-  xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
-    lambda a, c: xor(a >> 8, list_extract(crc.v, CAST(xor(a & 255, c) + 1 AS BIGINT))))) % 3 = 0 AS hit FROM documents, crc),
+WITH {CRC},
+d AS (SELECT doc_id, lang, sha256({_LEAF}) AS leaf, sha256({_LEAF.replace("text", _LOWER)}) AS lowered, {crc32("doc_id")} % 3 = 0 AS hit FROM documents, crc),
 m AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM (SELECT DISTINCT lang FROM d)),
 p AS (SELECT d.*, m.t, row_number() OVER (PARTITION BY m.t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY m.t) AS n FROM d JOIN m ON d.lang IS NOT DISTINCT FROM m.lang),
 x0 AS (SELECT t, i, leaf AS h, n FROM p), {_levels("x", _DEPTH)},

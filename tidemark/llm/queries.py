@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import backoff, chat_format, decontaminate, exact_dedup, language_id, merkle, mixing, mixing_sql, ngram_join, packing, secret_scan, url_filter, vector_join
+from tidemark.llm import backoff, chat_format, decontaminate, exact_dedup, language_id, merkle, mixing, mixing_sql, ngram_join, packing, secret_scan, tandem, url_filter, vector_join
 from tidemark.llm.shared import table
 
 
@@ -62,6 +62,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tandem.periodic(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
@@ -77,10 +81,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_chat_format, op2_exact_dedup, op3_lm_score, op4_language_id, op5_embedding_join, op6_mixing, op7_ngram_jaccard, op8_secret_scan, op9_packing,
-        op10_url_filter, op12_merkle_manifest, op13_decontamination, pipeline, op3_lm_score_all, op3_lm_score_cutoff,
+        op10_url_filter, op11_periodic_runs, op12_merkle_manifest, op13_decontamination, pipeline, op3_lm_score_all, op3_lm_score_cutoff,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_lm_score": backoff.ORACLE_ALL, "op3_lm_score_all": backoff.ORACLE_ALL, "op3_lm_score_cutoff": backoff.ORACLE, "op6_mixing": mixing_sql.ORACLE, "op5_embedding_join": vector_join.ORACLE, "op7_ngram_jaccard": ngram_join.ORACLE, "op12_merkle_manifest": merkle.ORACLE, "op13_decontamination": decontaminate.ORACLE}
+    return {"op2_exact_dedup": exact_dedup.ORACLE, "op3_lm_score": backoff.ORACLE_ALL, "op3_lm_score_all": backoff.ORACLE_ALL, "op3_lm_score_cutoff": backoff.ORACLE, "op6_mixing": mixing_sql.ORACLE, "op5_embedding_join": vector_join.ORACLE, "op7_ngram_jaccard": ngram_join.ORACLE, "op11_periodic_runs": tandem.ORACLE, "op12_merkle_manifest": merkle.ORACLE, "op13_decontamination": decontaminate.ORACLE}

@@ -15,6 +15,7 @@ import pyarrow as pa
 CHUNK_BYTES = 1 << 18
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+PLAIN = np.arange(256, dtype=np.uint8)
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 BASE = 0x9E3779B97F4A7C15
@@ -40,8 +41,8 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and document of each word; document i is data[bounds[i]:bounds[i + 1]], in UTF-8."""
+def word_hashes(data: np.ndarray, bounds: np.ndarray, fold: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and document of each word; document i is data[bounds[i]:bounds[i + 1]], in UTF-8; bytes count as ``fold`` has them."""
     size = len(data)
     if not size:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -53,7 +54,7 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     after[:-1] = inside[1:]
     after[bounds[1:][bounds[1:] > 0] - 1] = False
     first, last = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after)
-    sums = np.cumsum(CODES[LOWER[data]] * _powers(BASE, size))
+    sums = np.cumsum(CODES[fold[data]] * _powers(BASE, size))
     ahead = np.where(first > 0, sums[first - 1], np.uint64(0))
     words = mix((sums[last] - ahead) * _powers(INVERSE, size)[first] + (last - first).astype(np.uint64))
     return words, np.searchsorted(bounds, first, side="right") - 1
