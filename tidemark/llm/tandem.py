@@ -41,19 +41,23 @@ LEAST, POWER = 6, 4
 
 
 class Names:
-    """names[k][i]: the rank of the 2^k words from i on among all such pieces; equal pieces, and only they, share it."""
+    """names[k][i]: the rank of the 2^k words from i on among all such pieces; equal pieces, and only they, share it.
+
+    order: places by the ranks of the longest pieces; new: the first place of each word; repeated: places of pieces that occur twice.
+    """
 
     def __init__(self, words: np.ndarray) -> None:
         self.n = n = len(words)
-        order = np.argsort(words, kind="stable")
+        order = np.argsort(words)
         first = np.empty(n, bool)
         first[:1] = True
         first[1:] = words[order[1:]] != words[order[:-1]]
         starts = np.flatnonzero(first)
+        sizes = np.diff(np.append(starts, n))
         rank = np.empty(n, np.int64)
-        rank[order] = np.repeat(starts, np.diff(np.append(starts, n)))
-        self.names, self.order = [rank], order
-        self.repeated = np.sort(order[np.repeat(np.diff(np.append(starts, n)) > 1, np.diff(np.append(starts, n)))])
+        rank[order] = np.repeat(starts, sizes)
+        self.names, self.order, self.new = [rank], order, np.minimum.reduceat(order, starts) if n else starts
+        self.repeated = np.sort(order[np.repeat(sizes > 1, sizes)])
 
     def double(self) -> bool:
         """Adds the names of pieces twice as long; False if no piece occurs twice."""
@@ -61,7 +65,7 @@ class Names:
         if not len(at):
             return False
         after = np.where(at + step < self.n, rank[np.minimum(at + step, self.n - 1)] + 1, 0)
-        order = np.lexsort((after, rank[at]))
+        order = np.argsort(rank[at] * np.int64(self.n + 1) + after)
         own, after = rank[at][order], after[order]
         group = np.empty(len(at), bool)
         group[0] = True
@@ -120,17 +124,19 @@ def earlier(names: Names) -> np.ndarray:
     common = np.zeros(n + 1, np.int64)
     if n > 1:
         common[1:n] = names.ahead(order[1:], order[:-1])
-    out, held = np.zeros(n, np.int64), []
-    longest, places, shared = [0] * n, order.tolist(), common.tolist()
-    for r in range(n + 1):
-        here, least = (places[r], shared[r]) if r < n else (-1, 0)
+    common[common < 2] = 0
+    out = np.ones(n, np.int64)
+    out[names.new] = 0
+    rows = np.flatnonzero((common[:-1] > 0) | (common[1:] > 0))  # pieces of two words or more; else the word decides
+    found, held = [0] * len(rows), []
+    for r, (here, least) in enumerate(zip(order[rows].tolist() + [-1], common[rows].tolist() + [0])):
         while held and held[-1][0] > here:
-            place, before = held.pop()
-            longest[place] = before if before > least else least
+            _, before, row = held.pop()
+            found[row] = before if before > least else least
             if before < least:
                 least = before
-        held.append((here, least))
-    out[:] = longest
+        held.append((here, least, r))
+    out[order[rows]] = np.maximum(found, out[order[rows]])
     return out
 
 
