@@ -40,7 +40,7 @@ def test_run_on_nulls_repeated_ids_and_clashing_columns(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     wanted = con.sql(queries.oracle_sql()[name])
     got = queries.queries()[name](spark, SF)
