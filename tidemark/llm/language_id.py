@@ -30,6 +30,8 @@ from tidemark.llm.shared import stash
 
 #: Most training texts of a language; most landmarks of a language and of all languages together.
 PER_LANGUAGE, LANDMARKS, MARKS = 384, 48, 4096
+#: Most training texts of all languages together, at least one each; characters in a piece.
+SAMPLE, PIECE = 1 << 16, 512
 BUCKETS = 1 << 13
 GRAMS = (1, 2, 3)
 RIDGE = 1e-2
@@ -40,7 +42,7 @@ ROWS, BYTES = 64, 1 << 19
 
 
 def presence(texts: list[str]) -> np.ndarray:
-    """Row i, bucket j: 1 if an n-gram of text i falls into bucket j. A text of any length is read whole."""
+    """Row i, bucket j: 1 if an n-gram of text i falls into bucket j."""
     out = np.zeros((len(texts), BUCKETS), np.float32)
     for row, text in zip(out, texts):
         code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -54,6 +56,12 @@ def presence(texts: list[str]) -> np.ndarray:
     return out
 
 
+def pieces(text: str) -> list[str]:
+    """The text cut into equal pieces of at most PIECE characters."""
+    size = -(-len(text) // max(1, -(-len(text) // PIECE)))
+    return [text[i : i + size] for i in range(0, len(text), size)] if text else [""]
+
+
 @dataclass
 class Model:
     """classes: learned languages in order; landmarks: presence x landmark; weights: landmark x class."""
@@ -73,6 +81,22 @@ class Model:
         return raw / raw.sum(1, keepdims=True)
 
 
+    def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the language and score of each text, which are read whole."""
+        cut = [pieces(t) for t in texts]
+        owner = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
+        flat = [p for c in cut for p in c]
+        every, sure = np.zeros((len(cut), len(self.classes))), np.zeros((len(cut), len(self.classes)))
+        for start in range(0, len(flat), ROWS):
+            part, own = flat[start : start + ROWS], owner[start : start + ROWS]
+            found = self.scores(presence(part)) * np.array([max(1, len(p)) for p in part], float)[:, None]
+            np.add.at(every, own, found)
+            decided = found.max(1) >= 0.5 * found.sum(1)
+            np.add.at(sure, own[decided], found[decided])
+        best = np.where(sure.any(1)[:, None], sure, every).argmax(1)
+        return best, every[np.arange(len(cut)), best] / every.sum(1)
+
+
 def unpacked(rows: np.ndarray) -> np.ndarray:
     """Presence rows as numbers; bytes hold eight buckets each."""
     return np.unpackbits(rows, axis=1).astype(np.float32) if rows.dtype == np.uint8 else rows
@@ -117,6 +141,9 @@ def held_out() -> F.Column:
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     """docs: doc_id, text, lang of the rows to learn from."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & has_letter(F.col("text")))
+    learned = stash(usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(MARKS).select("lang"))
+    per_language = max(1, min(per_language, SAMPLE // max(1, learned.count())))
+    usable = usable.join(F.broadcast(learned), "lang", "left_semi")
     bucket = F.pmod(F.xxhash64("doc_id"), F.lit(per_language)).alias("b")
     at = F.struct(F.xxhash64("doc_id", F.lit(1)), "doc_id")
     picks = usable.groupBy("lang", bucket).agg(F.min_by("doc_id", at).alias("doc_id"))
@@ -129,7 +156,11 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
                 rows = np.packbits(presence(part.column(2).to_pylist()).astype(bool), axis=1)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([r.tobytes() for r in rows], pa.binary())], names=["lang", "b", "seen"])
 
-    rows = usable.join(picks.hint("broadcast") if picks.count() * 32 < 8 << 20 else picks, ["lang", "doc_id"]).select("lang", "b", "text")
+    count = F.ceil(F.char_length("text") / PIECE)
+    size = F.ceil(F.char_length("text") / count).cast("int")
+    piece = F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(2)), count) * size + 1).cast("int"), size)
+    piece = F.when(has_letter(piece), piece).otherwise(F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{PIECE - 1}}}", 0))
+    rows = usable.join(picks.hint("broadcast") if picks.count() * 32 < 8 << 20 else picks, ["lang", "doc_id"]).select("lang", "b", piece.alias("text"))
     made = rows.mapInArrow(features, "lang string, b long, seen binary").groupBy("lang", "b").agg(F.min("seen").alias("seen"))
     found = sorted(made.collect())
     bits = np.frombuffer(b"".join(r["seen"] for r in found), np.uint8).reshape(-1, BUCKETS // 8)
@@ -148,9 +179,8 @@ def predict(texts: DataFrame, model: Model | None) -> DataFrame:
             at = np.flatnonzero(known) if fitted else []
             for start in range(0, len(at), ROWS):
                 rows = at[start : start + ROWS]
-                found = fitted.scores(presence(batch.column(3).take(pa.array(rows)).to_pylist()))
-                best = found.argmax(1)
-                lang[rows], score[rows] = np.array(fitted.classes, dtype=object)[best], found[np.arange(len(rows)), best]
+                best, score[rows] = fitted.judge(batch.column(3).take(pa.array(rows)).to_pylist())
+                lang[rows] = np.array(fitted.classes, dtype=object)[best]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
     return texts.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
@@ -181,7 +211,7 @@ def keep_known(docs: DataFrame, least: float = 0.0) -> DataFrame:
                 at, keep = at[:0], [at]
             for start in range(0, len(at), ROWS):
                 rows = at[start : start + ROWS]
-                keep.append(rows[fitted.scores(presence(batch.column(at_text).take(pa.array(rows)).to_pylist())).max(1) >= least])
+                keep.append(rows[fitted.judge(batch.column(at_text).take(pa.array(rows)).to_pylist())[1] >= least])
             chosen = np.concatenate(keep) if keep else np.empty(0, int)
             yield pa.RecordBatch.from_arrays([c.take(pa.array(chosen, pa.int64())) for c in batch.columns[1:]], names=batch.schema.names[1:])
 
