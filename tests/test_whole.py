@@ -1,14 +1,6 @@
 """Queries that take whole tables, against brute force on small ones."""
 
-import math
-import random
-from collections import Counter
-
-import numpy as np
-import pytest
-
 import __spark_entry__ as entry
-from tidemark.llm import backoff, ngram_join, secret_scan
 
 
 def test_slug_match_takes_every_name_as_a_model(spark, tmp_path):
@@ -31,56 +23,3 @@ def test_fan_out_takes_every_model(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
     got = {tuple(r) for r in entry.queries()["model_fan_out_all"](spark, str(tmp_path)).select("brand", "region", "tasks").collect()}
     assert got == {("early", "A", 100), ("early", "B", 40), ("late", "A", 150), ("late", "B", 60), (None, "A", 5), (None, "B", 2)}
-
-
-def test_near_copies_without_ids_and_with_repeated_ones(spark):
-    text = lambda name: " ".join(f"{name}{i}" for i in range(40))
-    rows = [(None, text("a")), (None, text("b")), (None, text("b") + " more"), (1, text("c")), (5, text("c") + " more"), (5, text("d")), (None, text("c") + " other"), (None, None), (None, " "), (7, text("e")), (7, text("e"))]
-    table = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string")
-    got = sorted((tuple(r) for r in ngram_join.similar_documents(table, 5, 80, 100).collect()), key=str)
-    assert got == sorted([(None, 36, None), (None, 36, None), (None, 37, None), (1, 36, 1), (5, 37, 1), (5, 36, 5), (None, 37, 1), (None, 0, None), (None, 0, None), (7, 36, 7), (7, 36, 7)], key=str)
-    kept = [(r["doc_id"], r["text"]) for r in ngram_join.keep_one(table).collect()]
-    b = {text("b"), text("b") + " more"}
-    assert len(kept) == 7 and len([t for _, t in kept if t in b]) == 1
-    assert {x for x in kept if x[1] not in b} == {(None, text("a")), (1, text("c")), (5, text("d")), (None, None), (None, " "), (7, text("e"))}
-
-
-def test_novel_spans_on_either_side_short_and_without_digits():
-    rng = random.Random(3)
-    draw = lambda letters, k: "".join(rng.choices(letters, k=k))
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
-    find = lambda text: [text[a:b] for a, _, b in secret_scan.Novelty().spans(text, secret_scan.base_spans(text))]
-    blob = draw(letters + "0123456789", 40)
-    assert find(f"x = '{blob}'  # aws secret") == [blob]
-    assert find(f"x = '{blob}'" + " y" * 100 + " secret") == []
-    assert find(f"call token_live_{blob} now") == [f"token_live_{blob}"]
-    short, plain = draw(letters + "0123456789", 14), draw(letters, 40)
-    assert find(f"the bearer is {short} today") == [short]
-    assert find(f"the bearer is {plain} today") == [plain]
-    assert find("the private key and the access token of each user are kept in the settings of the application") == []
-
-
-@pytest.mark.parametrize("tight", [False, True])
-def test_pairs_seen_once_count(spark, monkeypatch, tight):
-    if tight:
-        for name, value in {"HOT_BITS": 5, "VERY_HOT": 4, "FLUSH": 150, "BUCKET_PAIRS": 300}.items():
-            monkeypatch.setattr(backoff, name, value)
-    rng = random.Random(8)
-    texts = [[f"w{min(rng.randrange(60), rng.randrange(60))}" for _ in range(rng.choice([1, 2, 30]))] for _ in range(80)] + [["once", "only", "here"]]
-    one, two = Counter(w for t in texts for w in t), Counter(p for t in texts for p in zip(t, t[1:]))
-    got = backoff.score(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string"), least=1).collect()
-    assert len(got) == len(texts) and 1 in two.values()
-    for r in got:
-        t = texts[r["doc_id"]]
-        want = math.log(one[t[0]] / sum(one.values())) + sum(math.log(two[u, w] / one[u]) for u, w in zip(t, t[1:]))
-        assert r["n_words"] == len(t) and abs(r["log_score"] - want) < 1e-3
-
-
-def test_words_keep_all_bits_of_their_hash(monkeypatch):
-    import pyarrow as pa
-
-    hashes = np.array([7 << 24, (7 << 24) + 1], np.uint64)
-    monkeypatch.setattr(backoff, "word_hashes", lambda data, bounds: (hashes, np.array([0, 0])))
-    batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array(["a b"])], names=["doc_id", "text"])
-    [(_, _, words)] = backoff.words_of(batch)
-    assert words.tolist() == hashes.tolist()
