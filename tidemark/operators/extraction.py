@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.urls import clean_url, first_group, json_path, match_url
+from tidemark.operators import html
 
 LD = r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"
 NEXT_DATA = r'(?s)<script id="__NEXT_DATA__"[^>]*>(.*?)</script>'
@@ -107,70 +108,36 @@ def page_class(status: Column, title: Column, final_url: Column, html: Column) -
     )
 
 
-class _Text(HTMLParser):
-    """Visible text, and rows of tables and definition lists. A marked section is skipped up to the next ``>``."""
+@dataclass(frozen=True)
+class Page:
+    """Visible text of a page, and rows of its tables and definition lists."""
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.words, self.cells, self.hidden, self.cell, self.chapter = [], [], 0, None, ""
+    html: str
 
-    def parse_marked_section(self, i, report=1):
-        return self.rawdata.find(">", i) + 1 or -1
+    @property
+    def words(self) -> list[str]:
+        return html.words(self.html)
 
-    def handle_starttag(self, tag, attrs):
-        self.hidden += tag in ("script", "style", "noscript")
-        if tag in ("th", "dt", "td", "dd", "h2", "h3", "caption"):
-            self.close_cell()
-            self.cell = [tag, []]
+    def triples(self) -> list[tuple[str, str, str]]:
+        return list(html.triples(self.html))
 
-    def handle_endtag(self, tag):
-        self.hidden = max(0, self.hidden - (tag in ("script", "style", "noscript")))
-        if self.cell and tag == self.cell[0] or tag in ("tr", "table", "dl"):
-            self.close_cell()
 
-    def handle_data(self, data):
-        if not self.hidden and data.strip():
-            self.words.append(data.strip())
-            if self.cell:
-                self.cell[1].append(data.strip())
-
-    def close_cell(self):
-        if self.cell:
-            self.cells.append((self.cell[0], " ".join(self.cell[1])))
-        self.cell = None
-
-    def triples(self):
-        self.close_cell()
-        item = None
-        for tag, text in self.cells:
-            if tag in ("h2", "h3", "caption"):
-                self.chapter, item = text, None
-            elif tag in ("th", "dt") or item is None:
-                item = text
-            else:
-                yield self.chapter, item, text
-                item = None
-
-
-def parsed(html: str | None) -> _Text:
-    page = _Text()
-    page.feed(html or "")
-    page.close()
-    return page
+def parsed(text: str | None) -> Page:
+    return Page(text or "")
 
 
 @F.pandas_udf(T.StringType())
-def visible_text(html: pd.Series) -> pd.Series:
+def visible_text(pages: pd.Series) -> pd.Series:
     """Text of a page without scripts and styles; unclosed tags do no harm."""
-    return html.map(lambda x: " ".join(parsed(x).words))
+    return pages.map(lambda x: " ".join(parsed(x).words))
 
 
 @F.udtf(returnType=TRIPLE)
 class SpecTriples:
     """Chapter, item and value of every row of a page's tables and definition lists."""
 
-    def eval(self, html: str):
-        yield from parsed(html).triples()
+    def eval(self, page: str):
+        yield from parsed(page).triples()
 
 
 def api_rows(docs: DataFrame, column: str, list_path: str, fields: dict[str, str], keep: list[str]) -> DataFrame:

@@ -98,43 +98,6 @@ def block_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases.select("id", extraction.page_class(F.col("status"), F.col("title"), F.col("url"), html).alias("kind"))
 
 
-PAGES = (
-    '<script type="application/ld+json">{"@type":"Product","name":"TV","offers":{"price":"399.00"}}</script>',
-    '<script type="application/ld+json">{"@type":"ProductGroup","hasVariant":[{"size":"55","offers":{"price":"499.00"}},{"size":"65","offers":{"price":"699.00"}}]}</script>',
-    '<script type="application/ld+json">{"@type":"Product","offers":{"@type":"AggregateOffer","lowPrice":"1"}}</script>',
-    '<script type="application/ld+json">{"@type":"Product","url":"https://x.example/search?q=tv","offers":{"price":"5.00"}}</script>',
-    '<script type="application/ld+json">{"@type":"Product","offers":{"price":"1.00"}}</script><script type="application/ld+json">{broken</script>',
-)
-
-
-@query("""
-SELECT CAST(id AS BIGINT) AS id, valid, CAST(price AS DECIMAL(18, 2)) AS price, CAST(of_65 AS DECIMAL(18, 2)) AS of_65 FROM (VALUES (0, true, 399.00, 399.00),
-  (1, true, 499.00, 699.00), (2, true, NULL, NULL), (3, true, NULL, NULL), (4, true, 1.00, 1.00), (4, false, NULL, NULL)) t(id, valid, price, of_65)
-""")
-def jsonld_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prices out of JSON-LD: product, variants, and lists that have none."""
-    docs = rows(spark, "id long, html string", *enumerate(PAGES)).select("id", F.explode(extraction.json_ld(F.col("html"))).alias("doc"))
-    good = F.when(F.try_parse_json("doc").isNotNull(), F.col("doc"))
-    return docs.select("id", good.isNotNull().alias("valid"), extraction.ld_price(good).alias("price"), extraction.ld_price(good, F.lit("65")).alias("of_65"))
-
-
-CATALOG = """[{"productId":"1","productName":"TV 55U8N","items":[{"itemId":"11","sellers":[{"commertialOffer":{"Price":399.5,"ListPrice":499.0}}]},
-{"itemId":"12","sellers":[]}]},{"productId":"2","productName":"TV 65U8N","items":[]},{"productId":"3","productName":"TV","items":[{"itemId":"31","sellers":[{"commertialOffer":{"Price":null}}]}]}]"""
-CATALOG_TYPE = "array<struct<productId:string,productName:string,items:array<struct<itemId:string,sellers:array<struct<commertialOffer:struct<Price:double,ListPrice:double>>>>>>>"
-
-
-@query("""
-SELECT product, item, model, CAST(price AS DOUBLE) AS price FROM (VALUES ('1', '11', '55U8N', 399.5), ('1', '12', '55U8N', NULL), ('2', NULL, '65U8N', NULL), ('3', '31', '', NULL))
-  t(product, item, model, price)
-""")
-def nested_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three levels of a catalogue's JSON flattened; what is missing stays null and keeps its row."""
-    docs = rows(spark, "doc string", (CATALOG,)).select(F.explode(F.from_json("doc", CATALOG_TYPE)).alias("p"))
-    items = docs.select("p.productId", "p.productName", F.explode_outer("p.items").alias("i"))
-    price = F.get(F.col("i.sellers"), F.lit(0))["commertialOffer"]["Price"]
-    return items.select(F.col("productId").alias("product"), F.col("i.itemId").alias("item"), urls.model_in_title(F.col("productName")).alias("model"), price.alias("price"))
-
-
 @query("""
 SELECT site, currency, search_url, differs FROM (VALUES ('a', 'USD', 'table', true), ('b', 'EUR', 'schema', true), ('c', 'JPY', 'adapter', false)) t(site, currency, search_url, differs)
 """)
@@ -181,19 +144,6 @@ def star_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases.select("id", F.posexplode(reviews.star_counts(F.col("total"), F.col("pct"))).alias("i", "n")).select("id", (F.col("i") + 1).cast("long").alias("star"), "n")
 
 
-@query("""
-SELECT chapter, item, value, CAST(row_order AS BIGINT) AS row_order FROM (VALUES ('Display', 'Size', '55 | 65', 0), ('Display', 'Panel', 'VA', 1), ('Audio', NULL, NULL, 0)) t(chapter, item, value, row_order)
-""")
-def spec_rows_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chapters, items and lists of values flattened to rows; an empty chapter keeps a row."""
-    kind = "array<struct<chapter:string,items:array<struct<item:string,values:array<string>>>>>"
-    doc = '[{"chapter":"Display","items":[{"item":"Size","values":["55","65"]},{"item":"Panel","values":["VA"]}]},{"chapter":"Audio","items":[]}]'
-    chapters = rows(spark, "doc string", (doc,)).select(F.explode(F.from_json("doc", kind)).alias("c"))
-    items = chapters.select("c.chapter", F.posexplode_outer("c.items").alias("row_order", "i"))
-    value = F.when(F.col("i").isNotNull(), F.array_join("i.values", " | "))
-    return items.select("chapter", "i.item", value.alias("value"), F.coalesce(F.col("row_order").cast("long"), F.lit(0).cast("long")).alias("row_order"))
-
-
 @query("""
 SELECT url, clean, model_like FROM (VALUES ('https://x.example/tv/55U8N/?a=1', 'https://x.example/tv/55U8N', true), ('https://x.example/c-p/55OLED760_12/overview/', 'https://x.example/c-p/55OLED760_12/overview', false),
   ('https://x.example/65OLED759', 'https://x.example/65OLED759', true), ('https://x.example/4k-uhd#top', 'https://x.example/4k-uhd', false)) t(url, clean, model_like)

@@ -11,28 +11,6 @@ from tidemark.plans.cases import rows
 from tidemark.plans.catalog import query
 
 
-@query("SELECT shard, loc FROM (VALUES ('a', 'https://x.example/p/1'), ('a', 'https://x.example/p/2'), ('b', 'https://x.example/p/3')) t(shard, loc)")
-def sitemap_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Addresses of the shards of a sitemap."""
-    a = "<urlset><url><loc>https://x.example/p/1</loc></url><url><loc> https://x.example/p/2\n</loc></url></urlset>"
-    shards = rows(spark, "shard string, xml string", ("a", a), ("b", "<url><loc>https://x.example/p/3</loc></url>"), ("c", "<urlset/>"))
-    return shards.select("shard", F.explode(extraction.locations(F.col("xml"))).alias("loc"))
-
-
-@query("SELECT CAST(id AS BIGINT) AS id, name FROM (VALUES (0, 'TV 55'), (1, 'TV 65'), (2, NULL), (3, 'TV 75')) t(id, name)")
-def inline_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A product's name out of page data, of a streamed page, and of a widget's attribute."""
-    pages = rows(
-        spark, "id long, html string",
-        (0, '<script id="__NEXT_DATA__" type="application/json">{"props":{"name":"TV 55"}}</script>'),
-        (1, 'x<script>self.__next_f.push([1,"{\\"props\\":{\\"na"])</script><script>self.__next_f.push([1,"me\\":\\"TV 65\\"}}"])</script>'),
-        (2, "<p>nothing</p>"), (3, '<div data-info="{&quot;props&quot;:{&quot;name&quot;:&quot;TV 75&quot;}}">'),
-    )
-    html = F.col("html")
-    doc = F.coalesce(extraction.next_data(html), F.nullif(extraction.next_stream(html), F.lit("")), extraction.widget_json(html, "data-info"))
-    return pages.select("id", F.get_json_object(doc, urls.json_path("props.name")).alias("name"))
-
-
 @query("""
 SELECT site, model, method FROM (VALUES ('a', '55U8N', 'api'), ('a', '65U8N', 'api'), ('b', '75U8N', 'dom')) t(site, model, method)
 """)
@@ -99,13 +77,6 @@ def best_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings.groupBy("site", "field").agg(F.max_by("value", F.struct("confidence", "value")).alias("value"), F.max("confidence").alias("confidence"))
 
 
-@query("SELECT tag, css, CAST(n AS BIGINT) AS n FROM (VALUES ('div', 'card', 2), ('li', 'card', 1)) t(tag, css, n)")
-def card_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cards of a page, copies taken out, by tag and class."""
-    cards = rows(spark, "tag string, css string, text string", ("div", "card", "TV 55"), ("div", "card", " TV 55 "), ("div", "card", "TV 65"), ("li", "card", "TV 55"))
-    return extraction.dedupe_cards(cards, "tag", "css", "text").groupBy("tag", "css").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("SELECT title, words FROM (VALUES ('Smart TV HISENSE 55A6N-PRO 4K UHD', '55A6N-PRO'), ('Televisor LED', '')) t(title, words)")
 def title_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of a title that could be model numbers."""
