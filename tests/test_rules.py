@@ -261,6 +261,8 @@ def test_money_is_one_amount_or_null(spark):
     cases = {
         ("12,345円(税込13,580円)", "JPY"): "12345", ("$359.990 $399.990", "CLP"): None, ("65 pulgadas $359.990", "CLP"): "359990", ("Save 20 $499", "USD"): "499", ("-5.00", "USD"): "-5",
         ("from 3 to 4", "USD"): None, ("$5 or $5.00", "USD"): "5", ("", "USD"): None, (None, "USD"): None, ("1.234.567,89 €", "EUR"): "1234567.89", ("$12.50", "CLP"): None,
+        ("₹1,29,999", "INR"): "129999", ("₹12,34,567.50", "INR"): "1234567.5", ("$1.299", "USD"): None, ("1299.999", "USD"): None, ("−5.00 €", "EUR"): "-5", ("(5.00)", "USD"): None, ("1,2,999", "USD"): None,
+        ("5,000円OFF 49,800円", "JPY"): "49800", ("Save $100", "USD"): None, ("$499/mo for 24 months", "USD"): None, ("Save $100 now $499.99", "USD"): "499.99", ("20% off $5", "USD"): "5", ("$10 off", "USD"): None,
     }
     table = spark.createDataFrame([(a, b) for a, b in cases], "raw string, currency string")
     for r in table.select("raw", "currency", money(table.raw, table.currency).alias("x")).collect():

@@ -143,3 +143,79 @@ def test_prices_of_linked_data(spark):
     table = spark.createDataFrame(cases, "doc string, a string, b string")
     got = table.select("a", extraction.ld_price(F.col("doc")).cast("string"), "b", extraction.ld_price(F.col("doc"), F.lit("65")).cast("string")).collect()
     assert all(r[0] == r[1] and r[2] == r[3] for r in got)
+
+
+# Lines, sheets and models
+
+
+def test_lines_are_numbered_over_pieces_and_files(spark, tmp_path):
+    from tidemark.sources import tables
+
+    rng = random.Random(9)
+    want = []
+    for name in ("a.jsonl", "b.jsonl", "c.jsonl"):
+        lines = [rng.choice(["", "{bad", '{"_schema":1}', '{"code":1}', '{"code":2,"pad":"' + "x" * rng.randrange(300) + '"}']) for _ in range(rng.choice([0, 1, 700]))]
+        (tmp_path / name).write_text("".join(x + "\n" for x in lines))
+        want += [(name, n, x) for n, x in enumerate(lines, 1)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        numbered = tables.numbered_lines(spark, str(tmp_path)).collect()
+        assert len({r["file"] for r in numbered}) <= 3
+        assert sorted((r["file"].rsplit("/", 1)[1], r["line"], r["text"]) for r in numbered) == sorted(want)
+        docs = tables.json_lines(spark, str(tmp_path), ("code",)).selectExpr("file", "line", "doc is null bad").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r["file"].rsplit("/", 1)[1], r["line"], r["bad"]) for r in docs) == sorted((f, n, x == "{bad") for f, n, x in want if x and "_schema" not in x)
+
+
+def sheet(path):
+    import re
+    import zipfile
+    from html import unescape
+
+    with zipfile.ZipFile(path) as book:
+        assert book.testzip() is None
+        body = book.read("xl/worksheets/sheet1.xml").decode()
+    return [[unescape(c) for c in re.findall(r"<c [^>]*>(?:<is><t[^>]*>|<v>)(.*?)(?:</t></is>|</v>)</c>", row, re.S)] for row in re.findall(r"<row [^>]*>(.*?)</row>", body, re.S)]
+
+
+def test_sheets_by_country_and_day(spark, tmp_path):
+    from tidemark.sinks.xlsx import export_xlsx
+
+    rows = [("mx", "2026-09-28", i, f"TV <{i}> & é", float(i)) for i in range(5)] + [("cl", "2026-09-28", 1, None, 2.5), (None, "2026-09-29", 2, "x\x01", None)]
+    df = spark.createDataFrame(rows, "country string, day string, n int, name string, price double")
+    export_xlsx(df, str(tmp_path / "out"), ["country", "day"], ["n"], rows=4)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.suffix == ".xlsx") == ["prices_cl_2026-09-28.xlsx", "prices_mx_2026-09-28.xlsx", "prices_mx_2026-09-28_2.xlsx", "prices_none_2026-09-29.xlsx"]
+    assert sheet(tmp_path / "out" / "prices_mx_2026-09-28.xlsx") == [["n", "name", "price"]] + [[str(i), f"TV <{i}> & é", str(float(i))] for i in range(3)]
+    assert sheet(tmp_path / "out" / "prices_mx_2026-09-28_2.xlsx")[1:] == [["3", "TV <3> & é", "3.0"], ["4", "TV <4> & é", "4.0"]]
+    assert sheet(tmp_path / "out" / "prices_cl_2026-09-28.xlsx")[1:] == [["1", "2.5"]] and sheet(tmp_path / "out" / "prices_none_2026-09-29.xlsx")[1:] == [["2", "x"]]
+
+
+def test_an_aborted_export_leaves_nothing(spark, tmp_path):
+    from tidemark.sinks.xlsx import export_xlsx
+
+    df = spark.range(20).select((F.col("id") % 4).cast("string").alias("country"), F.when(F.col("id") < 19, F.col("id")).otherwise(F.raise_error(F.lit("stop"))).alias("n"))
+    with pytest.raises(Exception):
+        export_xlsx(df, str(tmp_path / "out"), ["country"], ["n"])
+    assert not (tmp_path / "out").exists() or not [p for p in (tmp_path / "out").iterdir() if "xlsx" in p.name]
+
+
+def test_words_of_models_in_titles(spark, tmp_path):
+    import re
+
+    from tidemark.operators.matching import word_candidates, word_matches
+
+    rng = random.Random(12)
+    models = ["75U6SV", "A65NV", "A4K", "U8Q", "55QD8SF-PRO", "QD8SF", "U7 N", "65", "PRO", "", None, "--", "x.y", "4K TV"]
+    bits = ["75u6sv", "50A65NV", "a 4K", "100U8QG", "U8Q", "x50a65nv", "55QD8SF-PRO", "QD8SF PRO", "U7 N", "u7-n", "pro", "4k tv", "65", "1965", "x.y", "xzy", "TV", "é65"]
+    titles = [(i, rng.choice([" ", "", "-", "/"]).join(rng.choices(bits, k=rng.randrange(1, 5)))) for i in range(400)] + [(900, None), (901, "")]
+    m, t = spark.createDataFrame([(x,) for x in models], "model string"), spark.createDataFrame(titles, "id int, title string")
+    got = {(r["key"], r["model"]) for r in word_matches(m, t, "model", "title", "id", str(tmp_path / "a")).collect()}
+    rule = lambda x, title: re.search(r"(?:^|[^a-z0-9]|[0-9]{2,3})" + re.escape(x.lower()) + r"(?=[^a-z0-9]|$)", title.lower())
+    assert got == {(i, x) for i, title in titles if title for x in models if x and re.search("[A-Za-z0-9]", x) and rule(x, title)}
+    many = spark.createDataFrame([(f"{20 + i % 60}U{i}N",) for i in range(2000)], "model string")
+    for n in (200, 2000):
+        made = spark.range(n).select("id", F.concat(F.lit("Smart TV "), (F.col("id") % 60 + 20).cast("string"), F.lit("U"), F.col("id").cast("string"), F.lit("N 4K")).alias("title"))
+        found = word_candidates(many, made, "model", "title", "id", str(tmp_path / f"b{n}"))
+        assert found.count() <= 2 * n  # pairs do not grow faster than titles

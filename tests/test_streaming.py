@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from tidemark.operators import runs
-from tidemark.streaming import breaker
+from tidemark.streaming import breaker, keyed
 from tidemark.streaming.run import available_now
 
 BASE = dt.datetime(2026, 1, 5)
@@ -61,3 +61,52 @@ def test_a_named_stream_resumes(spark, tmp_path):
         source = spark.readStream.schema(spark.createDataFrame([], kind).schema).parquet(folder)
         runs_of.append([tuple(r) for r in available_now(breaker.breaker(source), name=name).select("user_id", "event_id", "run").collect()])
     assert runs_of == [[], [(7, 3, 3)], [(7, 3, 3)]]
+
+
+def visits(rng, n, parts):
+    stages = ["search", "product", "review", "series"]
+    return [(i % 6, stages[rng.randrange(4)], i, rng.choice(["blocked", "blocked", "failed", "no_price", "no_price", "ok", None]), i * parts // n) for i in range(n)]
+
+
+def test_circuits_match_the_batch_form_over_batches(spark, tmp_path):
+    rows = visits(random.Random(11), 1200, 5)
+    df = spark.createDataFrame(rows, "site long, stage string, seq long, status string, part int")
+    limits = {"product": 4, "no_price": 5, "series": 2}
+    got = available_now(keyed.circuits(stream(spark, df, str(tmp_path / "in"), 5), limits)).select("site", "stage", "seq", "kind", "counter", "run").collect()
+    want = runs.circuit_errors(df, "site", "stage", "status", ["seq"], limits).select("site", "stage", "seq", "kind", "counter", "run").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and {r["counter"] for r in want} == {"search", "product", "no_price", "review", "series"}
+
+
+def test_circuits_resume_after_a_run_that_ended_half_way(spark, tmp_path):
+    rows, folder, name = visits(random.Random(12), 600, 4), str(tmp_path / "in"), f"circuits-{tmp_path.name}"
+    df = spark.createDataFrame(rows, "site long, stage string, seq long, status string, part int")
+    for half in ((0, 1), (2, 3)):
+        for i in half:
+            df.filter(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(folder)
+        source = spark.readStream.schema(df.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        got = available_now(keyed.circuits(source), name=name).select("site", "stage", "seq", "counter").collect()
+    want = runs.circuit_errors(df, "site", "stage", "status", ["seq"]).select("site", "stage", "seq", "counter").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and want
+
+
+def test_known_pages_write_only_what_is_new(spark, tmp_path):
+    rows = [("s", p, f"k{k}", p // 3) for p in range(18) for k in range(p * 20, p * 20 + 25)]
+    df = spark.createDataFrame(rows, "scope string, page long, key string, part int")
+    out = keyed.known_pages(stream(spark, df, str(tmp_path / "in"), 6))
+    writer = out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", str(tmp_path / "c")).option("path", str(tmp_path / "o"))
+    query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    updated = [int(p["stateOperators"][0]["numRowsUpdated"]) for p in query.recentProgress if p["numInputRows"]]
+    assert len(updated) == 6 and max(updated) <= 3 * 25 + 2
+    got = sorted((r["page"], r["new_keys"]) for r in spark.read.parquet(str(tmp_path / "o")).collect())
+    assert got == [(p, 25 if p == 0 else 20) for p in range(18)]
+
+
+def test_known_pages_match_the_batch_form(spark, tmp_path):
+    rng = random.Random(13)
+    rows = [(s, p, str(rng.randrange(25)) if rng.random() < 0.95 else None, p // 8) for s in ("a", "b", None) for p in range(24) for _ in range(4)]
+    df = spark.createDataFrame(rows, "scope string, page long, key string, part int")
+    for quiet in (1, 2):
+        got = available_now(keyed.known_pages(stream(spark, df, str(tmp_path / f"in{quiet}"), 3), quiet)).collect()
+        batch = runs.stop_after(df.fillna("", ["key"]), ["scope"], "page", ["key"], quiet).filter("read").collect()
+        assert sorted((tuple(r) for r in got), key=str) == sorted(((r["scope"], r["page"], r["new_keys"]) for r in batch), key=str)

@@ -34,16 +34,27 @@ def plain_text(text: Column) -> Column:
 DOT_THOUSANDS = ["CLP", "COP", "ARS"]
 COMMA_DECIMAL = ["EUR", "BRL", "TRY"]
 NO_DECIMALS = ["JPY", "CLP", "KRW"]
-#: A number with its separators, and the marks that stand before or behind an amount.
-NUMBER = r"[0-9]{1,3}(?:[ .,'’][0-9]{3})+(?:[.,][0-9]{1,2})?(?![0-9])|[0-9]+(?:[.,][0-9]+)?"
-BEFORE, BEHIND = r"(?:[A-Z]{1,3})?[$£¥￥₩]|[€₺](?=[0-9-])|USD|EUR|JPY|CLP", r"[€₺円元](?! ?[0-9])|TL\b|EUR\b|USD\b|JPY\b"
-AMOUNT = rf"(?<![0-9.,])(?:-?(?:{BEFORE}) ?-?(?:{NUMBER})|-?(?:{NUMBER}) ?(?:{BEHIND}))"
+#: A number with its separators, in groups of three or as in India of two and at last three, and the marks that stand before or behind an amount.
+NUMBER = (
+    r"[0-9]{1,2}(?:,[0-9]{2})+,[0-9]{3}(?:\.[0-9]{1,2})?(?![0-9]|[.,][0-9])|[0-9]{1,3}(?:[ .,'’][0-9]{3})+(?:[.,][0-9]{1,2})?(?![0-9]|[.,][0-9])|[0-9]++(?:[.,][0-9]++)?+(?![.,][0-9])"
+)
+BEFORE, BEHIND = r"(?:[A-Z]{1,3})?[$£¥￥₩₹]|[€₺](?=[0-9-])|USD|EUR|JPY|CLP|INR", r"[€₺円元](?! ?[0-9])|TL\b|EUR\b|USD\b|JPY\b|INR\b"
+#: No number before it, and not in brackets by itself, which some write for a debt.
+OPEN = r"(?<![0-9.,])(?!(?<=\()[-−]?[0-9.,]+\))"
+AMOUNT = rf"{OPEN}(?:[-−]?(?:{BEFORE}) ?[-−]?(?:{NUMBER})|[-−]?(?:{NUMBER}) ?(?:{BEHIND}))"
+#: Words next to an amount that make it a discount or a part of the price.
+SAVED, OFF = r"(?i:\b(?:save|you save|ahorra|ahorre|descuento de|économisez|sparen sie)) ?", r" ?(?i:off\b|オフ|引き|割引|de descuento|de dscto)"
+PART = r" ?(?i:/ ?(?:mo|month|mes)\b|per month|a month|al mes|mensuales|monthly)"
+NO_PRICE = rf"{SAVED}(?:{AMOUNT})|(?:{AMOUNT})(?:{OFF}|{PART})"
 
 
 def number(token: Column, currency: Column) -> Column:
-    """Value of one number: a last separator before one or two digits is that of the decimals."""
+    """Value of one number: a last separator before one or two digits is that of the decimals.
+
+    Null where a currency that writes decimals after a dot has a dot before three digits or more: it may be either.
+    """
     plain = F.regexp_replace(token, r"[^0-9.,]", "")
-    sign = F.when(F.contains(token, F.lit("-")), -1).otherwise(1)
+    sign = F.when(token.rlike("[-−]"), -1).otherwise(1)
     decimals = F.regexp_extract(plain, r"[.,]([0-9]{1,2})$", 1)
     whole = F.regexp_replace(F.regexp_replace(plain, r"[.,][0-9]{1,2}$", ""), "[.,]", "")
     grouped = currency.isin(*NO_DECIMALS, *DOT_THOUSANDS, *COMMA_DECIMAL)
@@ -51,7 +62,7 @@ def number(token: Column, currency: Column) -> Column:
         F.when((decimals != "") & currency.isin(*NO_DECIMALS), F.when(decimals.rlike("^0+$"), whole))
         .when(decimals != "", F.concat(whole, F.lit("."), decimals))
         .when(grouped, whole)
-        .otherwise(F.regexp_replace(plain, ",", ""))
+        .when(~plain.rlike(r"\.[0-9]{3,}$"), F.regexp_replace(plain, ",", ""))
     )
     return (sign * F.nullif(text, F.lit("")).try_cast("decimal(18,2)")).cast("decimal(18,2)")
 
@@ -60,14 +71,16 @@ def money(raw: Column, currency: Column) -> Column:
     """The one amount of a text as DECIMAL(18,2), or null; never 0 for something that cannot be read.
 
     Numbers next to a currency mark come before all others. Of several, the first before the yen sign counts; other
-    different amounts are equally good, and give null.
+    different amounts are equally good, and give null. Discounts and instalments are not the price, and beside them a
+    number needs a mark to be it.
     """
-    text = plain_text(raw)
+    whole = plain_text(raw)
+    text = F.regexp_replace(whole, NO_PRICE, " ; ")
     marked = F.regexp_extract_all(text, F.lit(AMOUNT), F.lit(0))
-    every = F.regexp_extract_all(text, F.lit(rf"(?<![0-9.,])-?(?:{NUMBER})"), F.lit(0))
-    tokens = F.when(F.size(marked) > 0, marked).otherwise(every)
+    every = F.regexp_extract_all(text, F.lit(rf"{OPEN}[-−]?(?:{NUMBER})"), F.lit(0))
+    tokens = F.when(F.size(marked) > 0, marked).when(text == whole, every)
     values = F.array_distinct(F.transform(tokens, lambda t: number(t, currency)))
-    first = F.regexp_extract(text, rf"(-?(?:{NUMBER})) ?円", 1)
+    first = F.regexp_extract(text, rf"([-−]?(?:{NUMBER})) ?円", 1)
     return F.when(first != "", number(first, currency)).when(F.size(values) == 1, F.element_at(values, 1)).cast("decimal(18,2)")
 
 

@@ -136,6 +136,42 @@ def block_candidates(models: DataFrame, catalog: DataFrame, model: str, title: s
     return catalog.withColumn("_m", F.explode(keys)).join(wanted, "_m").drop("_m").distinct()
 
 
+def title_keys(title: Column) -> Column:
+    """What a model's first word can be in a title: each word, and what follows two digits within a word."""
+    low = F.lower(F.coalesce(title, F.lit("")))
+    return F.array_distinct(F.concat(F.regexp_extract_all(low, F.lit("([a-z0-9]+)"), F.lit(1)), F.regexp_extract_all(low, F.lit("(?<=[0-9]{2})(?=([a-z0-9]+))"), F.lit(1))))
+
+
+def word_candidates(models: DataFrame, catalog: DataFrame, model: str, title: str, key: str, where: str) -> DataFrame:
+    """Pairs (key, model) whose title holds the model's rarest word: every pair that ``word_matches`` can accept.
+
+    Titles are taken apart once, into postings of the words that models have, a table in the folder ``where``; it says
+    how frequent each word is, and each model is looked up by its rarest. A frequent word is met only by models that
+    have none but frequent ones, and the equi-join on it can be split by Spark.
+    """
+    spark = catalog.sparkSession
+    own = models.select(F.col(model).alias("model"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower(model), F.lit("([a-z0-9]+)"), F.lit(1)))).alias("word")).distinct()
+    keys = catalog.select(F.col(key).alias("key"), F.explode(title_keys(F.col(title))).alias("word"))
+    keys.join(own.select("word").distinct(), "word", "left_semi").write.parquet(where)
+    postings = spark.read.parquet(where)
+    counts = postings.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    known = own.join(counts, "word", "left")
+    rarest = known.groupBy("model").agg(F.min_by("word", F.struct(F.coalesce("n", F.lit(0)), "word")).alias("word"))
+    return postings.join(rarest, "word").select("key", "model")
+
+
+def word_matches(models: DataFrame, catalog: DataFrame, model: str, title: str, key: str, where: str) -> DataFrame:
+    """Pairs (key, model) where the model stands in the title as words, sizes of two or three digits allowed before it.
+
+    ``key`` must be unique in catalog. A model of one word needs no look at the title: its key is the rule. Null or empty models match nothing.
+    """
+    found = word_candidates(models.filter(F.col(model).rlike("[A-Za-z0-9]")), catalog, model, title, key, where)
+    single = F.col("model").rlike("^[A-Za-z0-9]+$")
+    pattern = F.concat(F.lit(r"(?:^|[^a-z0-9]|\d{2,3})"), quoted(F.lower("model")), F.lit(r"(?=[^a-z0-9]|$)"))
+    rest = found.filter(~single).join(catalog.select(F.col(key).alias("key"), F.lower(title).alias("_t")), "key").filter(F.regexp_like("_t", pattern))
+    return found.filter(single).unionByName(rest.select("key", "model"))
+
+
 #: Longest key of a passage that has no inner word start.
 RUN = 8
 

@@ -23,36 +23,6 @@ def literal(value):
     return F.lit(value)
 
 
-MATCHES = (
-    ("75U6SV", 'Hisense 75U6SV 75" QLED', "", [], 4),
-    ("55QD8SF-PRO", "Hisense QD8SF Series TV", "", [], 4),
-    ("A65NV", "Hisense 50A65NV Smart TV", "", [], 4),
-    ("A4K", '43" Accesorios a 4K', "", [], 4),
-    ("U8Q", "Hisense 100U8QG", "", [], 4),
-    ("65U7SG", 'Hisense 75" Class - U7SG Series', "", [], 4),
-    ("65U7SG", 'Hisense 65" Class - U7SG Series', "", [], 4),
-    ("55U7SG", "Hisense TV", "", ["55U78SG", "55U7SG"], 4),
-    ("65U7SG", "Hisense 65U7SG", "", ["55U78SG", "55U7SG"], 4),
-    ("32QD4SV", "Televisor QLED", "https://shop.example.com/tv-32-32qd4sv-0436032p.html", [], 4),
-    ("U8N", "Hisense 65U8N5 Class", "", [], 4),
-    ("U8Q", "Hisense 100U8QG", "", [], 3),
-    ("65U7SG", "Remote control for 65U7SG", "", [], 4),
-)
-
-
-@query("""
-SELECT CAST(id AS BIGINT) AS id, rule, ok FROM (VALUES (0, 'exact', true), (1, 'core', true), (2, 'exact', true), (3, 'core_too_short', false),
-  (4, 'core_too_short', false), (5, 'wrong_size', false), (6, 'core', true), (7, 'own_model', true), (8, 'own_model_differs', false), (9, 'exact', true),
-  (10, 'core_too_short', false), (11, 'core', true), (12, 'reject_word', false)) t(id, rule, ok)
-""")
-def model_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The matcher on positive and negative pairs, with the rule that decides each."""
-    table = rows(spark, "id long, target string, title string, url string, models array<string>, least int", *[(i, *c) for i, c in enumerate(MATCHES)])
-    by = lambda n: matching.matches(F.col("target"), F.col("title"), F.col("url"), F.col("models"), matching.MatchRules(("remote",), True, n))
-    found = table.withColumn("m", F.when(F.col("least") == 3, by(3)).otherwise(by(4)))
-    return found.select("id", "m.rule", "m.ok")
-
-
 @query("""
 SELECT model, slug, ok FROM (VALUES ('65U8N', 'hisense-65-u8n-mini-led', true), ('65U8N', 'hisense-75-u8n-mini-led', false),
   ('65U8N', 'hisense-65-inch-class-4k-uhd-u8n-tv', true), ('U8N', 'hisense-xu8nx-tv', false)) t(model, slug, ok)
@@ -180,21 +150,25 @@ def timestamp_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 PRICE_FORMS = (
     ("USD", "Now ${comma}.{d} with 2 year warranty"), ("EUR", "{dot},{d} €"), ("JPY", "{comma}円(税込{more}円)"), ("CLP", "65 pulgadas ${dot}"), ("USD", "Save 20 ${comma}.{d}"),
     ("CLP", "${dot} ${dotmore}"), ("USD", "-${comma}.{d}"), ("EUR", "{space},{d}&nbsp;€"), ("EUR", "€{dot}<sup>{d}</sup>"), ("USD", "no price today"), ("USD", "{comma}.{d}"), ("CLP", "CLP {dot},00"),
+    ("INR", "₹{lakh}.{d}"), ("EUR", "−{dot},{d} €"), ("JPY", "{more}円OFF {comma}円"), ("USD", "Save ${comma} today"), ("USD", "${comma}/mo for 24 months"), ("USD", "{plain}.{d}9"),
 )
 
 
 @query("""
-WITH t AS (SELECT p_partkey, p_partkey % 12 AS form, 1000 + p_partkey * 137 % 900000 AS v, p_partkey % 90 + 10 AS d FROM part)
-SELECT p_partkey, form, CAST(CASE WHEN form IN (5, 9) THEN NULL WHEN form IN (2, 3, 11) THEN v WHEN form = 6 THEN -(v + d / 100.0) ELSE v + d / 100.0 END AS DECIMAL(18, 2)) AS amount FROM t
+WITH t AS (SELECT p_partkey, p_partkey % 18 AS form, 1000 + p_partkey * 137 % 900000 AS v, p_partkey % 90 + 10 AS d FROM part)
+SELECT p_partkey, form, CAST(CASE WHEN form IN (5, 9, 15, 16, 17) THEN NULL WHEN form IN (2, 3, 11, 14) THEN v WHEN form IN (6, 13) THEN -(v + d / 100.0) ELSE v + d / 100.0 END AS DECIMAL(18, 2)) AS amount FROM t
 """)
 def money_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A price text for every product, in twelve forms, some with two prices, sizes or discounts, and the amount read."""
+    """A price text for every product, in eighteen forms, some with two prices, sizes, discounts or instalments, and the amount read."""
     from tidemark.sources.tables import load
 
     n = F.col("p_partkey")
-    form, v, d = F.pmod(n, F.lit(12)), F.lit(1000) + F.pmod(n * F.lit(137), F.lit(900000)), (F.pmod(n, F.lit(90)) + 10).cast("string")
+    form, v, d = F.pmod(n, F.lit(18)), F.lit(1000) + F.pmod(n * F.lit(137), F.lit(900000)), (F.pmod(n, F.lit(90)) + 10).cast("string")
     swap = lambda x, by: F.translate(F.format_number(x, 0), ",", by)
-    parts = {"comma": swap(v, ","), "dot": swap(v, "."), "space": swap(v, " "), "more": swap(v + 1100, ","), "dotmore": swap(v + 40000, "."), "d": d}
+    parts = {"comma": swap(v, ","), "dot": swap(v, "."), "space": swap(v, " "), "more": swap(v + 1100, ","), "dotmore": swap(v + 40000, "."), "d": d, "plain": v.cast("string")}
+    part = lambda x, size: F.lpad(x.cast("string"), size, "0")
+    thousands, lakhs = F.floor(v / 1000), F.floor(v / 100000)
+    parts["lakh"] = F.concat(F.when(lakhs > 0, F.concat(lakhs.cast("string"), F.lit(","), part(thousands % 100, 2))).otherwise(thousands.cast("string")), F.lit(","), part(v % 1000, 3))
 
     def text(pattern: str):
         for name, value in parts.items():

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import urls
-from tidemark.operators import extraction, html, payloads
+from tidemark.operators import extraction, html, matching, payloads
 from tidemark.plans.catalog import query
-from tidemark.sources import sitemaps
+from tidemark.sources import sitemaps, tables
 from tidemark.sources.tables import load
 from tidemark.streaming.run import work_dir
 
@@ -208,3 +208,43 @@ def spec_rows_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = payloads.spec_rows(payloads.payloads(pages, "html", ["series"]).filter("kind = 'page'"), "doc", ["series"], PATHS)
     models = part.filter("p_size <= 5").select(F.col("p_brand").alias("series"), F.col("p_partkey").cast("string").alias("model"))
     return payloads.for_models(rows, models, ["series"]).select("series", "model", "chapter_order", "chapter", "row_order", "item", "value")
+
+
+CODE = "CASE p_partkey % 7 WHEN 0 THEN CAST(p_size + 20 AS VARCHAR) || 'U' || (p_partkey % 40) || 'N-PRO' WHEN 1 THEN 'U' || (p_partkey % 40) || 'N' ELSE CAST(p_size + 20 AS VARCHAR) || 'U' || (p_partkey % 40) || 'N' END"
+
+
+@query(f"""
+WITH p AS (SELECT p_partkey, {CODE} AS model, lower('Shop ' || p_name || ' (' || CASE WHEN p_partkey % 3 = 0 THEN 'x' ELSE '' END || {CODE} || ') 4K TV') AS title FROM part),
+l AS (SELECT l_partkey, count(*) AS lines FROM lineitem GROUP BY 1), m AS (SELECT DISTINCT model FROM p),
+c AS MATERIALIZED (SELECT m.model, p.p_partkey, p.title FROM m JOIN p ON contains(p.title, lower(m.model))),
+h AS (SELECT model, p_partkey FROM c WHERE len(list_filter(range(1, len(title) + 1), lambda i: substr(title, i, len(model)) = lower(model)
+  AND regexp_matches(substr(' ' || title, greatest(1, i - 1), CASE WHEN i > 1 THEN 2 ELSE 1 END), '([^a-z0-9]|[0-9]{{2}})$') AND NOT regexp_matches(substr(title, i + len(model), 1), '[a-z0-9]'))) > 0)
+SELECT model, count(*) AS products, CAST(coalesce(sum(lines), 0) AS BIGINT) AS lines, min(p_partkey) AS first FROM h LEFT JOIN l ON l_partkey = p_partkey GROUP BY model
+""")
+def model_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models found as words of the titles of all products, and how many order lines those products have: each model met only by titles with its rarest word."""
+    key = F.col("p_partkey")
+    number, tail = F.pmod(key, F.lit(40)).cast("string"), F.pmod(key, F.lit(7))
+    code = F.concat(F.when(tail == 1, "").otherwise((F.col("p_size") + 20).cast("string")), F.lit("U"), number, F.lit("N"), F.when(tail == 0, "-PRO").otherwise(""))
+    title = F.concat(F.lit("Shop "), "p_name", F.lit(" ("), F.when(key % 3 == 0, "x").otherwise(""), code, F.lit(") 4K TV"))
+    products = load(spark, sf_dir, "part").select("p_partkey", code.alias("model"), title.alias("title"))
+    found = matching.word_matches(products.select("model").distinct(), products, "model", "title", "p_partkey", f"{work_dir(spark)}/postings")
+    lines = load(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("key")).agg(F.count(F.lit(1)).alias("lines"))
+    return found.join(lines, "key", "left").groupBy("model").agg(F.count(F.lit(1)).alias("products"), F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"), F.min("key").alias("first"))
+
+
+@query("""
+WITH e AS (SELECT event_id % 4 AS file, event_id, event_id % 7 = 3 AS bad, CASE WHEN event_id < 4 THEN 1 ELSE 0 END + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END AS extra FROM events)
+SELECT file, CAST(sum(1 + extra) OVER (PARTITION BY file ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS line, CASE WHEN NOT bad THEN event_id END AS event_id, bad,
+  CASE WHEN bad OR event_id % 5 = 0 THEN 'kind' ELSE '' END AS missing FROM e
+""")
+def json_lines_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line numbers of JSON documents in files made of the events: headers, blank lines and bad lines count, and bad ones keep theirs."""
+    where, key = work_dir(spark), F.col("event_id")
+    good = F.concat(F.lit('{"id":'), key.cast("string"), F.when(key % 5 == 0, "").otherwise(F.concat(F.lit(',"kind":"'), "event_type", F.lit('"'))), F.lit("}"))
+    text = F.concat(F.when(key < 4, '{"_schema":1}\n').otherwise(""), F.when(key % 10 == 0, "\n").otherwise(""), F.when(key % 7 == 3, '{"id":').otherwise(good))
+    rows = load(spark, sf_dir, "events").select(text.alias("value"), key.alias("n"), (key % 4).alias("file"))
+    rows.repartition(4, "file").sortWithinPartitions("file", "n").select("value", "file").write.partitionBy("file").text(f"{where}/lines")
+    lines = tables.json_lines(spark, f"{where}/lines", ("id", "kind"))
+    doc = F.try_variant_get("doc", "$.id", "long")
+    return lines.select(F.regexp_extract("file", "file=([0-9]+)", 1).cast("long").alias("file"), "line", doc.alias("event_id"), F.col("doc").isNull().alias("bad"), F.array_join(F.array_except("missing", F.when(F.col("doc").isNull(), F.array(F.lit("id"))).otherwise(F.array().cast("array<string>"))), ",").alias("missing"))
