@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +34,24 @@ def upsert_week(target: DataFrame, incoming: DataFrame, week: str, keys: list[st
     """target with the incoming rows in place of those of the same week and key."""
     kept = target.join(incoming.select(week, *keys).distinct(), [week, *keys], "left_anti")
     return kept.unionByName(incoming.select(target.columns))
+
+
+def recover(orders: list[DataFrame], key: list[str]) -> DataFrame:
+    """Rows of a list that can only be read in part, from several orders of it, each cut off somewhere: each key once, with how many orders had it."""
+    every = reduce(DataFrame.unionByName, orders)
+    return every.groupBy(*key).agg(F.count(F.lit(1)).alias("seen"))
+
+
+def recovery(first: DataFrame, second: DataFrame, key: list[str], enough: float = 0.99) -> DataFrame:
+    """One row: rows of either order and of both, their union, an estimate of all, and whether reading may stop.
+
+    The estimate is that of capture and recapture in Chapman's form, which is defined for an empty overlap as well:
+    what two independent readings share says how much both have missed. Orders that put the same rows first share too
+    much, and the estimate is then too low; it is never below the union.
+    """
+    marked = first.select(*key).distinct().withColumn("side", F.lit(1)).unionByName(second.select(*key).distinct().withColumn("side", F.lit(2)))
+    each = marked.groupBy(*key).agg(F.sum("side").alias("sides"))
+    n = each.agg(F.count_if(F.col("sides") != 2).alias("n_first"), F.count_if(F.col("sides") != 1).alias("n_second"), F.count_if(F.col("sides") == 3).alias("n_both"), F.count(F.lit(1)).alias("n_union"))
+    chapman = F.floor((F.col("n_first") + 1) * (F.col("n_second") + 1) / (F.col("n_both") + 1)) - 1
+    estimate = F.greatest("n_union", chapman).cast("long")
+    return n.withColumn("estimate", estimate).withColumn("enough", F.col("n_union") >= F.col("estimate") * F.lit(enough))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.urls import core_model, upper_alnum
+from tidemark.streaming.run import work_dir
 
 #: Words that may stand between a size and a series in a title.
 SIZE_TOKENS = ("class", "inch", "in", '"', "series")
@@ -172,35 +173,60 @@ def word_matches(models: DataFrame, catalog: DataFrame, model: str, title: str,
     return found.filter(single).unionByName(rest.select("key", "model"))
 
 
-#: Longest key of a passage that has no inner word start.
-RUN = 8
+#: Widths of a passage's grams behind a word start, and the longest key of a passage that has none of them.
+GRAMS, RUN = (12, 4), 8
+STARTS = r"(?<![A-Za-z0-9])"
 
 
-def passages_in(passages: DataFrame, docs: DataFrame, widths: tuple[int, ...] = (32, 8, 1)) -> DataFrame:
+def passage_grams(passage: Column) -> Column:
+    """Array of (kind, gram) by which a passage can be found: its grams at inner word starts, of the widest width that fits, else its first characters.
+
+    What stands before an inner word start belongs to the passage, so every document that contains the passage has the
+    gram at a word start too. The kind is the width, negative for first characters, which may stand anywhere.
+    """
+    def tagged(kind: Column, grams: Column) -> Column:
+        return F.transform(F.array_distinct(grams), lambda g: F.struct(kind.cast("int").alias("kind"), g.alias("gram")))
+
+    inner = [F.regexp_extract_all(passage, F.lit(rf"(?s)(?<=.){STARTS}(?=(.{{{w}}}))"), F.lit(1)) for w in GRAMS]
+    first = F.substring(passage, 1, RUN)
+    out = tagged(-F.char_length(first), F.array(first))
+    for width, grams in reversed(list(zip(GRAMS, inner))):
+        out = F.when(F.size(grams) > 0, tagged(F.lit(width), grams)).otherwise(out)
+    return out
+
+
+def document_grams(text: Column, kinds: list[int]) -> Column:
+    """A document's own grams of the given kinds, each once."""
+    def of(kind: int) -> Column:
+        pattern = rf"(?s){STARTS}(?=(.{{{kind}}}))" if kind > 0 else rf"(?s)(?=(.{{{-kind}}}))"
+        grams = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+        return F.transform(grams, lambda g: F.struct(F.lit(kind).alias("kind"), g.alias("gram")))
+
+    return F.concat(*[of(k) for k in kinds])
+
+
+def passages_in(passages: DataFrame, docs: DataFrame, where: str | None = None) -> DataFrame:
     """item_id and doc_id where a document contains a passage character for character.
 
-    A passage's key is what follows its first inner word start, and stands at a word start of every document that
-    contains it. Keys meet the documents' own runs of that width by an equi-join that carries ids alone; the texts of
-    the few pairs that meet are then compared. Passages too short for one width use the next. One without an inner
-    word start is a run of letters and digits with one more character at most: its key is its start, of up to
-    RUN characters, and meets all such runs of the documents. An empty passage is not searched for.
+    Documents are taken apart once, into postings of the grams that passages have, a table in the folder ``where`` (a new
+    one in the shared folder if not given). It says how frequent each gram is, and each passage is looked up by its
+    rarest one; the texts of the few pairs that meet are then compared. Kinds of grams that no passage needs are not
+    made. An empty passage is not searched for.
     """
-    start = r"(?<![A-Za-z0-9])"
-    left, met = passages.filter("text <> ''").select("item_id", F.col("text").alias("passage")), []
-    for width in widths:
-        keyed = left.withColumn("k", F.regexp_extract("passage", rf"(?s)^.+?{start}(.{{{width}}})", 1))
-        left = keyed.filter("k = ''").drop("k")
-        met.append((keyed.filter("k <> ''"), rf"(?s){start}(?=(.{{{width}}}))"))
-    left = left.withColumn("k", F.substring("passage", 1, RUN))
-    for width in range(1, RUN + 1):
-        met.append((left.filter(F.length("k") == width), rf"(?s)(?=([A-Za-z0-9]{{{width - 1}}}.))"))
-    pairs = None
-    for keyed, pattern in met:
-        runs = F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(1)))
-        if pairs is None or not keyed.isEmpty():
-            found = docs.select("doc_id", F.explode(runs).alias("k")).join(keyed, "k").select("doc_id", "item_id", "passage")
-            pairs = found if pairs is None else pairs.unionByName(found)
-    both = pairs.distinct().join(docs.select("doc_id", "text"), "doc_id")
+    spark = docs.sparkSession
+    left = passages.filter("text <> ''").select("item_id", F.col("text").alias("passage"))
+    grams = left.select("item_id", "passage", F.explode(passage_grams(F.col("passage"))).alias("g")).select("item_id", "passage", "g.*")
+    kinds = sorted(r["kind"] for r in grams.select("kind").distinct().collect())
+    if not kinds:
+        return left.select("item_id").crossJoin(docs.select("doc_id").limit(0))
+    path = where or f"{work_dir(spark)}/postings"
+    own = docs.select("doc_id", F.explode(document_grams(F.col("text"), kinds)).alias("g")).select("doc_id", "g.*")
+    own.join(grams.select("kind", "gram").distinct(), ["kind", "gram"], "left_semi").write.parquet(path)
+    postings = spark.read.parquet(path)
+    counts = postings.groupBy("kind", "gram").agg(F.count(F.lit(1)).alias("n"))
+    rarest = grams.join(counts, ["kind", "gram"], "left").groupBy("item_id", "passage").agg(F.min_by(F.struct("kind", "gram"), F.struct(F.coalesce("n", F.lit(0)), "kind", "gram")).alias("g"))
+    pairs = postings.join(rarest.select("item_id", "passage", "g.*"), ["kind", "gram"]).select("doc_id", "item_id", "passage").distinct()
+    both = pairs.join(docs.select("doc_id", "text"), "doc_id")
     return both.filter(F.contains("text", F.col("passage"))).select("item_id", "doc_id").distinct()
 
 

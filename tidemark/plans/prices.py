@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import iso_week
 from tidemark.functions.money import cents, difference_class, dollars, mean_cents
 from tidemark.operators import snapshots
+from tidemark.operators.quantiles import exact_quantiles
 from tidemark.plans.catalog import query
 from tidemark.sources.tables import load
 
@@ -113,7 +114,7 @@ FROM b GROUP BY brand, band
 def price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """List prices of each brand in four bands cut at its exact quartiles."""
     part = load(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), cents(F.col("p_retailprice")).alias("c"))
-    cuts = part.groupBy("brand").agg(*[F.percentile("c", p).alias(f"q{i}") for i, p in ((1, 0.25), (2, 0.5), (3, 0.75))])
+    cuts = exact_quantiles(part, "brand", "c", {"q1": 0.25, "q2": 0.5, "q3": 0.75})
     band = F.when(F.col("c") <= F.col("q1"), 1).when(F.col("c") <= F.col("q2"), 2).when(F.col("c") <= F.col("q3"), 3).otherwise(4)
     return (
         part.join(cuts, "brand")

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import urls
-from tidemark.operators import extraction, html, matching, payloads
+from tidemark.operators import extraction, html, incremental, matching, payloads
+from tidemark.operators.ranking import number_rows
 from tidemark.plans.catalog import query
+from tidemark.sources import pages as cache
 from tidemark.sources import sitemaps, tables
 from tidemark.sources.tables import load
 from tidemark.streaming.run import work_dir
@@ -248,3 +250,36 @@ def json_lines_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = tables.json_lines(spark, f"{where}/lines", ("id", "kind"))
     doc = F.try_variant_get("doc", "$.id", "long")
     return lines.select(F.regexp_extract("file", "file=([0-9]+)", 1).cast("long").alias("file"), "line", doc.alias("event_id"), F.col("doc").isNull().alias("bad"), F.array_join(F.array_except("missing", F.when(F.col("doc").isNull(), F.array(F.lit("id"))).otherwise(F.array().cast("array<string>"))), ",").alias("missing"))
+
+
+@query("""
+WITH p AS (SELECT regexp_replace(lower(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/$', '')), '/+$', '') AS k, page_id, html FROM pages WHERE url IS NOT NULL),
+s AS (SELECT k, max(TIMESTAMP '2026-01-01' + to_days(CAST(page_id % 20 AS INTEGER))) AS fetched_at FROM p WHERE page_id % 3 <> 0 GROUP BY k)
+SELECT page_id, CASE WHEN fetched_at IS NULL THEN 'absent' WHEN fetched_at >= TIMESTAMP '2026-01-14' THEN 'fresh' ELSE 'stale' END AS state, fetched_at FROM p LEFT JOIN s ON p.k = s.k
+""")
+def cached_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All addresses looked up in a store that has two thirds of the pages, of up to 20 days: fresh, stale or absent."""
+    day = F.timestamp_add("DAY", (F.col("page_id") % 20).cast("int"), F.lit("2026-01-01 00:00:00").cast("timestamp_ntz"))
+    all_pages = load(spark, sf_dir, "pages")
+    where = work_dir(spark)
+    name = "page_store_" + where.rsplit("-", 1)[-1]
+    cache.keep_pages(all_pages.filter("page_id % 3 <> 0").select("url", "html", day.alias("fetched_at")), name, f"{where}/store", 16)
+    found = cache.look_up(spark, all_pages.filter("url IS NOT NULL").select("page_id", "url"), name, F.lit("2026-01-21 00:00:00").cast("timestamp_ntz"), 7)
+    return found.select("page_id", "state", "fetched_at")
+
+
+@query("""
+WITH a AS (SELECT p_partkey FROM (SELECT p_partkey, row_number() OVER (ORDER BY md5(CAST(p_partkey AS VARCHAR)), p_partkey) AS n, count(*) OVER () AS c FROM part) WHERE n * 5 <= c * 4),
+b AS (SELECT p_partkey FROM (SELECT p_partkey, row_number() OVER (ORDER BY md5(p_partkey || '/2'), p_partkey) AS n, count(*) OVER () AS c FROM part) WHERE n * 5 <= c * 4),
+n AS (SELECT (SELECT count(*) FROM a) AS n_first, (SELECT count(*) FROM b) AS n_second, (SELECT count(*) FROM a SEMI JOIN b USING (p_partkey)) AS n_both, (SELECT count(*) FROM part) AS n_true),
+u AS (SELECT *, n_first + n_second - n_both AS n_union FROM n)
+SELECT *, greatest(n_union, CAST(floor((n_first + 1) * (n_second + 1) / (n_both + 1)) AS BIGINT) - 1) AS estimate,
+  n_union >= greatest(n_union, CAST(floor((n_first + 1) * (n_second + 1) / (n_both + 1)) AS BIGINT) - 1) * CAST(0.95 AS DOUBLE) AS enough FROM u
+""")
+def recovered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The products read in two orders, each cut off after four fifths: recovered, estimated and true numbers, and whether that is enough."""
+    part = load(spark, sf_dir, "part").select("p_partkey")
+    total = part.count()
+    text = F.col("p_partkey").cast("string")
+    cut = [number_rows(part.withColumn("h", F.md5(t.cast("binary"))), F.conv(F.substring("h", 1, 12), 16, 10).cast("long"), ["h", "p_partkey"], "n").filter(F.col("n") * 5 <= total * 4) for t in (text, F.concat(text, F.lit("/2")))]
+    return incremental.recovery(*cut, ["p_partkey"], 0.95).withColumn("n_true", F.lit(total).cast("long"))
