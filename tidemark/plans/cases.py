@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import dates, money, regions, urls
-from tidemark.operators import extraction, matching, quality, reviews
+from tidemark.functions import money
 from tidemark.plans.catalog import query
 
 
@@ -23,19 +22,6 @@ def literal(value):
     return F.lit(value)
 
 
-@query("""
-SELECT model, slug, ok FROM (VALUES ('65U8N', 'hisense-65-u8n-mini-led', true), ('65U8N', 'hisense-75-u8n-mini-led', false),
-  ('65U8N', 'hisense-65-inch-class-4k-uhd-u8n-tv', true), ('U8N', 'hisense-xu8nx-tv', false)) t(model, slug, ok)
-""")
-def slug_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slugs that do and do not name a model."""
-    cases = rows(
-        spark, "model string, slug string",
-        ("65U8N", "hisense-65-u8n-mini-led"), ("65U8N", "hisense-75-u8n-mini-led"), ("65U8N", "hisense-65-inch-class-4k-uhd-u8n-tv"), ("U8N", "hisense-xu8nx-tv"),
-    )
-    return cases.withColumn("ok", F.array_contains(matching.slug_windows(F.col("slug")), urls.upper_alnum(F.col("model"))))
-
-
 @query("""
 SELECT raw, currency, CAST(amount AS DECIMAL(18, 2)) AS amount FROM (VALUES ('$12,999.00', 'USD', '12999.00'), ('433,74 €', 'EUR', '433.74'),
   ('1&nbsp;128,11€', 'EUR', '1128.11'), ('599€<sup>00</sup>', 'EUR', '599.00'), ('280,400 円～', 'JPY', '280400'), ('$359.990', 'CLP', '359990'),
@@ -51,101 +37,6 @@ def money_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cases.withColumn("amount", money.money(F.col("raw"), F.col("currency")))
 
 
-@query("""
-SELECT CAST(id AS BIGINT) AS id, kind FROM (VALUES (0, 'cloudflare'), (1, 'f5'), (2, 'challenge'), (3, 'ok'), (4, 'challenge'), (5, 'akamai'), (6, 'challenge'),
-  (7, 'shell'), (8, 'not_found'), (9, 'unreachable'), (10, 'datadome')) t(id, kind)
-""")
-def block_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses with the marks of each kind of block."""
-    cases = rows(
-        spark, "id long, status int, title string, url string, body string, size int",
-        (0, 403, "Just a moment...", "", "x", 6000), (1, 200, "", "", "/TSPD/ bobcmn", 9000), (2, 200, "Robot or human?", "", "x", 9000),
-        (3, 200, "TV", "", '"captcha":{"enabled":true}', 30000), (4, 200, "TV", "https://x.example/are-you-robot", "x", 9000), (5, 403, "Access Denied", "", "x", 300),
-        (6, 200, "TV", "", "captcha", 6000), (7, 200, "TV", "", "x", 900), (8, 404, "Not here", "", "x", 9000), (9, 503, "", "", "x", 170),
-        (10, 403, "x", "", "captcha-delivery.com", 6000),
-    )
-    html = F.rpad(F.col("body"), F.col("size"), " ")
-    return cases.select("id", extraction.page_class(F.col("status"), F.col("title"), F.col("url"), html).alias("kind"))
-
-
-@query("""
-SELECT site, currency, search_url, differs FROM (VALUES ('a', 'USD', 'table', true), ('b', 'EUR', 'schema', true), ('c', 'JPY', 'adapter', false)) t(site, currency, search_url, differs)
-""")
-def config_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each field from its first source: site table, schema file, adapter; and whether schema and adapter disagree."""
-    table = rows(spark, "site string, currency string, search_url string", ("a", "USD", "table"), ("b", None, None), ("c", None, None))
-    schema = rows(spark, "site string, currency string, search_url string", ("a", "MXN", "schema"), ("b", "EUR", "schema"))
-    adapter = rows(spark, "site string, currency string, search_url string", ("a", "MXN", "adapter"), ("b", "EUR", "adapter"), ("c", "JPY", "adapter"))
-    named = lambda df, p: df.select("site", F.col("currency").alias(f"{p}_currency"), F.col("search_url").alias(f"{p}_url"))
-    both = named(table, "t").join(named(schema, "s"), "site", "left").join(named(adapter, "a"), "site", "left")
-    differs = quality.full_difference(schema, adapter.join(schema, "site", "left_semi"), ["site"], ["currency", "search_url"]).select("site", F.lit(True).alias("d"))
-    first = lambda c: F.coalesce(f"t_{c}", f"s_{c}", f"a_{c}")
-    return both.join(differs, "site", "left").select("site", first("currency").alias("currency"), first("url").alias("search_url"), F.coalesce("d", F.lit(False)).alias("differs"))
-
-
-@query("""
-SELECT coverage, CAST(percent AS DOUBLE) AS percent, verdict FROM (VALUES ('25/25 = 100%', 100.0, 'success'), ('48%', 48.0, 'failed'), ('95', 95.0, 'success'),
-  ('80.5 %', 80.5, 'partial'), ('none', NULL, 'unknown')) t(coverage, percent, verdict)
-""")
-def coverage_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coverage texts and their verdicts: the number before the percent sign counts."""
-    percent = quality.coverage_percent(F.col("coverage"))
-    cases = rows(spark, "coverage string", ("25/25 = 100%",), ("48%",), ("95",), ("80.5 %",), ("none",))
-    return cases.select("coverage", percent.alias("percent"), quality.coverage_verdict(percent).alias("verdict"))
-
-
-@query("""
-SELECT country, region FROM (VALUES ('mexico', 'NORTH AMERICA'), ('墨西哥', 'NORTH AMERICA'), (' Germany ', 'EUROPE'), ('日本', 'ASIA'), ('CHILE', 'SOUTH AMERICA'),
-  ('Atlantis', 'UNKNOWN')) t(country, region)
-""")
-def region_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Countries in two languages; one that is not listed shows as such."""
-    cases = rows(spark, "country string", ("mexico",), ("墨西哥",), (" Germany ",), ("日本",), ("CHILE",), ("Atlantis",))
-    return cases.withColumn("region", regions.region(F.col("country")))
-
-
-@query("""
-SELECT CAST(id AS BIGINT) AS id, CAST(star AS BIGINT) AS star, CAST(n AS BIGINT) AS n FROM (VALUES (0, 1, 1), (0, 2, 1), (0, 3, 2), (0, 4, 4), (0, 5, 11),
-  (1, 1, 0), (1, 2, 1), (1, 3, 2), (1, 4, 0), (1, 5, 0), (2, 1, 0), (2, 2, 0), (2, 3, 0), (2, 4, 0), (2, 5, 7)) t(id, star, n)
-""")
-def star_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Star counts from percentages: each histogram sums to its total."""
-    cases = rows(spark, "id long, total long, pct array<int>", (0, 19, [5, 6, 11, 21, 57]), (1, 3, [0, 50, 50, 0, 0]), (2, 7, [0, 0, 0, 0, 100]))
-    return cases.select("id", F.posexplode(reviews.star_counts(F.col("total"), F.col("pct"))).alias("i", "n")).select("id", (F.col("i") + 1).cast("long").alias("star"), "n")
-
-
-@query("""
-SELECT url, clean, model_like FROM (VALUES ('https://x.example/tv/55U8N/?a=1', 'https://x.example/tv/55U8N', true), ('https://x.example/c-p/55OLED760_12/overview/', 'https://x.example/c-p/55OLED760_12/overview', false),
-  ('https://x.example/65OLED759', 'https://x.example/65OLED759', true), ('https://x.example/4k-uhd#top', 'https://x.example/4k-uhd', false)) t(url, clean, model_like)
-""")
-def url_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Addresses cleaned, and whether they look like a model's page."""
-    cases = rows(spark, "url string", ("https://x.example/tv/55U8N/?a=1",), ("https://x.example/c-p/55OLED760_12/overview/",), ("https://x.example/65OLED759",), ("https://x.example/4k-uhd#top",))
-    return cases.select("url", urls.clean_url(F.col("url")).alias("clean"), urls.looks_like_model_url(F.col("url")).alias("model_like"))
-
-
-@query("""
-SELECT raw, clean, CAST(inches AS INT) AS inches, core FROM (VALUES ('Hisense（美国） 100U8QG', 'Hisense 100U8QG', 100, 'HISENSE100U8QG'), ('Hisense 116UX', 'Hisense 116UX', 116, 'HISENSE116UX'),
-  ('55QD8SF-PRO', '55QD8SF-PRO', 55, 'QD8SF'), ('TV 65 pulgadas 4K', 'TV 65 pulgadas 4K', 65, 'TV65PULGADAS4K')) t(raw, clean, inches, core)
-""")
-def text_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search texts cleaned, sizes and model cores."""
-    cases = rows(spark, "raw string", ("Hisense（美国） 100U8QG",), ("Hisense 116UX",), ("55QD8SF-PRO",), ("TV 65 pulgadas 4K",))
-    raw = F.col("raw")
-    core = urls.core_model(F.regexp_replace(raw, "[（(][^）)]*[）)]", ""))
-    return cases.select("raw", urls.clean_search_text(raw).alias("clean"), urls.size_inch(raw).alias("inches"), core.alias("core"))
-
-
-@query("""
-SELECT raw, CAST(v AS TIMESTAMP) AS seen_at FROM (VALUES ('2026-09-28T10:20:30Z', '2026-09-28 10:20:30'), ('09/28/2026 10:20:30', '2026-09-28 10:20:30'), ('1790000000', '2026-09-21 14:13:20'),
-  ('2026-09-28', '2026-09-28 00:00:00'), ('soon', NULL)) t(raw, v)
-""")
-def timestamp_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dates as vendors write them."""
-    cases = rows(spark, "raw string", ("2026-09-28T10:20:30Z",), ("09/28/2026 10:20:30",), ("1790000000",), ("2026-09-28",), ("soon",))
-    return cases.select("raw", dates.any_timestamp(F.col("raw")).cast("timestamp_ntz").alias("seen_at"))
-
-
 #: Currency and text of a price v (whole units, 1,000 or more) by the form's number, with decimals d.
 PRICE_FORMS = (
     ("USD", "Now ${comma}.{d} with 2 year warranty"), ("EUR", "{dot},{d} €"), ("JPY", "{comma}円(税込{more}円)"), ("CLP", "65 pulgadas ${dot}"), ("USD", "Save 20 ${comma}.{d}"),

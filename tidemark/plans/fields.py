@@ -5,85 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import urls
-from tidemark.operators import extraction
 from tidemark.plans.cases import rows
 from tidemark.plans.catalog import query
 
 
-@query("""
-SELECT site, model, method FROM (VALUES ('a', '55U8N', 'api'), ('a', '65U8N', 'api'), ('b', '75U8N', 'dom')) t(site, model, method)
-""")
-def api_or_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Models from a site's API, and from its pages where the API has no list."""
-    docs = rows(spark, "site string, doc string", ("a", '{"data":{"list":[{"m":{"id":"55U8N"}},{"m":{"id":"65U8N"}}]}}'), ("b", "<html>"))
-    api = extraction.api_rows(docs.filter(F.try_parse_json("doc").isNotNull()), "doc", "data.list", {"model": "m.id"}, ["site"])
-    dom = rows(spark, "site string, model string", ("a", "WRONG"), ("b", "75U8N"))
-    return extraction.first_method([("api", api), ("dom", dom)], "site").select("site", "model", "method")
-
-
-@query("""
-SELECT title, strict, lenient FROM (VALUES ('TV 65 pulgadas 65U8N', true, true), ('Soporte TV 65 pulgadas', false, false), ('QLED 55QD7N Smart', false, true), ('Reloj 12 pulgadas', false, false),
-  ('Remote for 65" TV', false, false)) t(title, strict, lenient)
-""")
-def title_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles that are and are not TVs, by the strict and by the lenient rule."""
-    cases = rows(spark, "title string", ("TV 65 pulgadas 65U8N",), ("Soporte TV 65 pulgadas",), ("QLED 55QD7N Smart",), ("Reloj 12 pulgadas",), ('Remote for 65" TV',))
-    return cases.select("title", extraction.tv_title(F.col("title")).alias("strict"), extraction.tv_model_title(F.col("title")).alias("lenient"))
-
-
-@query("""
-SELECT series_key, models FROM (VALUES ('fam', '55U8N,65U8N'), ('U7', '55U7N'), ('U6N', '55U6N,65U6N')) t(series_key, models)
-""")
-def series_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Models put into series by family, by series field, or by the model without its size."""
-    cases = rows(
-        spark, "model string, family string, series string",
-        ("55U8N", "fam", "x"), ("65U8N", "fam", "y"), ("55U7N", "", "U7"), ("55U6N", None, None), ("65U6N", None, ""), ("65U6N", None, None),
-    )
-    merged = extraction.merge_series(cases, "model", "family", "series", urls.strip_leading_size(F.col("model")))
-    return merged.select("series_key", F.array_join("models", ",").alias("models"))
-
-
-@query("SELECT model, page, way FROM (VALUES ('55U8N', 1, 'address'), ('65U8N', 3, 'code')) t(model, page, way)")
-def address_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of models by address, and by the code at its end where only the size tells two apart."""
-    wanted = rows(spark, "model string, url string, size int", ("55U8N", "https://x.example/TV/55u8n/", 55), ("65U8N", "https://x.example/old/u8n", 65))
-    pages = rows(spark, "page int, page_url string, page_size int", (1, "https://x.example/tv/55u8n?a=1", 55), (2, "https://x.example/new/u8n", 75), (3, "https://x.example/new/u8n", 65))
-    return extraction.join_addresses(wanted, pages, "url", "page_url", "size", "page_size").select("model", "page", F.col("by").alias("way"))
-
-
-@query("SELECT link FROM (VALUES ('gone.md')) t(link)")
-def dead_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files that a text refers to and that are missing."""
-    texts = rows(spark, "text string", ("see playbook/here.md and gone.md",), ("here.md again",))
-    return extraction.dead_links(texts, rows(spark, "name string", ("here.md",)), "text", "name")
-
-
-@query("""
-SELECT CAST(id AS BIGINT) AS id, CAST(next AS INT) AS next, CAST(score AS BIGINT) AS score, passed FROM (VALUES (0, 3, 100, true), (1, NULL, 60, false), (2, 12, 0, false)) t(id, next, score, passed)
-""")
-def page_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The next page of a numbered list, and a page's score."""
-    cases = rows(spark, "id long, pages array<int>, current int, coverage double, priced double, purity double", (0, [1, 2, 3, 4], 2, 1.0, 1.0, 1.0), (1, [1, 2], 2, 1.0, None, 0.5), (2, [12, 40], 2, 0.0, 0.0, 0.0))
-    score = extraction.page_score(F.col("coverage"), F.col("priced"), F.col("purity"))
-    return cases.select("id", extraction.next_page(F.col("pages"), F.col("current")).alias("next"), score.alias("score"), (score >= 70).alias("passed"))
-
-
-@query("SELECT site, field, value, CAST(confidence AS DOUBLE) AS confidence FROM (VALUES ('a', 'price', '399', 0.9), ('b', 'price', '410', 0.4)) t(site, field, value, confidence)")
-def best_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of several readings of a field the one of the highest confidence."""
-    readings = rows(spark, "site string, field string, value string, confidence double", ("a", "price", "400", 0.5), ("a", "price", "399", 0.9), ("b", "price", "410", 0.4))
-    return readings.groupBy("site", "field").agg(F.max_by("value", F.struct("confidence", "value")).alias("value"), F.max("confidence").alias("confidence"))
-
-
-@query("SELECT title, words FROM (VALUES ('Smart TV HISENSE 55A6N-PRO 4K UHD', '55A6N-PRO'), ('Televisor LED', '')) t(title, words)")
-def title_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of a title that could be model numbers."""
-    cases = rows(spark, "title string", ("Smart TV HISENSE 55A6N-PRO 4K UHD",), ("Televisor LED",))
-    return cases.select("title", F.array_join(urls.model_words(F.col("title"), ["SMART", "HISENSE"]), ",").alias("words"))
-
-
 @query("""
 SELECT CAST(id AS BIGINT) AS id, size, has_chapters, title, stock, currency, models, text, CAST(saved AS BIGINT) AS saved FROM (VALUES
   (0, '65', true, 'TV', true, 'EUR', '55U78SG,55U7SG', '{"a":1}', 3424), (1, NULL, false, 'Name', NULL, NULL, '65U8N', 'x', 0)) t(id, size, has_chapters, title, stock, currency, models, text, saved)

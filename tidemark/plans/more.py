@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import urls
 from tidemark.functions.dates import iso_week
 from tidemark.operators import snapshots
-from tidemark.plans.cases import rows
 from tidemark.plans.catalog import query
 from tidemark.plans.prices import CENTS, SHARE, prices, share
 from tidemark.sources.tables import load
@@ -142,47 +140,6 @@ def fan_out(spark: SparkSession, sf_dir: str, models: DataFrame) -> DataFrame:
     return per_brand.crossJoin(F.broadcast(shops)).select("brand", "region", (F.col("models") * F.col("shops")).alias("tasks"))
 
 
-STATE = """{"week":"2026-W40","before":{"price":100},"after":{"price":183},"sites":{"alpha_aa":{"output":"Result: ok=5 fail=0 blocked=0 products=5 rows=70","timeout":false,"elapsed":33.5},
-"beta_bb":{"output":"Result: ok=0 fail=1 blocked=4 products=0 rows=0","timeout":true,"elapsed":45.0}}}"""
-
-
-@query("""
-SELECT week, site, CAST(ok AS BIGINT) AS ok, CAST(blocked AS BIGINT) AS blocked, timeout, CAST(added AS BIGINT) AS added FROM
-  (VALUES ('2026-W40', 'alpha_aa', 5, 0, false, 83), ('2026-W40', 'beta_bb', 0, 4, true, 83)) t(week, site, ok, blocked, timeout, added)
-""")
-def run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run's state document: sites by name, their result lines, and what the run added."""
-    kind = "week string, before struct<price:long>, after struct<price:long>, sites map<string, struct<output:string,timeout:boolean,elapsed:double>>"
-    doc = rows(spark, "doc string", (STATE,)).select(F.from_json("doc", kind).alias("d"))
-    sites = doc.select("d.week", (F.col("d.after.price") - F.col("d.before.price")).alias("added"), F.explode("d.sites").alias("site", "s"))
-    number = lambda name: F.regexp_extract("s.output", rf"\b{name}=(\d+)", 1).try_cast("long").alias(name)
-    return sites.select("week", "site", number("ok"), number("blocked"), F.col("s.timeout").alias("timeout"), "added")
-
-
-@query("""
-SELECT review_id, CAST(rating AS DOUBLE) AS rating, images, source_url FROM (VALUES ('yotpo:1', 5.0, 'a.jpg | b.jpg', 'https://x.example/r#bv-src-product=7'),
-  ('yotpo:2', NULL, '', 'https://x.example/r#bv-src-product=7')) t(review_id, rating, images, source_url)
-""")
-def review_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A vendor's reviews flattened: prefixed keys, joined lists, and the product they were found under."""
-    from tidemark.operators.reviews import review_key, with_source
-
-    doc = '{"product":7,"reviews":[{"id":"1","score":5,"date":"2026-01-02","name":"x","images":[{"url":"a.jpg"},{"url":"b.jpg"}]},{"id":"2","date":"2026-01-03","name":"y","images":[]}]}'
-    kind = "product long, reviews array<struct<id:string,score:double,date:string,name:string,images:array<struct<url:string>>>>"
-    found = rows(spark, "doc string", (doc,)).select(F.from_json("doc", kind).alias("d")).select("d.product", F.explode("d.reviews").alias("r"))
-    return found.select(
-        review_key("yotpo", F.col("r.id"), F.col("r.date"), F.col("r.name")).alias("review_id"), F.col("r.score").alias("rating"),
-        F.array_join(F.transform("r.images", lambda x: x["url"]), " | ").alias("images"), with_source(F.lit("https://x.example/r"), F.col("product")).alias("source_url"),
-    )
-
-
-@query("SELECT 'https://x.example/catalog?from=' || CAST(f AS VARCHAR) || '&to=' || CAST(least(f + 49, 120) AS VARCHAR) AS address FROM (SELECT unnest(range(0, 121, 50)) AS f)")
-def page_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Addresses of the windows of a catalogue of 121 products, 50 at a time."""
-    table = spark.range(0, 1, 1, 1).select(F.explode(F.sequence(F.lit(0), F.lit(120), F.lit(50))).alias("f"))
-    return table.select(urls.fill("https://x.example/catalog?from={a}&to={b}", a=F.col("f").cast("string"), b=F.least(F.col("f") + 49, F.lit(120)).cast("string")).alias("address"))
-
-
 @query("""
 SELECT source, CAST(sum(hits) AS BIGINT) AS hits, count(*) AS items FROM (SELECT d.source, b.item_id, count(*) AS hits FROM benchmark b JOIN documents d ON contains(d.text, b.text)
   GROUP BY 1, 2) GROUP BY source
