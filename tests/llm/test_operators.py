@@ -398,7 +398,10 @@ def test_novelty_adds_what_the_patterns_miss():
     assert find(text) == [(text.index(blob), 3, text.index(blob) + 40)]
     assert find(f"just a name {blob}") == []
     assert find("the bearer of application_json_utf8_encoding_response1 is here") == []
-    assert find(f"bearer {blob} {blob} " + blob) == []
+    twice = f"bearer {blob} {blob} " + blob
+    assert find(twice) == [(m.start(), 3, m.end()) for m in re.finditer(blob, twice)] and len(find(twice)) == 3
+    far = f"bearer {blob} " + "the value of it is used here " * 5 + blob + " token"
+    assert [text[2] - text[0] for text in find(far)] == [40, 40]
 
 
 def test_novel_spans_match_a_plain_reading():
@@ -419,7 +422,12 @@ def test_novel_spans_match_a_plain_reading():
             near = [x for x in secret_scan.SENSITIVE.finditer(text) if x.end() >= start - secret_scan.CONTEXT and x.start() <= end + secret_scan.CONTEXT]
             if not near or any(a < end and start < b for a, _, b in base):
                 continue
-            around = text[max(0, start - secret_scan.CONTEXT) : start] + text[end : end + secret_scan.CONTEXT]
+            before, behind = text[max(0, start - secret_scan.CONTEXT) : start].replace(m[0], " "), text[end : end + secret_scan.CONTEXT].replace(m[0], " ")
+            cut = re.match(r"[A-Za-z0-9+/_=-]*", before)[0]
+            before = before[len(cut) :] if m[0].endswith(cut) else before
+            cut = re.search(r"[A-Za-z0-9+/_=-]*\Z", behind)[0]
+            behind = behind[: len(behind) - len(cut)] if m[0].startswith(cut) else behind
+            around = before + behind
             added = min(len(m[0]), size(around + m[0]) - size(around))
             if added >= secret_scan.ADDED and added >= secret_scan.NOVELTY * len(m[0]):
                 want.append((start, 3, end))

@@ -3,8 +3,9 @@
 Beyond the patterns, a *novel* span is a run of key characters, with or without digits, that stands within CONTEXT
 characters of a sensitive word, before or after it, or holds one, and that Zstandard, primed with a dictionary of
 identifiers and ordinary code and with the text around it, cannot shrink: the bytes that it adds to the compressed
-context are at least NOVELTY of its length, and at least ADDED (a shorter run cannot add as many). Identifiers, paths and repeated strings cost next to
-nothing and are not reported; a secret that stands twice within CONTEXT characters counts as repeated.
+context are at least NOVELTY of its length, and at least ADDED (a shorter run cannot add as many). Identifiers and paths cost next to
+nothing and are not reported. A string's own copies are cut out of its surroundings first, so that each place of a
+secret that stands there twice is reported.
 
 Defined results: null and empty texts have no span; spans count code points, the end exclusive; repeated rows give
 repeated results; an empty table gives no rows. The plan has no shuffle, and a text is read whole.
@@ -30,6 +31,7 @@ CONTEXT = 160
 #: Least share of its length, and least number of bytes, that a novel span adds.
 NOVELTY, ADDED = 0.6, 10
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
+TRAILING = re.compile(r"[A-Za-z0-9+/_=-]+\Z")
 SENSITIVE = re.compile(r"(?ai:secret|token|passw|credential|api_?key|private|bearer|authori[sz]ation|access)")
 DICTIONARY = """
 import from return function class public private static void const let var def self this new null true false none
@@ -51,6 +53,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def apart(word: str, before: str, behind: str) -> str:
+    """The surroundings without the string's own copies, also those that the window cuts: a secret that stands twice is still one."""
+    before, behind = before.replace(word, " "), behind.replace(word, " ")
+    first, last = CANDIDATE.match(before), TRAILING.search(behind)
+    if first and word.endswith(first.group()):
+        before = before[first.end() :]
+    if last and word.startswith(last.group()):
+        behind = behind[: last.start()]
+    return before + behind
+
+
 class Novelty:
     """Marginal compressed size against a dictionary and the text around a candidate."""
 
@@ -85,7 +98,7 @@ class Novelty:
                 passed += 1
             if passed < len(taken) and taken[passed][0] < end:
                 continue
-            around = text[max(0, start - CONTEXT) : start] + text[end : end + CONTEXT]
+            around = apart(word, text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT])
             if self.added(around, word) >= max(ADDED, NOVELTY * len(word)):
                 out.append((start, 3, end))
         return out
