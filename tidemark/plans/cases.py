@@ -1,4 +1,4 @@
-"""Queries over literal cases: rules that no stored table exercises, with the rows they must give."""
+"""Amounts of money in texts and attributes made of the products; small fixed tables."""
 
 from __future__ import annotations
 
@@ -22,21 +22,6 @@ def literal(value):
     return F.lit(value)
 
 
-@query("""
-SELECT raw, currency, CAST(amount AS DECIMAL(18, 2)) AS amount FROM (VALUES ('$12,999.00', 'USD', '12999.00'), ('433,74 €', 'EUR', '433.74'),
-  ('1&nbsp;128,11€', 'EUR', '1128.11'), ('599€<sup>00</sup>', 'EUR', '599.00'), ('280,400 円～', 'JPY', '280400'), ('$359.990', 'CLP', '359990'),
-  ('Saltar a', 'USD', NULL), ('', 'EUR', NULL), ('399.00', 'USD', '399.00')) t(raw, currency, amount)
-""")
-def money_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Amounts as shops write them; what cannot be read is null, never 0."""
-    cases = rows(
-        spark, "raw string, currency string",
-        ("$12,999.00", "USD"), ("433,74 €", "EUR"), ("1&nbsp;128,11€", "EUR"), ("599€<sup>00</sup>", "EUR"), ("280,400 円～", "JPY"), ("$359.990", "CLP"),
-        ("Saltar a", "USD"), ("", "EUR"), ("399.00", "USD"),
-    )
-    return cases.withColumn("amount", money.money(F.col("raw"), F.col("currency")))
-
-
 #: Currency and text of a price v (whole units, 1,000 or more) by the form's number, with decimals d.
 PRICE_FORMS = (
     ("USD", "Now ${comma}.{d} with 2 year warranty"), ("EUR", "{dot},{d} €"), ("JPY", "{comma}円(税込{more}円)"), ("CLP", "65 pulgadas ${dot}"), ("USD", "Save 20 ${comma}.{d}"),

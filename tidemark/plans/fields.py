@@ -1,37 +1,13 @@
-"""Extraction rules on literal pages and documents."""
+"""Summaries with totals, coverage of labels and ratings."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.cases import rows
 from tidemark.plans.catalog import query
 
 
-@query("""
-SELECT CAST(id AS BIGINT) AS id, size, has_chapters, title, stock, currency, models, text, CAST(saved AS BIGINT) AS saved FROM (VALUES
-  (0, '65', true, 'TV', true, 'EUR', '55U78SG,55U7SG', '{"a":1}', 3424), (1, NULL, false, 'Name', NULL, NULL, '65U8N', 'x', 0)) t(id, size, has_chapters, title, stock, currency, models, text, saved)
-""")
-def nested_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lookups in maps, lists and documents."""
-    from tidemark.functions import nested
-
-    cases = rows(
-        spark, "id long, kv map<string,string>, doc string, availability string, code string, head array<string>, body array<string>, b64 string, old double, new double",
-        (0, None, '{"chapters":[],"name":"TV"}', "https://schema.org/InStock", " eur ", ["55U78SG"], ["55U7SG", "65U7SG", "55X"], "eyJhIjoxfQ==", 2050.0, 1348.0),
-        (1, None, '{"title":"Name"', "soon", "price", ["65U8N"], [], "eA==", 5.0, 5.0),
-    )
-    cases = cases.withColumn("kv", F.when(F.col("id") == 0, F.create_map(F.lit("Screen size"), F.lit("65"), F.lit("Weight"), F.lit("9"))))
-    doc = F.when(F.col("id") == 1, F.concat("doc", F.lit("}"))).otherwise(F.col("doc"))
-    return cases.select(
-        "id", nested.kv_lookup(F.col("kv"), "pantalla|size").alias("size"), nested.has_path(F.col("doc"), "chapters").alias("has_chapters"),
-        nested.any_path(doc, "name", "title").alias("title"), nested.in_stock(F.col("availability")).alias("stock"), nested.known_currency(F.col("code")).alias("currency"),
-        F.array_join(nested.own_models(F.col("head"), F.col("body")), ",").alias("models"), nested.decoded(F.col("b64")).alias("text"),
-        nested.saved_share(F.col("old"), F.col("new")).alias("saved"),
-    )
-
-
 @query("""
 SELECT o_orderstatus AS status, count(*) AS orders, CAST(GROUPING(o_orderstatus) AS BIGINT) AS total, count(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) AS urgent
 FROM orders GROUP BY ROLLUP (o_orderstatus)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import dates, regions, urls
+from tidemark.functions import dates, money, nested, regions, urls
 from tidemark.operators import extraction, matching, quality, reviews
 from tidemark.plans.catalog import query
 from tidemark.plans.stored import joined
@@ -288,3 +288,39 @@ def block_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     of = lambda n: choice(key % len(RESPONSES), *[F.lit(r[n]) for r in RESPONSES])
     html = F.rpad(text(of(3), " ", name), of(4), " ")
     return products(spark, sf_dir).groupBy(extraction.page_class(of(0), of(1), of(2), html).alias("kind")).agg(F.count(F.lit(1)).alias("responses"))
+
+
+@query(f"""
+SELECT k AS product, CASE WHEN k % 3 = 0 THEN CAST(s2 AS VARCHAR) WHEN k % 3 = 1 THEN CAST(s AS VARCHAR) END AS size, k % 4 = 0 AS has_chapters, CASE WHEN k % 4 < 3 THEN p_name END AS title,
+  CASE k % 5 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true END AS stock, CASE k % 3 WHEN 0 THEN 'EUR' WHEN 1 THEN 'MXN' END AS currency,
+  s2 || 'U8' || CASE WHEN k % 2 = 0 THEN ',' || s2 || 'U7N' ELSE '' END AS models, p_name AS text,
+  CASE WHEN k % 7 > 0 THEN CAST(floor(CAST(p_size AS DOUBLE) / CAST(s2 AS DOUBLE) * CAST(10000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT) END AS saved FROM {P}
+""")
+def nested_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For all products: entries of a map by words in order, fields of whole and broken documents, stock, currency, own models, decoded text and what a change saves."""
+    key, size, inches, name = F.col("k"), F.col("s"), F.col("s2"), F.col("p_name")
+    both = F.create_map(F.lit("Weight"), F.lit("9"), F.lit("Screen size"), size.cast("string"), F.lit("Pantalla"), inches.cast("string"))
+    table = F.when(key % 3 == 0, both).when(key % 3 == 1, F.create_map(F.lit("Weight"), F.lit("9"), F.lit("Screen size"), size.cast("string")))
+    doc = choice(key % 4, text('{"chapters":[],"name":"', name, '"}'), text('{"title":"', name, '"}'), text('{"name":"', name, '","title":"x"}'), text('{"chapters":[],"name'))
+    stock = choice(key % 5, F.lit("https://schema.org/InStock"), F.lit("SoldOut"), F.lit("LimitedAvailability"), F.lit("soon"))
+    head, body = F.array(text(inches, "U8")), F.array(text(inches + 1, "X1"), text(inches + key % 2, "U7N"), text(inches, "Z"))
+    out = products(spark, sf_dir).select(
+        key.alias("product"), nested.kv_lookup(table, "pantalla|size").alias("size"), nested.has_path(doc, "chapters").alias("has_chapters"),
+        F.when(F.try_parse_json(doc).isNotNull(), nested.any_path(doc, "name", "title")).alias("title"), nested.in_stock(stock).alias("stock"),
+        nested.known_currency(choice(key % 3, F.lit(" eur "), F.lit("MXN"), F.lit("price"))).alias("currency"), F.array_join(nested.own_models(head, body), ",").alias("models"),
+        nested.decoded(F.base64(name.cast("binary"))).alias("text"), nested.saved_share(F.when(key % 7 > 0, inches.cast("double")), F.lit(20.0)).alias("saved"),
+    )
+    return out
+
+
+@query(f"""
+SELECT k AS product, CAST(CASE k % 6 WHEN 0 THEN s2 * 1000 + k % 1000 WHEN 1 THEN s2 * 1000 + k % 1000 + k % 90 / 100.0 + 0.1 WHEN 2 THEN s2 + 0.99 WHEN 3 THEN s2 * 1000 + k % 1000 END AS DECIMAL(18, 2)) AS amount FROM {P}
+""")
+def money_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of all products as shops write them: separators of several countries, raised cents, marks after; what cannot be read is null, never 0."""
+    key, inches = F.col("k"), F.col("s2")
+    rest = F.lpad((key % 1000).cast("string"), 3, "0")
+    decimals = F.lpad((key % 90 + 10).cast("string"), 2, "0")
+    raw = choice(key % 6, text("$", inches, ",", rest, ".00"), text(inches, "&nbsp;", rest, ",", decimals, "€"), text(inches, "€<sup>99</sup>"), text(inches, ",", rest, " 円～"), F.lit("Saltar a"), F.lit(""))
+    currency = choice(key % 6, *[F.lit(c) for c in ("USD", "EUR", "EUR", "JPY", "USD", "EUR")])
+    return products(spark, sf_dir).select(key.alias("product"), money.money(raw, currency).alias("amount"))
