@@ -6,18 +6,18 @@ from pyspark.sql import functions as F
 from tidemark.operators import extraction, matching
 
 MATCHES = (
-    ("75U6SV", 'Hisense 75U6SV 75" QLED', "", [], 4),
-    ("55QD8SF-PRO", "Hisense QD8SF Series TV", "", [], 4),
-    ("A65NV", "Hisense 50A65NV Smart TV", "", [], 4),
+    ("75U6SV", 'Maker 75U6SV 75" QLED', "", [], 4),
+    ("55QD8SF-PRO", "Maker QD8SF Series TV", "", [], 4),
+    ("A65NV", "Maker 50A65NV Smart TV", "", [], 4),
     ("A4K", '43" Accesorios a 4K', "", [], 4),
-    ("U8Q", "Hisense 100U8QG", "", [], 4),
-    ("65U7SG", 'Hisense 75" Class - U7SG Series', "", [], 4),
-    ("65U7SG", 'Hisense 65" Class - U7SG Series', "", [], 4),
-    ("55U7SG", "Hisense TV", "", ["55U78SG", "55U7SG"], 4),
-    ("65U7SG", "Hisense 65U7SG", "", ["55U78SG", "55U7SG"], 4),
+    ("U8Q", "Maker 100U8QG", "", [], 4),
+    ("65U7SG", 'Maker 75" Class - U7SG Series', "", [], 4),
+    ("65U7SG", 'Maker 65" Class - U7SG Series', "", [], 4),
+    ("55U7SG", "Maker TV", "", ["55U78SG", "55U7SG"], 4),
+    ("65U7SG", "Maker 65U7SG", "", ["55U78SG", "55U7SG"], 4),
     ("32QD4SV", "Televisor QLED", "https://shop.example.com/tv-32-32qd4sv-0436032p.html", [], 4),
-    ("U8N", "Hisense 65U8N5 Class", "", [], 4),
-    ("U8Q", "Hisense 100U8QG", "", [], 3),
+    ("U8N", "Maker 65U8N5 Class", "", [], 4),
+    ("U8Q", "Maker 100U8QG", "", [], 3),
     ("65U7SG", "Remote control for 65U7SG", "", [], 4),
 )
 #: The rule that decides each pair, and whether it matches.
