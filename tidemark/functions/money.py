@@ -30,6 +30,25 @@ def plain_text(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(cents_up, "<[^>]*>", " "), "&nbsp;| | ", " "), " +", " "))
 
 
+#: Currencies of the countries that site codes end in.
+COUNTRY_CURRENCY = {
+    "ar": "ARS", "au": "AUD", "bo": "BOB", "br": "BRL", "ca": "CAD", "cl": "CLP", "cn": "CNY", "co": "COP", "de": "EUR", "es": "EUR", "fr": "EUR", "in": "INR", "it": "EUR", "jp": "JPY",
+    "kr": "KRW", "mx": "MXN", "nl": "EUR", "nz": "NZD", "pe": "PEN", "pl": "PLN", "ru": "RUB", "tr": "TRY", "uk": "GBP", "us": "USD", "za": "ZAR",
+}
+
+
+def site_currency(code: Column) -> Column:
+    """The currency of a site code's country, which follows its last underscore; null for other codes and countries."""
+    known = F.create_map(*[F.lit(x) for pair in COUNTRY_CURRENCY.items() for x in pair])
+    return F.try_element_at(known, F.lower(F.nullif(F.regexp_extract(code, r"_([A-Za-z]{2})$", 1), F.lit(""))))
+
+
+def peso_price(text: Column) -> Column:
+    """The first amount written as dollars with grouped thousands and two decimals, ``$12,999.00``; null without one."""
+    found = F.nullif(F.regexp_extract(text, r"\$ ?([0-9]{1,3}(?:,[0-9]{3})*\.[0-9]{2})(?![0-9])", 1), F.lit(""))
+    return F.replace(found, F.lit(",")).try_cast("decimal(18,2)")
+
+
 #: How a currency writes thousands and decimals.
 DOT_THOUSANDS = ["CLP", "COP", "ARS"]
 COMMA_DECIMAL = ["EUR", "BRL", "TRY"]

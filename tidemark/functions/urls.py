@@ -91,3 +91,18 @@ def fill(template: str, **columns: Column) -> Column:
     for name, column in columns.items():
         out = F.replace(out, F.lit("{" + name + "}"), F.coalesce(column, F.lit("")))
     return out
+
+
+#: Fixed forms of a shop's own numbers in addresses: category and number before .html, ten characters behind dp, a marked number at the end.
+SKUS = (r"/f-[^/?#-]+-([A-Za-z0-9]+)\.html", r"/(?:dp|gp/product)/([A-Z0-9]{10})(?:[/?#]|$)", r"-p-(HBV[A-Z0-9]+)(?:[/?#]|$)")
+#: Fixed form of a review's number in addresses.
+REVIEW = r"[?&]ReviewCD=(\d+)"
+
+
+def sku(url: Column) -> Column:
+    """The shop's number of a product by the first form that its address has; null without one."""
+    return F.coalesce(*[first_group(url, p) for p in SKUS])
+
+
+def review_number(url: Column) -> Column:
+    return first_group(url, REVIEW)

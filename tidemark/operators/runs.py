@@ -16,18 +16,27 @@ THRESHOLDS = {"search": 3, "product": 5, "no_price": 10, "review": 3, "series":
 PER_RANGE = 1_000_000
 
 
-def _ranged(df: DataFrame, of: DataFrame, order: list[str], per_range: int) -> DataFrame:
-    """Adds _range: which of the ranges of the order's first column, cut by its quantiles in ``of``, a row falls into.
+def _cuts(of: DataFrame, by: str, per_range: int) -> list[float]:
+    """Where the ranges of an order's first column begin, by its quantiles in ``of``; ranges grow in number with the rows.
 
-    Ranges grow in number with the rows. A first column that is neither a number nor a time gives a single range.
+    No cuts, which is a single range, for few rows or a column that is neither a number nor a time.
     """
-    kind = of.schema[order[0]].dataType
-    value = F.col(order[0]).cast("double") if isinstance(kind, NumericType) else F.unix_micros(F.col(order[0]).cast("timestamp")).cast("double")
-    ranges = -(-of.count() // per_range) if isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)) else 1
-    if ranges < 2:
+    if not isinstance(of.schema[by].dataType, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        return []
+    ranges = -(-of.count() // per_range)
+    return sorted(set(of.select(_place(of, by).alias("v")).approxQuantile("v", [i / ranges for i in range(1, ranges)], 0.1 / ranges))) if ranges > 1 else []
+
+
+def _place(df: DataFrame, by: str) -> Column:
+    number = isinstance(df.schema[by].dataType, NumericType)
+    return F.col(by).cast("double") if number else F.unix_micros(F.col(by).cast("timestamp")).cast("double")
+
+
+def _ranged(df: DataFrame, by: str, cuts: list[float]) -> DataFrame:
+    """Adds _range: which of the ranges a row falls into, nulls into the first."""
+    if not cuts:
         return df.withColumn("_range", F.lit(0))
-    cuts = of.select(value.alias("v")).approxQuantile("v", [i / ranges for i in range(1, ranges)], 0.1 / ranges)
-    bounds = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]).cast("array<double>")
+    bounds, value = F.array(*[F.lit(float(c)) for c in cuts]).cast("array<double>"), _place(df, by)
     return df.withColumn("_range", F.coalesce(F.size(F.filter(bounds, lambda c: c < value)), F.lit(0)))
 
 
@@ -39,10 +48,13 @@ def _runs(df: DataFrame, of: DataFrame, scope: list[str], order: list[str], bad:
     """
     whole = Window.unboundedPreceding
     within = Window.partitionBy(*scope, "_range").orderBy(order).rowsBetween(whole, 0)
-    marked = _ranged(df, of, order, per_range).withColumn("_bad", F.coalesce(bad, F.lit(False)).cast("int"))
+    cuts = _cuts(of, order[0], per_range)
+    marked = _ranged(df, order[0], cuts).withColumn("_bad", F.coalesce(bad, F.lit(False)).cast("int"))
     marked = marked.withColumn("_island", F.sum(1 - F.col("_bad")).over(within))
     own = Window.partitionBy(*scope, "_range", "_island").orderBy(order).rowsBetween(whole, 0)
     marked = marked.withColumn("run", F.sum("_bad").over(own))
+    if not cuts:
+        return marked.select(*df.columns, "run")
     # The last run of a range is that of its last island; _good tells whether a range breaks the run that comes in.
     parts = marked.groupBy(*scope, "_range", "_island").agg(F.sum("_bad").alias("_n"))
     parts = parts.groupBy(*scope, "_range").agg(F.max_by("_n", "_island").alias("_tail"), F.max((F.col("_island") > 0).cast("int")).alias("_good"))
@@ -119,20 +131,54 @@ def stop_after(pages: DataFrame, scope: list[str], page: str, key: list[str], qu
     return both.select(*scope, page, "new_keys", (F.col("_end").isNull() | (F.col(page) <= F.col("_end"))).alias("read"))
 
 
-def gaps(events: DataFrame, key: str, time: str, seconds: int) -> DataFrame:
-    """Rows that come more than ``seconds`` after the one before, with the gap."""
-    w = Window.partitionBy(key).orderBy(time)
-    since = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.lag(time).over(w).cast("timestamp"))
-    return events.withColumn("gap_us", since).filter(F.col("gap_us") > seconds * 1_000_000)
+def _micros(time: str | Column) -> Column:
+    return F.unix_micros((F.col(time) if isinstance(time, str) else time).cast("timestamp"))
 
 
-def sessions(events: DataFrame, key: str, time: str, order: list[str], seconds: int) -> DataFrame:
-    """Per key and session: first and last time, and rows; a session ends when nothing comes for ``seconds``."""
-    w = Window.partitionBy(key).orderBy(time, *order)
-    since = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.lag(time).over(w).cast("timestamp"))
-    opens = F.when(since.isNull() | (since > seconds * 1_000_000), 1).otherwise(0)
-    numbered = events.withColumn("_open", opens).withColumn("session", F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(key, "session").agg(F.min(time).alias("started"), F.max(time).alias("ended"), F.count(F.lit(1)).alias("rows"))
+def gaps(events: DataFrame, key: str, time: str, seconds: int, per_range: int = PER_RANGE) -> DataFrame:
+    """Rows that come more than ``seconds`` after the one before, with the gap in gap_us.
+
+    A key's rows are compared within ranges of time; the first row of each range is compared with the key's latest time
+    in the ranges before it, so that no task sorts a key's whole history. Rows without a time have no gap.
+    """
+    cuts = _cuts(events, time, per_range)
+    ranged = _ranged(events, time, cuts)
+    w = Window.partitionBy(key, "_range").orderBy(time)
+    since = ranged.withColumn("gap_us", _micros(time) - _micros(F.lag(time).over(w)))
+    if not cuts:
+        return since.filter(F.col("gap_us") > seconds * 1_000_000).drop("_range")
+    ends = ranged.groupBy(key, "_range").agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
+    before = F.max("_last").over(Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select(F.col(key).alias("_key"), F.col("_range").alias("_r"), "_first", (_micros("_first") - _micros(before)).alias("_gap")).filter(F.col("_gap") > seconds * 1_000_000)
+    # The row that opens a range has its earliest time and none before it there; of equal times the others have a gap of 0.
+    own = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_r")) & (F.col(time) == F.col("_first")) & F.col("gap_us").isNull()
+    late = since.join(ends, own, "left").withColumn("gap_us", F.coalesce("gap_us", "_gap"))
+    return late.filter(F.col("gap_us") > seconds * 1_000_000).select(*events.columns, "gap_us")
+
+
+def sessions(events: DataFrame, key: str, time: str, order: list[str], seconds: int, per_range: int = PER_RANGE) -> DataFrame:
+    """Per key and session: first and last time, and rows; a session ends when nothing comes for ``seconds``.
+
+    Sessions are counted within ranges of time, and a session that goes on in the next range is put together from its
+    pieces, so that no task sorts a key's whole history. Each row without a time is a session of its own.
+    """
+    cuts = _cuts(events, time, per_range)
+    w = Window.partitionBy(key, "_range").orderBy(time, *order)
+    since = _micros(time) - _micros(F.lag(time).over(w))
+    opens = F.when((F.row_number().over(w) > 1) & (since.isNull() | (since > seconds * 1_000_000)), 1).otherwise(0)
+    local = _ranged(events, time, cuts).withColumn("_open", opens).withColumn("_local", F.sum("_open").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    sums = F.min(time).alias("started"), F.max(time).alias("ended"), F.count(F.lit(1)).alias("rows")
+    if not cuts:
+        return local.groupBy(key, (F.col("_local") + 1).alias("session")).agg(*sums)
+    pieces = local.groupBy(key, "_range", "_local").agg(*sums)
+    parts = pieces.groupBy(F.col(key).alias("_key"), F.col("_range").alias("_r")).agg(F.min_by("started", "_local").alias("_first"), F.max("ended").alias("_last"), F.max("_local").alias("_opens"))
+    ranges = Window.partitionBy("_key").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    gap = _micros("_first") - _micros(F.max("_last").over(ranges))
+    parts = parts.withColumn("_new", F.when(gap <= seconds * 1_000_000, 0).otherwise(1))
+    parts = parts.withColumn("_base", F.coalesce(F.sum(F.col("_opens") + F.col("_new")).over(ranges), F.lit(0)) + F.col("_new"))
+    both = pieces.join(parts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_r")))
+    session = (F.col("_local") + F.col("_base")).alias("session")
+    return both.groupBy(key, session).agg(F.min("started").alias("started"), F.max("ended").alias("ended"), F.sum("rows").alias("rows"))
 
 
 def continuity(df: DataFrame, key: str, number: str) -> DataFrame:

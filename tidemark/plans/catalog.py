@@ -21,7 +21,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from tidemark.plans import board, cases, fields, loading, made, more, pages, prices, reasons, states, stored, streams  # noqa: F401
+    from tidemark.plans import board, cases, fields, loading, made, more, pages, prices, reasons, states, stored, streams, work  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

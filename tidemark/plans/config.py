@@ -41,14 +41,22 @@ def _enum_problem(kind: type[Enum], value: str, where: str) -> list[str]:
     return [] if value in allowed else [f"{where}: {value!r} is not one of {', '.join(allowed)}"]
 
 
+def brand(text: Column) -> Column:
+    """A brand's name as shops show it: without tags, a label before a colon or a leading by; null if nothing is left."""
+    return urls.blank_to_null(F.regexp_replace(money.plain_text(text), r"(?i)^(?:[^:]{1,20}: ?|by )", ""))
+
+
 #: Transforms that a field may name.
 TRANSFORMS = {
     "clean_text": lambda c, currency: money.plain_text(c),
     "money": lambda c, currency: money.money(c, F.lit(currency)),
     "size_inch": lambda c, currency: urls.size_inch(c),
-    "rating": lambda c, currency: F.nullif(F.regexp_extract(c, r"(\d+(?:[.,]\d+)?)", 1), F.lit("")).try_cast("double"),
+    "rating": lambda c, currency: F.replace(F.nullif(F.regexp_extract(c, r"(\d+(?:[.,]\d+)?)", 1), F.lit("")), F.lit(","), F.lit(".")).try_cast("double"),
     "bool_present": lambda c, currency: F.coalesce(c != "", F.lit(False)),
     "upper_alnum": lambda c, currency: urls.upper_alnum(c),
+    "liverpool_money": lambda c, currency: money.peso_price(c),
+    "currency_mx": lambda c, currency: F.when(urls.blank_to_null(c).isNotNull(), F.lit("MXN")),
+    "brand": lambda c, currency: brand(c),
 }
 
 

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import urls
 from tidemark.operators import extraction, matching
-from tidemark.operators.ranking import number_rows
+from tidemark.operators.ranking import number_all
 from tidemark.plans.catalog import query
 from tidemark.plans.prices import SHARE, share
 from tidemark.sources.tables import load
+from tidemark.streaming.run import work_dir
 
 HOST = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1))"
 PATH = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
@@ -45,7 +46,10 @@ def purity_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     distinct = load(spark, sf_dir, "pages").select(urls.host(F.col("url")).alias("host"), "url").distinct()
     good = F.count_if(urls.last_segment(F.col("url")).rlike("[0-9]{2}"))
     ranked = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("hits"), share(good, F.count(F.lit(1))).alias("purity"))
-    return number_rows(ranked, -F.col("purity"), [F.desc("purity"), F.desc("hits"), "host"], "rank")
+    where = work_dir(spark)  # a row for each host, which is read three times
+    ranked.write.parquet(where)
+    ranked = spark.read.parquet(where)
+    return number_all(ranked, [-F.col("purity"), -F.col("hits"), F.col("host")], [F.desc("purity"), F.desc("hits"), "host"], "rank")
 
 
 @query(f"""

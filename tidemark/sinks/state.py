@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sinks.tables import target
+
 #: States in which a piece of work is not taken up again.
 DONE = ("ok", "no_item")
 
@@ -23,6 +25,7 @@ def write_state(state: DataFrame, path: str) -> int:
     A version counts once it is whole, so a run that dies while it writes leaves the one before in force. What such a
     run left is replaced. One writer at a time.
     """
+    path = target(state.sparkSession, path)
     number = max(_versions(state.sparkSession, path), default=0) + 1
     state.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/version-{number:08d}")
     return number
@@ -30,6 +33,7 @@ def write_state(state: DataFrame, path: str) -> int:
 
 def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The newest whole version; no rows if there is none."""
+    path = target(spark, path)
     numbers = _versions(spark, path)
     return spark.read.schema(schema).json(f"{path}/version-{numbers[-1]:08d}") if numbers else spark.createDataFrame([], schema)
 

@@ -45,9 +45,9 @@ def replace_partitions(df: DataFrame, path: str, by: str) -> None:
 
 def backup_then_delete(table: DataFrame, doomed: Column, backup_path: str, kept_path: str) -> None:
     """Writes the rows to go to one place and all others, nulls of the condition too, to another."""
-    going = F.coalesce(doomed, F.lit(False))
-    table.filter(going).write.mode("errorifexists").parquet(backup_path)
-    table.filter(~going).write.mode("errorifexists").parquet(kept_path)
+    going, spark = F.coalesce(doomed, F.lit(False)), table.sparkSession
+    table.filter(going).write.mode("errorifexists").parquet(target(spark, backup_path))
+    table.filter(~going).write.mode("errorifexists").parquet(target(spark, kept_path))
 
 
 def update_where_missing(df: DataFrame, column: str, derived: Column) -> DataFrame:
@@ -57,7 +57,7 @@ def update_where_missing(df: DataFrame, column: str, derived: Column) -> DataFra
 
 def export_csv(df: DataFrame, folder: str, country: str, day: str, kind: str = "prices") -> str:
     """One export of a country and day as CSV with a header; returns its path."""
-    path = f"{folder}/{kind}_{country}_{day}"
+    path = target(df.sparkSession, f"{folder}/{kind}_{country}_{day}")
     df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
     return path
 

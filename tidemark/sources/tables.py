@@ -18,11 +18,14 @@ def by_region(parts: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
 
 
-def csv(spark: SparkSession, path: str, schema: str, encoding: str = "UTF-8") -> DataFrame:
-    """A CSV table with a header; for an encoding beyond Spark's own list, such as GB18030, Java's are allowed."""
+def csv(spark: SparkSession, path: str, schema: str, encoding: str = "UTF-8", escape: str = "\\") -> DataFrame:
+    """A CSV table with a header; for an encoding beyond Spark's own list, such as GB18030, Java's are allowed.
+
+    Within quotes ``escape`` stands before a quote; most writers double the quote, which is an escape of ``"``.
+    """
     if encoding.upper() not in ("UTF-8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"):
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    return spark.read.csv(path, header=True, schema=schema, encoding=encoding, multiLine=False)
+    return spark.read.csv(path, header=True, schema=schema, encoding=encoding, escape=escape, multiLine=False)
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -8,13 +8,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sinks.tables import target
+
 
 def work_dir(spark: SparkSession, name: str | None = None) -> str:
     """A folder in spark.checkpoint.dir, a new one if it has no name; in local mode without that setting, a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root and spark.sparkContext.master.startswith("local-cluster") or not root and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{root or os.path.join(tempfile.gettempdir(), 'tidemark-checkpoints')}/stream-{name or uuid.uuid4().hex}"
+    return target(spark, f"{root or os.path.join(tempfile.gettempdir(), 'tidemark-checkpoints')}/stream-{name or uuid.uuid4().hex}")
 
 
 def available_now(stream: DataFrame, mode: str = "append", name: str | None = None) -> DataFrame:
