@@ -540,3 +540,27 @@ def test_url_regression_is_the_optimum_and_holds_on_other_hosts(spark):
     want = chance(rows(urls)) >= url_filter.LEAST
     assert [got[i]["verdict"] for i in range(len(urls))] == ["block" if v else "allow" for v in want]
     assert (want == (np.array([label for _, label in held]) == 1)).mean() > 0.9
+
+
+def test_url_verdicts_on_hosts_that_the_table_lacks(spark):
+    """New compounds of listed words, and names without words made in another way than the table's."""
+    rng = random.Random(23)
+    parts = "th he an ing ou er on ar ie chu str ble qua mor ven ski lo pra tion zu wh nd".split()
+    plain = ["".join(rng.choice(parts) for _ in range(rng.randint(2, 4))) for _ in range(600)] + ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(rng.randint(5, 12))) for _ in range(400)]
+    compounds = lambda words: [h for i, w in enumerate(words) for h in (f"my{w}", f"{w}24", f"{w}-{words[(i + 9) % len(words)]}", f"new-{w}")]
+    known = {u.split("://")[1].split("/")[0] for u, _ in url_filter.labelled()}
+    sets = {"plain": plain, "bad": compounds(url_filter.BLOCKED), "good": compounds(url_filter.ALLOWED)}
+    rows = [(i, f"https://{h}.example/page/{i}", k) for k, hosts in sets.items() for i, h in enumerate(hosts)]
+    assert not {f"{h}.example" for h in plain + sets["bad"] + sets["good"]} & known
+    pages = spark.createDataFrame([(n, u) for n, (_, u, _) in enumerate(rows)], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] == "block" for r in url_filter.judge(pages).collect()}
+    share = {k: sum(got[n] for n, r in enumerate(rows) if r[2] == k) / len(hosts) for k, hosts in sets.items()}
+    assert share["plain"] <= 0.01 and share["good"] <= 0.01 and share["bad"] >= 0.9, share
+
+
+def test_mixing_does_not_depend_on_the_partitioning(spark):
+    """Texts of one id and size: which of them is mixed, and how, is the same however the rows lie."""
+    rows = [(7, "s", f"w{i} " * 300) for i in range(12)] + [(i, "t", "x " * 500) for i in range(20, 24)] + [(None, None, "y z " * 200)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = [sorted(map(tuple, mixing.mixed(d).collect()), key=str) for d in (docs.repartition(1), docs.repartition(3).orderBy("text"), docs.orderBy(F.desc("text")).repartition(7))]
+    assert got[0] == got[1] == got[2] and got[0]

@@ -1,7 +1,8 @@
 """URL verdicts: listed rules first, else a logistic regression (DataFrame functions and Spark's own estimators only).
 
 The regression sees the hashed character n-grams of host and path and is fitted on a small labelled URL table, made by
-rule from lists of words; it blocks from a probability of LEAST. Its coefficients have a fixed number of buckets, so the model's size does not depend on the data. Pages are scored where
+rule from lists of words and of names that hold no word, which are allowed; it blocks from a probability of LEAST. There
+are many more buckets than n-grams in the table, so an n-gram that it does not have hardly ever weighs anything. Its coefficients have a fixed number of buckets, so the model's size does not depend on the data. Pages are scored where
 they lie: the plan has no shuffle.
 
 Defined results: a url that is null or has no ``://`` has empty host and path, no n-gram and no rule, and is allowed;
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import ascii_lower
 
-BUCKETS, REG = 4096, 0.01
+BUCKETS, REG = 1 << 15, 0.01
 GRAMS = (3, 4, 5)
 #: (verdict, host, path): fixed values of the query's contract.
 RULES = (
@@ -44,13 +45,36 @@ knitting chess football tennis swimming hiking sailing camping photography softw
 ENDS = ("online", "world", "center", "house", "daily", "group", "point", "land")
 PREFIXES = ("", "www.", "m.", "blog.")
 PATHS = ("/en/{}", "/de/{}.html", "/fr/{}/", "/es/{}", "/page/{}", "/a/b/{}")
-#: Least probability at which the regression blocks.
-LEAST = 0.5
+#: Least probability at which the regression blocks: about the share of blocked urls in the table.
+LEAST = 0.2
+
+
+#: Letters of names without words, and how many such names the table has.
+CONSONANTS, VOWELS, PLAIN = "bcdfghjklmnprstvwz", "aeiou", 400
+
+
+def plain_names(n: int) -> list[str]:
+    """Names without words, from a fixed sequence of numbers: pronounceable ones and, every fourth, letters and digits by chance."""
+    state, out = 1, []
+
+    def draw(letters: str) -> str:
+        nonlocal state
+        state = (state * 1103515245 + 12345) % (1 << 31)
+        return letters[(state >> 8) % len(letters)]
+
+    for i in range(n):
+        if i % 4 == 3:
+            out.append("".join(draw(CONSONANTS + VOWELS + "0123456789") for _ in range(6 + i % 7)))
+        else:
+            out.append("".join(draw(CONSONANTS) + draw(VOWELS) + (draw("nrstl") if i % 3 == 0 else "") for _ in range(2 + i % 3)))
+    return out
 
 
 def labelled() -> list[tuple[str, float]]:
-    """The small labelled URL table: each word alone, before an end and with the next word, under names reserved for tests."""
+    """The small labelled URL table: each word alone, before an end and with the next word, and names without words, under names reserved for tests."""
     out = []
+    for n, name in enumerate(plain_names(PLAIN)):
+        out.append((f"https://{PREFIXES[n % len(PREFIXES)]}{name}.{('test', 'example', 'invalid')[n % 3]}{PATHS[n % len(PATHS)].format(n)}", 0.0))
     for label, words in ((1.0, BLOCKED), (0.0, ALLOWED)):
         for i, word in enumerate(words):
             hosts = (word, f"{word}-{ENDS[i % len(ENDS)]}", f"{ENDS[i // 2 % len(ENDS)]}-{word}", f"{word}-{words[(i + 1) % len(words)]}", word + ENDS[i // 3 % len(ENDS)])
