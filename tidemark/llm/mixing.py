@@ -34,16 +34,17 @@ def n_words(text: Column) -> Column:
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Ids that stand for several rows (doc_id), and those rows of docs, numbered by ``dup`` within their id.
 
-    The order is by source and size. Rows are numbered over ranges of (id, source, size, a random number), so that an
-    id with any share of all rows is dealt over many tasks, and an id's numbers start after the rows before it.
+    The order is by source, size and a hash of the text, so it does not depend on the partitioning; a random number
+    follows, which only deals rows of one text. Rows are numbered over ranges of that order, so that an id, or a text,
+    with any share of all rows is dealt over many tasks, and an id's numbers start after the rows before it.
     """
     ids = docs.select(F.col("doc_id").cast("long").alias("__td_id"))
     several = stash(ids.groupBy("__td_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("__td_id"))
     if several.isEmpty():
         return several, docs.limit(0).withColumns({"__td_id": F.lit(None).cast("long"), "__td_size": F.lit(0).cast("long"), "dup": F.lit(0)})
     rows = docs.withColumn("__td_own", F.col("doc_id").cast("long")).join(several, F.col("__td_own").eqNullSafe(F.col("__td_id")), "left_semi")
-    rows = rows.withColumnRenamed("__td_own", "__td_id").withColumns({"__td_size": n_words(F.col("text")), "__td_any": F.rand(1)})
-    order = ["__td_id", "source", "__td_size", "__td_any"]
+    rows = rows.withColumnRenamed("__td_own", "__td_id").withColumns({"__td_size": n_words(F.col("text")), "__td_hash": F.xxhash64("text"), "__td_any": F.rand(1)})
+    order = ["__td_id", "source", "__td_size", "__td_hash", "__td_any"]
     ranged = rows.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
     ranged = stash(ranged.withColumn("__td_at", F.monotonically_increasing_id()))
     part = F.shiftright("__td_at", 33)
