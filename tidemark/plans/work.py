@@ -208,10 +208,10 @@ def spec_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     series = load(spark, sf_dir, "part").groupBy("p_brand", "p_type").agg(*sums)
     note = F.when(F.col("k") % 2 == 0, ',\n  "note": "x"').otherwise("")
     doc = text('{\n  "brand": "', F.col("p_brand"), '",\n  "series": {"name": "', F.col("p_type"), '",\n    "models": ', F.col("models"), ',\n    "largest": ', F.col("largest"), "}", note, "\n}")
-    # A list of documents a task: one file holds one list.
-    series.repartition(8, "p_brand", "p_type").select(doc.alias("doc")).groupBy(F.spark_partition_id().alias("file")).agg(
-        F.concat(F.lit("[\n"), F.array_join(F.collect_list("doc"), ",\n"), F.lit("\n]")).alias("value")
-    ).select("value", "file").write.partitionBy("file").text(where)
+    # A file for each 1000 series or so holds a list of documents, so no task holds more, however many series there are.
+    files = F.pmod(F.xxhash64("p_brand", "p_type"), F.lit(-(-series.count() // 1000) or 1)).alias("file")
+    lists = series.select(doc.alias("doc"), files).groupBy("file").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("doc"), ",\n"), F.lit("\n]")).alias("value"))
+    lists.write.partitionBy("file").text(where)
     read = tables.json_document(spark, where, "brand string, series struct<name: string, models: long, largest: long>, note string")
     return read.select("brand", F.col("series.name").alias("series"), "series.models", "series.largest", "note")
 
