@@ -135,15 +135,15 @@ def _micros(time: str | Column) -> Column:
     return F.unix_micros((F.col(time) if isinstance(time, str) else time).cast("timestamp"))
 
 
-def gaps(events: DataFrame, key: str, time: str, seconds: int, per_range: int = PER_RANGE) -> DataFrame:
-    """Rows that come more than ``seconds`` after the one before, with the gap in gap_us.
+def gaps(events: DataFrame, key: str, time: str, seconds: int, per_range: int = PER_RANGE, order: tuple[str, ...] = ()) -> DataFrame:
+    """Rows that come more than ``seconds`` after the one before, with the gap in gap_us; of equal times the first by ``order`` has it.
 
     A key's rows are compared within ranges of time; the first row of each range is compared with the key's latest time
     in the ranges before it, so that no task sorts a key's whole history. Rows without a time have no gap.
     """
     cuts = _cuts(events, time, per_range)
     ranged = _ranged(events, time, cuts)
-    w = Window.partitionBy(key, "_range").orderBy(time)
+    w = Window.partitionBy(key, "_range").orderBy(time, *order)
     since = ranged.withColumn("gap_us", _micros(time) - _micros(F.lag(time).over(w)))
     if not cuts:
         return since.filter(F.col("gap_us") > seconds * 1_000_000).drop("_range")

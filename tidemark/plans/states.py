@@ -82,8 +82,8 @@ SELECT user_id, event_id, CAST(g AS BIGINT) AS gap_us FROM (
   SELECT user_id, event_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS g FROM events) WHERE g > 3600000000
 """)
 def freshness_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events that come more than an hour after the user's one before."""
-    return runs.gaps(load(spark, sf_dir, "events"), "user_id", "ts", 3600).select("user_id", "event_id", "gap_us")
+    """Events that come more than an hour after the user's one before; of events at one time the lowest id."""
+    return runs.gaps(load(spark, sf_dir, "events"), "user_id", "ts", 3600, order=("event_id",)).select("user_id", "event_id", "gap_us")
 
 
 @query("""
