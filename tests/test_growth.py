@@ -2,8 +2,11 @@
 
 import datetime as dt
 
+import pytest
+
 import __spark_entry__ as entry
 from tidemark.operators import runs
+from tidemark.sources import tables
 
 
 def test_of_events_at_one_time_the_lowest_id_has_the_gap(spark, tmp_path):
@@ -16,3 +19,27 @@ def test_of_events_at_one_time_the_lowest_id_has_the_gap(spark, tmp_path):
     for per_range in (5, 20):
         got = runs.gaps(events, "user_id", "ts", 3600, per_range, ("event_id",)).collect()
         assert sorted((r["event_id"], r["gap_us"]) for r in got) == want, per_range
+
+
+def shown(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def products(spark, path, rows):
+    part = spark.range(1, rows + 1).selectExpr("id AS p_partkey", "concat('name ', id) AS p_name", "concat('brand', id % 9) AS p_brand", "concat('type', id % 5) AS p_type", "CAST(id % 50 + 1 AS INT) AS p_size", "id / 4.0D AS p_retailprice")
+    part.coalesce(1).write.parquet(f"{path}/part.parquet")
+    return str(path)
+
+
+def test_rows_are_dealt_by_their_number(spark, tmp_path):
+    assert tables.spread(spark.range(100), "id", 100).rdd.getNumPartitions() == spark.range(100).rdd.getNumPartitions()
+    many = tables.spread(spark.range(1000).coalesce(1), "id", 10)
+    assert many.rdd.getNumPartitions() == 100
+    assert sorted(r["id"] for r in many.collect()) == list(range(1000))
+
+
+@pytest.mark.parametrize("query, rows", [("spec_triples", 80_004)])
+def test_pages_made_of_one_small_file_are_read_by_several_tasks(spark, tmp_path, query, rows):
+    df = entry.queries()[query](spark, products(spark, tmp_path, 20_001))
+    assert df.rdd.getNumPartitions() == 3
+    assert df.count() == rows

@@ -9,7 +9,7 @@ from tidemark.functions.money import difference_verdict
 from tidemark.operators import extraction, matching
 from tidemark.plans.catalog import query
 from tidemark.plans.prices import CENTS, prices
-from tidemark.sources.tables import load
+from tidemark.sources.tables import load, spread
 
 KEYS = ", ".join(f"('{k}')" for k in extraction.JSON_KEYS)
 PAGE = """'<script>{"name":"' || p_name || '","techSpecs" :[' || p_size || '],' || CASE WHEN p_size % 2 = 0 THEN '"specification":{"specGroups":[]}' ELSE '\\"classifications\\":1,"specifications":2' END || '}</script><p>techSpecs</p>'"""
@@ -24,7 +24,7 @@ def json_key_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size").cast("string")
     body = F.when(F.col("p_size") % 2 == 0, '"specification":{"specGroups":[]}').otherwise('\\"classifications\\":1,"specifications":2')
     html = F.concat(F.lit('<script>{"name":"'), "p_name", F.lit('","techSpecs" :['), size, F.lit("],"), body, F.lit("}</script><p>techSpecs</p>"))
-    pages = load(spark, sf_dir, "part").select("p_partkey", html.alias("html"))
+    pages = spread(load(spark, sf_dir, "part"), "p_partkey").select("p_partkey", html.alias("html"))
     return extraction.key_counts(pages, "p_partkey", "html").groupBy("key").agg(F.sum("hits").alias("hits"), F.count(F.lit(1)).alias("pages"))
 
 
@@ -39,7 +39,7 @@ def no_match_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = lambda c: c.cast("string")
     target = F.concat(text(F.col("p_size") + 40), F.lit("U"), text(F.col("p_partkey") % 7), F.lit("SG"))
     title = F.concat(F.lit("Screen "), text(F.col("p_size") * 7 % 50 + 40), F.lit(" inch Class U"), text(F.col("p_partkey") % 5), F.lit("SG Series"))
-    pairs = load(spark, sf_dir, "part").select(target.alias("target"), title.alias("title"))
+    pairs = spread(load(spark, sf_dir, "part"), "p_partkey").select(target.alias("target"), title.alias("title"))
     rules = matching.MatchRules()
     said = matching.matches(F.col("target"), F.col("title"), F.lit(None).cast("string"), F.array().cast("array<string>"), rules)
     return matching.refusals(pairs.withColumn("match", said), "target", "title", "match", rules)

@@ -11,7 +11,7 @@ from tidemark.operators.ranking import number_rows
 from tidemark.plans.catalog import query
 from tidemark.sources import pages as cache
 from tidemark.sources import sitemaps, tables
-from tidemark.sources.tables import load
+from tidemark.sources.tables import load, spread
 from tidemark.streaming.run import work_dir
 
 #: Shards of the made sitemap: how many, the one that is done, the one cut short and the one that is not stored.
@@ -83,7 +83,7 @@ def spec_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<h2>General &amp; more</h2><script>var t='<td>no</td>'</script><table><tr><th>Name<td>"), "p_name", F.lit("<tr><td>Brand</td><td><b>"), "p_brand",
         F.lit('</b></td></tr></table><h3>Size</h3><dl><dt>Inches<dd title="a > b">'), F.col("p_size").cast("string"), F.lit("<dt>Kind</dt><dd>"), "p_type", F.lit("</dd></dl><p>end"),
     )
-    return html.page_triples(load(spark, sf_dir, "part").select("p_partkey", page.alias("page")), "p_partkey", "page")
+    return html.page_triples(spread(load(spark, sf_dir, "part"), "p_partkey").select("p_partkey", page.alias("page")), "p_partkey", "page")
 
 
 def cents() -> Column:
@@ -136,7 +136,7 @@ def inline_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .otherwise(F.lit("<p>nothing</p>"))
     )
-    pages = load(spark, sf_dir, "part").withColumn("k", F.pmod("p_partkey", F.lit(6))).select(F.col("p_partkey").alias("page_id"), page.alias("html"))
+    pages = spread(load(spark, sf_dir, "part"), "p_partkey").withColumn("k", F.pmod("p_partkey", F.lit(6))).select(F.col("p_partkey").alias("page_id"), page.alias("html"))
     found = payloads.things(payloads.payloads(pages, "html", ["page_id"]))
     price = payloads.text_at(F.col("thing"), "$.offers.price").try_cast("decimal(18,2)")
     return found.select("page_id", "kind", F.col("at").alias("place"), "n", payloads.text_at(F.col("thing"), "$.name").alias("name"), price.alias("price"))
@@ -157,7 +157,7 @@ def jsonld_price(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k == 3, F.concat(F.lit('{"@type":"Product","url":"https://x.example/search?q='), "p_name", F.lit('","offers":{"price":"'), cents(), F.lit('"}}')))
         .otherwise(F.lit("{broken"))
     )
-    docs = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), F.explode(extraction.json_ld(ld(body))).alias("doc"))
+    docs = spread(load(spark, sf_dir, "part"), "p_partkey").select(F.col("p_partkey").alias("page_id"), F.explode(extraction.json_ld(ld(body))).alias("doc"))
     good = F.when(F.try_parse_json("doc").isNotNull(), F.col("doc"))
     return docs.select("page_id", good.isNotNull().alias("valid"), extraction.ld_price(good).alias("price"), extraction.ld_price(good, F.lit("65")).alias("of_65"))
 

@@ -12,6 +12,19 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that a task gets of a table whose rows are short, but costly to work on.
+PER_TASK = 10_000
+
+
+def spread(df: DataFrame, by: str, per_task: int = PER_TASK) -> DataFrame:
+    """df dealt by ``by``, which should be nearly unique, over tasks in proportion to its rows.
+
+    Readers cut files by their bytes, so a small file goes to one or two tasks, whatever is then made of each row.
+    """
+    tasks = -(-df.count() // per_task)
+    return df.repartition(tasks, by) if tasks > 1 else df
+
+
 def by_region(parts: dict[str, DataFrame]) -> DataFrame:
     """One table out of regional ones; the region becomes a column."""
     marked = [df.withColumn("region", F.lit(region)) for region, df in parts.items()]
