@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tidemark.operators import runs
+from tidemark.plans import made
 from tidemark.sources import tables
 
 
@@ -43,3 +44,19 @@ def test_pages_made_of_one_small_file_are_read_by_several_tasks(spark, tmp_path,
     df = entry.queries()[query](spark, products(spark, tmp_path, 20_001))
     assert df.rdd.getNumPartitions() == 3
     assert df.count() == rows
+
+
+def test_responses_are_made_once_and_read_without_patterns(spark, tmp_path):
+    df = entry.queries()["block_cases"](spark, products(spark, tmp_path, 10_008))
+    plan = shown(df)
+    assert "RepartitionByExpression" in plan
+    assert "RLIKE" not in plan and plan.count("rpad(") == 1
+    assert {r["kind"]: r["responses"] for r in df.collect()} == kinds(10_008)
+
+
+def kinds(rows):
+    found = {}
+    for k in range(1, rows + 1):
+        kind = made.RESPONSES[k % len(made.RESPONSES)][5]
+        found[kind] = found.get(kind, 0) + 1
+    return found

@@ -86,14 +86,14 @@ def ld_price(doc: Column, size: Column | None = None) -> Column:
     return F.when(~category_page(doc), price.try_cast("decimal(18,2)"))
 
 
-#: Where a blocked response shows what, as patterns in lower case, and what it then is; the first that fits counts.
+#: Where a blocked response shows what, as texts in lower case, and what it then is; the first that fits counts.
 BLOCK_MARKS = (
     ("title", ("just a moment",), "cloudflare"),
     ("title", ("robot or human",), "challenge"),
     ("title", ("access denied",), "akamai"),
-    ("url", ("/blocked[?]url=", "/account-verification", "/select-country", "are-you-robot"), "challenge"),
+    ("url", ("/blocked?url=", "/account-verification", "/select-country", "are-you-robot"), "challenge"),
     ("body", ("are-you-robot", "verify your identity"), "challenge"),
-    ("body", ("captcha-delivery[.]com",), "datadome"),
+    ("body", ("captcha-delivery.com",), "datadome"),
 )
 #: A mark that counts where there is no title, and one that short pages or absent ones alone mean.
 UNTITLED_MARK, WEAK_MARK = "/tspd/", "captcha"
@@ -103,7 +103,7 @@ def page_class(status: Column, title: Column, final_url: Column, html: Column) -
     """What a stored response is; a status of 200 alone says nothing. Title, then url, then body, then its length."""
     low, head, length = F.lower(html), F.lower(F.coalesce(title, F.lit(""))), F.length(html)
     url = F.lower(F.coalesce(final_url, F.lit("")))
-    has = lambda text, *marks: F.coalesce(text.rlike("|".join(marks)), F.lit(False))
+    has = lambda text, *marks: F.coalesce(reduce(Column.__or__, [F.contains(text, F.lit(m)) for m in marks]), F.lit(False))
     seen = {"title": head, "url": url, "body": low}
     out = F.when(F.lit(False), F.lit(None).cast("string"))
     for where, marks, kind in BLOCK_MARKS:

@@ -9,7 +9,7 @@ from tidemark.functions import dates, money, nested, regions, urls
 from tidemark.operators import extraction, matching, quality, reviews
 from tidemark.plans.catalog import query
 from tidemark.plans.stored import joined
-from tidemark.sources.tables import load
+from tidemark.sources.tables import load, spread
 
 def text(*parts: Column | str) -> Column:
     """Columns and plain texts put together."""
@@ -23,7 +23,7 @@ def choice(by: Column, *values: Column) -> Column:
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The products, with k, their number, and s, a size of two digits or three."""
-    return load(spark, sf_dir, "part").select("*", F.col("p_partkey").alias("k"), (F.col("p_size") * 3).alias("s"), (F.col("p_size") + 20).alias("s2"))
+    return spread(load(spark, sf_dir, "part"), "p_partkey").select("*", F.col("p_partkey").alias("k"), (F.col("p_size") * 3).alias("s"), (F.col("p_size") + 20).alias("s2"))
 
 
 P = "(SELECT *, p_partkey AS k, p_size * 3 AS s, p_size + 20 AS s2 FROM part)"
@@ -287,7 +287,9 @@ def block_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, name = F.col("k"), F.col("p_name")
     of = lambda n: choice(key % len(RESPONSES), *[F.lit(r[n]) for r in RESPONSES])
     html = F.rpad(text(of(3), " ", name), of(4), " ")
-    return products(spark, sf_dir).groupBy(extraction.page_class(of(0), of(1), of(2), html).alias("kind")).agg(F.count(F.lit(1)).alias("responses"))
+    responses = products(spark, sf_dir).select(of(0).alias("status"), of(1).alias("title"), of(2).alias("url"), html.alias("html"))
+    kind = extraction.page_class(F.col("status"), F.col("title"), F.col("url"), F.col("html"))
+    return responses.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("responses"))
 
 
 @query(f"""
