@@ -60,3 +60,9 @@ def kinds(rows):
         kind = made.RESPONSES[k % len(made.RESPONSES)][5]
         found[kind] = found.get(kind, 0) + 1
     return found
+
+
+def test_a_price_form_is_filled_in_once(spark, tmp_path):
+    plan = shown(entry.queries()["money_texts"](spark, products(spark, tmp_path, 10_008)))
+    assert "RepartitionByExpression" in plan
+    assert plan.count(", {lakh},") <= 1

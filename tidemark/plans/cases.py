@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ SELECT p_partkey, form, CAST(CASE WHEN form IN (5, 9, 15, 16, 17) THEN NULL WHEN
 """)
 def money_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A price text for every product, in eighteen forms, some with two prices, sizes, discounts or instalments, and the amount read."""
-    from tidemark.sources.tables import load
+    from tidemark.sources.tables import load, spread
 
     n = F.col("p_partkey")
     form, v, d = F.pmod(n, F.lit(18)), F.lit(1000) + F.pmod(n * F.lit(137), F.lit(900000)), (F.pmod(n, F.lit(90)) + 10).cast("string")
@@ -46,13 +48,10 @@ def money_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     thousands, lakhs = F.floor(v / 1000), F.floor(v / 100000)
     parts["lakh"] = F.concat(F.when(lakhs > 0, F.concat(lakhs.cast("string"), F.lit(","), part(thousands % 100, 2))).otherwise(thousands.cast("string")), F.lit(","), part(v % 1000, 3))
 
-    def text(pattern: str):
-        for name, value in parts.items():
-            pattern = F.replace(pattern if not isinstance(pattern, str) else F.lit(pattern), F.lit("{" + name + "}"), value)
-        return pattern
-
-    pick = lambda values: F.element_at(F.array(*values), (form + 1).cast("int"))
-    table = load(spark, sf_dir, "part").select("p_partkey", form.alias("form"), pick([text(p) for _, p in PRICE_FORMS]).alias("raw"), pick([F.lit(c) for c, _ in PRICE_FORMS]).alias("currency"))
+    pick = lambda values: F.element_at(F.array(*map(F.lit, values)), (form + 1).cast("int"))
+    # A row's own form is picked before it is filled in, not filled in eighteen times.
+    raw = reduce(lambda pattern, p: F.replace(pattern, F.lit("{" + p[0] + "}"), p[1]), parts.items(), pick([p for _, p in PRICE_FORMS]))
+    table = spread(load(spark, sf_dir, "part"), "p_partkey").select("p_partkey", form.alias("form"), raw.alias("raw"), pick([c for c, _ in PRICE_FORMS]).alias("currency"))
     return table.select("p_partkey", "form", money.money(F.col("raw"), F.col("currency")).alias("amount"))
 
 
@@ -61,7 +60,7 @@ SELECT p_partkey, CAST(CASE WHEN p_partkey % 4 = 3 THEN NULL WHEN p_partkey % 4
 """)
 def money_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole units and decimals as two attributes; the text is asked only where they are missing."""
-    from tidemark.sources.tables import load
+    from tidemark.sources.tables import load, spread
 
     n, units = F.col("p_partkey"), F.format_number(F.col("p_size") * 1000, 0)
     cents = F.lpad(F.pmod(n, F.lit(100)).cast("string"), 2, "0")
@@ -69,4 +68,4 @@ def money_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.when(kind == 3, F.lit("sold out")).when(kind != 2, F.translate(units, ",", "."))
     text = F.when(kind == 2, F.concat(F.lit("$"), units, F.lit("."), cents)).otherwise(F.lit("see shop"))
     read = money.first_amount(money.money_parts(value, F.when(kind != 0, cents)), money.money(text, F.lit("USD")))
-    return load(spark, sf_dir, "part").select("p_partkey", read.alias("amount"))
+    return spread(load(spark, sf_dir, "part"), "p_partkey").select("p_partkey", read.alias("amount"))

@@ -13,7 +13,7 @@ from tidemark.plans.made import choice, text
 from tidemark.sinks import state as states
 from tidemark.sinks import tables as sinks
 from tidemark.sources import tables
-from tidemark.sources.tables import load
+from tidemark.sources.tables import load, spread
 from tidemark.streaming import breaker
 from tidemark.streaming.run import available_now, table_stream, work_dir
 
@@ -149,7 +149,7 @@ def price_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, full = F.col("p_partkey"), F.floor("p_retailprice")
     had = F.when(k % 4 == 0, None).when(k % 4 == 1, 0).otherwise(full).cast("long")
     raw = F.when(k % 8 < 6, F.concat(F.format_number(full.cast("double"), 0), F.lit(" 円～"))).otherwise("在庫なし")
-    made = load(spark, sf_dir, "part").select("p_brand", had.alias("had"), had.alias("price"), raw.alias("raw"))
+    made = spread(load(spark, sf_dir, "part"), "p_partkey").select("p_brand", had.alias("had"), had.alias("price"), raw.alias("raw"))
     fixed = sinks.update_where_missing(made, "price", money.money(F.col("raw"), F.lit("JPY")).cast("long"))
     missing = F.count_if(F.coalesce("had", F.lit(0)) == 0).alias("missing")
     return fixed.groupBy("p_brand").agg(missing, F.count_if(F.col("price").isNull()).alias("left_missing"), F.sum("price").alias("total"))
