@@ -1,11 +1,13 @@
 """Queries on copies of the tables: ties, rows dealt by their number, and plans that do a row's work once."""
 
 import datetime as dt
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tidemark.operators import runs
+from tidemark.operators import ranking, runs
 from tidemark.plans import made
 from tidemark.sources import tables
 
@@ -66,3 +68,14 @@ def test_a_price_form_is_filled_in_once(spark, tmp_path):
     plan = shown(entry.queries()["money_texts"](spark, products(spark, tmp_path, 10_008)))
     assert "RepartitionByExpression" in plan
     assert plan.count(", {lakh},") <= 1
+
+
+def test_a_rank_does_not_compute_its_value_for_every_bound(spark):
+    df = spark.range(1000).select("id", F.md5(F.col("id").cast("string").cast("binary")).alias("h"))
+    by = F.conv(F.substring("h", 1, 12), 16, 10).cast("long")
+    got = ranking.number_rows(df, by, ["h", "id"])
+    assert not re.search(r"lambda[^,]* < [^,]*conv\(", shown(got))
+    assert [r["n"] for r in got.orderBy("h").collect()] == list(range(1, 1001))
+    odd = spark.createDataFrame([(1, None), (2, 5.0), (3, float("nan")), (4, None), (5, -1.0)], "id int, v double")
+    rows = ranking.number_rows(odd, F.col("v"), [F.col("v").asc_nulls_first(), "id"], buckets=3).collect()
+    assert {r["id"]: r["n"] for r in rows} == {1: 1, 4: 2, 5: 3, 2: 4, 3: 5}

@@ -33,10 +33,11 @@ def number_rows(df: DataFrame, by: Column, order: list, name: str = "n", buckets
     Approximate quantiles of ``by``, which are few and fixed before anything is dealt, cut the rows into ranges; rows
     are numbered within a range, and a range by the rows before it. Nulls of ``by`` come first.
     """
-    value = by.cast("double")
+    value, held = by.cast("double"), F.col("_value")
     cuts = df.select(value.alias("v")).approxQuantile("v", [i / buckets for i in range(1, buckets)], 0.001) if buckets > 1 else []
     bounds = F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]).cast("array<double>")
-    ranged = df.withColumn("_range", F.coalesce(F.size(F.filter(bounds, lambda b: b < value)), F.lit(0)))
+    # That the value is asked for twice keeps it a column of its own, which is not computed again for every bound.
+    ranged = df.withColumn("_value", value).withColumn("_range", F.when(held.isNotNull(), F.size(F.filter(bounds, lambda b: b < held))).otherwise(0)).drop("_value")
     return _numbered(ranged, order, name)
 
 

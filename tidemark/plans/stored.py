@@ -278,7 +278,7 @@ SELECT *, greatest(n_union, CAST(floor((n_first + 1) * (n_second + 1) / (n_both
 """)
 def recovered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The products read in two orders, each cut off after four fifths: recovered, estimated and true numbers, and whether that is enough."""
-    part = load(spark, sf_dir, "part").select("p_partkey")
+    part = spread(load(spark, sf_dir, "part").select("p_partkey"), "p_partkey")
     total = part.count()
     text = F.col("p_partkey").cast("string")
     cut = [number_rows(part.withColumn("h", F.md5(t.cast("binary"))), F.conv(F.substring("h", 1, 12), 16, 10).cast("long"), ["h", "p_partkey"], "n").filter(F.col("n") * 5 <= total * 4) for t in (text, F.concat(text, F.lit("/2")))]
