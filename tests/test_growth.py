@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidemark.operators import ranking, runs
-from tidemark.plans import made
+from tidemark.plans import made, prices
 from tidemark.sources import tables
 
 
@@ -79,3 +79,30 @@ def test_a_rank_does_not_compute_its_value_for_every_bound(spark):
     odd = spark.createDataFrame([(1, None), (2, 5.0), (3, float("nan")), (4, None), (5, -1.0)], "id int, v double")
     rows = ranking.number_rows(odd, F.col("v"), [F.col("v").asc_nulls_first(), "id"], buckets=3).collect()
     assert {r["id"]: r["n"] for r in rows} == {1: 1, 4: 2, 5: 3, 2: 4, 3: 5}
+
+
+def test_no_line_is_repeated_for_the_levels_of_a_rollup(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(prices, "PER_TASK", 50, raising=False)
+    shops = [(i, i % 5) for i in range(1, 21)] + [(21, None), (22, 4), (22, 4)]
+    nations = [(0, "A", 0), (1, "B", 0), (2, "A", 1), (3, None, 1), (4, "E", 2)]
+    regions = [(0, "one"), (1, "two"), (2, None)]
+    lines = [(None if i % 11 == 0 else i, None if i % 13 == 0 else i * i % 37, i % 24) for i in range(400)]
+    tables_of = {
+        "supplier": ("s_suppkey long, s_nationkey int", shops), "nation": ("n_nationkey int, n_name string, n_regionkey int", nations), "region": ("r_regionkey int, r_name string", regions),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long", lines),
+    }
+    for name, (schema, rows) in tables_of.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    df = entry.queries()["region_rollup"](spark, str(tmp_path))
+    want = {}
+    for shop, nation in shops:
+        for key, name, region in nations:
+            if key == nation:
+                place = dict(regions)[region]
+                for group in ((place, name, 0), (place, None, 1), (None, None, 3)):
+                    own = want.setdefault(group, [set(), 0, set()])
+                    own[0].add(shop)
+                    own[1] += sum(s == shop and o is not None for o, _, s in lines)
+                    own[2] |= {p for _, p, s in lines if s == shop and p is not None}
+    assert {(r["region"], r["country"], r["level"]): (r["shops"], r["offers"], r["products"]) for r in df.collect()} == {g: (len(s), n, len(p)) for g, (s, n, p) in want.items()}
+    assert not [line for line in shown(df).splitlines() if "Expand" in line and "l_partkey" in line]
