@@ -3,7 +3,9 @@
 import os
 
 import duckdb
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import queries
@@ -37,6 +39,22 @@ def test_run_on_nulls_repeated_ids_and_clashing_columns(spark, tmp_path):
     assert ids <= {*range(12), None} and ids & set(range(12))
 
 
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_a_stage_hands_whole_texts_to_python_a_few_megabytes_at_a_time(spark, name, stage):
+    for key in corpus_pipeline.BATCHES:
+        spark.conf.unset(key)
+    stage(spark, spark.read.parquet(f"{SF}/documents.parquet").limit(40), SF)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    long = spark.range(0, 400, 1, 1).select("id", F.repeat(F.lit("word "), 20_000).alias("text"))  # 40 MB
+    found = long.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in found) == 400
+    assert max(r["size"] for r in found) < 5_000_000
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
